@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, line_dedup, packing
+from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, line_dedup, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.near_duplicates(docs, words=3, percent=90)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_chat_format": op3_chat_format,
     "op5_bpe": op5_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
