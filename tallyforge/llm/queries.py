@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, line_dedup, packing
+from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, language_id, line_dedup, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _word_bpe() -> str:
+def word_bpe() -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), _word_bpe())
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
     )
@@ -48,7 +48,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, _word_bpe()).drop("text"), _word_bpe())
+    both = bpe.decode(bpe.encode(docs, word_bpe()).drop("text"), word_bpe())
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -57,6 +57,18 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Rows that no model learns from: crc32 of the id as text leaves 2 modulo 4."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~held_out()))
+    predicted = language_id.predict(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.near_duplicates(docs, words=3, percent=90)
@@ -76,6 +88,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_chat_format": op3_chat_format,
     "op5_bpe": op5_bpe,
+    "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
