@@ -8,31 +8,31 @@ their first occurrence, after their bytes were compared with it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.shared import BITMAP_BITS, bit_is_set, bitmap_bits, bitmap_table, materialize
+from tallyforge.llm.shared import BITMAP_BITS, bit_is_set, bitmap_bits, bitmap_table, let, materialize
 
 
-def with_chunks(docs: DataFrame, text_col: str = "text", window: int = 2, divisor: int = 3) -> DataFrame:
-    """`docs` plus __lines (array of lines) and __chunks (array of start, length, hash; starts from 0)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("__lines", F.split(text, "\n", -1))
-    out = out.withColumn("__hashes", F.transform("__lines", lambda x: F.xxhash64(x)))
-    n = F.size("__lines")
+def chunks(text: Column, window: int, divisor: int) -> Column:
+    """Array of (start, length, hash) of the chunks of a text's lines; starts count from 0."""
 
-    def ends_at(i):
-        rolling = F.xxhash64(*[F.get("__hashes", i - F.lit(k)) for k in range(window)])
-        return (F.pmod(rolling, F.lit(divisor)) == 0) | (i == n - 1)
+    def of(hashes: Column) -> Column:
+        n = F.size(hashes)
 
-    out = out.withColumn("__ends", F.filter(F.sequence(F.lit(0), n - 1), ends_at))
+        def ends_at(i: Column) -> Column:
+            rolling = F.xxhash64(*[F.get(hashes, i - F.lit(k)) for k in range(window)])
+            return (F.pmod(rolling, F.lit(divisor)) == 0) | (i == n - 1)
 
-    def chunk(end, i):
-        start = F.when(i == 0, F.lit(0)).otherwise(F.get("__ends", i - F.lit(1)) + 1)
-        length = end - start + 1
-        return F.struct(start.alias("start"), length.alias("length"), F.xxhash64(F.slice("__hashes", start + 1, length)).alias("hash"))
+        def chunk(ends: Column, end: Column, i: Column) -> Column:
+            start = F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - F.lit(1)) + 1)
+            length = end - start + 1
+            return F.struct(start.alias("start"), length.alias("length"), F.xxhash64(F.slice(hashes, start + 1, length)).alias("hash"))
 
-    return out.withColumn("__chunks", F.transform("__ends", chunk)).drop("__hashes", "__ends")
+        ends = F.filter(F.sequence(F.lit(0), n - 1), ends_at)
+        return let(ends, lambda e: F.transform(e, lambda end, i: chunk(e, end, i)))
+
+    return let(F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x)), of)
 
 
 def line_dedup(
@@ -49,11 +49,12 @@ def line_dedup(
     are this operator's own.
     """
     doc_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = with_chunks(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text", window, divisor)
+    keyed = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("__id"), doc_key.alias("__key"), chunks(F.col(text_col), window, divisor).alias("__chunks")
+    )
     # A first pass keeps hashes only: no text is written or shuffled for chunks that occur once.
     spots = materialize(
-        keyed.where("__text is not null")
-        .select("__id", F.xxhash64(F.coalesce("__text", F.lit(""))).alias("__key"), F.explode("__chunks").alias("c"))
+        keyed.select("__id", "__key", F.explode("__chunks").alias("c"))
         .where(F.col("c.length") >= min_lines)
         .select("__id", "__key", F.col("c.start").alias("start"), F.col("c.length").alias("length"), F.col("c.hash").alias("hash"))
         .distinct(),
@@ -84,13 +85,18 @@ def line_dedup(
     touched = marked.where("__maybe")
     wanted = repeated.groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "length", "hash", "first")).alias("__spots"))
     source = touched.select(F.col(id_col).alias("__id"), "__key", F.col(text_col).alias("__text"))
+
+    def with_body(lines: Column) -> Column:
+        return F.transform(
+            "__spots",
+            lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"), s["hash"].alias("hash"), s["first"].alias("first"),
+                               F.array_join(F.slice(lines, s["start"] + 1, s["length"]), "\n").alias("body")),
+        )
+
     bodies = (
         source.join(wanted, source["__id"].eqNullSafe(wanted["__id"]) & (source["__key"] == wanted["__key"]))
-        .select(source["__id"], source["__key"], F.split("__text", "\n", -1).alias("__lines"), F.explode("__spots").alias("s"))
-        .select(
-            "__id", "__key", "s.start", "s.length", "s.hash", "s.first",
-            F.array_join(F.slice("__lines", F.col("s.start") + 1, F.col("s.length")), "\n").alias("body"),
-        )
+        .select(source["__id"], source["__key"], F.explode(let(F.split("__text", "\n", -1), with_body)).alias("s"))
+        .select("__id", "__key", "s.start", "s.length", "s.hash", "s.first", "s.body")
         .where(F.length(F.trim("body")) > 0)
     )
     bodies = materialize(bodies, "bodies")
@@ -106,12 +112,14 @@ def line_dedup(
     cut = cut.withColumnsRenamed({"__id": "__cut_id", "__key": "__cut_key"})
     removed = F.coalesce(F.aggregate("__cut", F.lit(0), lambda a, c: a + c["length"]), F.lit(0))
     lines = F.split(F.col(text_col), "\n", -1)
-    cuts = F.array_sort("__cut")
-    kept_parts = F.transform(
-        F.sequence(F.lit(0), F.size(cuts)),
-        lambda i: _between(lines, cuts, i),
+    parts = let(
+        lines,
+        lambda all_lines: let(
+            F.array_sort("__cut"),
+            lambda cuts: F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: _between(all_lines, cuts, i)),
+        ),
     )
-    rebuilt = F.array_join(F.flatten(kept_parts), "\n")
+    rebuilt = F.array_join(F.flatten(parts), "\n")
     joined = touched.join(cut, F.col(id_col).eqNullSafe(F.col("__cut_id")) & (F.col("__key") == F.col("__cut_key")), "left")
     columns = [F.when(F.col("__cut").isNull(), F.col(c)).otherwise(rebuilt).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")

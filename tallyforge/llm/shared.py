@@ -31,6 +31,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value, body):
+    """`body(value)` with `value` evaluated once a row.
+
+    The optimizer would copy the expression to each use, also into the per-element functions
+    of arrays, where it would be evaluated for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def bitmap_bits(rows: int, per_row: int = 16, most: int = 1 << 27) -> int:
     """A power of two of at least `per_row` bits a row, never above `most` (16 MB).
 
