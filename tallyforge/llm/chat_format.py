@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.shared import let
+
 #: Opens a block: OPEN role BODY text (NEXT text)* CLOSE.
 OPEN, BODY, NEXT, CLOSE = "<|turn|>", "<|says|>", "<|more|>", "<|end|>"
 
@@ -39,75 +41,60 @@ def format_chats(
         escape(F.coalesce(F.col(role_col), F.lit(""))).alias("role"),
         escape(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
     )
-    rows = turns.groupBy(F.col(conv_col).alias("conv_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    def opens(turns: Column) -> Column:
+        """Where a turn's role differs from the one before; a block reaches to the next opening."""
+        return F.filter(
+            F.sequence(F.lit(0), F.size(turns) - 1),
+            lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, F.greatest(i - 1, F.lit(0)))["role"]),
+        )
 
-    # Adjacent merge without a quadratic append: a turn opens a block when its role differs
-    # from the one before, and the block reaches to the next opening.
-    opens = F.filter(
-        F.sequence(F.lit(0), F.size("turns") - 1),
-        lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", F.greatest(i - 1, F.lit(0)))["role"]),
-    )
-    rows = rows.withColumn("opens", opens)
+    def blocks(turns: Column, starts: Column) -> Column:
+        """Array of (role, texts): adjacent turns of one role merged."""
 
-    def block(start: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("opens", i + 1), F.size("turns"))
-        return F.struct(
-            F.get("turns", start)["role"].alias("role"),
-            F.transform(F.slice("turns", start + 1, end - start), lambda t: t["text"]).alias("texts"),
-        )
+        def block(start: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(starts, i + 1), F.size(turns))
+            texts = F.transform(F.slice(turns, start + 1, end - start), lambda t: t["text"])
+            return F.struct(F.get(turns, start)["role"].alias("role"), texts.alias("texts"))
 
-    rows = rows.withColumn("blocks", F.transform("opens", block)).drop("turns", "opens")
-    # Pieces alternate control strings and texts; `learn` marks the texts under the loss mask.
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.flatten(
-                F.transform(
-                    b["texts"],
-                    lambda t, i: F.array(
-                        F.struct(
-                            F.when(i == 0, F.concat(F.lit(OPEN), b["role"], F.lit(BODY))).otherwise(F.lit(NEXT)).alias("s"),
-                            F.lit(False).alias("learn"),
-                        ),
-                        F.struct(t.alias("s"), (b["role"] == escape(F.lit(learn_role))).alias("learn")),
-                        F.struct(F.when(i == F.size(b["texts"]) - 1, F.lit(CLOSE)).otherwise(F.lit("")).alias("s"), F.lit(False).alias("learn")),
-                    ),
-                )
-            ),
+        return F.transform(starts, block)
+
+    def piece(s: Column, learn: Column) -> Column:
+        return F.struct(s.alias("s"), learn.alias("learn"), F.length(s).cast("long").alias("n"))
+
+    def pieces(block: Column) -> Column:
+        """Control strings and texts in turn; `learn` marks the texts under the loss mask."""
+        n = F.size(block["texts"])
+        no = F.lit(False)
+
+        def of(text: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.concat(F.lit(OPEN), block["role"], F.lit(BODY))).otherwise(F.lit(NEXT))
+            after = F.when(i == n - 1, F.lit(CLOSE)).otherwise(F.lit(""))
+            return F.array(piece(before, no), piece(text, block["role"] == escape(F.lit(learn_role))), piece(after, no))
+
+        return F.flatten(F.transform(block["texts"], of))
+
+    # Offsets are prefix sums of piece lengths.  Each text and its two control strings are one
+    # step of the walk, and the spans are appended for learned texts only.
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
+
+    def walk(acc: Column, p: Column) -> Column:
+        span = F.array(F.struct(acc["at"].alias("start"), p["n"].alias("length")))
+        spans = F.when(p["learn"], F.concat(acc["spans"], span)).otherwise(acc["spans"])
+        return F.struct((acc["at"] + p["n"]).alias("at"), spans.alias("spans"))
+
+    def finish(p: Column) -> Column:
+        return F.struct(
+            F.array_join(F.transform(p, lambda x: x["s"]), "").alias("formatted"),
+            F.aggregate(p, start, walk)["spans"].alias("loss_spans"),
         )
-    )
-    rows = rows.withColumn("pieces", pieces).drop("blocks")
-    # Offsets by explode-free running sum: positions of the learn pieces as prefix lengths.
-    learn_at = F.filter(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: F.get("pieces", i)["learn"])
-    rows = rows.withColumn("learn_at", learn_at)
-    # Text between two learned pieces is summed once, so the walk stays linear.
-    gaps = F.transform(
-        "learn_at",
-        lambda at, k: F.aggregate(
-            F.slice("pieces", _after(F.get("learn_at", k - 1), k), at - _after(F.get("learn_at", k - 1), k) + 1),
-            F.lit(0).cast("long"),
-            lambda a, p: a + F.length(p["s"]),
-        ),
-    )
-    rows = rows.withColumn("gaps", gaps)
-    lengths = F.transform("learn_at", lambda at: F.length(F.get("pieces", at)["s"]).cast("long"))
-    rows = rows.withColumn("lengths", lengths)
-    walked = F.aggregate(
-        F.arrays_zip("gaps", "lengths"),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gaps"] + x["lengths"]).alias("at"),
-            F.array_append(acc["spans"], F.struct((acc["at"] + x["gaps"]).alias("start"), x["lengths"].alias("length"))).alias("spans"),
-        ),
-    )
-    return rows.select(
-        "conv_id", F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"), walked["spans"].alias("loss_spans")
-    )
 
+    def whole(turns: Column) -> Column:
+        flat = let(opens(turns), lambda starts: F.flatten(F.transform(blocks(turns, starts), pieces)))
+        return let(flat, finish)
 
-def _after(previous: Column, k: Column) -> Column:
-    """1-based index of the first piece after the previous learned one."""
-    return F.when(k == 0, F.lit(1)).otherwise(previous + 2)
+    rows = turns.groupBy(F.col(conv_col).alias("conv_id")).agg(F.collect_list(turn).alias("turns"))
+    done = rows.select("conv_id", let(F.array_sort("turns"), whole).alias("done"))
+    return done.select("conv_id", "done.formatted", "done.loss_spans")
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
@@ -115,16 +102,17 @@ def read_chats(formatted: DataFrame) -> DataFrame:
 
     Reads `formatted` and `loss_spans` alone, so it inverts `format_chats` up to null = empty.
     """
-    blocks = F.filter(F.split("formatted", r"<\|end\|>", -1), lambda b: b != "")
-    turns = F.flatten(
-        F.transform(
-            F.transform(blocks, lambda b: F.split(F.substr(b, F.lit(len(OPEN) + 1)), r"<\|says\|>", -1)),
-            lambda pair: F.transform(
-                F.split(F.get(pair, F.lit(1)), r"<\|more\|>", -1),
-                lambda t: F.struct(unescape(F.get(pair, F.lit(0))).alias("role"), unescape(t).alias("text")),
+    def turns_of(block: Column) -> Column:
+        pair = F.split(F.substr(block, F.lit(len(OPEN) + 1)), r"<\|says\|>", -1)
+        return let(
+            pair,
+            lambda p: F.transform(
+                F.split(F.get(p, F.lit(1)), r"<\|more\|>", -1),
+                lambda t: F.struct(unescape(F.get(p, F.lit(0))).alias("role"), unescape(t).alias("text")),
             ),
         )
-    )
+
+    blocks = F.filter(F.split("formatted", r"<\|end\|>", -1), lambda b: b != "")
     learned = F.array_join(
         F.transform(
             "loss_spans",
@@ -132,4 +120,4 @@ def read_chats(formatted: DataFrame) -> DataFrame:
         ),
         "",
     )
-    return formatted.select("conv_id", turns.alias("turns"), learned.alias("learned"), "formatted")
+    return formatted.select("conv_id", F.flatten(F.transform(blocks, turns_of)).alias("turns"), learned.alias("learned"), "formatted")
