@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, language_id, line_dedup, packing
+from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, language_id, line_dedup, packing, warc_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,16 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc_archive.archive_path(spark)
+    warc_archive.write_archive(_table(spark, sf_dir, "pages"), path)
+    back = warc_archive.read_archive(spark, path)
+    checked = F.when(F.col("verified"), F.sha2("payload", 256)).otherwise(F.raise_error(F.lit("payload does not match its digest")))
+    return back.select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), checked.alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     both = bpe.decode(bpe.encode(docs, word_bpe()).drop("text"), word_bpe())
@@ -87,6 +97,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_chat_format": op3_chat_format,
+    "op4_warc_archive": op4_warc_archive,
     "op5_bpe": op5_bpe,
     "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
@@ -95,6 +106,14 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_warc_archive": """
+WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, min(page_id) AS first FROM t WHERE octet_length(encode(body)) >= 100 GROUP BY body)
+SELECT t.page_id, octet_length(encode(t.body))::BIGINT AS payload_bytes, sha256(t.body) AS payload_digest,
+       CASE WHEN t.page_id > g.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN t.page_id > g.first THEN g.first END AS refers_to
+FROM t LEFT JOIN g ON t.body = g.body
+""",
     "op9_exact_dedup": """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
