@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, jaccard_join, language_id, line_dedup, packing, warc_archive
+from tallyforge.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, language_id, line_dedup, packing, warc_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(docs, words=3, percent=90)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
