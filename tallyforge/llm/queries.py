@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, language_id, line_dedup, packing, warc_archive
+from tallyforge.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, language_id, line_dedup, packing, topk_search, warc_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), word_bpe())
     return pieces.select(
@@ -100,6 +104,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
     "op3_chat_format": op3_chat_format,
     "op4_warc_archive": op4_warc_archive,
