@@ -237,7 +237,7 @@ def tag_one_hot(markets: DataFrame, market_tags: DataFrame, tags: DataFrame, nam
     """One 0/1 column tag_<name> per active tag in `names`, and tag_count."""
     active = F.broadcast(tags.where("is_active").select("tag_id", "name"))
     pairs = market_tags.join(active, "tag_id").select("market_id", "name").distinct()
-    wide = pairs.groupBy("market_id").pivot("name", names).agg(F.count("*"))
+    wide = pairs.groupBy("market_id").pivot("name", names).agg(F.count(F.lit(1)))
     wide = wide.select("market_id", *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).alias(f"tag_{n}") for n in names])
     count = pairs.groupBy("market_id").agg(F.count("*").alias("tag_count"))
     return markets.select("market_id").join(wide, "market_id", "left").join(count, "market_id", "left").fillna(0)
