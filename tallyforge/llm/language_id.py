@@ -130,7 +130,7 @@ def fit(labelled: DataFrame, params: Params = Params(), key_col: str = "doc_id",
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = sorted({c for c in text.lower() if c.isalpha() and ord(c) < 1 << 16})
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found, pa.string())], names=["lang", "letter"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string())], names=["lang", "letter"])
 
     counts = sample.select("lang", "text").mapInArrow(letters, "lang string, letter string").groupBy("letter").count()
     top = counts.orderBy(F.desc("count"), "letter").limit(params.symbols).collect()

@@ -74,12 +74,12 @@ def line_dedup(
     # text hashes, at most most_bits / 8 bytes, lets the others pass straight through.
     bits = bitmap_bits(repeated.count(), most=most_bits)
     spot = F.pmod(F.col("__key"), F.lit(bits))
-    table = F.broadcast(bitmap_table(repeated.select(spot.alias("p")).distinct(), "p"))
+    table = F.broadcast(bitmap_table(repeated.select(spot.alias("p")).distinct(), "p").withColumnsRenamed({"bucket": "__bucket", "bits": "__bits"}))
     marked = (
         docs.withColumn("__key", doc_key)
         .withColumn("__p", spot)
-        .join(table, (F.col("__p") / F.lit(BITMAP_BITS)).cast("int") == F.col("bucket"), "left")
-        .withColumn("__maybe", F.col(text_col).isNotNull() & bit_is_set(F.col("bits"), F.col("__p")))
+        .join(table, (F.col("__p") / F.lit(BITMAP_BITS)).cast("int") == F.col("__bucket"), "left")
+        .withColumn("__maybe", F.col(text_col).isNotNull() & bit_is_set(F.col("__bits"), F.col("__p")))
         .select(*[F.col(c) for c in docs.columns], "__key", "__maybe")
     )
     touched = marked.where("__maybe")
