@@ -40,8 +40,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         marked.select("doc_id", "text_sha256", (bit_is_set(F.col("p1_bits"), F.col("p1")) & bit_is_set(F.col("p2_bits"), F.col("p2"))).alias("maybe")),
         "marked",
     )
-    groups = (
-        marked.where("maybe").groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written first, so that the join below has two plain exchanges and a hot group's rows can be split.
+    groups = materialize(
+        marked.where("maybe").groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups"
     )
     shuffled = marked.where("maybe").join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256")
     straight = marked.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
