@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-NO_PAIR = 1 << 62
+NO_PAIR = 1 << 100
 
 
 def byte_letters() -> list[str]:
@@ -45,84 +46,89 @@ class SegmentTreeBpe:
         letters = byte_letters()
         self.inner = [vocab[x] for x in letters]
         self.last = [vocab[x + suffix] for x in letters]
+        # Pair of ids (first * 2^20 + second) -> rank * 2^20 + id of the merged symbol.
         self.ranks = {}
         for rank, merge in enumerate(data["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.ranks[(vocab[a], vocab[b])] = (rank, vocab[a + b])
+            self.ranks[vocab[a] << 20 | vocab[b]] = rank << 20 | vocab[a + b]
+        self.letters = dict(enumerate(letters))
         split = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split).findall
 
+    def spelled(self, word: str) -> str:
+        """A pre-token with each byte of its UTF-8 form as that byte's letter."""
+        return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token."""
         raw = word.encode("utf-8", "surrogatepass")
-        symbols = [self.inner[b] for b in raw]
+        symbols = list(map(self.inner.__getitem__, raw))
         symbols[-1] = self.last[raw[-1]]
         n = len(symbols)
         if n == 1:
             return symbols
-        ranks, size = self.ranks.get, 1
-        while size < n - 1:
-            size *= 2
-        # A leaf holds rank * n + position, so the minimum is the leftmost lowest rank.
+        ranks, size, bits = self.ranks.get, 1 << (n - 2).bit_length(), n.bit_length()
+        up, low20 = 20 + bits, (1 << 20) - 1
+        # A leaf holds (rank, position, merged id), so the minimum is the leftmost lowest rank.
         tree = [NO_PAIR] * (2 * size)
-        into = [0] * n
+        left = symbols[0]
         for i in range(n - 1):
-            if found := ranks((symbols[i], symbols[i + 1])):
-                tree[size + i] = found[0] * n + i
-                into[i] = found[1]
+            right = symbols[i + 1]
+            found = ranks(left << 20 | right)
+            if found is not None:
+                tree[size + i] = found >> 20 << up | i << 20 | found & low20
+            left = right
         for k in range(size - 1, 0, -1):
             a, b = tree[2 * k], tree[2 * k + 1]
             tree[k] = a if a < b else b
-        if size == 1:
-            return [into[0]] if tree[1] != NO_PAIR else symbols
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(i: int, value: int) -> None:
-            k = size + i
-            tree[k] = value
-            k >>= 1
-            while k:
-                a, b = tree[2 * k], tree[2 * k + 1]
-                low = a if a < b else b
-                if tree[k] == low:
-                    return
-                tree[k] = low
-                k >>= 1
-
-        def pair(i: int, j: int) -> None:
-            if found := ranks((symbols[i], symbols[j])):
-                into[i] = found[1]
-                put(i, found[0] * n + i)
-            else:
-                put(i, NO_PAIR)
-
-        while tree[1] != NO_PAIR:
-            i = tree[1] % n
+        where = (1 << bits) - 1
+        while (root := tree[1]) != NO_PAIR:
+            i = root >> 20 & where
             j = after[i]
-            symbols[i] = into[i]
+            symbols[i] = root & low20
             symbols[j] = -1
             after[i] = k = after[j]
-            if j < n - 1:
-                put(j, NO_PAIR)
+            changed = [(j, NO_PAIR)] if j < n - 1 else []
             if k < n:
                 before[k] = i
-                pair(i, k)
+                found = ranks(symbols[i] << 20 | symbols[k])
+                changed.append((i, NO_PAIR if found is None else found >> 20 << up | i << 20 | found & low20))
             else:
-                put(i, NO_PAIR)
+                changed.append((i, NO_PAIR))
             if i:
-                pair(before[i], i)
+                h = before[i]
+                found = ranks(symbols[h] << 20 | symbols[i])
+                changed.append((h, NO_PAIR if found is None else found >> 20 << up | h << 20 | found & low20))
+            for at, value in changed:
+                k = size + at
+                if tree[k] == value:
+                    continue
+                tree[k] = value
+                k >>= 1
+                while k:
+                    a, b = tree[2 * k], tree[2 * k + 1]
+                    if a > b:
+                        a = b
+                    if tree[k] == a:
+                        break
+                    tree[k] = a
+                    k >>= 1
         return [x for x in symbols if x >= 0]
 
 
 class _Cache(dict):
-    """A dict that fills itself and starts afresh once it holds `most` entries."""
+    """A dict that fills itself; of two generations of `most` entries the older one is dropped, so common words stay."""
 
     def __init__(self, make: Callable, most: int):
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         if len(key) <= 100:
             self[key] = value
@@ -137,13 +143,18 @@ class TextEncoder:
 
     def __init__(self, bpe: SegmentTreeBpe, merge: Callable[[str], list[int]], cached_words: int):
         self.bpe = bpe
-        self.pieces = _Cache(lambda piece: np.array(merge(piece), "<u4").tobytes(), cached_words // 2)
+        self.pieces = _Cache(lambda piece: np.array(merge(piece), "<u4").tobytes(), cached_words * 9 // 5)
         self.chunks = _Cache(self.chunk, cached_words)
         self.is_special = regex.compile("(" + "|".join(map(regex.escape, bpe.special)) + ")") if bpe.special else None
 
     def chunk(self, chunk: str) -> bytes:
-        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        return b"".join(map(self.pieces.__getitem__, self.bpe.words(text.lower())))
+        text = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")).lower()
+        # Letters alone, or with one mark at the end, are what the word pattern would find.
+        if text.isalpha():
+            return self.pieces[text]
+        if text[-1] in ".,;:!?" and text[:-1].isalpha():
+            return self.pieces[text[:-1]] + self.pieces[text[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.bpe.words(text)))
 
     def plain(self, text: str) -> bytes:
         chunks = filter(None, self.space.split(text)) if self.odd_space.search(text) else text.split()
@@ -163,7 +174,7 @@ class TextEncoder:
 _loaded: dict = {}
 
 
-def text_encoder(path: str, engine: str, cached_words: int = 400_000) -> TextEncoder:
+def text_encoder(path: str, engine: str, cached_words: int = 120_000) -> TextEncoder:
     """The worker's own encoder, kept between tasks.
 
     engine "segment_tree" merges here; "library" asks the tokenizers library for each word.
@@ -174,10 +185,8 @@ def text_encoder(path: str, engine: str, cached_words: int = 400_000) -> TextEnc
         if engine == "library":
             from tokenizers import Tokenizer
 
-            library = Tokenizer.from_file(path)
-            library.no_truncation()
-            library.no_padding()
-            merge = lambda piece: library.encode(piece, add_special_tokens=False).ids
+            model = Tokenizer.from_file(path).model
+            merge = lambda piece: [t.id for t in model.tokenize(bpe.spelled(piece))]
         else:
             merge = bpe.merge
         _loaded[key] = TextEncoder(bpe, merge, cached_words)
@@ -197,8 +206,6 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int = 4 << 20) -> Ite
 
 
 def text_sizes(column: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
 
 
@@ -245,7 +252,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = text_encoder(tokenizer_path, "segment_tree").bpe.tokens.__getitem__
         for whole in batches:
-            lengths = np.array([len(x) if x.is_valid else 0 for x in whole.column(ids_col)]) if whole.num_rows else np.zeros(0)
+            lengths = pc.fill_null(pc.list_value_length(whole.column(ids_col)), 0).to_numpy(zero_copy_only=False)
             for batch in slices(whole, lengths * 8):
                 column = batch.column(ids_col)
                 texts = [" ".join(map(token, x.values.to_numpy().tolist())) if x.is_valid else "" for x in column]

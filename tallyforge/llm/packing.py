@@ -39,7 +39,7 @@ def pack(
         raise ValueError("longest must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer_path, "library")
+        encoder = text_encoder(tokenizer_path, "library", cached_words=250_000)
         end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for batch in slices(whole, text_sizes(whole.column("text"))):
