@@ -28,9 +28,11 @@ class CoverTree:
 
     Children lie within the node's radius divided by the base of their own centres, centres
     are farther than that from each other, and the first child keeps the node's centre.
+    Children of fewer than leaf / 8 points are gathered in one leaf around the node's centre,
+    so points without neighbours don't become a node each.
     """
 
-    def __init__(self, points: np.ndarray, leaf: int = 48, base: float = 1.3):
+    def __init__(self, points: np.ndarray, leaf: int = 256, base: float = 1.3):
         self.leaf, self.base = leaf, base
         self.centre: list[int] = []
         self.radius: list[float] = []
@@ -68,6 +70,8 @@ class CoverTree:
                 near = far <= reach
                 parts.append((centre, rows[near], far[near]))
                 rows, far = rows[~near], far[~near]
+            strays = [own for _, own, _ in parts if len(own) < self.leaf // 8]
+            parts = [p for p in parts if len(p[1]) >= self.leaf // 8]
             at = lo
             for centre, own, far in parts:
                 self.order[at : at + len(own)] = own
@@ -75,6 +79,12 @@ class CoverTree:
                 self.children[node].append(child)
                 stack.append((child, far))
                 at += len(own)
+            if strays:
+                own = np.concatenate(strays)
+                self.order[at:hi] = own
+                centre = self.centre[node]
+                far = np.sqrt(((x[own] - x[centre]) ** 2).sum(1))
+                self.children[node].append(self._node(centre, float(far.max()), at, hi))
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k: int):
@@ -194,11 +204,18 @@ def top_k(
     counts = {r["pivot"]: (r["n"], r["q"]) for r in dealt.groupBy("pivot").agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).collect()}
 
     def numbered(rows_per: int, which: int):
-        """(first number by pivot, parts by pivot, total): a pivot's rows are split evenly into parts of about `rows_per`."""
-        firsts, parts, total = {}, {}, 0
+        """(first number by pivot, parts by pivot, total): large pivots are split evenly, small ones share a number."""
+        firsts, parts, total, room = {}, {}, 0, 0
         for pivot in sorted(counts):
-            firsts[pivot], parts[pivot] = total, max(1, math.ceil(counts[pivot][which] / rows_per))
-            total += parts[pivot]
+            rows = counts[pivot][which]
+            if rows > rows_per:
+                firsts[pivot], parts[pivot] = total, math.ceil(rows / rows_per)
+                total, room = total + parts[pivot], 0
+            else:
+                if rows > room or not total:
+                    total, room = total + 1, rows_per
+                firsts[pivot], parts[pivot] = total - 1, 1
+                room -= rows
         return firsts, parts, total
 
     def number(firsts: dict, parts: dict, seed: int):
