@@ -10,10 +10,11 @@ fragments, more of them the larger a set is:
 2. Partial overlaps.  For each candidate pair the overlap is counted within each fragment
    separately and summed per pair; the sum decides.
 3. Components.  First each set is compared with one pivot per shared fragment.  Fragments
-   whose sets are still in several components are then compared set by set, in blocks of
-   bounded size, by their numbers of equal fine fragments; the pairs that could still link
-   are decided as in 2.  A pair is skipped only if its sets are already connected or provably
-   too far apart, so components are exact.
+   whose sets are still in several components are compared set by set: first within blocks of
+   bounded size, where a spanning forest of likely links is enough, then across all blocks.
+   Likely links are those with few enough unequal fine fragments; each is decided as in 2.  A
+   pair is skipped only if its sets are already connected or provably too far apart, so
+   components are exact.
 
 Equal sets are one class: copies never multiply.
 """
@@ -30,13 +31,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.llm.bpe import slices
-from tallyforge.llm.shared import bitmap_array, bitmap_bits, components, materialize
+from tallyforge.llm.shared import bitmap_array, bitmap_bits, components, marked_rows, materialize, materialize_signed, refine
 
 M64 = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 #: Sizes from bound k to bound k+1 share their cuts; a size within reach of the next bound takes part there too.
-RATIO = 1.3
+RATIO = 1.6
+#: Fine fragments to a coarse one: about as many as n-grams, so that unequal ones nearly count the differences.
+FINE = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -146,25 +149,26 @@ class Cuts:
         return d + 1 + spare, spare
 
     def cut(self, tokens: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """32-bit hashes of the fine fragments and the 64-bit keys of the coarse ones (two fine ones each).
+        """8-bit hashes of the fine fragments and the 64-bit keys of the coarse ones (FINE fine ones each).
 
         Empty coarse fragments are keyed only where there are more of them than spare ones:
         otherwise a linked pair shares a fragment that holds something.
         """
         n, spare = self.coarse(k)
-        # fragment number = floor(token * 2n / 2^64), from the upper 32 bits
-        where = ((tokens >> np.uint64(32)) * np.uint64(2 * n)) >> np.uint64(32)
-        first = np.searchsorted(where, np.arange(2 * n + 1, dtype=np.uint64))
+        # fragment number = floor(token * FINE * n / 2^64), from the upper 32 bits
+        where = ((tokens >> np.uint64(32)) * np.uint64(FINE * n)) >> np.uint64(32)
+        first = np.searchsorted(where, np.arange(FINE * n + 1, dtype=np.uint64))
         sums = np.zeros(len(tokens) + 1, np.uint64)
         np.cumsum(_mix(tokens + np.uint64(BASE)), out=sums[1:])
-        fine = _mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64))
-        counts = np.diff(first[::2])
+        at = sums[first]
+        fine = _mix(at[1:] - at[:-1]) >> np.uint64(56)
+        counts = np.diff(first[::FINE])
         salt = _mix(np.arange(n, dtype=np.uint64) + np.uint64(((k + 64) << 40) & M64))
-        keys = _mix(_mix(fine[0::2] ^ salt) + fine[1::2] * np.uint64(BASE))
+        keys = _mix(_mix(np.diff(at[::FINE])) ^ salt)
         filled = counts > 0
         if (n - int(filled.sum())) <= spare:
             keys = keys[filled]
-        return (fine >> np.uint64(32)).astype("<u4"), keys
+        return fine.astype(np.uint8), keys
 
 
 FEATURES = T.StructType([
@@ -207,26 +211,53 @@ def _sid(tokens: np.ndarray) -> int:
     return int(value.view(np.int64)[0])
 
 
-def features(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document (columns doc_id, text): set size, set identity, and its cuts."""
+def _cuts_of(docs_text: np.ndarray, words: int, cuts: Cuts) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """A text's shingles, and (size class, fine hashes, keys) for each class it takes part in."""
+    tokens = shingles(docs_text, words)
+    return tokens, [(k, *cuts.cut(tokens, k)) for k in cuts.classes(len(tokens))] if len(tokens) else []
+
+
+def repeated_keys(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Keys that occur more than once.  Map-side combine leaves a row a task of the most common key."""
+    cuts = Cuts(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for _, texts in _texts(whole):
+                keys = [key for data in texts for _, _, key in _cuts_of(data, words, cuts)[1]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))], names=["key"])
+
+    return docs.select("text").mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+
+
+def features(docs: DataFrame, words: int, percent: int, repeated: DataFrame, most_bits: int) -> DataFrame:
+    """One row per document: set size, set identity, and its cuts that hold a key of `repeated`, with those keys.
+
+    A fixed-size bitmap stands for the repeated keys; a fuller one lets more keys through to the join.
+    """
     cuts = Cuts(percent)
+    bits = bitmap_bits(repeated.count(), per_row=32, most=most_bits)
+    marked = docs.sparkSession.sparkContext.broadcast(bitmap_array(repeated.select(F.pmod("key", F.lit(bits)).alias("p")).distinct(), "p", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = marked.value
         for whole in batches:
             for part, texts in _texts(whole):
                 sizes, sids, per_doc, classes, fines, keys = [], [], [0], [], [], []
                 for data in texts:
-                    tokens = shingles(data, words)
+                    tokens, own = _cuts_of(data, words, cuts)
                     sizes.append(len(tokens))
                     sids.append(_sid(tokens))
-                    if len(tokens):
-                        for k in cuts.classes(len(tokens)):
-                            fine, key = cuts.cut(tokens, k)
+                    for k, fine, key in own:
+                        key = key.view(np.int64)
+                        at = key % bits
+                        key = key[(table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+                        if len(key):
                             classes.append(k)
                             fines.append(fine.tobytes())
                             keys.append(key)
                     per_doc.append(len(classes))
-                flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
                 entries = pa.StructArray.from_arrays(
                     [pa.array(classes, pa.int32()), pa.array(fines, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
@@ -248,42 +279,35 @@ FRAGMENTS = 8
 
 
 def fragments(docs: DataFrame, wanted: DataFrame, words: int, most_bits: int) -> DataFrame:
-    """(sid, fragment, tokens) of the sets named by `wanted` (sid, row_key), each once.
+    """(sid, fragment, tokens) of the sets named by `wanted` (row_key), each once, and perhaps of a few others.
 
-    A fixed-size bitmap over row_key lets tasks skip documents that no candidate needs.
+    Only documents that a fixed-size bitmap over row_key marks are read by the tasks.
     """
-    spark = docs.sparkSession
-    bits = bitmap_bits(wanted.count(), most=most_bits)
-    bitmap = spark.sparkContext.broadcast(
-        bitmap_array(wanted.select(F.pmod("row_key", F.lit(bits)).alias("p")).distinct(), "p", bits)
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = bitmap.value
         for whole in batches:
-            at = whole.column("row_key").to_numpy() % bits
-            keep = pa.array((marked[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-            for part, texts in _texts(whole.filter(keep)):
-                keys, rows, numbers, tokens = part.column("row_key").to_pylist(), [], [], []
-                for key, data in zip(keys, texts, strict=True):
+            for _, texts in _texts(whole):
+                sids, numbers, tokens = [], [], []
+                for data in texts:
                     mine = shingles(data, words)
                     if not len(mine):
                         continue
+                    sid = _sid(mine)
                     edges = np.searchsorted(mine >> np.uint64(61), np.arange(FRAGMENTS + 1, dtype=np.uint64))
                     for f in range(FRAGMENTS):
                         if edges[f + 1] > edges[f]:
-                            rows.append(key)
+                            sids.append(sid)
                             numbers.append(f)
                             tokens.append(mine[edges[f] : edges[f + 1]])
                 flat = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in tokens]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["row_key", "fragment", "tokens"],
+                    [pa.array(sids, pa.int64()), pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    names=["sid", "fragment", "tokens"],
                 )
 
-    found = docs.mapInArrow(run, "row_key long, fragment int, tokens array<long>")
-    return found.join(wanted, "row_key").groupBy("sid", "fragment").agg(F.first("tokens").alias("tokens"))
+    found = marked_rows(docs, "row_key", wanted, most_bits).select("text").mapInArrow(run, "sid long, fragment int, tokens array<long>")
+    return found.groupBy("sid", "fragment").agg(F.first("tokens").alias("tokens"))
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -302,37 +326,66 @@ def overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _close_pairs(cuts: Cuts, block: int):
-    """In-task comparison of two blocks of one fragment: pairs in different components with enough equal fine fragments."""
+def _near_enough(cuts: Cuts):
+    """Of pairs with sizes and fine fragments of both sets, those that could link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            far = cuts.differ(total)
+            keep = [
+                int(np.count_nonzero(np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8))) <= d
+                for x, y, d in zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist(), far.tolist(), strict=True)
+            ]
+            names = ["a", "b", "size_a", "size_b"]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _close_pairs(cuts: Cuts, forest: bool):
+    """In-task comparison of two blocks of one fragment: pairs in different components that could link.
+
+    With `forest`, only as many of them as would connect what they connect.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        d = table.combine_chunks()
+        d = table.combine_chunks().sort_by("sid")
         sid, size = d.column("sid").to_numpy(), d.column("n_shingles").to_numpy()
         comp, half = d.column("component").to_numpy(), d.column("half").to_numpy()
-        width = len(d.column("fine")[0].as_py()) // 4
-        fine = np.frombuffer(b"".join(d.column("fine").to_pylist()), "<u4").reshape(len(sid), width)
+        width = len(d.column("fine")[0].as_py())
+        fine = np.frombuffer(b"".join(d.column("fine").to_pylist()), np.uint8).reshape(len(sid), width)
         diagonal = d.column("block_a")[0].as_py() == d.column("block_b")[0].as_py()
         rows = np.arange(len(sid))
-        a_out, b_out = [], []
+        _, tree = np.unique(comp, return_inverse=True)  # components as joined so far
+        out = []
         for i in rows if diagonal else rows[half == 0]:
             other = (rows > i) if diagonal else (half == 1)
-            other &= comp != comp[i]
-            total = size + size[i]
-            far = cuts.differ(total)
-            other &= (2 * np.minimum(size, size[i]) >= total - far)
+            far = cuts.differ(size + size[i])
+            other &= (tree != tree[i]) & (np.abs(size - size[i]) <= far)
             j = np.flatnonzero(other)
-            if len(j):
-                unequal = (fine[j] != fine[i]).sum(1)
-                j = j[unequal <= far[j]]
-                a_out.append(np.full(len(j), sid[i]))
-                b_out.append(sid[j])
-        a = np.concatenate(a_out) if a_out else np.zeros(0, np.int64)
-        b = np.concatenate(b_out) if b_out else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+            j = j[(fine[j] != fine[i]).sum(1) <= far[j]]
+            for k in j.tolist():
+                if not forest:
+                    out.append((i, k))
+                elif tree[k] != tree[i]:
+                    out.append((i, k))
+                    tree[tree == tree[k]] = tree[i]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        a, b = sid[pairs[:, 0]], sid[pairs[:, 1]]
+        first = a < b
+        return pa.table({
+            "a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)),
+            "size_a": pa.array(np.where(first, size[pairs[:, 0]], size[pairs[:, 1]])),
+            "size_b": pa.array(np.where(first, size[pairs[:, 1]], size[pairs[:, 0]])),
+        })
 
     return run
 
 
+PAIRS = "a long, b long, size_a long, size_b long"
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
     block: int = 64, most_bits: int = 1 << 27,
@@ -352,81 +405,71 @@ def near_duplicates(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
         F.col(text_col).alias("text"),
     )
-    sets = materialize(features(own, words, percent), "sets")
+    repeated = materialize(repeated_keys(own, words, percent), "repeated")
+    sets = materialize(features(own, words, percent, repeated, most_bits), "sets")
     classes = sets.where("n_shingles > 0").select("sid", "n_shingles", "row_key", F.explode("cuts").alias("c"))
     classes = classes.select("sid", "n_shingles", "row_key", "c.size_class", "c.fine", "c.keys")
 
-    # Keys shared by two different sets; map-side combine keeps hot keys to a row a task.
+    # Copies of a set fold; then only keys that two different sets share go on.
+    folded = materialize(
+        classes.select("sid", "row_key", "size_class", F.explode("keys").alias("key"))
+        .groupBy("key", "sid").agg(F.first("size_class").alias("size_class"), F.min("row_key").alias("row_key")),
+        "folded",
+    )
     shared = materialize(
-        classes.select(F.explode("keys").alias("key"), "sid")
-        .groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("most"))
-        .where("pivot < most").select("key", "pivot"),
-        "shared",
+        folded.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("most")).where("pivot < most").select("key", "pivot"), "shared"
     )
-    spark = docs.sparkSession
-    bits = bitmap_bits(shared.count(), per_row=32, most=most_bits)
-    marked = spark.sparkContext.broadcast(bitmap_array(shared.select(F.pmod("key", F.lit(bits)).alias("p")).distinct(), "p", bits))
-
-    def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = marked.value
-        for batch in batches:
-            keys = batch.column("keys")
-            flat = keys.flatten()
-            values = flat.to_numpy()
-            row = np.repeat(np.arange(len(keys)), np.diff(keys.offsets.to_numpy()))
-            at = values % bits
-            keep = (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-            taken = pa.array(row[keep])
-            names = ["sid", "n_shingles", "row_key", "size_class"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(taken) for c in names), pa.array(values[keep])], names=[*names, "key"])
-
-    some = classes.select("sid", "n_shingles", "row_key", "size_class", "keys").mapInArrow(
-        holds, "sid long, n_shingles long, row_key long, size_class int, key long"
+    members = materialize(folded.join(shared, "key"), "members")
+    names = materialize(members.groupBy("sid").agg(F.min("row_key").alias("row_key")), "names")
+    fines = materialize(
+        classes.join(names.select("sid"), "sid", "left_semi").groupBy("sid", "size_class")
+        .agg(F.first("n_shingles").alias("n_shingles"), F.first("fine").alias("fine")),
+        "fines",
     )
-    # Copies of a set fold before the join.
-    members = some.groupBy("key", "sid").agg(F.first("n_shingles").alias("n_shingles"), F.first("size_class").alias("size_class"), F.min("row_key").alias("row_key"))
-    members = materialize(members, "folded")
-    members = materialize(members.join(shared, "key"), "members")
-    wanted = materialize(members.groupBy("sid").agg(F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n")), "wanted")
-    parts = materialize(fragments(own, wanted.select("sid", "row_key"), words, most_bits), "parts")
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        n = wanted.select("sid", "n")
-        return (
-            pairs.join(n.select(F.col("sid").alias("a"), F.col("n").alias("size_a")), "a")
-            .join(n.select(F.col("sid").alias("b"), F.col("n").alias("size_b")), "b")
-            .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-        )
 
-    stars = members.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
-    links = materialize(overlaps(sized(stars), parts, percent), "links")
-    found = materialize(components(links), "components")
-
-    # Fragments whose sets are in several components: compare the rest in bounded blocks.
-    labelled = members.join(found.withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    labelled = materialize(labelled.select("key", "sid", "n_shingles", "size_class", "component"), "labelled")
-    open_keys = materialize(
-        labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi and n > 2").select("key", "n"),
-        "open",
-    )
-    fines = classes.groupBy("sid", "size_class").agg(F.first("fine").alias("fine"))
-    rows = labelled.join(open_keys, "key").join(fines, ["sid", "size_class"])
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("sid", "key"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "key", "sid", "n_shingles", "component", "fine",
-        F.least("mine", "partner").alias("block_a"), F.greatest("mine", "partner").alias("block_b"),
-        (F.col("mine") > F.col("partner")).cast("int").alias("half"),
-    )
-    close = rows.groupBy("key", "block_a", "block_b").applyInArrow(_close_pairs(cuts, block), "a long, b long").distinct()
-    more = materialize(overlaps(sized(close), parts, percent), "more")
-    final = materialize(components(links.unionByName(more)), "final")
+    def decided(likely: DataFrame) -> DataFrame:
+        """The links among the likely pairs, from the n-grams of their sets alone."""
+        sids = likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct()
+        wanted = materialize(names.join(sids, "sid", "left_semi"), "wanted")
+        return overlaps(likely, materialize(fragments(own, wanted, words, most_bits), "parts"), percent)
+
+    # Round one: each set against the pivots of its fragments.
+    stars = members.where("sid <> pivot").groupBy(F.col("pivot").alias("a"), F.col("sid").alias("b")).agg(F.min("size_class").alias("size_class"))
+    both = stars
+    for side in ("a", "b"):
+        of = fines.select(F.col("sid").alias(side), "size_class", F.col("n_shingles").alias(f"size_{side}"), F.col("fine").alias(f"fine_{side}"))
+        both = both.join(of, [side, "size_class"])
+    likely = materialize(both.select("a", "b", "size_a", "size_b", "fine_a", "fine_b").mapInArrow(_near_enough(cuts), PAIRS), "likely")
+    found = materialize(components(materialize(decided(likely), "links")), "components")
+
+    # Rounds two and three: fragments whose sets are still in several components.
+    for forest in (True, False):
+        labelled = members.join(found.withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+        labelled = materialize(labelled.select("key", "sid", "size_class", "component"), "labelled")
+        open_keys = materialize(
+            labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .where("lo < hi and n > 2").select("key", "n"),
+            "open",
+        )
+        rows = labelled.join(open_keys, "key").join(fines, ["sid", "size_class"])
+        rows = rows.withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
+        rows = rows.withColumn("mine", F.pmod(F.xxhash64("sid", "key"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("partner", F.col("mine") if forest else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select(
+            "key", "sid", "n_shingles", "component", "fine",
+            F.least("mine", "partner").alias("block_a"), F.greatest("mine", "partner").alias("block_b"),
+            (F.col("mine") > F.col("partner")).cast("int").alias("half"),
+        )
+        close = rows.groupBy("key", "block_a", "block_b").applyInArrow(_close_pairs(cuts, forest), PAIRS).distinct()
+        likely, (n, _) = materialize_signed(close, "likely", "a", "b")
+        if n:
+            links, (n, _) = materialize_signed(decided(likely), "links", "a", "b")
+        if n:
+            found = materialize(refine(found, links), "components")
 
     lowest = (
         sets.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-        .join(final.withColumnRenamed("id", "sid"), "sid", "left")
+        .join(found.withColumnRenamed("id", "sid"), "sid", "left")
         .select("sid", "doc_id", F.coalesce("component", "sid").alias("component"))
     )
     lowest = materialize(lowest, "lowest")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a bitmap_construct_agg bitmap: 32768 bits, 4096 bytes.
@@ -67,6 +67,15 @@ def bit_is_set(bits, position):
     return F.coalesce(F.getbit(byte, at % F.lit(8)) == 1, F.lit(False))
 
 
+def marked_rows(rows: DataFrame, key: str, wanted: DataFrame, most_bits: int) -> DataFrame:
+    """The `rows` whose long `key` may be among those of `wanted`: at most `most_bits` / 8 bytes are broadcast."""
+    bits = bitmap_bits(wanted.count(), per_row=32, most=most_bits)
+    spot = F.pmod(F.col(key), F.lit(bits))
+    table = bitmap_table(wanted.select(spot.alias("p")).distinct(), "p").withColumnsRenamed({"bucket": "__bucket", "bits": "__bits"})
+    hit = rows.withColumn("__p", spot).join(F.broadcast(table), (F.col("__p") / F.lit(BITMAP_BITS)).cast("int") == F.col("__bucket"))
+    return hit.where(bit_is_set(F.col("__bits"), F.col("__p"))).drop("__p", "__bucket", "__bits")
+
+
 def bitmap_array(positions: DataFrame, column: str, bits: int) -> np.ndarray:
     """The bitmap as bytes on the driver, for tasks that test membership: `bits / 8` bytes, capped by `bitmap_bits`."""
     out = np.zeros(bits // 8, np.uint8)
@@ -76,39 +85,40 @@ def bitmap_array(positions: DataFrame, column: str, bits: int) -> np.ndarray:
     return out
 
 
+def materialize_signed(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, tuple]:
+    """`materialize`, and (number of rows, XOR of their hashes over `columns`) taken while writing."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0)).alias("x")), name)
+    got = seen.get
+    return out, (got["n"], got["x"])
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of `edges` (a long, b long) as (id, component = smallest id reached).
 
     Alternating large-star and small-star steps; the number of edges never grows, hubs are
     only ever minimised over (map-side combine) or joined to (splittable), and every round
-    is checkpointed.  Ids without an edge are not returned.
+    is written out.  Ids without an edge are not returned.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
     def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            e.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        )
-        near = both if large else both.where("v < u")
-        low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        moved = near.join(low, "u").where("v > u" if large else "v <> m")
-        out = moved.select(F.col("v").alias("a"), F.col("m").alias("b"))
+        both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if large:
+            both = both.unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        out = both.join(low, "u").where("v > u" if large else "v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         if not large:
             out = out.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-    def sign(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-    before = sign(now)
+    # a > b throughout, so the smaller neighbours of an id are those of its edges as `a`.
+    now, before = materialize_signed(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", "a", "b"
+    )
     for _ in range(most_rounds):
         if before[0] == 0:
             break
-        now = star(star(now, True), False).checkpoint()
-        after = sign(now)
+        now, after = materialize_signed(star(star(now, True), False).distinct(), "edges", "a", "b")
         if after == before:
             break
         before = after
@@ -117,3 +127,18 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
+
+
+def refine(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components (id, component) after more `edges`: only what joins different components is searched again."""
+    label = lambda side: found.select(F.col("id").alias(side), F.col("component").alias(f"{side}_c"))
+    between = (
+        edges.select("a", "b").join(label("a"), "a", "left").join(label("b"), "b", "left")
+        .select("a", "b", F.coalesce("a_c", "a").alias("x"), F.coalesce("b_c", "b").alias("y"))
+    )
+    joined = components(between.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    joined = materialize(joined.select(F.col("id").alias("component"), F.col("component").alias("into")), "joined")
+    old = found.join(joined, "component", "left").select("id", F.coalesce("into", "component").alias("component"))
+    # Ids that had no edge so far stand for themselves in `joined`.
+    new = joined.join(found.select(F.col("id").alias("component")), "component", "left_anti")
+    return old.unionByName(new.select(F.col("component").alias("id"), F.col("into").alias("component")))
