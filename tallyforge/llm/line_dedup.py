@@ -1,9 +1,14 @@
-"""Line de-duplication by content-defined chunks of lines, in DataFrame functions only.
+"""Line de-duplication, in DataFrame functions only.
 
-A rolling hash over the hashes of `window` successive lines sets a chunk boundary wherever
-it falls on a multiple of `divisor`, so an inserted or deleted line moves only the chunks
-it touches.  Chunks of several lines that occur more than once in the corpus lose all but
-their first occurrence, after their bytes were compared with it.
+`passage_dedup` removes whole repeated passages: every pair of successive lines, and every
+long line, that occurred before.  A run of lines that repeats consists of pairs that repeat,
+so it goes from its first line to its last, whatever stands around it in its text.
+
+`line_dedup` removes repeated content-defined chunks only.  A rolling hash over the hashes of
+`window` successive lines sets a chunk boundary wherever it falls on a multiple of `divisor`,
+so a passage's first and last chunks mix with the lines of its host.
+
+Both compare the bytes with those of the first occurrence, which stays.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.shared import BITMAP_BITS, bit_is_set, bitmap_bits, bitmap_table, let, materialize
+from tallyforge.llm.shared import BITMAP_BITS, bit_is_set, bitmap_bits, bitmap_table, let, marked_rows, materialize
 
 
 def chunks(text: Column, window: int, divisor: int) -> Column:
@@ -35,6 +40,52 @@ def chunks(text: Column, window: int, divisor: int) -> Column:
     return let(F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x)), of)
 
 
+def passages(text: Column, long_words: int) -> Column:
+    """Array of (start, length, hash): all pairs of successive lines, not both blank, and all lines of over `long_words` words."""
+
+    def line(x: Column) -> Column:
+        # The length spares most lines the count of words.
+        long = (F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(r"\S+")) > long_words)
+        return F.struct(F.xxhash64(x).alias("h"), x.rlike(r"\S").alias("full"), long.alias("long"))
+
+    def of(lines: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(lines) - 1)
+
+        def pair(i: Column) -> Column:
+            return let(
+                F.struct(F.get(lines, i).alias("a"), F.get(lines, i + 1).alias("b")),
+                lambda p: F.when(
+                    p["b"].isNotNull() & (p["a"]["full"] | p["b"]["full"]),
+                    F.struct(i.alias("start"), F.lit(2).alias("length"), F.xxhash64(p["a"]["h"], p["b"]["h"]).alias("hash")),
+                ),
+            )
+
+        def single(i: Column) -> Column:
+            return F.struct(i.alias("start"), F.lit(1).alias("length"), F.xxhash64(F.get(lines, i)["h"]).alias("hash"))
+
+        pairs = F.filter(F.transform(at, pair), lambda p: p.isNotNull())
+        return F.concat(pairs, F.transform(F.filter(at, lambda i: F.get(lines, i)["long"]), single))
+
+    return let(F.transform(F.split(text, "\n", -1), line), of)
+
+
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50, most_bits: int = 1 << 27) -> DataFrame:
+    """`docs` with repeated passages cut from the text, plus n_lines and n_removed_lines.
+
+    Lines end at "\\n".  A passage is two successive lines or more, not all of them blank, or
+    one line of over `long_words` words (runs of characters other than white space).  Every line
+    of a passage whose bytes occurred before - at a smaller id, or earlier in the same text
+    without overlap - is removed; each line's first occurrence stays, and so do single repeated
+    lines of fewer words.  A text of one line that is a copy of another such text stays, as whole
+    copies are left to the operators for documents.  Blank lines inside one stretch of blank lines whose both ends are
+    removed go too.  Remaining lines keep their order.  Null texts stay null with 0 lines.  Null
+    ids come first.  Rows that repeat both id and text count as one document and stay alike.
+    Every other column passes unchanged; names that begin with two underscores are this
+    operator's own.
+    """
+    return _cut_repeated(docs, id_col, text_col, passages(F.col(text_col), long_words), most_bits)
+
+
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, divisor: int = 3, min_lines: int = 2,
     most_bits: int = 1 << 27,
@@ -48,27 +99,31 @@ def line_dedup(
     stay alike.  Every other column passes unchanged; names that begin with two underscores
     are this operator's own.
     """
+    spans = F.filter(chunks(F.col(text_col), window, divisor), lambda c: c["length"] >= min_lines)
+    return _cut_repeated(docs, id_col, text_col, spans, most_bits)
+
+
+def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, most_bits: int) -> DataFrame:
+    """`docs` without the lines of those `spans` (start, length, hash) whose bytes occurred before.
+
+    Spans may overlap if none is longer than two lines.
+    """
     doc_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("__id"), doc_key.alias("__key"), chunks(F.col(text_col), window, divisor).alias("__chunks")
-    )
-    # A first pass keeps hashes only: no text is written or shuffled for chunks that occur once.
+    keyed = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), doc_key.alias("__key"), spans.alias("__chunks"))
+    # A first pass keeps hashes only: no text is written or shuffled for spans that occur once.
     spots = materialize(
-        keyed.select("__id", "__key", F.explode("__chunks").alias("c"))
-        .where(F.col("c.length") >= min_lines)
-        .select("__id", "__key", F.col("c.start").alias("start"), F.col("c.length").alias("length"), F.col("c.hash").alias("hash"))
-        .distinct(),
-        "chunks",
+        keyed.select("__id", "__key", F.explode("__chunks").alias("c")).select("__id", "__key", "c.start", "c.length", "c.hash"), "chunks"
     )
-    first = (
+    first = materialize(
         spots
         .groupBy("hash")
-        .agg(F.count("*").alias("n"), F.min(F.struct("__id", "start", "__key")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("__id", "__key", "start")).alias("first"))
         .where("n > 1")
-        .select("hash", "first")
+        .select("hash", "first"),
+        "first",
     )
     repeated = materialize(
-        spots.join(first, "hash").select("__id", "__key", "start", "length", "hash", "first"), "repeated"
+        marked_rows(spots, "hash", first, most_bits).join(first, "hash").select("__id", "__key", "start", "length", "hash", "first"), "repeated"
     )
     # Second pass: only texts that hold a repeated chunk shuffle; a fixed-size bitmap over
     # text hashes, at most most_bits / 8 bytes, lets the others pass straight through.
@@ -83,52 +138,59 @@ def line_dedup(
         .select(*[F.col(c) for c in docs.columns], "__key", "__maybe")
     )
     touched = marked.where("__maybe")
-    wanted = repeated.groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "length", "hash", "first")).alias("__spots"))
+    wanted = repeated.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "length", "hash", "first")).alias("__spots"))
     source = touched.select(F.col(id_col).alias("__id"), "__key", F.col(text_col).alias("__text"))
 
     def with_body(lines: Column) -> Column:
         return F.transform(
             "__spots",
             lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"), s["hash"].alias("hash"), s["first"].alias("first"),
-                               F.array_join(F.slice(lines, s["start"] + 1, s["length"]), "\n").alias("body")),
+                               F.array_join(F.slice(lines, s["start"] + 1, s["length"]), "\n").alias("body"), (F.size(lines) == 1).alias("whole")),
         )
 
     bodies = (
         source.join(wanted, source["__id"].eqNullSafe(wanted["__id"]) & (source["__key"] == wanted["__key"]))
         .select(source["__id"], source["__key"], F.explode(let(F.split("__text", "\n", -1), with_body)).alias("s"))
-        .select("__id", "__key", "s.start", "s.length", "s.hash", "s.first", "s.body")
+        .select("__id", "__key", "s.start", "s.length", "s.hash", "s.first", "s.body", "s.whole")
         .where(F.length(F.trim("body")) > 0)
     )
     bodies = materialize(bodies, "bodies")
-    is_first = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__key") == F.col("__key")) & (F.col("first.start") == F.col("start"))
-    originals = bodies.where(is_first).groupBy("hash").agg(F.min("body").alias("original"))
+    same_text = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__key") == F.col("__key"))
+    is_first = same_text & (F.col("first.start") == F.col("start"))
+    apart = ~same_text | (F.col("start") >= F.col("first.start") + F.col("length"))
+    originals = bodies.where(is_first).groupBy("hash").agg(F.min(F.struct("body", "whole")).alias("original"))
     cut = (
-        bodies.where(~is_first)
+        bodies.where(apart)
         .join(originals, "hash")
-        .where("body = original")
+        .where("body = original.body and not (whole and original.whole)")
         .groupBy("__id", "__key")
-        .agg(F.collect_list(F.struct("start", "length")).alias("__cut"))
+        .agg(F.collect_set(F.struct("start", "length")).alias("__cut"))
     )
     cut = cut.withColumnsRenamed({"__id": "__cut_id", "__key": "__cut_key"})
-    removed = F.coalesce(F.aggregate("__cut", F.lit(0), lambda a, c: a + c["length"]), F.lit(0))
     lines = F.split(F.col(text_col), "\n", -1)
-    parts = let(
+    left = let(
         lines,
         lambda all_lines: let(
             F.array_sort("__cut"),
-            lambda cuts: F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: _between(all_lines, cuts, i)),
+            lambda cuts: F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: _between(all_lines, cuts, i))),
         ),
     )
-    rebuilt = F.array_join(F.flatten(parts), "\n")
+    rebuilt = let(left, lambda x: F.struct(F.array_join(x, "\n").alias("text"), (F.size(lines) - F.size(x)).alias("removed")))
     joined = touched.join(cut, F.col(id_col).eqNullSafe(F.col("__cut_id")) & (F.col("__key") == F.col("__cut_key")), "left")
-    columns = [F.when(F.col("__cut").isNull(), F.col(c)).otherwise(rebuilt).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
+    done = joined.withColumn("__new", F.when(F.col("__cut").isNotNull(), rebuilt))
+    columns = [F.when(F.col("__cut").isNull(), F.col(c)).otherwise(F.col("__new.text")).alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    removed = F.coalesce(F.col("__new.removed"), F.lit(0)).cast("long").alias("n_removed_lines")
     straight = marked.where("not __maybe").select(*docs.columns, n_lines, F.lit(0).cast("long").alias("n_removed_lines"))
-    return joined.select(*columns, n_lines, removed.cast("long").alias("n_removed_lines")).unionByName(straight)
+    return done.select(*columns, n_lines, removed).unionByName(straight)
 
 
 def _between(lines, cuts, i):
-    """The lines between the cuts numbered i-1 and i of the sorted `cuts`."""
+    """The lines between the cuts numbered i-1 and i of the sorted `cuts`; none if they only part blank lines from blank lines."""
     start = F.when(i == 0, F.lit(0)).otherwise(F.get(cuts, i - 1)["start"] + F.get(cuts, i - 1)["length"])
     end = F.when(i == F.size(cuts), F.size(lines)).otherwise(F.get(cuts, i)["start"])
-    return F.slice(lines, start + 1, end - start)
+    inner = (i > 0) & (i < F.size(cuts)) & (end > start)
+    # The lines before and after are the last and first ones of the cuts.
+    around = F.slice(lines, F.greatest(start, F.lit(1)), F.greatest(end - start, F.lit(0)) + 2)
+    blank = inner & ~F.exists(around, lambda x: x.rlike(r"\S"))
+    return F.when(blank, F.slice(lines, 1, 0)).otherwise(F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))))

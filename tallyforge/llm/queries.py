@@ -98,9 +98,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, text without its repeated chunks, n_lines, n_removed_lines."""
+    """doc_id, text without its repeated passages, n_lines, n_removed_lines."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.line_dedup(docs)
+    return line_dedup.passage_dedup(docs)
 
 
 QUERIES = {

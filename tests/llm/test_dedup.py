@@ -75,6 +75,66 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.line_dedup(frame(spark, rows).limit(0)).count() == 0
 
 
+def passages_left(rows):
+    """Texts less every line of a run that occurred before, by trying all runs; (text, removed lines) in the order of `rows`."""
+    out, earlier = [], []
+    for _, text in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0)):
+        lines = text.split("\n")
+        gone, n = set(), len(lines)
+        for i in range(n):
+            for k in range(1, n - i + 1):
+                run = lines[i : i + k]
+                if not any(map(str.strip, run)) or k == 1 and len(run[0].split()) <= 50:
+                    continue
+                here = any(lines[j : j + k] == run for j in range(i - k + 1))
+                if here or any(old[j : j + k] == run for old in earlier if not n == len(old) == 1 for j in range(len(old) - k + 1)):
+                    gone |= set(range(i, i + k))
+        earlier.append(lines)
+        out.append(("\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)))
+    return out
+
+
+def test_passages_against_all_runs(spark):
+    rng = random.Random(5)
+    blocks = [[f"passage {b} line {i} shared" for i in range(b)] for b in range(1, 7)] + [["long " * 30 + "and more " * 15], ["first part", "", "second part"]]
+    rows = []
+    for i in range(40):
+        text = [f"own {i} {rng.random()}" for _ in range(rng.randint(1, 3))]
+        for _ in range(rng.randint(1, 3)):
+            text += rng.choice(blocks) + [f"own {i} {rng.random()}" for _ in range(rng.randint(0, 2))]
+        rows.append((i, "\n".join(text)))
+    alone = " ".join(f"w{i}" for i in range(60))
+    rows += [(100, alone), (101, alone), (102, "a\n" + alone + "\nb"), (103, "x\ny\nx\ny\nx"), (104, "z\nz\nz"), (105, "z\nz\nz\nz\nz"), (106, "\n\n"), (107, "\n\n"), (108, rows[3][1]), (None, rows[5][1])]
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in line_dedup.passage_dedup(frame(spark, rows)).collect()}
+    want = passages_left(rows)
+    assert [got[i] for i, _ in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0))] == want
+    assert sum(n for _, n in want) > 100 and got[101] == (alone, 0) and got[102] == ("a\nb", 1)
+
+
+def test_passages_of_odd_texts(spark):
+    rows = [(1, None), (2, ""), (3, "p\n\n \n\t\nq"), (4, "c\np\n\n \n\t\nq\nd"), (5, "\n".join(["x", "y"] * 3000)), (6, "e\nf"), (6, "e\nf")]
+    got = {(r.doc_id, r.text, r.n_lines, r.n_removed_lines) for r in line_dedup.passage_dedup(frame(spark, rows)).collect()}
+    assert got == {(1, None, 0, 0), (2, "", 1, 0), (3, rows[2][1], 5, 0), (4, "c\nd", 7, 5), (5, "x\ny", 6000, 5998), (6, "e\nf", 2, 0)}
+    assert line_dedup.passage_dedup(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_query_cuts_passages(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").collect()]
+    seen, want = set(), {}
+    for i, text in sorted(rows):
+        lines, gone = text.split("\n"), set()
+        spans = [(j, 2) for j in range(len(lines) - 1) if "".join(lines[j : j + 2]).strip()] + [(j, 1) for j, x in enumerate(lines) if len(x.split()) > 50 and len(lines) > 1]
+        own = {}
+        for j, k in spans:
+            run = tuple(lines[j : j + k])
+            if run in seen or own.setdefault(run, j) + k <= j:
+                gone |= set(range(j, j + k))
+        seen |= set(own) | {tuple(lines[j : j + k]) for j, k in spans}
+        want[i] = len(gone)
+    got = {r.doc_id: r.n_removed_lines for r in queries.op10_line_dedup(spark, SF).where("text is not null").collect()}
+    assert got == want
+
+
 def shingles(text, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     n = min(n, len(w))
