@@ -2,8 +2,9 @@
 
 Text length and punctuation are aggregated per root-to-leaf tag path, smoothed over the
 page's sequence of text nodes, fused by multiplication and held against their standard
-deviation.  The nodes of the paths above it are content; the element that holds them, less
-its menus, notices, adverts, forms and comments, is the article.
+deviation.  The nodes of the paths above it are content; the smallest element that holds them
+all, with the title and the text that stand beside it, less its menus, notices, adverts, forms
+and comments, is the article.
 """
 
 from __future__ import annotations
@@ -28,9 +29,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr object math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+    "annotation annotation-xml".split()
 )
-DROPPED = frozenset("head nav footer aside form button select option dialog template svg math object canvas audio video menu applet".split()) | RAW
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+DROPPED = frozenset("head nav footer aside form button select option dialog template svg canvas audio video menu applet annotation annotation-xml".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Words of class and id attributes that mark what is not article text.
 HINTS = frozenset(
@@ -56,7 +60,7 @@ class Path(dict):
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "heading_only", "main", "has_title", "weight")
+    __slots__ = ("tag", "parent", "path", "dropped", "heading_only", "main", "has_title", "held")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -66,7 +70,7 @@ class Node:
         self.heading_only = parent.heading_only if parent else False
         self.main = parent.main if parent else False
         self.has_title = False
-        self.weight = 0.0
+        self.held = 0
 
 
 def _opened(tag: str, attributes: str, parent: Node, hints: bool) -> Node:
@@ -79,7 +83,7 @@ def _opened(tag: str, attributes: str, parent: Node, hints: bool) -> Node:
         node.heading_only, node.dropped = True, node.dropped or not node.main
     elif tag == "h1":
         parent.has_title = True
-    if node.heading_only and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if node.heading_only and (tag in HEADINGS or tag == "p"):
         node.heading_only = False
     if hints and attributes.strip() and tag not in ("html", "body", "main"):
         for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -222,16 +226,13 @@ def main_text(page: str | None) -> str:
     best: dict[Path, float] = {}
     for (node, _, _), r in zip(blocks, ratio, strict=True):
         best[node.path] = max(best.get(node.path, 0.0), r)
-    total = 0.0
-    for node, text, linked in blocks:
-        if best[node.path] >= bar:
-            weight = max(len(text) - linked, 1) * best[node.path]
-            total += weight
-            up: Node | None = node
-            while up:
-                up.weight += weight
-                up = up.parent
-    # The smallest element that holds the content, but not one paragraph of it.
+    content = [i for i, (node, _, _) in enumerate(blocks) if best[node.path] >= bar]
+    for i in content:
+        up: Node | None = blocks[i][0]
+        while up:
+            up.held += 1
+            up = up.parent
+    # The smallest element that holds all of the content, but not one paragraph of it.
     inside: dict[int, Node] = {}
     for node, _, _ in blocks:
         up = node
@@ -243,11 +244,17 @@ def main_text(page: str | None) -> str:
         if node.parent:
             children.setdefault(id(node.parent), []).append(node)
     root = next(node for node in inside.values() if node.parent is None)
+    passed: set[int] = set()
     while root.tag not in ("article", "main") and not root.has_title:
-        down = [c for c in children.get(id(root), []) if c.tag in CONTAINERS and c.weight >= 0.7 * total]
+        down = [c for c in children.get(id(root), []) if c.tag in CONTAINERS and c.held == len(content)]
         if not down:
             break
+        passed.add(id(root))
         root = down[0]
+    if root.tag in ("tbody", "tr"):  # cells of one table: its head and caption belong to them
+        while root.parent and root.tag != "table":
+            root = root.parent
+            passed.discard(id(root))
     within: dict[int, bool] = {id(root): True}
 
     def belongs(node: Node | None) -> bool:
@@ -259,10 +266,38 @@ def main_text(page: str | None) -> str:
         within.update(dict.fromkeys(trail, answer))
         return answer
 
-    def is_menu(node: Node, text: str, linked: int) -> bool:
-        return node.tag in ("li", "td", "dd") and linked >= len(text) and best[node.path] < bar
-
-    return "\n\n".join(text for node, text, linked in blocks if belongs(node) and not is_menu(node, text, linked))
+    def beside(node: Node | None) -> bool:
+        """Whether a block stands in an element around the article without a container of its own."""
+        while node and id(node) not in passed:
+            if node.tag in CONTAINERS:
+                return False
+            node = node.parent
+        return bool(node)
+
+    # Lists of links are menus only around a text without an element of its own.
+    own = root.tag not in ("", "html", "body")
+    last = next((i for i in range(content[-1] + 1, len(blocks)) if blocks[i][0].tag in HEADINGS), None)
+
+    def is_menu(i: int) -> bool:
+        node, text, linked = blocks[i]
+        if node.tag not in ("li", "td", "dd") or linked < len(text) or best[node.path] >= bar or own:
+            return False
+        return i < content[0] or i > content[-1] and (last is None or i < last)
+
+    kept = {
+        i
+        for i, (node, text, linked) in enumerate(blocks)
+        if belongs(node) and not is_menu(i) or not belongs(node) and beside(node) and (linked < len(text) or node.tag in HEADINGS)
+    }
+    start = min(i for i in kept if blocks[i][0].tag not in HEADINGS or i in content)
+    if not any(blocks[i][0].tag in HEADINGS for i in kept if i <= start):
+        # The title is the last h1, else h2, before the text.
+        for tag in ("h1", "h2"):
+            title = next((i for i in range(start - 1, -1, -1) if blocks[i][0].tag == tag), None)
+            if title is not None:
+                kept.add(title)
+                break
+    return "\n\n".join(blocks[i][1] for i in sorted(kept))
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:

@@ -139,6 +139,33 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_without_article_and_h1():
+    long = ["A long paragraph, with many words; and marks, too. " * k for k in (8, 9, 10)]
+    body = "".join(f"<p>{x}</p>" for x in long)
+    text = [x.strip() for x in long]
+    menu = "<div class=x><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></div>"
+    end = "<div class=y><p>(c) us</p></div>"
+
+    def got(page):
+        return html_text.main_text(f"<html><body>{menu}{page}{end}</body></html>").split("\n\n")
+
+    # Title and introduction beside the element of the long paragraphs, and a title in an element of its own.
+    assert got(f"<div id=content><h2>Title</h2><p>Intro.</p><div class=body>{body}</div><p>End.</p></div>") == ["Title", "Intro.", *text, "End."]
+    assert got(f"<div id=content><div class=t><h2>Title</h2></div><div class=body>{body}</div></div>") == ["Title", *text]
+    # Short paragraphs around one large table with a head.
+    cells = "".join(f"<tr><td>row {i}, with a longer cell of text, and marks.</td><td>value {i}, more of it, and more.</td></tr>" for i in range(20))
+    table = got(f"<div id=content><h3>Report</h3><p>One.</p><p>Two.</p><table><thead><tr><th>Name</th><th>Value</th></tr></thead><tbody>{cells}</tbody></table><p>Three.</p></div>")
+    assert table[:5] == ["Report", "One.", "Two.", "Name", "Value"] and table[-1] == "Three." and len(table) == 46
+    # Content in two elements of unlike size, of which one holds more than 70 %.
+    assert got(f"<div id=content><div><h2>A</h2><p>{long[0]}</p></div><div><h2>B</h2>{body * 3}</div></div>") == ["A", text[0], "B", *text * 3]
+    # Links and formulas inside the article, and the first paragraph in its header.
+    item = "<ul><li><a href=a>Source</a></li></ul>"
+    formula = "<p>As <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> and <object>a thing</object>.</p>"
+    want = ["Title", "Standfirst.", "As a=2 and a thing.", *text, "Source"]
+    assert got(f"<article><header><h1>Title</h1><p>Standfirst.</p><ul><li>share</li></ul></header>{formula}{body}{item}</article>") == want
+    assert got(f"<div><div><h2>Title</h2><p>Standfirst.</p>{formula}{body}{item}</div></div>") == want
+
+
 def test_html_query_finds_whole_articles(spark):
     import html
     import re
