@@ -56,18 +56,18 @@ def stream_upsert(v):
 
 @query("stream_hourly_prices", "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS hour, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2")
 def stream_hourly_prices(v):
-    s = j.hourly(events(v))
-    table = j.Versions(v.spark, j.new_dir(v.spark, "hourly"), s.schema)
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.first_of_hour, mode="update")
+    s = events(v)
+    table = j.Versions(v.spark, j.new_dir(v.spark, "hourly"), j.hourly(s).schema)
+    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.merge_hours)
     return ntz(table.read().select("token_id", "hour", F.col("first.price").alias("price")))
 
 
 @query("stream_dedupe", "SELECT DISTINCT token_id FROM prices")
 def stream_dedupe(v):
-    out = j.new_dir(v.spark, "dedupe")
-    s = j.dedupe(events(v), ["token_id"])
-    j.append(s, out, j.new_dir(v.spark, "progress"))
-    return v.spark.read.schema(s.schema).parquet(out).select("token_id").distinct()
+    s = events(v)
+    table = j.Versions(v.spark, j.new_dir(v.spark, "dedupe"), s.schema)
+    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.dedupe(["token_id"], ["ts", "event_id"]))
+    return table.read().select("token_id")
 
 
 @query("stream_consensus", "SELECT tag_id, market_id, count(CASE WHEN v THEN 1 END) AS yes, count(CASE WHEN NOT v THEN 1 END) AS no FROM (SELECT tag_id, market_id, CASE WHEN upper(trim(response)) LIKE '%YES%' THEN TRUE WHEN upper(trim(response)) LIKE '%NO%' THEN FALSE END AS v FROM judge_responses) x GROUP BY 1, 2")

@@ -91,15 +91,26 @@ def first_of_hour(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy("token_id", "hour").agg(F.min("first").alias("first"))
 
 
-def hourly(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    return (
-        stream.withWatermark("ts", lateness).groupBy("token_id", F.window("ts", "1 hour"))
-        .agg(F.min(F.struct("ts", "event_id", "price")).alias("first")).select("token_id", F.col("window.start").alias("hour"), "first")
-    )
+def hourly(rows: DataFrame) -> DataFrame:
+    """The earliest point of each token and hour of one micro-batch; `first_of_hour` carries it on, so no row is too late."""
+    return rows.groupBy("token_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.min(F.struct("ts", "event_id", "price")).alias("first"))
+
+
+def merge_hours(old: DataFrame, new: DataFrame) -> DataFrame:
+    return first_of_hour(old, hourly(new))
+
+
+def dedupe(keys: list[str], order: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Of each key the first row by `order`, whatever batch it comes in; the other columns break ties."""
 
+    def first(old: DataFrame, new: DataFrame) -> DataFrame:
+        both = old.unionByName(new)
+        rest = [c for c in both.columns if c not in keys and c not in order]
+        # Nulls of `order` come last.
+        ranked = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))], *rest)
+        return both.groupBy(*keys).agg(F.min(ranked).alias("first")).select(*keys, *[f"first.{c}" for c in (*order, *rest)])
 
-def dedupe(stream: DataFrame, keys: list[str], lateness: str = "1 day") -> DataFrame:
-    return stream.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
+    return first
 
 
 def vote_counts(stream: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
@@ -148,3 +149,38 @@ def test_streamed_upsert_equals_batch(spark, tmp_path):
         df.where(f"v % 2 = {half}").write.mode("append").parquet(f"{tmp_path}/in")
         jobs.upsert_stream(jobs.source(spark, f"{tmp_path}/in", df.schema), table, f"{tmp_path}/c", jobs.newest_by(["k"], ["v"]))
     assert rows(table.read()) == [(0, 9), (1, 10), (2, 11)]
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_streams_do_not_depend_on_the_order_of_files(spark, tmp_path, monkeypatch, files):
+    import os
+
+    from tallyforge.plans import streams
+
+    # Newest rows first: one file each, days apart; token 9 stands in the oldest file only.
+    at = datetime.datetime(2024, 5, 5, 12)
+    data = [[(7, at, 500.0, 1), (8, at, 1000.0, 2)], [(7, at - datetime.timedelta(days=3), 1500.0, 3), (7, at - datetime.timedelta(minutes=-5), 1.0, 4)], [(9, at - datetime.timedelta(days=9), 2000.0, 5), (8, at, 2500.0, 0)]]
+    folder = tmp_path / "events.parquet"
+    for k, part in enumerate(data):
+        spark.createDataFrame(part, "user_id long, ts timestamp_ntz, value double, event_id long").coalesce(1).write.mode("append").parquet(str(folder))
+        new = [p for p in folder.glob("part-*.parquet") if not p.name.startswith("part-k")]
+        new[0].rename(folder / f"part-k{k}.parquet")
+        for p in folder.glob(".*.crc"):
+            p.unlink()
+        os.utime(folder / f"part-k{k}.parquet", (1_700_000_000 + k * 60,) * 2)
+    whole = streams.events
+
+    class Tables:
+        pass
+
+    v = Tables()
+    v.spark, v.sf_dir, v.events = spark, str(tmp_path), spark.read.parquet(str(folder))
+    monkeypatch.setattr(streams, "events", lambda v: whole(v, files))
+    hours = {(r.token_id, r.hour, r.price) for r in streams.stream_hourly_prices(v).collect()}
+    assert hours == {(7, at, 1.0), (8, at, 5.0), (7, at - datetime.timedelta(days=3), 3.0), (9, at - datetime.timedelta(days=9), 4.0)}
+    assert sorted(r.token_id for r in streams.stream_dedupe(v).collect()) == [7, 8, 9]
+    # The row that is kept: the first by time, then by event.
+    s = streams.events(v)
+    table = jobs.Versions(spark, f"{tmp_path}/kept", s.schema)
+    jobs.upsert_stream(s, table, f"{tmp_path}/progress", jobs.dedupe(["token_id"], ["ts", "event_id"]))
+    assert sorted((r.token_id, r.event_id) for r in table.read().collect()) == [(7, 3), (8, 0), (9, 5)]
