@@ -203,6 +203,22 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert sorted((r.doc_id, r.start, r.ids_crc32) for r in packed) == sorted((r.doc_id, r.start, r.ids_crc32) for r in c.run(spark, str(tmp_path)).collect())
 
 
+def test_pipeline_keeps_documents_without_a_known_language(spark):
+    import zlib
+
+    import corpus_pipeline as c
+
+    shape = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "the cat"), (2, "12 !?"), (3, None), (4, ""), (5, "\u65e5\u672c"), (None, "le chien"), (6, "\U00010400 9")]
+    stage = dict(c.STAGES)["language_id"]
+    for lang in (None, "und"):
+        docs = spark.createDataFrame([(i, t, lang, None, None) for i, t in rows], shape)
+        assert {r.doc_id for r in stage(spark, docs, "").collect()} == {1, 5, None, 6}
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    docs = spark.createDataFrame([(i, "the cat", "en", "s", 7) for i in held], shape)
+    assert stage(spark, docs, "").count() == len(held) > 0
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline as c
 
