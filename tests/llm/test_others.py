@@ -219,6 +219,16 @@ def test_pipeline_keeps_documents_without_a_known_language(spark):
     assert stage(spark, docs, "").count() == len(held) > 0
 
 
+def test_pipeline_keeps_one_row_of_each_near_duplicate(spark):
+    import corpus_pipeline as c
+
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, one), (1, one), (2, one + " more"), (2, two), (None, two), (None, three), (None, three), (5, "alone"), (5, ""), (6, None), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in dict(c.STAGES)["near_duplicates"](spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, one), (2, two), (None, three), (5, "alone"), (5, ""), (6, None), (6, None)], key=str)
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline as c
 
