@@ -39,9 +39,9 @@ FROM (SELECT concat('w', CAST(o_custkey AS STRING)) AS wallet, o_custkey AS trad
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS pnl, count(*) AS n_orders
       FROM {orders} GROUP BY o_custkey, date_trunc('month', o_orderdate)) x""",
     "prices": "SELECT user_id AS token_id, ts, value / 500 AS price, event_id FROM {events}",
-    "tags": "SELECT n_nationkey AS tag_id, n_name AS name, concat('about ', n_name) AS description, n_regionkey <> 4 AS is_active, n_nationkey % 7 = 6 AS all_checked, n_nationkey * 3 AS last_checked FROM {nation}",
+    "tags": "SELECT n_nationkey AS tag_id, CASE n_nationkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '[bad' WHEN 2 THEN '7' ELSE concat('[\"PROMO\",\"', n_name, '\"]') END AS categories, n_name AS name, concat('about ', n_name) AS description, n_regionkey <> 4 AS is_active, n_nationkey % 7 = 6 AS all_checked, n_nationkey * 3 AS last_checked FROM {nation}",
     "market_tags": "SELECT p_partkey AS market_id, p_size % 25 AS tag_id FROM {part} UNION SELECT p_partkey AS market_id, CAST(p_partkey % 25 AS INT) AS tag_id FROM {part}",
-    "tag_examples": "SELECT s_suppkey AS example_id, s_nationkey AS tag_id, s_suppkey AS market_id, s_acctbal > 0 AS is_positive FROM {supplier}",
+    "tag_examples": "SELECT s_suppkey AS example_id, s_nationkey AS tag_id, s_suppkey AS market_id, s_acctbal > 0 AS is_positive, TIMESTAMP '2024-01-01 00:00:00' + s_suppkey * 7 % 31 * INTERVAL '1' HOUR AS created_at FROM {supplier}",
     "judge_responses": """
 SELECT d.doc_id % 25 AS tag_id, d.doc_id AS market_id, m.model,
        CASE m.model WHEN 'm1' THEN CASE WHEN l.quality = 1 THEN ' yes' WHEN l.quality = 0 THEN 'NO' ELSE 'not sure' END
@@ -53,7 +53,8 @@ FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id,
 SELECT tag_id, market_id, yes, no,
        CASE WHEN yes >= 2 THEN TRUE WHEN no >= 2 THEN FALSE END AS consensus,
        CASE WHEN market_id % 7 = 0 THEN market_id % 2 = 0 END AS human_decision,
-       CASE WHEN market_id % 7 = 0 THEN 'human' ELSE 'judges' END AS decided_by
+       CASE WHEN market_id % 7 = 0 THEN 'human' ELSE 'judges' END AS decided_by,
+       TIMESTAMP '2024-01-01 00:00:00' + market_id * 13 % 97 * INTERVAL '1' HOUR AS updated_at
 FROM (SELECT tag_id, market_id, count(CASE WHEN v THEN 1 END) AS yes, count(CASE WHEN NOT v THEN 1 END) AS no
       FROM (SELECT tag_id, market_id, CASE WHEN upper(trim(response)) LIKE '%YES%' THEN TRUE WHEN upper(trim(response)) LIKE '%NO%' THEN FALSE END AS v
             FROM {judge_responses}) r GROUP BY tag_id, market_id) x""",

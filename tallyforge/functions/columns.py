@@ -86,3 +86,13 @@ def short_wallet(w: str | Column, head: int = 8, tail: int = 6) -> Column:
 def json_strings(x: str | Column) -> Column:
     """A JSON array of strings kept in a string; null if it is not one."""
     return F.from_json(col(x), "array<string>")
+
+
+def encode_cursor(offset: str | Column) -> Column:
+    """A page offset as the service's cursor: its decimal digits in URL-safe base64."""
+    return F.translate(F.base64(F.encode(col(offset).cast("string"), "UTF-8")), "+/", "-_")
+
+
+def decode_cursor(cursor: str | Column) -> Column:
+    """The page offset of a cursor; null for what is none."""
+    return F.decode(F.unbase64(F.translate(col(cursor), "-_", "+/")), "UTF-8").try_cast("long")

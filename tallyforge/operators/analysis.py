@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import money_avg, money_sum, share
+from tallyforge.functions.columns import MONEY, money_avg, money_sum, share
 
 
 def value() -> Column:
@@ -123,12 +123,22 @@ def market_sample(trades: DataFrame, markets: DataFrame, n: int = 100) -> DataFr
 
 
 def daily_market_summary(trades: DataFrame) -> DataFrame:
-    """Per market and day: trades, volume, traders, and the day's open, high, low and close price."""
-    first, last = F.struct("ts", "price", "size", "wallet"), F.struct("ts", "price", "size", "wallet")
-    return trades.groupBy("market_id", F.date_trunc("day", "ts").cast("date").alias("day")).agg(
-        F.count("*").alias("trades"), money_sum(value()).alias("volume"), F.count_distinct("wallet").alias("traders"),
-        F.min_by("price", first).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", last).alias("close"),
+    """Per market and day: trades, volume, traders, and the day's open, high, low and close price.
+
+    At the day's first instant the lowest price opens, at the last one the highest closes.
+    Summing by instant first leaves buffers of plain numbers, so every step is a hash
+    aggregation; wallets are counted on rows of their own.
+    """
+    day = F.date_trunc("day", "ts").cast("date").alias("day")
+    instants = trades.groupBy("market_id", day, "ts").agg(
+        F.count("*").alias("n"), F.sum(value().cast(MONEY)).alias("v"), F.min("price").alias("lo"), F.max("price").alias("hi")
     )
+    prices = instants.groupBy("market_id", "day").agg(
+        F.sum("n").alias("trades"), F.sum("v").cast("double").alias("volume"),
+        F.min_by("lo", "ts").alias("open"), F.max("hi").alias("high"), F.min("lo").alias("low"), F.max_by("hi", "ts").alias("close"),
+    )
+    people = trades.select("market_id", day, "wallet").distinct().groupBy("market_id", "day").agg(F.count("wallet").alias("traders"))
+    return prices.join(people, ["market_id", "day"])
 
 
 def both_periods(trades: DataFrame, split: Column) -> DataFrame:

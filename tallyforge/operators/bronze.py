@@ -103,10 +103,9 @@ def clean_token_ids(x: str) -> Column:
     return F.filter(F.transform(parts, lambda t: F.regexp_replace(t, r"[^A-Za-z0-9\-,_]", "")), lambda t: F.length(t) >= 3)
 
 
-def coverage_gaps(present: DataFrame, categories: list[str], periods: list[str]) -> DataFrame:
-    """Pairs of category and period (both short fixed lists) that `present` lacks."""
-    spark = present.sparkSession
-    wanted = spark.createDataFrame([(c, p) for c in categories for p in periods], "category string, time_period string")
+def coverage_gaps(present: DataFrame, categories: DataFrame, periods: list[str]) -> DataFrame:
+    """Pairs of a category of `categories` and one of the fixed `periods` that `present` lacks."""
+    wanted = categories.select("category").distinct().select("category", F.explode(F.array(*map(F.lit, periods))).alias("time_period"))
     return wanted.join(present.select("category", "time_period").distinct(), ["category", "time_period"], "left_anti")
 
 
@@ -121,6 +120,20 @@ def median_floor(trades: DataFrame) -> DataFrame:
     return trades.join(floor, "market_id").where("size > floor")
 
 
+def growing_floor(trades: DataFrame) -> DataFrame:
+    """Trades (market_id, page from 0, size) above the floor of their page, with that `floor`.
+
+    The third page of a market and every second one after it raise the floor of all later
+    pages by the whole part of their upper median size.
+    """
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY size DESC)")
+    raises = (F.col("page") >= 2) & (F.col("page") % 2 == 0)
+    per_page = trades.groupBy("market_id", "page").agg(F.when(raises, F.floor(median)).otherwise(0).cast("double").alias("up"))
+    earlier = Window.partitionBy("market_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    floors = per_page.select("market_id", "page", F.coalesce(F.sum("up").over(earlier), F.lit(0.0)).alias("floor"))
+    return trades.join(floors, ["market_id", "page"]).where("floor = 0 or size > floor")
+
+
 def adaptive_resolution(chunks: DataFrame, volume: Column, limit: float = 5.0) -> DataFrame:
     """Whether each time chunk is fetched by the minute: mid-tier markets do so for good once the
     range of all earlier chunks reaches `limit` per cent of the minimum.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import exact_stddev, money_avg, money_sum, pnl, share
+from tallyforge.functions.columns import MONEY, exact_stddev, money_avg, money_sum, pnl, share
 from tallyforge.operators.analysis import value
 
 MARKET_COLUMNS = [
@@ -68,13 +68,21 @@ def with_top_list(features: DataFrame, ranked: DataFrame) -> DataFrame:
 
 
 def trader_features(traders: DataFrame, trades: DataFrame, min_trades: int = 1) -> DataFrame:
-    """One row per trader with at least `min_trades` (TRADER_COLUMNS)."""
-    buys = F.count_if(F.col("side") == "BUY")
-    agg = trades.groupBy("trader_id").agg(
-        F.count("*").alias("trade_count"), money_sum(value()).alias("volume"), money_avg(value()).alias("avg_value"), F.count_distinct("market_id").alias("markets"),
-        buys.alias("buys"), F.count_if(F.col("side") == "SELL").alias("sells"), share(buys, F.count("*")).alias("buy_ratio"),
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_distinct(F.col("ts").cast("date")).alias("trading_days"),
+    """One row per trader with at least `min_trades` (TRADER_COLUMNS).
+
+    Trades are summed by trader and market first, so no row is multiplied to count markets and
+    days apart.
+    """
+    per_market = trades.groupBy("trader_id", "market_id").agg(
+        F.count("*").alias("n"), F.count(value()).alias("valued"), F.sum(value().cast(MONEY)).alias("v"),
+        F.count_if(F.col("side") == "BUY").alias("b"), F.count_if(F.col("side") == "SELL").alias("s"), F.min("ts").alias("lo"), F.max("ts").alias("hi"),
     )
+    days = trades.select("trader_id", F.col("ts").cast("date").alias("day")).distinct().groupBy("trader_id").agg(F.count("day").alias("trading_days"))
+    volume = F.sum("v").cast("double")
+    agg = per_market.groupBy("trader_id").agg(
+        F.sum("n").alias("trade_count"), volume.alias("volume"), F.try_divide(volume, F.sum("valued").cast("double")).alias("avg_value"), F.count("market_id").alias("markets"),
+        F.sum("b").alias("buys"), F.sum("s").alias("sells"), share(F.sum("b"), F.sum("n")).alias("buy_ratio"), F.min("lo").alias("first_ts"), F.max("hi").alias("last_ts"),
+    ).join(days, "trader_id")
     return traders.select("trader_id", "wallet").join(agg.where(F.col("trade_count") >= min_trades), "trader_id").select(TRADER_COLUMNS)
 
 
@@ -101,23 +109,30 @@ def largest_return(resolved: DataFrame) -> DataFrame:
     return both_roles(resolved).groupBy("person").agg(F.max("pnl").alias("pnl"), F.max_by("market_id", F.struct("pnl", "market_id")).alias("market_id"))
 
 
-def top_groups(resolved: DataFrame, group: str, n: int = 3) -> DataFrame:
-    """Per person the `n` groups (category or tag) of the highest profit, with trades, volume and win rate."""
+def top_groups(resolved: DataFrame, groups: DataFrame, group: str, n: int = 3) -> DataFrame:
+    """Per person the `n` groups (category or tag) of the highest profit, with trades, volume and win rate.
+
+    `groups` has market_id and `group`.  Trades are summed by person and market before they are
+    multiplied by the market's groups.
+    """
+    per_market = both_roles(resolved).groupBy("person", "market_id").agg(
+        F.count("*").alias("trades"), F.sum(value().cast(MONEY)).alias("volume"), F.sum(F.col("pnl").cast(MONEY)).alias("total_pnl"), F.count_if(F.col("pnl") > 0).alias("wins")
+    )
     order = Window.partitionBy("person").orderBy(F.desc("total_pnl"), group)
-    win = F.col("pnl") > 0
+    total = lambda c: F.sum(c).cast("double").alias(c)
     return (
-        both_roles(resolved).groupBy("person", group).agg(
-            F.count("*").alias("trades"), money_sum(value()).alias("volume"), money_sum("pnl").alias("total_pnl"), share(F.count_if(win), F.count("*")).alias("win_rate")
-        ).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+        per_market.join(groups, "market_id").groupBy("person", group)
+        .agg(F.sum("trades").alias("trades"), total("volume"), total("total_pnl"), share(F.sum("wins"), F.sum("trades")).alias("win_rate"))
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
     )
 
 
 def trader_profile(traders: DataFrame, trades: DataFrame, tokens: DataFrame, markets: DataFrame, tags: DataFrame, market_tags: DataFrame) -> DataFrame:
     """One nested record per trader: features, performance, largest return, top 3 categories and tags, and `found`."""
     done = resolved_trades(trades, tokens)
-    cats = top_groups(done.join(markets.select("market_id", "category"), "market_id"), "category")
+    cats = top_groups(done, markets.select("market_id", "category"), "category")
     active = market_tags.join(F.broadcast(tags.where("is_active").select("tag_id", F.col("name").alias("tag"))), "tag_id").select("market_id", "tag")
-    tagged = top_groups(done.join(active, "market_id"), "tag")
+    tagged = top_groups(done, active, "tag")
     lists = lambda d, g: d.groupBy("person").agg(F.array_sort(F.collect_list(F.struct("rank", g, "trades", "total_pnl", "win_rate"))).alias(f"top_{g}"))
     return (
         traders.select("trader_id", "wallet", F.concat(F.lit("m"), "trader_id").alias("person"))

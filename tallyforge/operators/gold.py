@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import json_strings
+from tallyforge.functions.columns import json_strings, parse_datetime
+from tallyforge.operators.load import LoadResult, Step, run_steps
 from tallyforge.operators.silver import number_new
+from tallyforge.sources.sinks import latest_by_key
 
 
 def _path(*paths: str) -> Column:
@@ -22,7 +24,7 @@ def categories(staged: DataFrame) -> DataFrame:
 def events(staged: DataFrame, cats: DataFrame) -> DataFrame:
     """One event per slug, titled by the first title that is there, with its category."""
     rows = staged.select(
-        F.coalesce(_path("$.event.slug", "$.eventSlug"), F.concat(F.lit("unknown-"), "condition_id")).alias("slug"),
+        _slug().alias("slug"),
         F.coalesce(_path("$.event.title", "$.question"), F.lit("Untitled")).alias("title"),
         F.coalesce(_path("$.event.category", "$.category"), F.lit("Unknown")).alias("category_name"),
     )
@@ -30,12 +32,110 @@ def events(staged: DataFrame, cats: DataFrame) -> DataFrame:
     return once.join(F.broadcast(cats), "category_name", "left").join(number_new(once, "slug", 0, "event_id"), "slug").select("event_id", "slug", "title", "category_id")
 
 
-def markets(staged: DataFrame) -> DataFrame:
+def _slug() -> Column:
+    return F.coalesce(_path("$.event.slug", "$.eventSlug"), F.concat(F.lit("unknown-"), "condition_id"))
+
+
+def numbered_on(existing: DataFrame, fresh: DataFrame, key: str, id_col: str) -> DataFrame:
+    """`existing` and those rows of `fresh` (one a key) that it lacks, with ids after its largest in key order."""
+    new = fresh.join(existing.select(key), key, "left_anti")
+    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__top"))
+    ids = number_new(new, key, 0, "__n")
+    numbered = new.join(ids, key).join(F.broadcast(top)).withColumn(id_col, (F.col("__top") + F.col("__n")).cast("long")).drop("__n", "__top")
+    return existing.unionByName(numbered.select(existing.columns))
+
+
+MARKET_DIM = (
+    "market_id long, external_id string, event_id long, question string, active boolean, start_date_iso timestamp_ntz, end_date_iso timestamp_ntz, volume_num double"
+)
+
+
+def market_dim(staged: DataFrame, event_dim: DataFrame, existing: DataFrame) -> DataFrame:
+    """The market dimension (MARKET_DIM) after adding staged markets that it lacks, with their event; present rows stay as they are."""
+    rows = markets(staged, "Unknown").join(staged.select(F.col("condition_id").alias("external_id"), _slug().alias("slug")), "external_id")
+    return numbered_on(existing, rows.join(event_dim.select("slug", "event_id"), "slug", "left").drop("slug"), "external_id", "market_id")
+
+
+def markets(staged: DataFrame, untitled: str = "") -> DataFrame:
+    """One row per staged market: the newest document of each id."""
     active = F.coalesce(_path("$.active").try_cast("boolean"), ~_path("$.closed").try_cast("boolean"), F.lit(True))
-    return staged.select(
-        F.col("condition_id").alias("external_id"), F.coalesce(_path("$.question", "$.title"), F.lit("")).alias("question"), active.alias("active"),
-        _path("$.volumeNum", "$.volume").try_cast("double").alias("volume"),
+    newest = latest_by_key(staged, ["condition_id"], ["fetched_at"])
+    return newest.select(
+        F.col("condition_id").alias("external_id"), F.coalesce(_path("$.question", "$.title"), F.lit(untitled)).alias("question"), active.alias("active"),
+        parse_datetime(_path("$.startDate")).alias("start_date_iso"), parse_datetime(_path("$.endDate")).alias("end_date_iso"),
+        _path("$.volumeNum", "$.volume").try_cast("double").alias("volume_num"),
+    )
+
+
+TOKEN_DIM = "token_id long, token_address string, market_id long, is_yes boolean"
+
+
+def token_dim(staged: DataFrame, market_dim: DataFrame, existing: DataFrame) -> DataFrame:
+    """The token dimension (TOKEN_DIM) after adding the tokens of known markets that it lacks.  A token in several markets goes to the smallest id."""
+    found = tokens(staged).where("token_address <> ''").join(market_dim.select("external_id", "market_id"), "external_id")
+    once = found.groupBy("token_address").agg(F.min(F.struct("market_id", "is_yes")).alias("x")).select("token_address", "x.*")
+    return numbered_on(existing, once, "token_address", "token_id")
+
+
+HOURLY_PRICE_FACT = "token_id long, snapshot_ts timestamp_ntz, price float"
+
+
+def hourly_price_fact(staged: DataFrame, token_dim: DataFrame, existing: DataFrame) -> DataFrame:
+    """Hourly prices (HOURLY_PRICE_FACT) after adding hours that are missing; the first point of an hour counts, the lowest price of one second.
+
+    Staged documents have token_id (an address) and raw_json, an array of points (t, p).
+    """
+    points = staged.select("token_id", F.inline(F.from_json("raw_json", "array<struct<t:bigint,p:double>>"))).where("t is not null and p is not null")
+    known = points.withColumnRenamed("token_id", "token_address").join(token_dim.select("token_address", "token_id"), "token_address")
+    at = F.timestamp_seconds("t").cast("timestamp_ntz")
+    # Of each second the lowest price first, so that the buffers of both steps are plain numbers.
+    seconds = known.groupBy("token_id", F.date_trunc("hour", at).alias("snapshot_ts"), "t").agg(F.min("p").alias("p"))
+    hours = seconds.groupBy("token_id", "snapshot_ts").agg(F.min_by("p", "t").cast("float").alias("price"))
+    return existing.unionByName(hours.join(existing.select("token_id", "snapshot_ts"), ["token_id", "snapshot_ts"], "left_anti"))
+
+
+TRADER_DIM = "trader_id long, wallet_address binary"
+
+
+def trader_dim(staged: DataFrame, existing: DataFrame) -> DataFrame:
+    """The trader dimension (TRADER_DIM) after adding the makers and takers of staged trades that it lacks."""
+    both = staged.select(_path("$.maker").alias("maker"), _path("$.taker").alias("taker"))
+    return numbered_on(existing, traders(both, existing), "wallet_address", "trader_id")
+
+
+def trade_fact(staged: DataFrame, market_dim: DataFrame, token_dim: DataFrame, trader_dim: DataFrame) -> DataFrame:
+    """Trades of known markets with token, maker and taker ids.
+
+    A trade whose outcome is neither yes nor no stands once for each token of its market that
+    has one; unknown wallets leave their id null; a side other than BUY is a sale.
+    """
+    wallet = lambda p: F.unhex(F.substring(_path(p), 3, 40))
+    t = staged.where(_path("$.price").isNotNull()).select(
+        F.col("condition_id").alias("external_id"), F.upper(_path("$.outcome")).alias("o"),
+        F.timestamp_seconds(_path("$.timestamp").try_cast("long")).cast("timestamp_ntz").alias("trade_ts"),
+        _path("$.price").try_cast("float").alias("price"), _path("$.size").try_cast("float").alias("size"),
+        F.coalesce(F.upper(_path("$.side")) == "BUY", F.lit(False)).alias("is_buy"), wallet("$.maker").alias("maker"), wallet("$.taker").alias("taker"),
     )
+    t = t.join(market_dim.select("external_id", "market_id"), "external_id")
+    flags = F.when(F.col("o") == "YES", F.array(F.lit(True))).when(F.col("o") == "NO", F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
+    t = t.withColumn("is_yes", F.explode(flags)).join(token_dim.select("market_id", "is_yes", "token_id"), ["market_id", "is_yes"])
+    for role in ("maker", "taker"):
+        t = t.join(trader_dim.select(F.col("wallet_address").alias(role), F.col("trader_id").alias(f"{role}_id")), role, "left")
+    return t.select("token_id", "trade_ts", "price", "size", "is_buy", "maker_id", "taker_id")
+
+
+def full_run(staged: dict[str, DataFrame], existing: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[LoadResult]]:
+    """All gold tables from staged markets, prices and trades, in the order of their keys; see `run_steps`."""
+    have = lambda name, shape: existing[name] if name in existing else staged["markets"].sparkSession.createDataFrame([], shape)
+    return run_steps([
+        Step("categories", lambda t: categories(staged["markets"]), True),
+        Step("events", lambda t: events(staged["markets"], t["categories"]), True),
+        Step("markets", lambda t: market_dim(staged["markets"], t["events"], have("markets", MARKET_DIM)), True),
+        Step("tokens", lambda t: token_dim(staged["markets"], t["markets"], have("tokens", TOKEN_DIM)), True),
+        Step("prices", lambda t: hourly_price_fact(staged["prices"], t["tokens"], have("prices", HOURLY_PRICE_FACT)), False),
+        Step("traders", lambda t: trader_dim(staged["trades"], have("traders", TRADER_DIM)), True),
+        Step("trades", lambda t: trade_fact(staged["trades"], t["markets"], t["tokens"], t["traders"]), False),
+    ])
 
 
 def tokens(staged: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.sources.shared import written
 from tallyforge.sources.sinks import latest_by_key
 
 
@@ -33,8 +34,8 @@ def number_new(keys: DataFrame, key: str, start: Column | int, id_col: str, part
     through a single window, and comes back as an offset.
     """
     n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The range bounds are sampled anew for each use, so the numbering has to stand on one materialised deal.
-    dealt = keys.select(key).distinct().repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()).persist()
+    # The range bounds are sampled anew for each use, so the numbering has to stand on one written deal.
+    dealt = written(keys.select(key).distinct().repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()), "deal")
     counts = dealt.groupBy("__p").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__p", before.alias("__before"))
@@ -96,10 +97,17 @@ def load_like(dim: DataFrame, rows: DataFrame, key: str, id_col: str) -> DataFra
 
 
 def trade_fact(trades: DataFrame, tokens: DataFrame, traders: DataFrame) -> DataFrame:
-    """Trades with resolved token and trader ids.  trade_id hashes the key parts and the number of the trade among equals."""
+    """Trades with resolved token and trader ids.
+
+    trade_id hashes the key parts and the number of the trade among those of the same parts,
+    by price, size and taker; trades that are equal in these too get the numbers in any order.
+    """
     t = trades.join(tokens.select("market_id", "outcome", F.col("token_id").alias("token_key")), ["market_id", "outcome"])
     t = t.join(traders.select("wallet", F.col("trader_id").alias("maker_id")), "wallet")
-    parts = F.concat_ws("|", "wallet", F.col("token_key").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "side")
+    second = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    among = Window.partitionBy("wallet", "token_key", second, "side").orderBy("price", "size", "taker_id")
+    t = t.withColumn("n", F.row_number().over(among))
+    parts = F.concat_ws("|", "wallet", F.col("token_key").cast("string"), second, "side", F.col("n").cast("string"))
     return t.select(F.sha2(parts, 256).alias("trade_id"), "token_key", "ts", "price", "size", "side", "maker_id", "taker_id")
 
 

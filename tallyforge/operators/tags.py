@@ -5,25 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import parse_vote, share
+from tallyforge.functions.columns import json_strings, parse_vote, share
+from tallyforge.operators.silver import number_new
+from tallyforge.sources.shared import written
+
+
+def _contains(text: str) -> Column:
+    """Whether question or description contains `text`, without regard to case."""
+    pattern = "%" + text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
+    return F.col("question").ilike(pattern) | F.col("description").ilike(pattern)
 
 
 def search_markets(markets: DataFrame, text: str, active_only: bool = False, limit: int = 50, offset: int = 0) -> DataFrame:
     """Markets whose question or description contains `text`, without regard to case; largest volume first."""
-    pattern = "%" + text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
-    hit = F.col("question").ilike(pattern) | F.col("description").ilike(pattern)
+    hit = _contains(text)
     out = markets.where(hit & F.col("active") if active_only else hit)
     return out.select("market_id", "question", "category", "volume").orderBy(F.desc_nulls_last("volume"), "market_id").offset(offset).limit(limit)
 
 
 def votes(responses: DataFrame) -> DataFrame:
-    return responses.select("tag_id", "market_id", "model", parse_vote("response").alias("vote"))
+    """One vote per (tag, market, model).  A model that answered more than once and differently has no vote."""
+    v = responses.select("tag_id", "market_id", "model", parse_vote("response").alias("vote"))
+    same = F.min("vote") == F.max("vote")
+    return v.groupBy("tag_id", "market_id", "model").agg(F.when(same, F.min("vote")).alias("vote"))
 
 
 def consensus(responses: DataFrame, min_votes: int = 2, unanimous: bool = False) -> DataFrame:
     """One row per (tag, market): votes by model, counts, consensus (null if none) and the reason.
 
-    Null votes don't count.  All equal: unanimous.  Otherwise, unless `unanimous` is asked for,
+    Null votes don't count, and a repeated vote of a model counts once.  All equal: unanimous.  Otherwise, unless `unanimous` is asked for,
     yes wins with `min_votes`, then no; yes is looked at first.
     """
     v = votes(responses).groupBy("tag_id", "market_id").agg(
@@ -46,15 +56,29 @@ def effective() -> Column:
     return F.coalesce("human_decision", "consensus")
 
 
-def markets_for_tagging(tags: DataFrame, markets: DataFrame, market_tags: DataFrame, history: DataFrame, examples: DataFrame, n: int = 10) -> DataFrame:
+def markets_for_tagging(
+    tags: DataFrame, markets: DataFrame, market_tags: DataFrame, history: DataFrame, examples: DataFrame, n: int = 10, categories: list[str] | None = None
+) -> DataFrame:
     """For each active tag not fully checked, the next `n` markets after its cursor that are not tagged, judged or exemplified.
 
-    Tags are a small dimension, so they are broadcast to the markets after their cursors; at
-    most n rows a tag and task leave the first window.
+    Markets and cursors are numbered together, so a tag's candidates are a range of numbers:
+    as many as it needs, and one more for each known market and each cursor that could lie in
+    it.  No more pairs are made than that, however many markets there are.  `categories`
+    leaves the markets of other categories out.
     """
+    if categories:
+        markets = markets.where(F.col("category").isin(categories))
     known = market_tags.select("tag_id", "market_id").unionByName(history.select("tag_id", "market_id")).unionByName(examples.select("tag_id", "market_id")).distinct()
-    open_tags = tags.where("is_active and not all_checked").select("tag_id", F.col("last_checked").alias("after"))
-    pairs = markets.select("market_id").join(F.broadcast(open_tags), F.col("market_id") > F.col("after")).join(known, ["tag_id", "market_id"], "left_anti")
+    open_tags = tags.where("is_active and not all_checked").select("tag_id", F.col("last_checked").cast("long").alias("after"))
+    ids = markets.select(F.col("market_id").cast("long").alias("market_id"))
+    numbers = written(number_new(ids.unionByName(open_tags.select(F.col("after").alias("market_id"))), "market_id", 0, "number"), "numbers")
+    ahead = known.join(F.broadcast(open_tags), "tag_id").where("market_id > after").groupBy("tag_id").agg(F.count("*").alias("known"))
+    room = open_tags.agg(F.count_distinct("after").alias("cursors"))
+    wanted = (
+        open_tags.join(numbers.select(F.col("market_id").alias("after"), "number"), "after").join(ahead, "tag_id", "left").join(F.broadcast(room))
+        .select("tag_id", F.explode(F.sequence(F.col("number") + 1, F.col("number") + n + F.coalesce("known", F.lit(0)) + F.col("cursors"))).alias("number"))
+    )
+    pairs = wanted.join(numbers, "number").join(ids, "market_id", "left_semi").join(known, ["tag_id", "market_id"], "left_anti")
     order = Window.partitionBy("tag_id").orderBy("market_id")
     return pairs.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n).select("tag_id", "market_id", "position")
 
@@ -79,19 +103,36 @@ def tag_list(tags: DataFrame, examples: DataFrame, active_only: bool = False) ->
     return out.where("is_active") if active_only else out
 
 
-def tag_examples(examples: DataFrame, markets: DataFrame) -> DataFrame:
-    return examples.join(markets.select("market_id", "question", "description"), "market_id")
+def tag_categories(tags: DataFrame) -> DataFrame:
+    """`tags` with their `categories`, a JSON array in a string, as an array; [] for null and for what is no array of strings."""
+    return tags.withColumn("categories", F.coalesce(json_strings("categories"), F.array().cast("array<string>")))
 
 
-def judge_history(history: DataFrame, markets: DataFrame, n: int = 20, decision: str | None = None, source: str | None = None) -> DataFrame:
-    """The `n` newest entries per tag with their effective decision (Positive, Negative, Pending) and source (Human, LLM)."""
+def tag_examples(examples: DataFrame, markets: DataFrame, positive_only: bool | None = None) -> DataFrame:
+    """Examples with their markets and their `position` in the tag, newest first; `positive_only` keeps one kind."""
+    kept = examples if positive_only is None else examples.where(F.col("is_positive") == positive_only)
+    order = Window.partitionBy("tag_id").orderBy(F.desc("created_at"), F.desc("example_id"))
+    return kept.withColumn("position", F.row_number().over(order)).join(markets.select("market_id", "question", "description"), "market_id")
+
+
+def judge_history(
+    history: DataFrame, markets: DataFrame, n: int = 20, decision: str | None = None, source: str | None = None, search: str | None = None, category: str | None = None
+) -> DataFrame:
+    """The `n` entries per tag updated last, with their effective decision (Positive, Negative, Pending) and source (Human, LLM).
+
+    `search` is contained in the market's question or description, without regard to case;
+    `category` is the market's.  All filters come before the limit.
+    """
     h = history.withColumn("decision", F.when(effective(), "Positive").when(~effective(), "Negative").otherwise("Pending"))
     h = h.withColumn("source", F.when(F.col("human_decision").isNotNull(), "Human").when(F.col("consensus").isNotNull(), "LLM"))
     if decision:
         h = h.where(F.col("decision") == decision)
     if source:
         h = h.where(F.col("source") == source)
-    order = Window.partitionBy("tag_id").orderBy(F.desc("market_id"))
+    if search or category:
+        m = markets.where(F.col("category") == category) if category else markets
+        h = h.join((m.where(_contains(search)) if search else m).select("market_id"), "market_id", "left_semi")
+    order = Window.partitionBy("tag_id").orderBy(F.desc("updated_at"), F.desc("market_id"))
     h = h.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
     return h.join(markets.select("market_id", "question"), "market_id", "left").select("tag_id", "market_id", "decision", "source", "position", "question")
 
@@ -100,13 +141,14 @@ def pending_reviews(history: DataFrame, n: int = 10, majority_yes: bool = True)
     """Undecided by people, newest first, filtered before the limit."""
     h = history.where("human_decision is null")
     h = h.where("yes > no") if majority_yes else h
-    order = Window.partitionBy("tag_id").orderBy(F.desc("market_id"))
+    order = Window.partitionBy("tag_id").orderBy(F.desc("updated_at"), F.desc("market_id"))
     return h.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n).select("tag_id", "market_id", "yes", "no", "position")
 
 
 def judge_prompts(tags: DataFrame, examples: DataFrame, markets: DataFrame, per_kind: int = 3) -> DataFrame:
     """A prompt per tag from its newest positive and negative examples; descriptions are cut at 500 characters."""
-    e = tag_examples(examples, markets).withColumn("r", F.row_number().over(Window.partitionBy("tag_id", "is_positive").orderBy(F.desc("example_id")))).where(F.col("r") <= per_kind)
+    newest = Window.partitionBy("tag_id", "is_positive").orderBy(F.desc("created_at"), F.desc("example_id"))
+    e = tag_examples(examples, markets).withColumn("r", F.row_number().over(newest)).where(F.col("r") <= per_kind)
     line = F.concat(F.lit("- "), "question", F.lit(": "), F.left(F.coalesce("description", F.lit("")), F.lit(500)))
     parts = lambda flag: F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.when(F.col("is_positive") == flag, F.struct("r", line.alias("line"))))), lambda x: x["line"]))
     text = e.groupBy("tag_id").agg(parts(True).alias("yes"), parts(False).alias("no"))

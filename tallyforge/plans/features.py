@@ -63,10 +63,10 @@ query(
 query("largest_return", f"WITH {ROLES} SELECT person, max(pnl) AS pnl, arg_max(market_id, (pnl, market_id)) AS market_id FROM roles GROUP BY person")(lambda v: f.largest_return(done(v)))
 GROUPS = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY total_pnl DESC, {g}) AS rank FROM (SELECT person, {g}, count(*) AS trades, {v} AS volume, {p} AS total_pnl, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / count(*)::DOUBLE AS win_rate FROM ({src}) s GROUP BY person, {g}) x) y WHERE rank <= 3"
 query("trader_top_categories", f"WITH {ROLES} " + GROUPS.format(g="category", v=V, p=P, src="SELECT r.*, m.category FROM roles r JOIN markets m ON r.market_id = m.market_id"))(
-    lambda v: f.top_groups(done(v).join(v.markets.select("market_id", "category"), "market_id"), "category")
+    lambda v: f.top_groups(done(v), v.markets.select("market_id", "category"), "category")
 )
 query("trader_top_tags", f"WITH {ROLES} " + GROUPS.format(g="tag", v=V, p=P, src="SELECT r.*, t.name AS tag FROM roles r JOIN market_tags g ON r.market_id = g.market_id JOIN tags t ON g.tag_id = t.tag_id WHERE t.is_active"))(
-    lambda v: f.top_groups(done(v).join(v.market_tags, "market_id").join(F.broadcast(v.tags.where("is_active").select("tag_id", F.col("name").alias("tag"))), "tag_id"), "tag")
+    lambda v: f.top_groups(done(v), v.market_tags.join(F.broadcast(v.tags.where("is_active").select("tag_id", F.col("name").alias("tag"))), "tag_id").select("market_id", "tag"), "tag")
 )
 query("trader_profile")(lambda v: f.trader_profile(v.traders, v.trades, v.market_tokens, v.markets, v.tags, v.market_tags))
 query(

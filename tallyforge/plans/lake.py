@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions.columns import parse_datetime, safe_float, volume_tier
 from tallyforge.operators import bronze as b
 from tallyforge.operators import gold as g
 from tallyforge.operators import silver as s
+from tallyforge.operators.load import Step, load_summary, run_steps
 from tallyforge.registry import query
 from tallyforge.sources import scans, sinks
-from tallyforge.streaming.jobs import work_dir
+from tallyforge.sources.schemas import BRONZE
+from tallyforge.sources.shared import new_dir, written
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -37,6 +39,7 @@ def payloads(v):
         F.when(i % 2 == 0, F.array(F.struct((i * 10).cast("string").alias("id"), F.lit("T").alias("ticker"), F.lit("s").alias("slug"), F.col("question").alias("title"), F.col("volume").alias("volume"), F.lit(True).alias("active"), F.lit(False).alias("closed")))).alias("events"),
         F.array(F.struct((i % 6).cast("string").alias("id"), F.col("category").alias("label"), F.lit("root").alias("parentCategory"), F.lower("category").alias("slug"))).alias("categories"),
         F.struct(F.concat(F.lit("event-"), (i % 40).cast("string")).alias("slug"), F.when(i % 3 != 0, F.col("category")).alias("category")).alias("event"),
+        F.when(i % 4 != 1, F.date_format("start_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("startDate"), F.date_format("end_ts", "yyyy-MM-dd").alias("endDate"),
     )
     return m.select("condition_id", "market_id", F.to_json(doc).alias("raw_json"), now().alias("fetched_at"))
 
@@ -83,23 +86,27 @@ query("dedupe_pages", "SELECT condition_id AS key, min(market_id * 2) AS pos FRO
         v.markets.selectExpr("CASE WHEN market_id % 2 = 0 THEN condition_id ELSE '' END AS condition_id", "condition_id AS conditionId", "explode(array(market_id * 2, market_id * 2 + 1)) AS pos"), ["pos"]
     ).select("key", "pos")
 )
-query("clean_token_ids", "SELECT market_id, CASE market_id % 3 WHEN 0 THEN ['tok' || market_id, 'no' || market_id] WHEN 1 THEN ['abc' || market_id] ELSE [] END AS ids FROM markets WHERE market_id >= 10")(
-    lambda v: v.markets.where("market_id >= 10").select(
-        "market_id",
-        F.when(F.col("market_id") % 3 == 0, F.concat(F.lit('["tok'), F.col("market_id").cast("string"), F.lit('!","no'), F.col("market_id").cast("string"), F.lit('","x"]')))
-        .when(F.col("market_id") % 3 == 1, F.concat(F.lit("[abc"), F.col("market_id").cast("string"), F.lit(",'y']"))).otherwise(F.lit('{"bad":')).alias("raw"),
-    ).select("market_id", b.clean_token_ids("raw").alias("ids"))
-)
+query(
+    "clean_token_ids",
+    """SELECT market_id, list_filter(CASE market_id % 3 WHEN 0 THEN ['tok' || market_id, 'n' || market_id] WHEN 1 THEN ['a' || market_id] ELSE [] END, lambda x: length(x) >= 3) AS ids FROM markets""",
+)(lambda v: v.markets.select("market_id", raw_ids(F.col("market_id")).alias("raw")).select("market_id", b.clean_token_ids("raw").alias("ids")))
+
+
+def raw_ids(i):
+    """A JSON array, a bare list or a broken document in a string; some ids are too short."""
+    text = i.cast("string")
+    array = F.concat(F.lit('["tok'), text, F.lit('!","n'), text, F.lit('","x"]'))
+    return F.when(i % 3 == 0, array).when(i % 3 == 1, F.concat(F.lit("[a"), text, F.lit(",'y']"))).otherwise(F.lit('{"bad":'))
+
+
 query("leaderboard_coverage", "SELECT category, time_period FROM (SELECT DISTINCT category FROM markets) c, (SELECT unnest(['DAY', 'WEEK', 'MONTH', 'ALL']) AS time_period) p WHERE NOT (category = 'PROMO' AND time_period = 'DAY')")(
     lambda v: _coverage(v)
 )
 
 
 def _coverage(v):
-    kinds = v.markets.select("category").distinct()
-    periods = ["DAY", "WEEK", "MONTH", "ALL"]
-    names = [r[0] for r in kinds.collect()]  # a fixed enumeration
-    return b.coverage_gaps(v.markets.where("category = 'PROMO'").select("category", F.lit("DAY").alias("time_period")), names, periods)
+    present = v.markets.where("category = 'PROMO'").select("category", F.lit("DAY").alias("time_period"))
+    return b.coverage_gaps(present, v.markets.select("category"), ["DAY", "WEEK", "MONTH", "ALL"])
 
 
 query("wrap_raw_trades", "SELECT wallet, side, price, size, count(*) AS n FROM trades GROUP BY ALL")(
@@ -110,6 +117,21 @@ query(
     "median_size_floor",
     "WITH f AS (SELECT market_id, list_sort(list(size))[(count(*) // 2 + 1)::BIGINT] AS floor FROM trades GROUP BY market_id) SELECT t.market_id, f.floor, count(*) AS trades FROM trades t JOIN f ON t.market_id = f.market_id WHERE size > floor GROUP BY 1, 2",
 )(lambda v: b.median_floor(v.trades).groupBy("market_id", "floor").agg(F.count("*").alias("trades")))
+PAGED = "SELECT *, (row_number() OVER (PARTITION BY market_id ORDER BY ts, wallet, price, size, taker_id, side, token_id) - 1) // 5 AS page FROM trades"
+query(
+    "growing_size_floor",
+    f"""WITH p AS ({PAGED}), m AS (SELECT market_id, page, CASE WHEN page >= 2 AND page % 2 = 0 THEN floor(list_sort(list(size))[(count(*) // 2 + 1)::BIGINT]) ELSE 0 END AS up FROM p GROUP BY market_id, page),
+ f AS (SELECT market_id, page, coalesce(sum(up) OVER (PARTITION BY market_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS floor FROM m)
+ SELECT p.market_id, p.page::INTEGER AS page, f.floor, count(*) AS trades FROM p JOIN f ON p.market_id = f.market_id AND p.page = f.page WHERE f.floor = 0 OR size > f.floor GROUP BY ALL""",
+)(lambda v: b.growing_floor(pages(v)).groupBy("market_id", "page", "floor").agg(F.count("*").alias("trades")))
+
+
+def pages(v):
+    """Trades in pages of five a market."""
+    order = Window.partitionBy("market_id").orderBy("ts", "wallet", "price", "size", "taker_id", "side", "token_id")
+    return v.trades.withColumn("page", F.floor((F.row_number().over(order) - 1) / 5).cast("int"))
+
+
 query("volume_tier", "SELECT market_id, CASE WHEN volume * 50 < 10000 THEN 'low' WHEN volume * 50 > 100000 THEN 'high' ELSE 'mid' END AS tier FROM markets")(
     lambda v: v.markets.select("market_id", volume_tier(F.col("volume") * 50).alias("tier"))
 )
@@ -225,7 +247,9 @@ query("resolve_ids", f"WITH {OLDT}, f AS (SELECT wallet, (SELECT max(trader_id)
 )
 query(
     "load_trade_fact",
-    "SELECT sha256(t.wallet || '|' || k.token_id || '|' || strftime(t.ts, '%Y-%m-%d %H:%M:%S') || '|' || side) AS trade_id, k.token_id AS token_key, t.ts, t.price, t.size, t.side, d.trader_id AS maker_id, t.taker_id FROM trades t JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome JOIN traders d ON t.wallet = d.wallet",
+    """SELECT sha256(wallet || '|' || token_key || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || side || '|' || n) AS trade_id, token_key, ts, price, size, side, maker_id, taker_id FROM (
+ SELECT t.*, k.token_id AS token_key, d.trader_id AS maker_id, row_number() OVER (PARTITION BY t.wallet, k.token_id, t.ts, t.side ORDER BY t.price, t.size, t.taker_id) AS n
+ FROM trades t JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome JOIN traders d ON t.wallet = d.wallet) x""",
 )(lambda v: s.trade_fact(v.trades, v.market_tokens, v.traders))
 query("load_price_fact", "SELECT token_id, ts, price FROM prices WHERE token_id IN (SELECT token_id FROM market_tokens)")(lambda v: s.price_fact(v.prices, v.market_tokens))
 query("load_leaderboard_fact", "SELECT d.trader_id, l.month, l.rank, l.pnl FROM leaderboard l JOIN traders d ON l.wallet = d.wallet")(lambda v: s.leaderboard_fact(v.leaderboard, v.traders))
@@ -254,7 +278,8 @@ query(
     f"""WITH {CATS}, e AS (SELECT 'event-' || market_id % 40 AS slug, min((question, category)) AS x FROM markets GROUP BY 1)
  SELECT row_number() OVER (ORDER BY slug) AS event_id, slug, x[1] AS title, c.category_id FROM e JOIN cats c ON c.category_name = x[2]""",
 )(lambda v: g.events(payloads(v), g.categories(payloads(v))))
-query("gold_markets", "SELECT condition_id AS external_id, question, active, volume FROM markets")(lambda v: g.markets(payloads(v)))
+DATES = "CASE WHEN market_id % 4 <> 1 THEN start_ts END AS start_date_iso, date_trunc('day', end_ts)::TIMESTAMP AS end_date_iso, volume AS volume_num"
+query("gold_markets", f"SELECT condition_id AS external_id, question, active, {DATES} FROM markets")(lambda v: g.markets(payloads(v)))
 query("gold_tokens", "SELECT condition_id AS external_id, market_id || '-' || lower(o) AS token_address, o AS outcome, o = 'Yes' AS is_yes FROM markets, (SELECT 'Yes' AS o UNION ALL SELECT 'No') z")(lambda v: g.tokens(payloads(v)))
 query("gold_hourly_prices", "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS snapshot_ts, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2")(lambda v: g.hourly_prices(v.prices))
 query(
@@ -275,9 +300,130 @@ query("gold_trades", "SELECT wallet, market_id || '-' || lower(outcome) AS token
 )
 
 
+# The gold star schema: every dimension and fact is built on what is there already.
+def staged_prices(v):
+    """The history of each token as one JSON document, under its address."""
+    secs = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    i = F.col("token_id")
+    address = F.concat(F.floor(i / 2).cast("string"), F.when(i % 2 == 0, "-yes").otherwise("-no"))
+    rows = v.prices.groupBy(address.alias("token_id")).agg(F.to_json(F.collect_list(F.struct(secs.alias("t"), F.col("price").alias("p")))).alias("raw_json"))
+    return rows.withColumn("fetched_at", now())
+
+
+def address_of(c):
+    return F.concat(F.lit("0x"), F.left(F.sha2(c, 256), F.lit(40)))
+
+
+def staged_trades(v):
+    """One JSON document a trade; some have another outcome, a taker without a valid wallet, or no price."""
+    i = F.col("taker_id")
+    doc = F.struct(
+        address_of(F.col("wallet")).alias("maker"), F.when(i % 5 != 0, address_of(F.concat(F.lit("t"), i.cast("string")))).otherwise("0x12").alias("taker"),
+        F.when(i % 7 != 0, F.col("price")).alias("price"), "size", F.when(i % 3 != 0, F.lower("side")).alias("side"),
+        F.when(i % 11 == 0, "other").otherwise(F.col("outcome")).alias("outcome"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"),
+    )
+    return v.trades.select(F.concat(F.lit("c"), F.col("market_id").cast("string")).alias("condition_id"), F.to_json(doc).alias("raw_json"), now().alias("fetched_at"))
+
+
+def gold_events(v):
+    return g.events(payloads(v), g.categories(payloads(v)))
+
+
+def gold_market_dim(v):
+    old = v.markets.where("market_id % 3 = 0").selectExpr(
+        "market_id + 1 AS market_id", "condition_id AS external_id", "cast(null as bigint) AS event_id", "question", "active",
+        "cast(null as timestamp_ntz) AS start_date_iso", "cast(null as timestamp_ntz) AS end_date_iso", "volume AS volume_num",
+    )
+    return g.market_dim(payloads(v), gold_events(v), old)
+
+
+def gold_token_dim(v, market_dim=None):
+    return g.token_dim(payloads(v), gold_market_dim(v) if market_dim is None else market_dim, v.spark.createDataFrame([], g.TOKEN_DIM))
+
+
+def gold_trader_dim(v):
+    old = v.traders.where("trader_id % 2 = 0").select((F.col("trader_id") + 1).alias("trader_id"), F.unhex(F.substring(address_of(F.col("wallet")), 3, 40)).alias("wallet_address"))
+    return g.trader_dim(staged_trades(v), old)
+
+
+def gold_price_fact(v):
+    tokens = written(gold_token_dim(v), "tokens")
+    points = v.prices.where("event_id % 5 = 0").select(F.floor(F.col("token_id") / 2).alias("m"), F.when(F.col("token_id") % 2 == 0, "-yes").otherwise("-no").alias("o"), "ts")
+    old = points.select(F.concat(F.col("m").cast("string"), "o").alias("token_address"), F.date_trunc("hour", "ts").alias("snapshot_ts")).distinct()
+    old = old.join(tokens, "token_address").select("token_id", "snapshot_ts", F.lit(-1).cast("float").alias("price"))
+    return g.hourly_price_fact(staged_prices(v), tokens, old)
+
+
+def gold_trade_fact(v):
+    markets = written(gold_market_dim(v), "markets")
+    return g.trade_fact(staged_trades(v), markets, gold_token_dim(v, markets), gold_trader_dim(v))
+
+
+GEV = "ev AS (SELECT slug, row_number() OVER (ORDER BY slug) AS event_id FROM (SELECT DISTINCT 'event-' || market_id % 40 AS slug FROM markets) x)"
+GMD = f"""{GEV},
+gmd AS (SELECT market_id + 1 AS market_id, condition_id AS external_id, NULL::BIGINT AS event_id, question, active, NULL::TIMESTAMP AS start_date_iso, NULL::TIMESTAMP AS end_date_iso, volume AS volume_num
+ FROM markets WHERE market_id % 3 = 0 UNION ALL
+ SELECT (SELECT max(market_id) + 1 FROM markets WHERE market_id % 3 = 0) + row_number() OVER (ORDER BY condition_id), condition_id, event_id, question, active, {DATES}
+ FROM markets m LEFT JOIN ev ON slug = 'event-' || market_id % 40 WHERE market_id % 3 <> 0)"""
+GTD = f"""{GMD},
+gtd AS (SELECT row_number() OVER (ORDER BY token_address) AS token_id, token_address, market_id, is_yes FROM (
+ SELECT substr(external_id, 2) || k.o AS token_address, market_id, k.o = '-yes' AS is_yes FROM gmd, (SELECT '-yes' AS o UNION ALL SELECT '-no') k) x)"""
+GPF = f"""{GTD},
+pts AS (SELECT g.token_id, date_trunc('hour', ts)::TIMESTAMP AS snapshot_ts, floor(epoch(ts)) AS t, price, event_id FROM prices p JOIN gtd g ON g.token_address = p.token_id // 2 || CASE WHEN p.token_id % 2 = 0 THEN '-yes' ELSE '-no' END),
+gpf AS (SELECT DISTINCT token_id, snapshot_ts, -1::FLOAT AS price FROM pts WHERE event_id % 5 = 0 UNION ALL
+ SELECT token_id, snapshot_ts, arg_min(price, (t, price))::FLOAT FROM pts GROUP BY 1, 2 HAVING count(CASE WHEN event_id % 5 = 0 THEN 1 END) = 0)"""
+GWD = """gw AS (SELECT trader_id + 1 AS trader_id, left(sha256(wallet), 40) AS wallet FROM traders WHERE trader_id % 2 = 0),
+gwd AS (SELECT trader_id, wallet FROM gw UNION ALL SELECT (SELECT max(trader_id) FROM gw) + row_number() OVER (ORDER BY wallet), wallet FROM (
+ SELECT DISTINCT wallet FROM (SELECT left(sha256(wallet), 40) AS wallet FROM trades UNION ALL SELECT left(sha256('t' || taker_id), 40) FROM trades WHERE taker_id % 5 <> 0) x WHERE wallet NOT IN (SELECT wallet FROM gw)) y)"""
+GTF = f"""{GTD}, {GWD},
+gtf AS (SELECT k.token_id, t.ts AS trade_ts, t.price::FLOAT AS price, t.size::FLOAT AS size, t.taker_id % 3 <> 0 AND side = 'BUY' AS is_buy, a.trader_id AS maker_id, b.trader_id AS taker_id
+ FROM trades t JOIN gmd m ON m.external_id = 'c' || t.market_id JOIN gtd k ON k.market_id = m.market_id AND (t.taker_id % 11 = 0 OR k.is_yes = (t.outcome = 'Yes'))
+ LEFT JOIN gwd a ON a.wallet = left(sha256(t.wallet), 40) LEFT JOIN gwd b ON t.taker_id % 5 <> 0 AND b.wallet = left(sha256('t' || t.taker_id), 40) WHERE t.taker_id % 7 <> 0)"""
+query("gold_market_dim", f"WITH {GMD} SELECT * FROM gmd")(gold_market_dim)
+query("gold_token_dim", f"WITH {GTD} SELECT * FROM gtd")(gold_token_dim)
+query("gold_price_fact", f"WITH {GPF} SELECT * FROM gpf")(gold_price_fact)
+query("gold_trader_dim", f"WITH {GWD} SELECT trader_id, wallet AS hex FROM gwd")(lambda v: gold_trader_dim(v).select("trader_id", F.lower(F.hex("wallet_address")).alias("hex")))
+query("gold_trade_fact", f"WITH {GTF} SELECT * FROM gtf")(gold_trade_fact)
+
+
+def full_run(v):
+    tables, results = g.full_run({"markets": payloads(v), "prices": staged_prices(v), "trades": staged_trades(v)}, {})
+    return load_summary(v.spark, tables, results)
+
+
+query(
+    "gold_full_run",
+    f"""WITH {GTF} SELECT name, 'loaded' AS status, rows FROM (SELECT 'categories' AS name, count(DISTINCT category) AS rows FROM markets UNION ALL SELECT 'events', count(*) FROM ev UNION ALL SELECT 'markets', count(*) FROM gmd
+ UNION ALL SELECT 'tokens', count(*) FROM gtd UNION ALL SELECT 'prices', count(*) FROM (SELECT DISTINCT token_id, date_trunc('hour', ts) FROM prices WHERE token_id // 2 IN (SELECT market_id FROM markets)) x
+ UNION ALL SELECT 'traders', count(*) FROM (SELECT wallet FROM trades UNION SELECT 't' || taker_id FROM trades WHERE taker_id % 5 <> 0) y UNION ALL SELECT 'trades', count(*) FROM gtf) z""",
+)(full_run)
+
+
+def silver_load(v, markets):
+    """Markets first, then what hangs on them; `markets` makes the first table."""
+    return run_steps([
+        Step("markets", lambda t: markets(v), True),
+        Step("tokens", lambda t: _tokens(v), False),
+        Step("traders", lambda t: s.load_traders(old_traders(v), v.trades, v.leaderboard), False),
+        Step("trades", lambda t: s.trade_fact(v.trades, v.market_tokens, t["traders"]), False),
+    ])
+
+
+def broken(v):
+    return v.markets.select(F.when(F.col("market_id") >= 0, F.raise_error(F.lit("bad source"))).cast("long").alias("market_id"))
+
+
+query("ordered_load", "SELECT 'markets' AS name, 'loaded' AS status, count(*) AS rows FROM markets UNION ALL SELECT 'tokens', 'loaded', (SELECT count(*) FROM market_tokens WHERE token_id % 4 = 0 OR market_id % 9 <> 0) UNION ALL SELECT 'traders', 'loaded', (SELECT count(DISTINCT wallet) FROM (SELECT wallet FROM trades UNION ALL SELECT wallet FROM leaderboard UNION ALL SELECT wallet FROM traders WHERE trader_id % 2 = 0) x) UNION ALL SELECT 'trades', 'loaded', (SELECT count(*) FROM trades t JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome)")(
+    lambda v: load_summary(v.spark, *silver_load(v, lambda v: v.markets))
+)
+query("ordered_load_aborted", "SELECT unnest(['markets', 'tokens', 'traders', 'trades']) AS name, unnest(['failed', 'skipped', 'skipped', 'skipped']) AS status, NULL::BIGINT AS rows")(
+    lambda v: load_summary(v.spark, *silver_load(v, broken))
+)
+
+
 # Sources and sinks: each writes under the shared folder and reads back.
 def path(v, name):
-    return f"{work_dir(v.spark)}/{name}-{uuid.uuid4().hex}"
+    return new_dir(v.spark, name)
 
 
 def daily(v):
@@ -300,9 +446,16 @@ query("union_by_name", "SELECT market_id, question, NULL::DOUBLE AS volume FROM
     lambda v: scans.union_by_name(v.markets.where("closed").select("market_id", "question"), v.markets.where("not closed").select("volume", "market_id"))
 )
 query("distinct_market_ids", "SELECT DISTINCT market_id FROM trades WHERE market_id IS NOT NULL")(lambda v: scans.distinct_keys(v.trades, "market_id"))
-query("partition_inventory", "SELECT 'prices' AS name, count(*) AS rows, max(CAST(ts AS DATE)) AS latest FROM prices")(lambda v: scans.partition_inventory({"prices": v.spark.read.parquet(bronze_dir(v))}).select("name", "rows", "latest"))
+query("partition_inventory", "SELECT 'prices' AS name, count(*) AS rows, count(DISTINCT CAST(ts AS DATE)) AS files, max(CAST(ts AS DATE)) AS latest FROM prices")(
+    lambda v: scans.partition_inventory({"prices": v.spark.read.parquet(bronze_dir(v))})
+)
 query("rows_per_partition", f"SELECT dt, count(*) AS count FROM ({DAY}) x GROUP BY dt")(lambda v: v.spark.read.parquet(bronze_dir(v)).groupBy("dt").count())
-query("describe_tables")(lambda v: scans.describe_tables(v.spark, {"trades": v.trades, "markets": v.markets, "prices": v.prices}))
+query("describe_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls FROM {t}"
+    for t, c in (("lineitem", "l_orderkey"), ("lineitem", "l_shipdate"), ("part", "p_partkey"), ("part", "p_name"), ("events", "event_id"), ("events", "value"))
+))(lambda v: scans.describe_tables({
+    "lineitem": v.lineitem.select("l_orderkey", "l_shipdate"), "part": v.part.select("p_partkey", "p_name"), "events": v.events.select("event_id", "value"),
+}).select("table_name", "column_name", "rows", "nulls"))
 query("table_counts", "SELECT 'trades' AS name, count(*) AS rows FROM trades UNION ALL SELECT 'markets', count(*) FROM markets UNION ALL SELECT 'prices', count(*) FROM prices")(
     lambda v: scans.table_counts({"trades": v.trades, "markets": v.markets, "prices": v.prices})
 )
@@ -334,12 +487,70 @@ query("export_partitioned", "SELECT category, count(*) AS count FROM markets GRO
 
 def restored(v):
     tables = {"markets": v.markets, "traders": v.traders}
-    p = sinks.snapshot(tables, path(v, "gold"), "2024-01")
+    p, _ = sinks.snapshot(tables, path(v, "gold"), "2024-01")
     back = sinks.restore(v.spark, p, {"markets": v.markets.schema, "traders": v.traders.schema, "events": v.tags.schema})
     return scans.table_counts(back)
 
 
 query("snapshot_restore", "SELECT 'markets' AS name, count(*) AS rows FROM markets UNION ALL SELECT 'traders', count(*) FROM traders UNION ALL SELECT 'events', 0")(restored)
+def snapshot_sizes(v):
+    """Rows of each table of a snapshot; files and bytes are there or not, as they depend on the writer."""
+    _, sizes = sinks.snapshot({"markets": v.markets, "traders": v.traders}, path(v, "gold"), "2024-01")
+    return sizes.select("name", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+query("snapshot_sizes", "SELECT 'markets' AS name, count(*) AS rows, TRUE AS has_files, TRUE AS has_bytes FROM markets UNION ALL SELECT 'traders', count(*), TRUE, TRUE FROM traders")(snapshot_sizes)
+query("metadata_stamp", f"SELECT 'user' || token_id AS key, CAST(max(event_id) AS VARCHAR) AS value, max(ts) AS updated_at FROM prices WHERE token_id <> 7 GROUP BY token_id UNION ALL SELECT 'user7', '2024-01', {NOW}")(
+    lambda v: sinks.stamp(
+        v.prices.groupBy(F.concat(F.lit("user"), F.col("token_id").cast("string")).alias("key")).agg(F.max("event_id").cast("string").alias("value"), F.max("ts").alias("updated_at")), "user7", "2024-01", now()
+    )
+)
+
+
+# The eight bronze datasets: payload rows with other types and extra fields, appended twice on two days.
+def bronze_rows(v, name):
+    m, i = v.markets, F.col("market_id")
+    text = lambda c: F.col(c).cast("string")
+    if name == "trades":
+        return v.trades.select(F.col("wallet").alias("proxyWallet"), "side", text("price").alias("price"), "size", F.concat(F.lit("c"), text("market_id")).alias("conditionId"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"), "outcome", F.lit("x").alias("extra"))
+    if name == "markets":
+        return m.select("condition_id", "description", "question", "closed", "active", text("volume").alias("volume"), F.when(i % 2 == 0, "n/a").alias("liquidity"), F.date_format("end_ts", "yyyy-MM-dd").alias("end_date_iso"))
+    if name == "gamma_markets":
+        return m.select(i.alias("id"), F.col("condition_id").alias("conditionId"), "question", "category", "outcomes", F.col("outcome_prices").alias("outcomePrices"), "active", "closed", F.col("volume").alias("volumeNum"), text("market_id").alias("marketGroup"))
+    if name == "gamma_events":
+        return m.select(text("market_id").alias("marketId"), (i * 10).alias("eventId"), F.col("question").alias("title"), "category", "volume", "active")
+    if name == "gamma_categories":
+        return m.select(text("market_id").alias("marketId"), (i % 6).alias("categoryId"), F.col("category").alias("label"), F.lower("category").alias("slug"))
+    if name == "market_tokens":
+        return v.market_tokens.select(F.concat(F.lit("c"), text("market_id")).alias("condition_id"), "price", "token_id", "winner", "outcome")
+    if name == "prices":
+        return v.prices.select(F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string").alias("timestamp"), "token_id", "price")
+    return v.leaderboard.select("rank", F.col("wallet").alias("proxyWallet"), F.lit("yes").alias("verifiedBadge"), F.col("n_orders").alias("vol"), "pnl")
+
+
+def bronze_dataset(name):
+    def run(v):
+        root, rows = path(v, "bronze"), bronze_rows(v, name)
+        for day in ("2024-01-01", "2024-01-02"):
+            p = sinks.append_dataset(rows, root, name, F.lit(day))
+        schema = T.StructType.fromDDL(BRONZE[name] + ", dt date")
+        return scans.scan(v.spark, p, schema).groupBy(*[f.name for f in schema.fields]).agg(F.count("*").alias("n"))
+
+    return run
+
+
+BRONZE_SQL = {
+    "trades": "wallet AS \"proxyWallet\", side, price, size, 'c' || market_id AS \"conditionId\", CAST(epoch(ts) AS BIGINT) AS timestamp, NULL::VARCHAR AS \"transactionHash\", outcome, NULL::VARCHAR AS name FROM trades",
+    "markets": "condition_id, strftime(end_ts, '%Y-%m-%d') AS end_date_iso, NULL::VARCHAR AS game_start_time, description, question, NULL::DOUBLE AS maker_base_fee, NULL::VARCHAR AS fpmm, closed, active, volume, NULL::DOUBLE AS liquidity FROM markets",
+    "gamma_markets": "CAST(market_id AS VARCHAR) AS id, condition_id AS \"conditionId\", question, NULL::VARCHAR AS slug, category, NULL::VARCHAR AS description, NULL::VARCHAR AS liquidity, NULL::VARCHAR AS volume, active, closed, NULL::VARCHAR AS \"startDate\", NULL::VARCHAR AS \"endDate\", outcomes, outcome_prices AS \"outcomePrices\", NULL::VARCHAR AS \"clobTokenIds\", volume AS \"volumeNum\", NULL::DOUBLE AS \"liquidityNum\", market_id AS \"marketGroup\" FROM markets",
+    "gamma_events": "CAST(market_id AS VARCHAR) AS \"marketId\", CAST(market_id * 10 AS VARCHAR) AS \"eventId\", NULL::VARCHAR AS ticker, NULL::VARCHAR AS slug, question AS title, NULL::VARCHAR AS description, category, NULL::VARCHAR AS subcategory, NULL::DOUBLE AS liquidity, volume, active, NULL::BOOLEAN AS closed FROM markets",
+    "gamma_categories": "CAST(market_id AS VARCHAR) AS \"marketId\", CAST(market_id % 6 AS VARCHAR) AS \"categoryId\", category AS label, NULL::VARCHAR AS \"parentCategory\", lower(category) AS slug FROM markets",
+    "market_tokens": "'c' || market_id AS condition_id, price, CAST(token_id AS VARCHAR) AS token_id, winner, outcome FROM market_tokens",
+    "prices": "CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, CAST(token_id AS VARCHAR) AS token_id, price FROM prices",
+    "leaderboard": "CAST(rank AS VARCHAR) AS rank, wallet AS \"proxyWallet\", NULL::VARCHAR AS \"userName\", NULL::VARCHAR AS \"xUsername\", TRUE AS \"verifiedBadge\", n_orders::DOUBLE AS vol, pnl, NULL::VARCHAR AS \"profileImage\" FROM leaderboard",
+}
+for dataset, columns in BRONZE_SQL.items():
+    query(f"bronze_{dataset}", f"SELECT *, count(*) AS n FROM (SELECT *, unnest([DATE '2024-01-01', DATE '2024-01-02']) AS dt FROM (SELECT {columns}) x) y GROUP BY ALL")(bronze_dataset(dataset))
 query("staging_upsert", "SELECT token_id, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY event_id DESC) AS r FROM prices) x WHERE r = 1")(
     lambda v: sinks.upsert(v.prices.where("event_id % 2 = 0").select("token_id", "price", "event_id"), v.prices.where("event_id % 2 = 1").select("token_id", "price", "event_id"), ["token_id"], "event_id")
 )

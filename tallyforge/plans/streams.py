@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import parse_vote
 from tallyforge.registry import query
+from tallyforge.sources.shared import new_dir
 from tallyforge.streaming import jobs as j
 
 
@@ -30,7 +31,7 @@ def ntz(df):
 
 @query("stream_bronze_append", "SELECT token_id, ts, price, event_id, CAST(ts AS DATE) AS dt FROM prices")
 def stream_bronze_append(v):
-    out, check = j.new_dir(v.spark, "stream"), j.new_dir(v.spark, "progress")
+    out, check = new_dir(v.spark, "stream"), new_dir(v.spark, "progress")
     s = events(v).withColumn("dt", F.col("ts").cast("date"))
     j.append(s, out, check, "dt")
     return ntz(v.spark.read.schema(s.schema).parquet(out))
@@ -39,7 +40,7 @@ def stream_bronze_append(v):
 @query("stream_resume")
 def stream_resume(v):
     """Two runs over a growing directory; the second takes in the new files only."""
-    landing, out, check = (j.new_dir(v.spark, n) for n in ("landing", "stream", "progress"))
+    landing, out, check = (new_dir(v.spark, n) for n in ("landing", "stream", "progress"))
     for rest in (0, 1):
         v.prices.where(f"event_id % 2 = {rest}").write.mode("append").parquet(landing)
         j.append(j.source(v.spark, landing, v.prices.schema), out, check)
@@ -49,45 +50,49 @@ def stream_resume(v):
 @query("stream_upsert", "SELECT token_id, ts, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY ts DESC, event_id DESC) AS r FROM prices) x WHERE r = 1")
 def stream_upsert(v):
     s = events(v, files=2)
-    table = j.Versions(v.spark, j.new_dir(v.spark, "upsert"), s.schema)
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.newest_by(["token_id"], ["ts", "event_id"]))
+    table = j.Versions(v.spark, new_dir(v.spark, "upsert"), s.schema)
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), j.newest_by(["token_id"], ["ts", "event_id"]))
     return ntz(table.read())
 
 
 @query("stream_hourly_prices", "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS hour, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2")
 def stream_hourly_prices(v):
     s = events(v)
-    table = j.Versions(v.spark, j.new_dir(v.spark, "hourly"), j.hourly(s).schema)
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.merge_hours)
+    table = j.Versions(v.spark, new_dir(v.spark, "hourly"), j.hourly(s).schema)
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), j.merge_hours)
     return ntz(table.read().select("token_id", "hour", F.col("first.price").alias("price")))
 
 
-@query("stream_dedupe", "SELECT DISTINCT token_id FROM prices")
+@query("stream_dedupe", "SELECT token_id, ts, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY ts, event_id, price) AS r FROM prices) x WHERE r = 1")
 def stream_dedupe(v):
     s = events(v)
-    table = j.Versions(v.spark, j.new_dir(v.spark, "dedupe"), s.schema)
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), j.dedupe(["token_id"], ["ts", "event_id"]))
-    return table.read().select("token_id")
+    table = j.Versions(v.spark, new_dir(v.spark, "dedupe"), s.schema)
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), j.dedupe(["token_id"], ["ts", "event_id"]))
+    return ntz(table.read())
 
 
 @query("stream_consensus", "SELECT tag_id, market_id, count(CASE WHEN v THEN 1 END) AS yes, count(CASE WHEN NOT v THEN 1 END) AS no FROM (SELECT tag_id, market_id, CASE WHEN upper(trim(response)) LIKE '%YES%' THEN TRUE WHEN upper(trim(response)) LIKE '%NO%' THEN FALSE END AS v FROM judge_responses) x GROUP BY 1, 2")
 def stream_consensus(v):
-    landing = j.new_dir(v.spark, "votes")
+    landing = new_dir(v.spark, "votes")
     votes = v.judge_responses.select("tag_id", "market_id", parse_vote("response").alias("vote"))
     votes.write.parquet(landing)
     s = j.vote_counts(j.source(v.spark, landing, votes.schema))
-    table = j.Versions(v.spark, j.new_dir(v.spark, "consensus"), s.schema)
+    table = j.Versions(v.spark, new_dir(v.spark, "consensus"), s.schema)
     latest = lambda old, new: new.unionByName(old.join(new, ["tag_id", "market_id"], "left_anti"))
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), latest, mode="update")
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), latest, mode="update")
     return table.read()
 
 
-@query("stream_adaptive_resolution")
+@query(
+    "stream_adaptive_resolution",
+    """SELECT token_id AS market_id, count(*) AS rows, token_id * 2000 BETWEEN 10000 AND 100000 AND min(price) > 0 AND coalesce((max(price) - min(price)) / nullif(min(price), 0) * 100 >= 5, FALSE) AS minute
+ FROM prices GROUP BY token_id""",
+)
 def stream_adaptive_resolution(v):
-    s = j.adaptive_switch(events(v).select(F.col("token_id").alias("market_id"), "price"))
-    table = j.Versions(v.spark, j.new_dir(v.spark, "switch"), s.schema)
+    s = j.adaptive_switch(events(v).select(F.col("token_id").alias("market_id"), (F.col("token_id") * 2000).alias("volume"), "price"))
+    table = j.Versions(v.spark, new_dir(v.spark, "switch"), s.schema)
     latest = lambda old, new: new.unionByName(old.join(new, "market_id", "left_anti"))
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), latest, mode="update")
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), latest, mode="update")
     return table.read()
 
 
@@ -98,8 +103,8 @@ def stream_adaptive_resolution(v):
 )
 def sliding_volume(v):
     s = j.sliding_volume(events(v), F.col("price"))
-    table = j.Versions(v.spark, j.new_dir(v.spark, "sliding"), s.schema)
-    j.upsert_stream(s, table, j.new_dir(v.spark, "progress"), lambda old, new: new, mode="complete")
+    table = j.Versions(v.spark, new_dir(v.spark, "sliding"), s.schema)
+    j.upsert_stream(s, table, new_dir(v.spark, "progress"), lambda old, new: new, mode="complete")
     return ntz(table.read())
 
 

@@ -10,9 +10,10 @@ from tallyforge.registry import query
 
 VOTES = "votes AS (SELECT tag_id, market_id, model, CASE WHEN upper(trim(response)) LIKE '%YES%' THEN TRUE WHEN upper(trim(response)) LIKE '%NO%' THEN FALSE END AS vote FROM judge_responses)"
 CON = VOTES + """,
-c AS (SELECT tag_id, market_id, count(CASE WHEN vote THEN 1 END) AS yes, count(CASE WHEN NOT vote THEN 1 END) AS no FROM votes GROUP BY 1, 2),
+c AS (SELECT tag_id, market_id, count(CASE WHEN vote THEN 1 END) AS yes, count(CASE WHEN NOT vote THEN 1 END) AS no,
+ string_agg(model || '=' || coalesce(CAST(vote AS VARCHAR), 'none'), ',' ORDER BY model) AS judge_votes FROM votes GROUP BY 1, 2),
 r AS (SELECT *, CASE WHEN yes = 0 AND no = 0 THEN 'no_votes' WHEN yes = 0 OR no = 0 THEN 'unanimous' WHEN {maj} THEN 'majority' ELSE 'no_consensus' END AS reason FROM c)
-SELECT tag_id, market_id, yes, no, reason, CASE WHEN reason = 'unanimous' THEN yes > 0 WHEN reason = 'majority' THEN yes >= 2 END AS consensus FROM r"""
+SELECT tag_id, market_id, yes, no, judge_votes, reason, CASE WHEN reason = 'unanimous' THEN yes > 0 WHEN reason = 'majority' THEN yes >= 2 END AS consensus FROM r"""
 KNOWN = "known AS (SELECT tag_id, market_id FROM market_tags UNION SELECT tag_id, market_id FROM history UNION SELECT tag_id, market_id FROM tag_examples)"
 NEXT = KNOWN + """,
 nxt AS (SELECT * FROM (SELECT g.tag_id, m.market_id, row_number() OVER (PARTITION BY g.tag_id ORDER BY m.market_id) AS position FROM tags g JOIN markets m ON m.market_id > g.last_checked
@@ -23,6 +24,12 @@ def nxt(v):
     return t.markets_for_tagging(v.tags, v.markets, v.market_tags, v.history, v.tag_examples)
 
 
+def spelled(rows):
+    """`rows` with the map of votes as text, in the order of the models."""
+    votes = F.transform(F.map_entries("judge_votes"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"].cast("string"), F.lit("none"))))
+    return rows.withColumn("judge_votes", F.array_join(votes, ","))
+
+
 def decisions(v):
     return v.history.where("market_id % 5 = 0").selectExpr("tag_id", "market_id", "market_id % 3 = 0 AS decision")
 
@@ -31,8 +38,8 @@ query("search_markets", "SELECT market_id, question, category, volume FROM marke
     lambda v: t.search_markets(v.markets, "al", limit=50, offset=10)
 )
 query("parse_votes", f"WITH {VOTES} SELECT * FROM votes")(lambda v: v.judge_responses.select("tag_id", "market_id", "model", parse_vote("response").alias("vote")))
-query("consensus", "WITH " + CON.format(maj="yes >= 2 OR no >= 2"))(lambda v: t.consensus(v.judge_responses).drop("judge_votes"))
-query("consensus_unanimous", "WITH " + CON.format(maj="FALSE"))(lambda v: t.consensus(v.judge_responses, unanimous=True).drop("judge_votes"))
+query("consensus", "WITH " + CON.format(maj="yes >= 2 OR no >= 2"))(lambda v: spelled(t.consensus(v.judge_responses)))
+query("consensus_unanimous", "WITH " + CON.format(maj="FALSE"))(lambda v: spelled(t.consensus(v.judge_responses, unanimous=True)))
 query("markets_for_tagging", f"WITH {NEXT} SELECT * FROM nxt")(nxt)
 query("needing_review", "SELECT tag_id, market_id FROM history WHERE consensus IS NULL AND human_decision IS NULL")(lambda v: t.needing_review(v.history))
 query(
@@ -44,22 +51,40 @@ query(
     "tag_list",
     "SELECT t.*, coalesce(e.examples, 0) AS examples, coalesce(e.positive, 0) AS positive, coalesce(e.negative, 0) AS negative FROM tags t LEFT JOIN (SELECT tag_id, count(*) AS examples, count(CASE WHEN is_positive THEN 1 END) AS positive, count(CASE WHEN NOT is_positive THEN 1 END) AS negative FROM tag_examples GROUP BY 1) e ON t.tag_id = e.tag_id",
 )(lambda v: t.tag_list(v.tags, v.tag_examples))
-query("tag_examples", "SELECT e.*, m.question, m.description FROM tag_examples e JOIN markets m ON e.market_id = m.market_id")(lambda v: t.tag_examples(v.tag_examples, v.markets))
+EXAMPLES = "SELECT e.*, m.question, m.description FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY created_at DESC, example_id DESC) AS position FROM tag_examples{where}) e JOIN markets m ON e.market_id = m.market_id"
+query("tag_examples", EXAMPLES.format(where=""))(lambda v: t.tag_examples(v.tag_examples, v.markets))
+query("tag_examples_positive", EXAMPLES.format(where=" WHERE is_positive"))(lambda v: t.tag_examples(v.tag_examples, v.markets, positive_only=True))
+query("tag_categories", "SELECT tag_id, CASE WHEN tag_id % 5 IN (3, 4) THEN ['PROMO', name] ELSE [] END AS categories FROM tags")(lambda v: t.tag_categories(v.tags).select("tag_id", "categories"))
+query("markets_for_tagging_in_categories", "WITH " + NEXT.replace("JOIN markets m", "JOIN (SELECT * FROM markets WHERE category IN ('PROMO', 'ECONOMY')) m") + " SELECT * FROM nxt")(
+    lambda v: t.markets_for_tagging(v.tags, v.markets, v.market_tags, v.history, v.tag_examples, categories=["PROMO", "ECONOMY"])
+)
 HIST = """h AS (SELECT *, CASE WHEN coalesce(human_decision, consensus) THEN 'Positive' WHEN NOT coalesce(human_decision, consensus) THEN 'Negative' ELSE 'Pending' END AS decision,
  CASE WHEN human_decision IS NOT NULL THEN 'Human' WHEN consensus IS NOT NULL THEN 'LLM' END AS source FROM history)"""
 query(
     "judge_history",
-    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY market_id DESC) AS position FROM h) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
+    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM h) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
 )(lambda v: t.judge_history(v.history, v.markets))
 query(
     "judge_history_human_negative",
-    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY market_id DESC) AS position FROM h WHERE decision = 'Negative' AND source = 'Human') x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
+    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM h WHERE decision = 'Negative' AND source = 'Human') x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
 )(lambda v: t.judge_history(v.history, v.markets, decision="Negative", source="Human"))
+query(
+    "judge_history_search",
+    f"""WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM h
+ WHERE market_id IN (SELECT market_id FROM markets WHERE category = 'PROMO' AND (question ILIKE '%A%' OR description ILIKE '%A%'))) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20""",
+)(lambda v: t.judge_history(v.history, v.markets, search="A", category="PROMO"))
 query(
     "pending_reviews",
-    "SELECT tag_id, market_id, yes, no, position FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY market_id DESC) AS position FROM history WHERE human_decision IS NULL AND yes > no) x WHERE position <= 10",
+    "SELECT tag_id, market_id, yes, no, position FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM history WHERE human_decision IS NULL AND yes > no) x WHERE position <= 10",
 )(lambda v: t.pending_reviews(v.history))
-query("judge_prompts")(lambda v: t.judge_prompts(v.tags, v.tag_examples, v.markets))
+PART = "string_agg(CASE WHEN is_positive = {flag} THEN '- ' || question || ': ' || left(coalesce(description, ''), 500) END, chr(10) ORDER BY r)"
+query(
+    "judge_prompts",
+    f"""WITH e AS (SELECT * FROM (SELECT x.*, m.question, m.description, row_number() OVER (PARTITION BY tag_id, is_positive ORDER BY created_at DESC, example_id DESC) AS r FROM tag_examples x JOIN markets m ON x.market_id = m.market_id) y WHERE r <= 3),
+ p AS (SELECT tag_id, {PART.format(flag='TRUE')} AS yes, {PART.format(flag='FALSE')} AS no FROM e GROUP BY tag_id)
+ SELECT t.tag_id, 'Tag: ' || name || chr(10) || 'Meaning: ' || coalesce(description, '(none)') || chr(10) || 'Belongs:' || chr(10) || coalesce(yes, '(none)') || chr(10) || 'Does not belong:' || chr(10)
+  || coalesce(no, '(none)') || chr(10) || 'Answer YES or NO.' AS prompt FROM tags t LEFT JOIN p ON t.tag_id = p.tag_id WHERE t.is_active""",
+)(lambda v: t.judge_prompts(v.tags, v.tag_examples, v.markets))
 query(
     "apply_decisions",
     "SELECT tag_id, market_id FROM market_tags g WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.tag_id = g.tag_id AND h.market_id = g.market_id AND NOT coalesce(human_decision, consensus)) UNION SELECT tag_id, market_id FROM history WHERE coalesce(human_decision, consensus)",

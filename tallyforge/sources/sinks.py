@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.sources.schemas import BRONZE
+
 
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of `schema`, cast; missing ones are null, others are dropped."""
@@ -19,6 +21,16 @@ def append_partitioned(frame: DataFrame, path: str, schema: T.StructType, partit
     conform(frame, schema).repartition(partition).write.mode("append").partitionBy(partition).option("compression", "snappy").parquet(path)
 
 
+def append_dataset(frame: DataFrame, root: str, name: str, day: Column) -> str:
+    """Append to the bronze dataset `name` under `root` with dt = `day`, in its schema (`schemas.BRONZE`); returns its path.
+
+    Fields that the schema lacks are dropped, missing ones and those that don't fit are null.
+    """
+    schema = T.StructType.fromDDL(BRONZE[name])
+    conform(frame, schema).withColumn("dt", day.cast("date")).write.mode("append").partitionBy("dt").option("compression", "snappy").parquet(f"{root}/{name}")
+    return f"{root}/{name}"
+
+
 def replace_partitions(frame: DataFrame, path: str, partition: str = "dt") -> None:
     """Replace only the partitions that occur in `frame`, so a rerun of a day leaves one copy of it."""
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
@@ -49,11 +61,23 @@ def export(frame: DataFrame, path: str, partition: str | None = None) -> None:
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def snapshot(tables: dict[str, DataFrame], root: str, label: str) -> str:
-    """Write all tables under `root`/`label` and return that path."""
+def snapshot(tables: dict[str, DataFrame], root: str, label: str) -> tuple[str, DataFrame]:
+    """Write all tables under `root`/`label`; that path, and rows, files and bytes of each table as written."""
+    from tallyforge.sources.scans import union_by_name
+
+    sizes = []
     for name, frame in tables.items():
         export(frame, f"{root}/{label}/{name}")
-    return f"{root}/{label}"
+        files = frame.sparkSession.read.schema(frame.schema).parquet(f"{root}/{label}/{name}").select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
+        per_file = files.groupBy("f").agg(F.count("*").alias("rows"), F.max("b").alias("b"))
+        sizes.append(per_file.agg(F.lit(name).alias("name"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count("*").alias("files"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes")))
+    return f"{root}/{label}", union_by_name(*sizes)
+
+
+def stamp(metadata: DataFrame, key: str, value: str, now: Column) -> DataFrame:
+    """The key-value `metadata` (key, value, updated_at) with one key set."""
+    row = metadata.sparkSession.range(1).select(F.lit(key).alias("key"), F.lit(value).alias("value"), now.alias("updated_at"))
+    return upsert(metadata, row, ["key"], "updated_at")
 
 
 def restore(spark: SparkSession, path: str, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:

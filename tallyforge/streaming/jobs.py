@@ -6,7 +6,6 @@ Each job reads a directory as a stream, runs until it has taken in all that is t
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,24 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.functions.columns import volume_tier
 from tallyforge.sources.sinks import latest_by_key
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: `spark.checkpoint.dir`, else (tests) a local one."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"/tmp/checkpoints/{sc.applicationId}"
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def source(spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.parquet", files: int = 1000) -> DataFrame:
     """The parquet files of `directory` as a stream, `files` to a micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", pattern).parquet(directory)
@@ -131,16 +116,23 @@ SWITCH = T.StructType([T.StructField("market_id", T.LongType()), T.StructField("
 
 
 def adaptive_switch(stream: DataFrame, limit: float = 5.0) -> DataFrame:
-    """Per market, whether the range of all prices so far has reached `limit` per cent; once it has, for good."""
+    """Per market (market_id, volume, price), whether it is fetched by the minute.
+
+    Markets of the middle tier are, for good, once the range of all prices so far has reached
+    `limit` per cent of the lowest; the others never are.
+    """
 
     def step(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         lo, hi, n, hit = state.get if state.exists else (float("inf"), float("-inf"), 0, False)
+        mid = False
         for f in frames:
             lo, hi, n = min(lo, float(f.price.min())), max(hi, float(f.price.max())), n + len(f)
-        hit = hit or (lo > 0 and (hi - lo) / lo * 100 >= limit)
+            mid = mid or bool((f.tier == "mid").any())
+        hit = hit or (mid and lo > 0 and (hi - lo) / lo * 100 >= limit)
         state.update((lo, hi, n, hit))
         yield pd.DataFrame({"market_id": [key[0]], "rows": [n], "minute": [hit]})
 
-    return stream.groupBy("market_id").applyInPandasWithState(step, SWITCH, "lo double, hi double, n long, hit boolean", "update", "NoTimeout")
+    rows = stream.select("market_id", "price", volume_tier("volume").alias("tier"))
+    return rows.groupBy("market_id").applyInPandasWithState(step, SWITCH, "lo double, hi double, n long, hit boolean", "update", "NoTimeout")
 
 

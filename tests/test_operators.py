@@ -184,3 +184,81 @@ def test_streams_do_not_depend_on_the_order_of_files(spark, tmp_path, monkeypatc
     table = jobs.Versions(spark, f"{tmp_path}/kept", s.schema)
     jobs.upsert_stream(s, table, f"{tmp_path}/progress", jobs.dedupe(["token_id"], ["ts", "event_id"]))
     assert sorted((r.token_id, r.event_id) for r in table.read().collect()) == [(7, 3), (8, 0), (9, 5)]
+
+
+def test_equal_fills_get_ids_of_their_own(spark):
+    at = datetime.datetime(2024, 1, 1, 12, 0, 0)
+    fills = [("w", 1, "Yes", at, 0.5, s, "BUY", 9) for s in (3.0, 1.0, 1.0)] + [("w", 1, "Yes", at, 0.5, 3.0, "SELL", 9)]
+    trades = spark.createDataFrame(fills, "wallet string, market_id long, outcome string, ts timestamp_ntz, price double, size double, side string, taker_id long")
+    tokens = spark.createDataFrame([(1, "Yes", 2)], "market_id long, outcome string, token_id long")
+    traders = spark.createDataFrame([("w", 5)], "wallet string, trader_id long")
+    got = silver.trade_fact(trades, tokens, traders).collect()
+    assert len(got) == len({r.trade_id for r in got}) == 4
+    again = silver.trade_fact(trades.repartition(3), tokens, traders).collect()
+    assert {(r.trade_id, r.size) for r in got} == {(r.trade_id, r.size) for r in again}
+
+
+def test_a_repeated_vote_counts_once(spark):
+    votes = [(1, 1, "m1", "yes"), (1, 1, "m1", "Yes!"), (1, 1, "m2", "no"), (1, 2, "m1", "yes"), (1, 2, "m1", "no"), (1, 2, "m2", "no"), (1, 3, "m1", None)]
+    df = spark.createDataFrame(votes, "tag_id int, market_id int, model string, response string")
+    got = {r.market_id: (r.yes, r.no, r.consensus, r.judge_votes) for r in tags.consensus(df).collect()}
+    assert got[1] == (1, 1, None, {"m1": True, "m2": False})
+    assert got[2] == (0, 1, False, {"m1": None, "m2": False})
+    assert got[3] == (0, 0, None, {"m1": None})
+
+
+def test_next_markets_make_no_pair_product(spark):
+    markets = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(0, 400, 2)] + [(7, "a")], "market_id long, category string")
+    tag = spark.createDataFrame([(1, True, False, 11), (2, True, False, -5), (3, True, False, 398), (4, False, False, 0), (5, True, True, 0), (6, True, False, 11)], "tag_id int, is_active boolean, all_checked boolean, last_checked int")
+    pair = "tag_id int, market_id long"
+    known = spark.createDataFrame([(1, i) for i in range(12, 60, 2)] + [(2, 0), (2, 7), (6, 5000)], pair)
+    none = spark.createDataFrame([], pair)
+    out = tags.markets_for_tagging(tag, markets, known, none, none, n=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and plan.count("BroadcastNestedLoopJoin") <= 1  # the one-row number of cursors
+    assert rows(out, "tag_id", "position") == [(1, 60, 1), (1, 62, 2), (1, 64, 3), (2, 2, 1), (2, 4, 2), (2, 6, 3), (6, 12, 1), (6, 14, 2), (6, 16, 3)]
+    only = tags.markets_for_tagging(tag, markets, known, none, none, n=3, categories=["a"])
+    assert rows(only, "tag_id") == []
+
+
+def test_numbering_leaves_nothing_cached(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(50)], "k string")
+    ids = silver.number_new(df, "k", 10, "id", partitions=4)
+    assert [r.id for r in ids.orderBy("k").collect()] == list(range(11, 61)) == [r.id for r in ids.orderBy("k").collect()]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_floor_grows_by_page(spark):
+    sizes = {0: [1.0, 2.0], 1: [1.0], 2: [3.9, 3.5, 1.0], 3: [3.0, 3.5, 9.0], 4: [10.2], 5: [12.0, 13.5], 6: [20.0]}
+    df = spark.createDataFrame([(1, p, s) for p, page in sizes.items() for s in page], "market_id int, page int, size double")
+    got = rows(bronze.growing_floor(df).select("page", "size", "floor"))
+    assert got == [(0, 1.0, 0.0), (0, 2.0, 0.0), (1, 1.0, 0.0), (2, 1.0, 0.0), (2, 3.5, 0.0), (2, 3.9, 0.0), (3, 3.5, 3.0), (3, 9.0, 3.0), (4, 10.2, 3.0), (5, 13.5, 13.0), (6, 20.0, 13.0)]
+
+
+def test_only_the_middle_tier_switches(spark, tmp_path):
+    prices = [(m, v, p) for m, v in ((1, 5e3), (2, 5e4), (3, 5e5), (4, 1e4), (5, 1e5)) for p in (1.0, 1.05)] + [(6, 5e4, 1.0), (6, 5e4, 1.049), (7, 5e4, 0.0), (7, 5e4, 1.0)]
+    schema = "market_id long, volume double, price double"
+    spark.createDataFrame(prices, schema).write.parquet(f"{tmp_path}/in")
+    s = jobs.adaptive_switch(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema))
+    table = jobs.Versions(spark, f"{tmp_path}/out", s.schema)
+    jobs.upsert_stream(s, table, f"{tmp_path}/check", lambda old, new: new.unionByName(old.join(new, "market_id", "left_anti")), mode="update")
+    assert {r.market_id: r.minute for r in table.read().collect()} == {1: False, 2: True, 3: False, 4: True, 5: True, 6: False, 7: False}
+
+
+def test_a_load_stops_at_a_failed_blocking_step(spark):
+    from tallyforge.operators.load import Step, run_steps
+
+    bad = lambda t: spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    good = lambda t: spark.range(3)
+    tables, results = run_steps([Step("a", good, True), Step("b", bad, False), Step("c", lambda t: t["a"].where("id > 0"), True), Step("d", bad, True), Step("e", good, False)])
+    assert [(r.name, r.status) for r in results] == [("a", "loaded"), ("b", "failed"), ("c", "loaded"), ("d", "failed"), ("e", "skipped")]
+    assert tables["c"].count() == 2 and "no" in results[1].error and set(tables) == {"a", "c"}
+
+
+def test_cursors_and_categories(spark):
+    from tallyforge.functions.columns import decode_cursor, encode_cursor
+
+    df = spark.createDataFrame([(0,), (1000,), (62,), (None,)], "n long")
+    assert [tuple(r) for r in df.select(encode_cursor("n").alias("c")).select("c", decode_cursor("c")).collect()] == [("MA==", 0), ("MTAwMA==", 1000), ("NjI=", 62), (None, None)]
+    df = spark.createDataFrame([('["a","b"]',), (None,), ("",), ("[bad",), ("7",), ('{"a":1}',)], "categories string")
+    assert [r.categories for r in tags.tag_categories(df).collect()] == [["a", "b"], [], [], [], [], []]
