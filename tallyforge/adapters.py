@@ -98,7 +98,7 @@ def oracle(sql: str) -> str:
         if re.search(rf"\b{name}\b", sql):
             need(name)
     ctes = [f"{n} AS ({re.sub(r'{(\w+)}', r'\1', VIEWS[n]).strip()})" for n in order]
-    own = re.match(r"\s*WITH\s+", sql)
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql)
     if own:
-        return f"WITH {', '.join([*ctes, ''])}{sql[own.end():]}"
+        return f"WITH {own[1] or ''}{', '.join([*ctes, ''])}{sql[own.end():]}"
     return f"WITH {', '.join(ctes)} {sql}" if ctes else sql

@@ -68,7 +68,30 @@ query("trader_top_categories", f"WITH {ROLES} " + GROUPS.format(g="category", v=
 query("trader_top_tags", f"WITH {ROLES} " + GROUPS.format(g="tag", v=V, p=P, src="SELECT r.*, t.name AS tag FROM roles r JOIN market_tags g ON r.market_id = g.market_id JOIN tags t ON g.tag_id = t.tag_id WHERE t.is_active"))(
     lambda v: f.top_groups(done(v), v.market_tags.join(F.broadcast(v.tags.where("is_active").select("tag_id", F.col("name").alias("tag"))), "tag_id").select("market_id", "tag"), "tag")
 )
-query("trader_profile")(lambda v: f.trader_profile(v.traders, v.trades, v.market_tokens, v.markets, v.tags, v.market_tags))
+
+
+def profile(v):
+    """Profiles with the nested lists taken apart: names and profits in order of rank."""
+    p = f.trader_profile(v.traders, v.trades, v.market_tokens, v.markets, v.tags, v.market_tags)
+    lists = {f"{g}_{c}": F.col(f"top_{g}.{c}") for g, c in (("category", "category"), ("category", "total_pnl"), ("tag", "tag"), ("tag", "win_rate"))}
+    return p.withColumns(lists).drop("top_category", "top_tag")
+
+
+def top_lists(group, src, second):
+    return f"(SELECT person, list({group} ORDER BY rank) AS names, list({second} ORDER BY rank) AS numbers FROM (" + GROUPS.format(g=group, v=V, p=P, src=src) + ") q GROUP BY person)"
+
+
+query(
+    "trader_profile",
+    f"""WITH {ROLES} SELECT t.trader_id, t.wallet, a.* EXCLUDE (wallet), d.* EXCLUDE (wallet), l.pnl AS largest_pnl, l.market_id AS largest_market, a.trade_count IS NOT NULL AS found,
+ c.names AS category_category, c.numbers AS category_total_pnl, g.names AS tag_tag, g.numbers AS tag_win_rate
+ FROM traders t LEFT JOIN (SELECT wallet, count(*) AS trade_count, {V} AS volume, {V} / count(*)::DOUBLE AS avg_value, count(DISTINCT market_id) AS markets, count(CASE WHEN side = 'BUY' THEN 1 END) AS buys,
+  count(CASE WHEN side = 'SELL' THEN 1 END) AS sells, count(CASE WHEN side = 'BUY' THEN 1 END)::DOUBLE / count(*)::DOUBLE AS buy_ratio, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT CAST(ts AS DATE)) AS trading_days FROM trades GROUP BY wallet) a ON t.wallet = a.wallet
+ LEFT JOIN (SELECT wallet, count(*) AS resolved_trades, {P} AS total_pnl, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / count(*)::DOUBLE AS win_rate FROM done GROUP BY wallet) d ON t.wallet = d.wallet
+ LEFT JOIN (SELECT person, max(pnl) AS pnl, arg_max(market_id, (pnl, market_id)) AS market_id FROM roles GROUP BY person) l ON l.person = 'm' || t.trader_id
+ LEFT JOIN {top_lists("category", "SELECT r.*, m.category FROM roles r JOIN markets m ON r.market_id = m.market_id", "total_pnl")} c ON c.person = 'm' || t.trader_id
+ LEFT JOIN {top_lists("tag", "SELECT r.*, t.name AS tag FROM roles r JOIN market_tags g ON r.market_id = g.market_id JOIN tags t ON g.tag_id = t.tag_id WHERE t.is_active", "win_rate")} g ON g.person = 'm' || t.trader_id""",
+)(profile)
 query(
     "trader_roi",
     f"""WITH {DONE} SELECT a.*, d.pnl, d.stake, d.pnl / nullif(d.stake, 0) AS roi FROM (SELECT wallet, count(*)::DOUBLE / count(DISTINCT CAST(ts AS DATE))::DOUBLE AS trades_per_day FROM trades GROUP BY wallet) a
@@ -95,7 +118,12 @@ hourly AS (SELECT *, lag(price) OVER w AS before, lead(price) OVER w AS after FR
 infl AS (SELECT * FROM (SELECT token_id, bin, price, abs(after - before) / greatest(before, 0.001::DOUBLE) AS magnitude, CASE WHEN price - before > 0 THEN 'peak' ELSE 'trough' END AS kind
  FROM hourly WHERE (price - before) * (after - price) < 0) y WHERE magnitude >= 0.05)"""
 query("inflection_points", f"WITH {INFL} SELECT * FROM infl")(lambda v: f.inflections(v.prices))
-query("inflection_spaced")(lambda v: f.spaced(f.inflections(v.prices)))
+query(
+    "inflection_spaced",
+    f"""WITH RECURSIVE {INFL}, nxt AS (SELECT a.token_id, a.bin, min(b.bin) AS following FROM infl a LEFT JOIN infl b ON a.token_id = b.token_id AND b.bin >= a.bin + INTERVAL '6' HOUR GROUP BY a.token_id, a.bin),
+ s AS (SELECT token_id, min(bin) AS bin FROM infl GROUP BY token_id UNION ALL SELECT n.token_id, n.following FROM s JOIN nxt n ON s.token_id = n.token_id AND s.bin = n.bin WHERE n.following IS NOT NULL)
+ SELECT i.* FROM infl i JOIN s ON i.token_id = s.token_id AND i.bin = s.bin""",
+)(lambda v: f.spaced(f.inflections(v.prices)))
 query(
     "inflection_features",
     f"""WITH {INFL} SELECT t.token_id, coalesce(points, 0) AS points, coalesce(peaks, 0) AS peaks, coalesce(troughs, 0) AS troughs, coalesce(avg_magnitude, 0) AS avg_magnitude, coalesce(max_magnitude, 0) AS max_magnitude

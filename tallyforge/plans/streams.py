@@ -37,7 +37,7 @@ def stream_bronze_append(v):
     return ntz(v.spark.read.schema(s.schema).parquet(out))
 
 
-@query("stream_resume")
+@query("stream_resume", "SELECT token_id, ts, price, event_id FROM prices")
 def stream_resume(v):
     """Two runs over a growing directory; the second takes in the new files only."""
     landing, out, check = (new_dir(v.spark, n) for n in ("landing", "stream", "progress"))
@@ -55,6 +55,16 @@ def stream_upsert(v):
     return ntz(table.read())
 
 
+@query("stream_chain", "SELECT token_id, ts, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY ts DESC, event_id DESC) AS r FROM prices) x WHERE r = 1")
+def stream_chain(v):
+    """Appended to staging by one job, and put from there into the keyed table by the next, each with progress of its own."""
+    s = events(v)
+    staging, table = new_dir(v.spark, "staging"), j.Versions(v.spark, new_dir(v.spark, "silver"), s.schema)
+    j.append(s, staging, new_dir(v.spark, "progress"))
+    j.upsert_stream(j.source(v.spark, staging, s.schema), table, new_dir(v.spark, "progress"), j.newest_by(["token_id"], ["ts", "event_id"]))
+    return ntz(table.read())
+
+
 @query("stream_hourly_prices", "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS hour, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2")
 def stream_hourly_prices(v):
     s = events(v)
