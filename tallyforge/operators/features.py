@@ -25,14 +25,14 @@ def market_features(
         F.count("*").alias("token_count"), F.max(F.when(F.col("winner"), F.col("outcome"))).alias("winning_outcome"), F.bool_or("winner").alias("is_resolved")
     )
     roles = trades.select("market_id", F.explode(F.array(F.concat(F.lit("m"), "trader_id"), F.concat(F.lit("t"), "taker_id"))).alias("who"))
-    per_trade = trades.groupBy("market_id").agg(F.count("*").alias("trade_count"))
-    people = roles.groupBy("market_id").agg(F.count_distinct("who").alias("unique_traders"))
+    # Each trade has two roles, so one pass counts trades and people.
+    people = roles.groupBy("market_id").agg(F.count_distinct("who").alias("unique_traders"), F.floor(F.count("*") / 2).alias("trade_count"))
     if category is not None:
         markets = markets.where(F.col("category") == category)
     if closed_only:
         markets = markets.where("closed")
     out = (
-        markets.join(per_token, "market_id", "left").join(per_trade, "market_id", "left").join(people, "market_id", "left")
+        markets.join(per_token, "market_id", "left").join(people, "market_id", "left")
         .withColumn("duration_days", F.datediff("end_ts", "start_ts"))
         .fillna(0, ["token_count", "trade_count", "unique_traders"]).withColumn("is_resolved", F.coalesce("is_resolved", F.lit(False)))
     )

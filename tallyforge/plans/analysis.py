@@ -27,12 +27,16 @@ def part(cond):
 TC = "tc AS (SELECT t.*, m.category FROM trades t JOIN markets m ON t.market_id = m.market_id)"
 PER = f"{TC}, per AS (SELECT category, wallet, count(*) AS trades, {V} AS volume FROM tc GROUP BY 1, 2)"
 
-query("trade_stats", f"SELECT count(*) AS trades, count(DISTINCT wallet) AS traders, count(DISTINCT market_id) AS markets, min(ts) AS first_ts, max(ts) AS last_ts, {V} AS volume FROM trades")(
-    lambda v: a.trade_stats(v.trades)
-)
-query("top_traders", f"SELECT wallet, count(*) AS trades, {V} AS volume, {AVG} AS avg_value, count(DISTINCT market_id) AS markets FROM trades GROUP BY wallet ORDER BY volume DESC, wallet LIMIT 50")(
-    lambda v: a.top_traders(v.trades)
-)
+query(
+    "trade_stats",
+    f"""SELECT count(*) AS trades, count(DISTINCT wallet) AS traders, count(DISTINCT market_id) AS markets, min(ts) AS first_ts, max(ts) AS last_ts, {V} AS volume
+ FROM trades""",
+)(lambda v: a.trade_stats(v.trades))
+query(
+    "top_traders",
+    f"""SELECT wallet, count(*) AS trades, {V} AS volume, {AVG} AS avg_value, count(DISTINCT market_id) AS markets FROM trades GROUP BY wallet
+ ORDER BY volume DESC, wallet LIMIT 50""",
+)(lambda v: a.top_traders(v.trades))
 IN = f"SELECT wallet, count(*) AS trades, {V} AS volume, {part(chr(39).join(['side = ', 'BUY', '']))} AS bought, {part(chr(39).join(['side = ', 'SELL', '']))} AS sold FROM trades WHERE ts %s {AT} GROUP BY wallet ORDER BY volume DESC, wallet LIMIT 25"
 query("top_traders_before", IN % "<")(lambda v: a.top_traders_in(v.trades, end=split()))
 query("top_traders_after", IN % ">=")(lambda v: a.top_traders_in(v.trades, start=split()))
@@ -43,14 +47,20 @@ query(
  {part('ts < ' + AT)} AS volume_before, {part('ts >= ' + AT)} AS volume_after FROM trades GROUP BY wallet) x
  WHERE trades_before + trades_after > 10 ORDER BY volume_before + volume_after DESC, wallet LIMIT 30""",
 )(lambda v: a.before_after(v.trades, split()))
-query("category_counts", "SELECT category, count(*) AS markets FROM markets WHERE category <> '' GROUP BY category")(lambda v: a.category_counts(v.markets))
+query(
+    "category_counts",
+    "SELECT category, count(*) AS markets FROM markets WHERE category <> '' GROUP BY category",
+)(lambda v: a.category_counts(v.markets))
 query(
     "category_stats",
-    f"WITH {TC} SELECT category, count(*) AS trades, count(DISTINCT wallet) AS traders, count(DISTINCT market_id) AS markets, {V} AS volume, {AVG} AS avg_value FROM tc GROUP BY category HAVING count(*) >= 10",
+    f"""WITH {TC}
+ SELECT category, count(*) AS trades, count(DISTINCT wallet) AS traders, count(DISTINCT market_id) AS markets, {V} AS volume, {AVG} AS avg_value
+ FROM tc GROUP BY category HAVING count(*) >= 10""",
 )(lambda v: a.category_stats(v.trades, v.markets))
-query("top5_per_category", f"WITH {PER} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY volume DESC, wallet) AS rank FROM per) x WHERE rank <= 5")(
-    lambda v: a.top_per_category(v.trades, v.markets)
-)
+query(
+    "top5_per_category",
+    f"WITH {PER} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY volume DESC, wallet) AS rank FROM per) x WHERE rank <= 5",
+)(lambda v: a.top_per_category(v.trades, v.markets))
 query("traders_by_category", f"WITH {PER} SELECT * FROM per")(lambda v: a.by_category(v.trades, v.markets))
 PERIOD = f"{TC}, period AS (SELECT category, CASE WHEN ts < {AT} THEN 'before' ELSE 'after' END AS period, count(*) AS trades, count(DISTINCT wallet) AS traders, {V} AS volume FROM tc GROUP BY 1, 2)"
 query("category_period", f"WITH {PERIOD} SELECT * FROM period")(lambda v: a.category_period(v.trades, v.markets, split()))
@@ -64,20 +74,34 @@ query(
  SELECT *, CAST(sum(CAST(volume AS DECIMAL(18,4))) OVER (PARTITION BY wallet) AS DOUBLE) AS total_volume FROM per) x
  WHERE volume / total_volume > 0.5 AND total_volume > 1000 ORDER BY volume DESC, wallet, category LIMIT 30""",
 )(lambda v: a.specialists(v.trades, v.markets))
-query("period_totals", f"SELECT count(CASE WHEN ts < {AT} THEN 1 END) AS before, count(CASE WHEN ts >= {AT} THEN 1 END) AS after FROM trades")(lambda v: a.period_totals(v.trades, split()))
+query(
+    "period_totals",
+    f"SELECT count(CASE WHEN ts < {AT} THEN 1 END) AS before, count(CASE WHEN ts >= {AT} THEN 1 END) AS after FROM trades",
+)(lambda v: a.period_totals(v.trades, split()))
 query(
     "short_wallet",
     "SELECT wallet, left(w, 8) || '...' || right(w, 6) AS short FROM (SELECT wallet, '0x' || sha256(wallet) AS w FROM traders) x",
 )(lambda v: v.traders.select("wallet", short_wallet(F.concat(F.lit("0x"), F.sha2("wallet", 256))).alias("short")))
-query("explore_totals", "SELECT count(DISTINCT wallet) AS wallets, count(DISTINCT (wallet, ts)) AS transactions, CAST(sum(CAST(size AS DECIMAL(18,4))) AS DOUBLE) / 1e6 AS size_millions FROM trades")(
+query(
+    "explore_totals",
+    """SELECT count(DISTINCT wallet) AS wallets, count(DISTINCT (wallet, ts)) AS transactions, CAST(sum(CAST(size AS DECIMAL(18,4))) AS DOUBLE) / 1e6 AS size_millions
+ FROM trades""",
+)(
     lambda v: v.trades.agg(F.count_distinct("wallet").alias("wallets"), F.count_distinct("wallet", "ts").alias("transactions"), (money_sum("size") / 1e6).alias("size_millions"))
 )
-query("distinct_trade_value", f"SELECT count(*) AS trades, {V} AS value FROM (SELECT DISTINCT wallet, market_id, ts, price, size FROM trades) x")(lambda v: a.distinct_trade_value(v.trades))
+query(
+    "distinct_trade_value",
+    f"SELECT count(*) AS trades, {V} AS value FROM (SELECT DISTINCT wallet, market_id, ts, price, size FROM trades) x",
+)(lambda v: a.distinct_trade_value(v.trades))
 query(
     "trade_market_sample",
-    "SELECT ts, wallet, t.market_id, side, price, size, outcome, question, category FROM trades t JOIN markets m ON t.market_id = m.market_id WHERE outcome IS NOT NULL AND active ORDER BY ALL LIMIT 100",
+    """SELECT ts, wallet, t.market_id, side, price, size, outcome, question, category FROM trades t JOIN markets m ON t.market_id = m.market_id
+ WHERE outcome IS NOT NULL AND active ORDER BY ALL LIMIT 100""",
 )(lambda v: a.market_sample(v.trades, v.markets))
-query("token_market_join", "SELECT t.token_id, t.outcome, m.question FROM market_tokens t LEFT JOIN (SELECT * FROM markets WHERE active) m ON t.market_id = m.market_id")(
+query(
+    "token_market_join",
+    "SELECT t.token_id, t.outcome, m.question FROM market_tokens t LEFT JOIN (SELECT * FROM markets WHERE active) m ON t.market_id = m.market_id",
+)(
     lambda v: v.market_tokens.join(v.markets.where("active").select("market_id", "question"), "market_id", "left").select("token_id", "outcome", "question")
 )
 query(
@@ -85,8 +109,12 @@ query(
     f"""SELECT market_id, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS trades, {V} AS volume, count(DISTINCT wallet) AS traders,
  arg_min(price, (ts, price, size, wallet)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, price, size, wallet)) AS close FROM trades GROUP BY 1, 2""",
 )(lambda v: a.daily_market_summary(v.trades))
-query("traders_both_periods", f"SELECT wallet FROM trades WHERE ts < {AT} INTERSECT SELECT wallet FROM trades WHERE ts >= {AT}")(lambda v: a.both_periods(v.trades, split()))
+query(
+    "traders_both_periods",
+    f"SELECT wallet FROM trades WHERE ts < {AT} INTERSECT SELECT wallet FROM trades WHERE ts >= {AT}",
+)(lambda v: a.both_periods(v.trades, split()))
 query(
     "category_rollup",
-    f"WITH {TC}, x AS (SELECT category, CAST(date_trunc('month', ts) AS DATE) AS month, price, size FROM tc) SELECT category, month, grouping(category, month) AS level, count(*) AS trades, {V} AS volume FROM x GROUP BY ROLLUP (category, month)",
+    f"""WITH {TC}, x AS (SELECT category, CAST(date_trunc('month', ts) AS DATE) AS month, price, size FROM tc)
+ SELECT category, month, grouping(category, month) AS level, count(*) AS trades, {V} AS volume FROM x GROUP BY ROLLUP (category, month)""",
 )(lambda v: a.category_rollup(v.trades, v.markets))

@@ -55,13 +55,19 @@ def bt_sources(v):
 
 
 query("bt_top_users", f"WITH {USERS} SELECT * FROM users")(lambda v: b.top_users(v.leaderboard))
-query("bt_user_trades", f"WITH {COPIED} SELECT wallet, market_id, side, price, size, ts, user_rank, user_pnl FROM copied")(
+query(
+    "bt_user_trades",
+    f"WITH {COPIED} SELECT wallet, market_id, side, price, size, ts, user_rank, user_pnl FROM copied",
+)(
     lambda v: b.user_trades(v.trades, b.top_users(v.leaderboard)).select("wallet", "market_id", "side", "price", "size", "ts", "user_rank", "user_pnl")
 )
 query("bt_resolution", f"WITH {RESOLVED} SELECT * FROM resolved")(lambda v: b.resolution(v.markets))
 query("bt_trades", BT + "SELECT * FROM bt")(bt)
 query("bt_user_summary", BT + f"SELECT wallet, {SUMMARY} FROM bt GROUP BY wallet")(lambda v: b.summary(bt(v), "wallet"))
-query("bt_category", BT + f"SELECT category, {SUMMARY} FROM bt WHERE category IS NOT NULL GROUP BY category")(lambda v: b.summary(bt(v).where("category is not null"), "category"))
+query(
+    "bt_category",
+    BT + f"SELECT category, {SUMMARY} FROM bt WHERE category IS NOT NULL GROUP BY category",
+)(lambda v: b.summary(bt(v).where("category is not null"), "category"))
 SD = "sqrt(greatest((CAST(sum(CAST(CAST(pnl AS DECIMAL(18,4)) * CAST(pnl AS DECIMAL(18,4)) AS DECIMAL(38,10))) AS DOUBLE) - {s} * {s} / count(pnl)::DOUBLE) / nullif(count(pnl)::DOUBLE - 1, 0), 0))".format(s=SUM_PNL)
 query(
     "bt_overall",

@@ -35,14 +35,22 @@ def done(v):
 
 
 query("market_features", f"WITH {MARKET} SELECT * FROM mf")(mf)
-query("market_features_closed", f"WITH {MARKET} SELECT * FROM mf WHERE closed AND is_resolved AND category = 'PROMO'")(lambda v: mf(v, category="PROMO", closed_only=True, resolved_only=True))
-query("market_features_by_tag", f"WITH {MARKET} SELECT * FROM mf WHERE market_id IN (SELECT market_id FROM market_tags g JOIN tags t ON g.tag_id = t.tag_id WHERE t.name = (SELECT min(n_name) FROM nation WHERE n_nationkey = 3))")(
-    lambda v: f.by_tag(mf(v), v.market_tags, v.tags.where("tag_id = 3").select("tag_id", F.lit("x").alias("name")), "x")
-)
+query(
+    "market_features_closed",
+    f"WITH {MARKET} SELECT * FROM mf WHERE closed AND is_resolved AND category = 'PROMO'",
+)(lambda v: mf(v, category="PROMO", closed_only=True, resolved_only=True))
+query(
+    "market_features_by_tag",
+    f"""WITH {MARKET} SELECT * FROM mf WHERE market_id IN (SELECT market_id FROM market_tags g JOIN tags t ON g.tag_id = t.tag_id
+ WHERE t.name = (SELECT min(n_name) FROM nation WHERE n_nationkey = 3))""",
+)(lambda v: f.by_tag(mf(v), v.market_tags, v.tags.where("tag_id = 3").select("tag_id", F.lit("x").alias("name")), "x"))
 TOP = "SELECT * FROM (SELECT market_id, wallet, {m} AS {n}, row_number() OVER (PARTITION BY market_id ORDER BY {m} DESC, wallet) AS rank FROM {t} GROUP BY market_id, wallet) x WHERE rank <= 10"
 query("top_traders_volume", TOP.format(m=V, n="volume", t="trades"))(lambda v: f.top_per_market(v.trades, money_sum(value()), "volume"))
 query("top_traders_count", TOP.format(m="count(*)", n="trades", t="trades"))(lambda v: f.top_per_market(v.trades, F.count("*"), "trades"))
-query("top_traders_pnl", f"WITH {DONE} " + TOP.format(m=P, n="total_pnl", t="done"))(lambda v: f.top_per_market(done(v), money_sum("pnl"), "total_pnl"))
+query(
+    "top_traders_pnl",
+    f"WITH {DONE} " + TOP.format(m=P, n="total_pnl", t="done"),
+)(lambda v: f.top_per_market(done(v), money_sum("pnl"), "total_pnl"))
 query(
     "market_features_top_list",
     f"WITH {MARKET}, r AS (" + TOP.format(m=V, n="volume", t="trades") + ") SELECT mf.*, coalesce(l.top_traders, []) AS top_traders FROM mf LEFT JOIN (SELECT market_id, list(wallet ORDER BY rank) AS top_traders FROM r GROUP BY market_id) l ON mf.market_id = l.market_id",
@@ -53,19 +61,30 @@ query(
  count(CASE WHEN side = 'BUY' THEN 1 END) AS buys, count(CASE WHEN side = 'SELL' THEN 1 END) AS sells, count(CASE WHEN side = 'BUY' THEN 1 END)::DOUBLE / count(*)::DOUBLE AS buy_ratio,
  min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT CAST(ts AS DATE)) AS trading_days FROM trades GROUP BY wallet HAVING count(*) >= 5) x JOIN traders t ON x.wallet = t.wallet""",
 )(lambda v: f.trader_features(v.traders, v.trades, 5))
-query("trader_performance", f"WITH {DONE} SELECT wallet, count(*) AS resolved_trades, {P} AS total_pnl, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / count(*)::DOUBLE AS win_rate FROM done GROUP BY wallet HAVING count(*) >= 5")(
-    lambda v: f.trader_performance(done(v))
-)
+query(
+    "trader_performance",
+    f"""WITH {DONE}
+ SELECT wallet, count(*) AS resolved_trades, {P} AS total_pnl, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / count(*)::DOUBLE AS win_rate
+ FROM done GROUP BY wallet HAVING count(*) >= 5""",
+)(lambda v: f.trader_performance(done(v)))
 query(
     "best_trades",
-    f"WITH {ROLES} SELECT person, rank, market_id, token_id, side, price, size, ts, pnl FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY pnl DESC, ts, market_id, token_id, side, price, size) AS rank FROM roles) x WHERE rank <= 5",
+    f"""WITH {ROLES} SELECT person, rank, market_id, token_id, side, price, size, ts, pnl FROM (SELECT *, row_number() OVER (PARTITION BY person
+ ORDER BY pnl DESC, ts, market_id, token_id, side, price, size) AS rank FROM roles) x WHERE rank <= 5""",
 )(lambda v: f.best_trades(done(v)))
-query("largest_return", f"WITH {ROLES} SELECT person, max(pnl) AS pnl, arg_max(market_id, (pnl, market_id)) AS market_id FROM roles GROUP BY person")(lambda v: f.largest_return(done(v)))
+query(
+    "largest_return",
+    f"WITH {ROLES} SELECT person, max(pnl) AS pnl, arg_max(market_id, (pnl, market_id)) AS market_id FROM roles GROUP BY person",
+)(lambda v: f.largest_return(done(v)))
 GROUPS = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY total_pnl DESC, {g}) AS rank FROM (SELECT person, {g}, count(*) AS trades, {v} AS volume, {p} AS total_pnl, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / count(*)::DOUBLE AS win_rate FROM ({src}) s GROUP BY person, {g}) x) y WHERE rank <= 3"
-query("trader_top_categories", f"WITH {ROLES} " + GROUPS.format(g="category", v=V, p=P, src="SELECT r.*, m.category FROM roles r JOIN markets m ON r.market_id = m.market_id"))(
-    lambda v: f.top_groups(done(v), v.markets.select("market_id", "category"), "category")
-)
-query("trader_top_tags", f"WITH {ROLES} " + GROUPS.format(g="tag", v=V, p=P, src="SELECT r.*, t.name AS tag FROM roles r JOIN market_tags g ON r.market_id = g.market_id JOIN tags t ON g.tag_id = t.tag_id WHERE t.is_active"))(
+query(
+    "trader_top_categories",
+    f"WITH {ROLES} " + GROUPS.format(g="category", v=V, p=P, src="SELECT r.*, m.category FROM roles r JOIN markets m ON r.market_id = m.market_id"),
+)(lambda v: f.top_groups(done(v), v.markets.select("market_id", "category"), "category"))
+query(
+    "trader_top_tags",
+    f"WITH {ROLES} " + GROUPS.format(g="tag", v=V, p=P, src="SELECT r.*, t.name AS tag FROM roles r JOIN market_tags g ON r.market_id = g.market_id JOIN tags t ON g.tag_id = t.tag_id WHERE t.is_active"),
+)(
     lambda v: f.top_groups(done(v), v.market_tags.join(F.broadcast(v.tags.where("is_active").select("tag_id", F.col("name").alias("tag"))), "tag_id").select("market_id", "tag"), "tag")
 )
 
@@ -143,24 +162,33 @@ query(
 )(lambda v: f.twap(v.prices))
 MA = "SELECT token_id, bin, CAST(sum(CAST({x} AS DECIMAL(18,6))) OVER w AS DOUBLE) / count(*) OVER w AS {n} FROM {src} x WINDOW w AS (PARTITION BY token_id ORDER BY bin ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
 query("price_moving_avg", MA.format(x="price", n="moving_avg", src=BIN.format(u="hour"), k=23))(lambda v: f.moving_average(v.prices))
-query("price_atr", MA.format(x="hi - lo", n="atr", src="(SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS bin, max(price) AS hi, min(price) AS lo FROM prices GROUP BY 1, 2)", k=13))(
-    lambda v: f.average_true_range(v.prices)
-)
+query(
+    "price_atr",
+    MA.format(x="hi - lo", n="atr", src="(SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS bin, max(price) AS hi, min(price) AS lo FROM prices GROUP BY 1, 2)", k=13),
+)(lambda v: f.average_true_range(v.prices))
 query(
     "price_asof",
     """WITH u AS (SELECT token_id, event_id AS trade_id, ts FROM prices WHERE event_id % 3 = 0), p AS (SELECT * FROM prices WHERE event_id % 3 <> 0)
  SELECT u.token_id, u.trade_id, u.ts, arg_max(p.price, (p.ts, p.event_id)) AS asof_price FROM u LEFT JOIN p ON u.token_id = p.token_id AND p.ts <= u.ts GROUP BY 1, 2, 3""",
-)(lambda v: f.price_asof(v.prices.where("event_id % 3 = 0").select("token_id", F.col("event_id").alias("trade_id"), "ts"), v.prices.where("event_id % 3 <> 0")))
+)(
+    lambda v: f.price_asof(v.prices.where("event_id % 3 = 0").select("token_id", F.col("event_id").alias("trade_id"), "ts"), v.prices.where("event_id % 3 <> 0"))
+)
 query(
     "tag_statistics",
-    "SELECT t.tag_id, t.name, coalesce(k.n, 0) AS markets, coalesce(k.n, 0)::DOUBLE / (SELECT count(*) FROM markets)::DOUBLE * 100 AS coverage_pct FROM tags t LEFT JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM market_tags GROUP BY tag_id) k ON t.tag_id = k.tag_id WHERE t.is_active",
+    """SELECT t.tag_id, t.name, coalesce(k.n, 0) AS markets, coalesce(k.n, 0)::DOUBLE / (SELECT count(*)
+ FROM markets)::DOUBLE * 100 AS coverage_pct FROM tags t LEFT JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM market_tags
+ GROUP BY tag_id) k ON t.tag_id = k.tag_id WHERE t.is_active""",
 )(lambda v: f.tag_statistics(v.markets, v.market_tags, v.tags))
 TAG_IDS = [0, 3, 7, 11, 19]
 query(
     "tag_one_hot",
     "SELECT m.market_id, " + ", ".join(f"CAST(coalesce(max(CASE WHEN t.tag_id = {i} THEN 1 END), 0) AS BIGINT) AS tag_t{i}" for i in TAG_IDS) + ", count(DISTINCT t.tag_id) AS tag_count FROM markets m LEFT JOIN market_tags g ON m.market_id = g.market_id LEFT JOIN tags t ON g.tag_id = t.tag_id AND t.is_active GROUP BY m.market_id",
-)(lambda v: f.tag_one_hot(v.markets, v.market_tags, v.tags.select("tag_id", F.concat(F.lit("t"), "tag_id").alias("name"), "is_active"), [f"t{i}" for i in TAG_IDS]))
+)(
+    lambda v: f.tag_one_hot(v.markets, v.market_tags, v.tags.select("tag_id", F.concat(F.lit("t"), "tag_id").alias("name"), "is_active"), [f"t{i}" for i in TAG_IDS])
+)
 query(
     "tag_confidence",
-    "SELECT m.market_id, g.market_id IS NOT NULL AS has_tag, h.consensus, h.human_decision, h.decided_by FROM markets m LEFT JOIN (SELECT DISTINCT market_id FROM market_tags WHERE tag_id = 3) g ON m.market_id = g.market_id LEFT JOIN (SELECT * FROM history WHERE tag_id = 3) h ON m.market_id = h.market_id",
+    """SELECT m.market_id, g.market_id IS NOT NULL AS has_tag, h.consensus, h.human_decision, h.decided_by FROM markets m LEFT
+ JOIN (SELECT DISTINCT market_id FROM market_tags WHERE tag_id = 3) g ON m.market_id = g.market_id LEFT JOIN (SELECT * FROM history
+ WHERE tag_id = 3) h ON m.market_id = h.market_id""",
 )(lambda v: f.tag_confidence(v.markets, v.market_tags, v.history, 3))

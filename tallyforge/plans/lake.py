@@ -62,11 +62,20 @@ query(
     """SELECT CAST(market_id AS VARCHAR) AS id, condition_id, question, 'slug-' || market_id AS slug, category, outcomes, outcome_prices AS outcomePrices, '["' || market_id || '-yes","' || market_id || '-no"]' AS clobTokenIds,
  active, closed, volume AS volume_num, 0::DOUBLE AS liquidity_num, CASE WHEN market_id % 2 = 0 THEN market_id % 7 ELSE 0 END AS market_group FROM markets""",
 )(lambda v: b.market_record(parsed(v)))
-query("gamma_events", "SELECT CAST(market_id AS VARCHAR) AS market_id, CAST(market_id * 10 AS VARCHAR) AS event_id, 'T' AS ticker, 's' AS slug, question AS title, NULL AS category, volume, TRUE AS active, FALSE AS closed FROM markets WHERE market_id % 2 = 0")(
-    lambda v: b.events(parsed(v))
-)
-query("gamma_categories", "SELECT CAST(market_id AS VARCHAR) AS market_id, CAST(market_id % 6 AS VARCHAR) AS category_id, category AS label, 'root' AS parent_category, lower(category) AS slug FROM markets")(lambda v: b.categories(parsed(v)))
-query("gamma_fanout_counts", "SELECT count(*) AS markets, count(CASE WHEN market_id % 2 = 0 THEN 1 END) AS events, count(*) AS categories FROM markets")(lambda v: b.fanout_counts(parsed(v)))
+query(
+    "gamma_events",
+    """SELECT CAST(market_id AS VARCHAR) AS market_id, CAST(market_id * 10 AS VARCHAR) AS event_id, 'T' AS ticker, 's' AS slug, question AS title, NULL AS category, volume, TRUE AS active, FALSE AS closed
+ FROM markets WHERE market_id % 2 = 0""",
+)(lambda v: b.events(parsed(v)))
+query(
+    "gamma_categories",
+    """SELECT CAST(market_id AS VARCHAR) AS market_id, CAST(market_id % 6 AS VARCHAR) AS category_id, category AS label, 'root' AS parent_category, lower(category) AS slug
+ FROM markets""",
+)(lambda v: b.categories(parsed(v)))
+query(
+    "gamma_fanout_counts",
+    "SELECT count(*) AS markets, count(CASE WHEN market_id % 2 = 0 THEN 1 END) AS events, count(*) AS categories FROM markets",
+)(lambda v: b.fanout_counts(parsed(v)))
 
 
 def histories(v):
@@ -81,7 +90,10 @@ def histories(v):
 
 
 query("normalize_prices", "SELECT token_id, CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, price FROM prices")(lambda v: b.price_points(histories(v)))
-query("dedupe_pages", "SELECT condition_id AS key, min(market_id * 2) AS pos FROM markets GROUP BY condition_id")(
+query(
+    "dedupe_pages",
+    "SELECT condition_id AS key, min(market_id * 2) AS pos FROM markets GROUP BY condition_id",
+)(
     lambda v: b.dedupe_pages(
         v.markets.selectExpr("CASE WHEN market_id % 2 = 0 THEN condition_id ELSE '' END AS condition_id", "condition_id AS conditionId", "explode(array(market_id * 2, market_id * 2 + 1)) AS pos"), ["pos"]
     ).select("key", "pos")
@@ -89,7 +101,9 @@ query("dedupe_pages", "SELECT condition_id AS key, min(market_id * 2) AS pos FRO
 query(
     "clean_token_ids",
     """SELECT market_id, list_filter(CASE market_id % 3 WHEN 0 THEN ['tok' || market_id, 'n' || market_id] WHEN 1 THEN ['a' || market_id] ELSE [] END, lambda x: length(x) >= 3) AS ids FROM markets""",
-)(lambda v: v.markets.select("market_id", raw_ids(F.col("market_id")).alias("raw")).select("market_id", b.clean_token_ids("raw").alias("ids")))
+)(
+    lambda v: v.markets.select("market_id", raw_ids(F.col("market_id")).alias("raw")).select("market_id", b.clean_token_ids("raw").alias("ids"))
+)
 
 
 def raw_ids(i):
@@ -99,9 +113,11 @@ def raw_ids(i):
     return F.when(i % 3 == 0, array).when(i % 3 == 1, F.concat(F.lit("[a"), text, F.lit(",'y']"))).otherwise(F.lit('{"bad":'))
 
 
-query("leaderboard_coverage", "SELECT category, time_period FROM (SELECT DISTINCT category FROM markets) c, (SELECT unnest(['DAY', 'WEEK', 'MONTH', 'ALL']) AS time_period) p WHERE NOT (category = 'PROMO' AND time_period = 'DAY')")(
-    lambda v: _coverage(v)
-)
+query(
+    "leaderboard_coverage",
+    """SELECT category, time_period FROM (SELECT DISTINCT category
+ FROM markets) c, (SELECT unnest(['DAY', 'WEEK', 'MONTH', 'ALL']) AS time_period) p WHERE NOT (category = 'PROMO' AND time_period = 'DAY')""",
+)(lambda v: _coverage(v))
 
 
 def _coverage(v):
@@ -109,13 +125,17 @@ def _coverage(v):
     return b.coverage_gaps(present, v.markets.select("category"), ["DAY", "WEEK", "MONTH", "ALL"])
 
 
-query("wrap_raw_trades", "SELECT wallet, side, price, size, count(*) AS n FROM trades GROUP BY ALL")(
+query(
+    "wrap_raw_trades",
+    "SELECT wallet, side, price, size, count(*) AS n FROM trades GROUP BY ALL",
+)(
     lambda v: b.wrap_raw(v.trades.select("wallet", "side", "price", "size"), "wallet", now())
     .select("wallet", F.from_json("raw_json", "side string, price double, size double").alias("j")).groupBy("wallet", "j.side", "j.price", "j.size").agg(F.count("*").alias("n"))
 )
 query(
     "median_size_floor",
-    "WITH f AS (SELECT market_id, list_sort(list(size))[(count(*) // 2 + 1)::BIGINT] AS floor FROM trades GROUP BY market_id) SELECT t.market_id, f.floor, count(*) AS trades FROM trades t JOIN f ON t.market_id = f.market_id WHERE size > floor GROUP BY 1, 2",
+    """WITH f AS (SELECT market_id, list_sort(list(size))[(count(*) // 2 + 1)::BIGINT] AS floor FROM trades GROUP BY market_id)
+ SELECT t.market_id, f.floor, count(*) AS trades FROM trades t JOIN f ON t.market_id = f.market_id WHERE size > floor GROUP BY 1, 2""",
 )(lambda v: b.median_floor(v.trades).groupBy("market_id", "floor").agg(F.count("*").alias("trades")))
 PAGED = "SELECT *, (row_number() OVER (PARTITION BY market_id ORDER BY ts, wallet, price, size, taker_id, side, token_id) - 1) // 5 AS page FROM trades"
 query(
@@ -132,9 +152,10 @@ def pages(v):
     return v.trades.withColumn("page", F.floor((F.row_number().over(order) - 1) / 5).cast("int"))
 
 
-query("volume_tier", "SELECT market_id, CASE WHEN volume * 50 < 10000 THEN 'low' WHEN volume * 50 > 100000 THEN 'high' ELSE 'mid' END AS tier FROM markets")(
-    lambda v: v.markets.select("market_id", volume_tier(F.col("volume") * 50).alias("tier"))
-)
+query(
+    "volume_tier",
+    "SELECT market_id, CASE WHEN volume * 50 < 10000 THEN 'low' WHEN volume * 50 > 100000 THEN 'high' ELSE 'mid' END AS tier FROM markets",
+)(lambda v: v.markets.select("market_id", volume_tier(F.col("volume") * 50).alias("tier")))
 CHUNK = "SELECT token_id AS market_id, date_trunc('day', ts)::TIMESTAMP AS chunk, min(price) AS lo, max(price) AS hi FROM prices GROUP BY 1, 2"
 
 
@@ -150,13 +171,31 @@ query(
 )(lambda v: b.adaptive_resolution(chunks(v), F.col("market_id") * 2000))
 query(
     "chunk_calendar",
-    "SELECT market_id, chunk_start, least(chunk_start + INTERVAL '240' HOUR, end_ts) AS chunk_end FROM (SELECT market_id, end_ts, unnest(generate_series(start_ts, end_ts, INTERVAL '240' HOUR)) AS chunk_start FROM markets) x WHERE chunk_start < end_ts",
+    """SELECT market_id, chunk_start, least(chunk_start + INTERVAL '240' HOUR, end_ts) AS chunk_end
+ FROM (SELECT market_id, end_ts, unnest(generate_series(start_ts, end_ts, INTERVAL '240' HOUR)) AS chunk_start FROM markets) x
+ WHERE chunk_start < end_ts""",
 )(lambda v: b.chunk_calendar(v.markets, 240).select("market_id", "chunk_start", "chunk_end"))
-query("earliest_price", "SELECT token_id, min(ts) AS first_ts, arg_min(price, (ts, event_id)) AS first_price, CAST(date_trunc('month', min(ts)) AS DATE) AS month FROM prices GROUP BY token_id")(lambda v: b.earliest_price(v.prices))
-query("active_markets", "SELECT market_id, end_ts FROM markets WHERE active AND end_ts >= TIMESTAMP '1997-01-20'")(lambda v: b.active_markets(v.markets, F.expr("TIMESTAMP_NTZ '1997-01-20 00:00:00'")).select("market_id", "end_ts"))
-query("inactive_markets", "SELECT market_id, end_ts FROM markets WHERE NOT active AND volume <> 0 ORDER BY end_ts DESC, market_id LIMIT 100")(lambda v: b.inactive_markets(v.markets).select("market_id", "end_ts"))
-query("token_prefix_lookup", "SELECT wallet, name FROM traders WHERE starts_with(wallet, 'w12')")(lambda v: v.traders.where(F.col("wallet").startswith("w12")).select("wallet", "name"))
-query("top_volume_markets", "SELECT market_id, round(volume * 1000) AS v FROM markets ORDER BY v DESC, market_id LIMIT 20")(
+query(
+    "earliest_price",
+    """SELECT token_id, min(ts) AS first_ts, arg_min(price, (ts, event_id)) AS first_price, CAST(date_trunc('month', min(ts)) AS DATE) AS month
+ FROM prices GROUP BY token_id""",
+)(lambda v: b.earliest_price(v.prices))
+query(
+    "active_markets",
+    "SELECT market_id, end_ts FROM markets WHERE active AND end_ts >= TIMESTAMP '1997-01-20'",
+)(lambda v: b.active_markets(v.markets, F.expr("TIMESTAMP_NTZ '1997-01-20 00:00:00'")).select("market_id", "end_ts"))
+query(
+    "inactive_markets",
+    "SELECT market_id, end_ts FROM markets WHERE NOT active AND volume <> 0 ORDER BY end_ts DESC, market_id LIMIT 100",
+)(lambda v: b.inactive_markets(v.markets).select("market_id", "end_ts"))
+query(
+    "token_prefix_lookup",
+    "SELECT wallet, name FROM traders WHERE starts_with(wallet, 'w12')",
+)(lambda v: v.traders.where(F.col("wallet").startswith("w12")).select("wallet", "name"))
+query(
+    "top_volume_markets",
+    "SELECT market_id, round(volume * 1000) AS v FROM markets ORDER BY v DESC, market_id LIMIT 20",
+)(
     lambda v: v.markets.select("market_id", F.format_number(F.col("volume") * 1000, 0).alias("text")).select("market_id", F.regexp_replace("text", ",", "").try_cast("double").alias("v")).orderBy(F.desc("v"), "market_id").limit(20)
 )
 
@@ -164,11 +203,20 @@ query("top_volume_markets", "SELECT market_id, round(volume * 1000) AS v FROM ma
 query("new_markets", "SELECT condition_id FROM markets WHERE market_id % 3 <> 0 AND market_id % 5 <> 0")(
     lambda v: b.not_in(v.markets.select("condition_id"), ["condition_id"], v.markets.where("market_id % 3 = 0"), v.markets.where("market_id % 5 = 0"))
 )
-query("markets_without_prices", "SELECT market_id FROM markets WHERE market_id NOT IN (SELECT token_id FROM prices)")(lambda v: b.not_in(v.markets.select("market_id"), ["market_id"], v.prices.select(F.col("token_id").alias("market_id"))))
-query("new_trades", "SELECT DISTINCT market_id, ts FROM trades t WHERE NOT EXISTS (SELECT 1 FROM trades o WHERE o.market_id = t.market_id AND o.ts = t.ts AND o.side = 'SELL')")(
-    lambda v: b.not_in(v.trades.select("market_id", "ts"), ["market_id", "ts"], v.trades.where("side = 'SELL'"))
-)
-query("tokens_missing_day", "SELECT DISTINCT token_id FROM prices WHERE token_id NOT IN (SELECT token_id FROM prices WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 03:00:00')")(
+query(
+    "markets_without_prices",
+    "SELECT market_id FROM markets WHERE market_id NOT IN (SELECT token_id FROM prices)",
+)(lambda v: b.not_in(v.markets.select("market_id"), ["market_id"], v.prices.select(F.col("token_id").alias("market_id"))))
+query(
+    "new_trades",
+    """SELECT DISTINCT market_id, ts FROM trades t WHERE NOT EXISTS (SELECT 1 FROM trades o
+ WHERE o.market_id = t.market_id AND o.ts = t.ts AND o.side = 'SELL')""",
+)(lambda v: b.not_in(v.trades.select("market_id", "ts"), ["market_id", "ts"], v.trades.where("side = 'SELL'")))
+query(
+    "tokens_missing_day",
+    """SELECT DISTINCT token_id FROM prices WHERE token_id NOT IN (SELECT token_id FROM prices
+ WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 03:00:00')""",
+)(
     lambda v: b.not_in(v.prices.select("token_id"), ["token_id"], v.prices.where("ts between TIMESTAMP_NTZ '2024-01-10 00:00:00' and TIMESTAMP_NTZ '2024-01-10 03:00:00'"))
 )
 
@@ -187,7 +235,10 @@ def versions(v):
 
 LATEST = "SELECT condition_id, question, volume + market_id % 3 AS volume, CAST(market_id % 3 AS INT) AS dt, 'f' || market_id AS file FROM markets"
 query("latest_clob", LATEST)(lambda v: s.latest_market(versions(v), "condition_id"))
-query("latest_gamma", LATEST.replace("condition_id,", 'condition_id AS "conditionId",'))(lambda v: s.latest_market(versions(v).withColumnRenamed("condition_id", "conditionId"), "conditionId"))
+query(
+    "latest_gamma",
+    LATEST.replace("condition_id,", 'condition_id AS "conditionId",'),
+)(lambda v: s.latest_market(versions(v).withColumnRenamed("condition_id", "conditionId"), "conditionId"))
 MERGED = f"""a AS ({A}), b AS ({B}), merged AS (SELECT coalesce(a.condition_id, b.condition_id) AS condition_id,
  """ + ", ".join(f"CASE WHEN a.condition_id IS NOT NULL THEN a.{c} ELSE b.{c} END AS {c}" for c in ("question", "description", "end_ts", "volume", "active", "closed")) + """,
  coalesce(nullif(a.category, ''), b.category) AS category, coalesce(a.start_ts, b.start_ts) AS start_ts,
@@ -215,9 +266,12 @@ UP = f"""{MERGED}, o AS ({OLD}), n AS (SELECT condition_id, CASE WHEN origin <>
   CASE WHEN o.condition_id IS NULL THEN 'inserted' WHEN n.condition_id IS NULL THEN 'kept' ELSE 'updated' END AS status
   FROM o FULL JOIN n ON o.condition_id = n.condition_id LEFT JOIN f ON n.condition_id = f.condition_id)"""
 query("upsert_market_dim", f"WITH {UP} SELECT * FROM up")(upserted)
-query("load_stats", f"WITH {UP} SELECT count(CASE WHEN status <> 'kept' THEN 1 END) AS processed, count(CASE WHEN status = 'inserted' THEN 1 END) AS inserted, count(CASE WHEN status = 'updated' THEN 1 END) AS updated, count(CASE WHEN status = 'kept' THEN 1 END) AS kept FROM up")(
-    lambda v: s.load_stats(upserted(v))
-)
+query(
+    "load_stats",
+    f"""WITH {UP}
+ SELECT count(CASE WHEN status <> 'kept' THEN 1 END) AS processed, count(CASE WHEN status = 'inserted' THEN 1 END) AS inserted, count(CASE WHEN status = 'updated' THEN 1 END) AS updated, count(CASE WHEN status = 'kept' THEN 1 END) AS kept
+ FROM up""",
+)(lambda v: s.load_stats(upserted(v)))
 query(
     "load_token_dim",
     """WITH t AS (SELECT k.token_id, 'h' || k.token_id AS token_hash, m.condition_id, k.market_id, k.outcome, k.price FROM market_tokens k JOIN markets m ON k.market_id = m.market_id),
@@ -239,10 +293,18 @@ def old_traders(v):
     return v.traders.where("trader_id % 2 = 0").select("trader_id", "wallet")
 
 
-query("load_trader_dim", f"WITH {OLDT}, w AS (SELECT DISTINCT wallet FROM (SELECT wallet FROM trades UNION ALL SELECT wallet FROM leaderboard) x WHERE wallet NOT IN (SELECT wallet FROM o)) SELECT * FROM o UNION ALL SELECT (SELECT max(trader_id) FROM o) + row_number() OVER (ORDER BY wallet), wallet FROM w")(
-    lambda v: s.load_traders(old_traders(v), v.trades, v.leaderboard)
-)
-query("resolve_ids", f"WITH {OLDT}, f AS (SELECT wallet, (SELECT max(trader_id) FROM o) + row_number() OVER (ORDER BY wallet) AS trader_id FROM (SELECT DISTINCT wallet FROM trades WHERE wallet NOT IN (SELECT wallet FROM o)) x), d AS (SELECT wallet, trader_id FROM o UNION ALL SELECT * FROM f) SELECT d.trader_id, t.side, count(*) AS trades FROM trades t JOIN d ON t.wallet = d.wallet GROUP BY 1, 2")(
+query(
+    "load_trader_dim",
+    f"""WITH {OLDT}, w AS (SELECT DISTINCT wallet FROM (SELECT wallet FROM trades UNION ALL SELECT wallet FROM leaderboard) x
+ WHERE wallet NOT IN (SELECT wallet FROM o)) SELECT * FROM o UNION ALL SELECT (SELECT max(trader_id)
+ FROM o) + row_number() OVER (ORDER BY wallet), wallet FROM w""",
+)(lambda v: s.load_traders(old_traders(v), v.trades, v.leaderboard))
+query(
+    "resolve_ids",
+    f"""WITH {OLDT}, f AS (SELECT wallet, (SELECT max(trader_id) FROM o) + row_number() OVER (ORDER BY wallet) AS trader_id
+ FROM (SELECT DISTINCT wallet FROM trades WHERE wallet NOT IN (SELECT wallet FROM o)) x), d AS (SELECT wallet, trader_id FROM o UNION ALL
+ SELECT * FROM f) SELECT d.trader_id, t.side, count(*) AS trades FROM trades t JOIN d ON t.wallet = d.wallet GROUP BY 1, 2""",
+)(
     lambda v: s.resolve_ids(v.trades.select("wallet", "side"), old_traders(v), "wallet", "trader_id").groupBy("trader_id", "side").agg(F.count("*").alias("trades"))
 )
 query(
@@ -251,9 +313,19 @@ query(
  SELECT t.*, k.token_id AS token_key, d.trader_id AS maker_id, row_number() OVER (PARTITION BY t.wallet, k.token_id, t.ts, t.side ORDER BY t.price, t.size, t.taker_id) AS n
  FROM trades t JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome JOIN traders d ON t.wallet = d.wallet) x""",
 )(lambda v: s.trade_fact(v.trades, v.market_tokens, v.traders))
-query("load_price_fact", "SELECT token_id, ts, price FROM prices WHERE token_id IN (SELECT token_id FROM market_tokens)")(lambda v: s.price_fact(v.prices, v.market_tokens))
-query("load_leaderboard_fact", "SELECT d.trader_id, l.month, l.rank, l.pnl FROM leaderboard l JOIN traders d ON l.wallet = d.wallet")(lambda v: s.leaderboard_fact(v.leaderboard, v.traders))
-query("parse_datetime", "SELECT market_id, CASE WHEN market_id % 6 = 5 THEN NULL WHEN market_id % 6 = 4 THEN date_trunc('day', end_ts)::TIMESTAMP ELSE end_ts END AS ts FROM markets")(
+query(
+    "load_price_fact",
+    "SELECT token_id, ts, price FROM prices WHERE token_id IN (SELECT token_id FROM market_tokens)",
+)(lambda v: s.price_fact(v.prices, v.market_tokens))
+query(
+    "load_leaderboard_fact",
+    "SELECT d.trader_id, l.month, l.rank, l.pnl FROM leaderboard l JOIN traders d ON l.wallet = d.wallet",
+)(lambda v: s.leaderboard_fact(v.leaderboard, v.traders))
+query(
+    "parse_datetime",
+    """SELECT market_id, CASE WHEN market_id % 6 = 5 THEN NULL WHEN market_id % 6 = 4 THEN date_trunc('day', end_ts)::TIMESTAMP ELSE end_ts END AS ts
+ FROM markets""",
+)(
     lambda v: v.markets.select(
         "market_id",
         F.when(F.col("market_id") % 6 == 0, F.date_format("end_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(F.col("market_id") % 6 == 1, F.date_format("end_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
@@ -261,14 +333,26 @@ query("parse_datetime", "SELECT market_id, CASE WHEN market_id % 6 = 5 THEN NULL
         .when(F.col("market_id") % 6 == 4, F.date_format("end_ts", "yyyy-MM-dd")).otherwise("soon").alias("x"),
     ).select("market_id", parse_datetime("x").alias("ts"))
 )
-query("safe_float", "SELECT market_id, CASE market_id % 4 WHEN 0 THEN volume WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 12.5 END AS x FROM markets")(
+query(
+    "safe_float",
+    "SELECT market_id, CASE market_id % 4 WHEN 0 THEN volume WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 12.5 END AS x FROM markets",
+)(
     lambda v: v.markets.selectExpr("market_id", "CASE market_id % 4 WHEN 0 THEN cast(volume as string) WHEN 1 THEN 'NaN' WHEN 2 THEN 'n/a' ELSE ' 12.5 ' END AS t").select("market_id", safe_float("t").alias("x"))
 )
-query("dq_duplicates", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")(lambda v: s.duplicates(v.lineitem, ["l_orderkey", "l_linenumber"]))
-query("dq_orphans", "SELECT token_id, count(*) AS n FROM prices WHERE token_id NOT IN (SELECT token_id FROM market_tokens WHERE winner) GROUP BY token_id")(lambda v: s.orphans(v.prices, "token_id", v.market_tokens.where("winner"), "token_id"))
-query("dq_nulls", "SELECT 'consensus' AS column_name, count(*) - count(consensus) AS nulls FROM history UNION ALL SELECT 'human_decision', count(*) - count(human_decision) FROM history UNION ALL SELECT 'market_id', count(*) - count(market_id) FROM history")(
-    lambda v: s.nulls(v.history, ["consensus", "human_decision", "market_id"])
-)
+query(
+    "dq_duplicates",
+    "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+)(lambda v: s.duplicates(v.lineitem, ["l_orderkey", "l_linenumber"]))
+query(
+    "dq_orphans",
+    "SELECT token_id, count(*) AS n FROM prices WHERE token_id NOT IN (SELECT token_id FROM market_tokens WHERE winner) GROUP BY token_id",
+)(lambda v: s.orphans(v.prices, "token_id", v.market_tokens.where("winner"), "token_id"))
+query(
+    "dq_nulls",
+    """SELECT 'consensus' AS column_name, count(*) - count(consensus) AS nulls FROM history UNION ALL
+ SELECT 'human_decision', count(*) - count(human_decision) FROM history UNION ALL SELECT 'market_id', count(*) - count(market_id)
+ FROM history""",
+)(lambda v: s.nulls(v.history, ["consensus", "human_decision", "market_id"]))
 
 # Gold.
 CATS = "cats AS (SELECT category_name, row_number() OVER (ORDER BY category_name) AS category_id FROM (SELECT DISTINCT category AS category_name FROM markets) x)"
@@ -280,11 +364,19 @@ query(
 )(lambda v: g.events(payloads(v), g.categories(payloads(v))))
 DATES = "CASE WHEN market_id % 4 <> 1 THEN start_ts END AS start_date_iso, date_trunc('day', end_ts)::TIMESTAMP AS end_date_iso, volume AS volume_num"
 query("gold_markets", f"SELECT condition_id AS external_id, question, active, {DATES} FROM markets")(lambda v: g.markets(payloads(v)))
-query("gold_tokens", "SELECT condition_id AS external_id, market_id || '-' || lower(o) AS token_address, o AS outcome, o = 'Yes' AS is_yes FROM markets, (SELECT 'Yes' AS o UNION ALL SELECT 'No') z")(lambda v: g.tokens(payloads(v)))
-query("gold_hourly_prices", "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS snapshot_ts, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2")(lambda v: g.hourly_prices(v.prices))
+query(
+    "gold_tokens",
+    """SELECT condition_id AS external_id, market_id || '-' || lower(o) AS token_address, o AS outcome, o = 'Yes' AS is_yes
+ FROM markets, (SELECT 'Yes' AS o UNION ALL SELECT 'No') z""",
+)(lambda v: g.tokens(payloads(v)))
+query(
+    "gold_hourly_prices",
+    "SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS snapshot_ts, arg_min(price, (ts, event_id)) AS price FROM prices GROUP BY 1, 2",
+)(lambda v: g.hourly_prices(v.prices))
 query(
     "gold_traders",
-    "SELECT DISTINCT left(sha256(w), 40) AS hex FROM (SELECT wallet AS w FROM trades UNION ALL SELECT 't' || taker_id FROM trades) x WHERE w NOT IN (SELECT wallet FROM traders WHERE trader_id % 2 = 0)",
+    """SELECT DISTINCT left(sha256(w), 40) AS hex FROM (SELECT wallet AS w FROM trades UNION ALL SELECT 't' || taker_id FROM trades) x
+ WHERE w NOT IN (SELECT wallet FROM traders WHERE trader_id % 2 = 0)""",
 )(lambda v: _gold_traders(v))
 
 
@@ -295,7 +387,10 @@ def _gold_traders(v):
     return g.traders(t, have).select(F.lower(F.hex("wallet_address")).alias("hex"))
 
 
-query("gold_trades", "SELECT wallet, market_id || '-' || lower(outcome) AS token_address, side, price, size, outcome = 'Yes' AS is_yes FROM trades")(
+query(
+    "gold_trades",
+    "SELECT wallet, market_id || '-' || lower(outcome) AS token_address, side, price, size, outcome = 'Yes' AS is_yes FROM trades",
+)(
     lambda v: g.trade_facts(v.trades.withColumn("condition_id", F.concat(F.lit("c"), F.col("market_id").cast("string"))), g.tokens(payloads(v))).select("wallet", "token_address", "side", "price", "size", "is_yes")
 )
 
@@ -382,7 +477,10 @@ gtf AS (SELECT k.token_id, t.ts AS trade_ts, t.price::FLOAT AS price, t.size::FL
 query("gold_market_dim", f"WITH {GMD} SELECT * FROM gmd")(gold_market_dim)
 query("gold_token_dim", f"WITH {GTD} SELECT * FROM gtd")(gold_token_dim)
 query("gold_price_fact", f"WITH {GPF} SELECT * FROM gpf")(gold_price_fact)
-query("gold_trader_dim", f"WITH {GWD} SELECT trader_id, wallet AS hex FROM gwd")(lambda v: gold_trader_dim(v).select("trader_id", F.lower(F.hex("wallet_address")).alias("hex")))
+query(
+    "gold_trader_dim",
+    f"WITH {GWD} SELECT trader_id, wallet AS hex FROM gwd",
+)(lambda v: gold_trader_dim(v).select("trader_id", F.lower(F.hex("wallet_address")).alias("hex")))
 query("gold_trade_fact", f"WITH {GTF} SELECT * FROM gtf")(gold_trade_fact)
 
 
@@ -413,12 +511,18 @@ def broken(v):
     return v.markets.select(F.when(F.col("market_id") >= 0, F.raise_error(F.lit("bad source"))).cast("long").alias("market_id"))
 
 
-query("ordered_load", "SELECT 'markets' AS name, 'loaded' AS status, count(*) AS rows FROM markets UNION ALL SELECT 'tokens', 'loaded', (SELECT count(*) FROM market_tokens WHERE token_id % 4 = 0 OR market_id % 9 <> 0) UNION ALL SELECT 'traders', 'loaded', (SELECT count(DISTINCT wallet) FROM (SELECT wallet FROM trades UNION ALL SELECT wallet FROM leaderboard UNION ALL SELECT wallet FROM traders WHERE trader_id % 2 = 0) x) UNION ALL SELECT 'trades', 'loaded', (SELECT count(*) FROM trades t JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome)")(
-    lambda v: load_summary(v.spark, *silver_load(v, lambda v: v.markets))
-)
-query("ordered_load_aborted", "SELECT unnest(['markets', 'tokens', 'traders', 'trades']) AS name, unnest(['failed', 'skipped', 'skipped', 'skipped']) AS status, NULL::BIGINT AS rows")(
-    lambda v: load_summary(v.spark, *silver_load(v, broken))
-)
+query(
+    "ordered_load",
+    """SELECT 'markets' AS name, 'loaded' AS status, count(*) AS rows FROM markets UNION ALL SELECT 'tokens', 'loaded', (SELECT count(*)
+ FROM market_tokens WHERE token_id % 4 = 0 OR market_id % 9 <> 0) UNION ALL SELECT 'traders', 'loaded', (SELECT count(DISTINCT wallet)
+ FROM (SELECT wallet FROM trades UNION ALL SELECT wallet FROM leaderboard UNION ALL SELECT wallet FROM traders WHERE trader_id % 2 = 0) x)
+ UNION ALL SELECT 'trades', 'loaded', (SELECT count(*) FROM trades t
+ JOIN market_tokens k ON t.market_id = k.market_id AND t.outcome = k.outcome)""",
+)(lambda v: load_summary(v.spark, *silver_load(v, lambda v: v.markets)))
+query(
+    "ordered_load_aborted",
+    "SELECT unnest(['markets', 'tokens', 'traders', 'trades']) AS name, unnest(['failed', 'skipped', 'skipped', 'skipped']) AS status, NULL::BIGINT AS rows",
+)(lambda v: load_summary(v.spark, *silver_load(v, broken)))
 
 
 # Sources and sinks: each writes under the shared folder and reads back.
@@ -437,31 +541,60 @@ def bronze_dir(v):
 
 
 DAY = "SELECT token_id, ts, price, event_id, CAST(ts AS DATE) AS dt FROM prices"
-query("scan_partitioned", f"SELECT dt, count(*) AS n, sum(event_id)::BIGINT AS ids FROM ({DAY}) x WHERE dt >= DATE '2024-01-20' GROUP BY dt")(
+query(
+    "scan_partitioned",
+    f"SELECT dt, count(*) AS n, sum(event_id)::BIGINT AS ids FROM ({DAY}) x WHERE dt >= DATE '2024-01-20' GROUP BY dt",
+)(
     lambda v: scans.scan(v.spark, bronze_dir(v), daily(v).schema, where=F.col("dt") >= F.lit("2024-01-20").cast("date")).groupBy("dt").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 )
-query("scan_columns", "SELECT token_id, price FROM prices")(lambda v: scans.scan(v.spark, bronze_dir(v), daily(v).schema, columns=["token_id", "price"]))
-query("scan_query", "SELECT token_id, max(price) AS top FROM prices GROUP BY token_id")(lambda v: scans.scan_query(v.spark, bronze_dir(v), "SELECT token_id, max(price) AS top FROM {data} GROUP BY token_id", daily(v).schema))
-query("union_by_name", "SELECT market_id, question, NULL::DOUBLE AS volume FROM markets WHERE closed UNION ALL SELECT market_id, NULL, volume FROM markets WHERE NOT closed")(
+query(
+    "scan_columns",
+    "SELECT token_id, price FROM prices",
+)(lambda v: scans.scan(v.spark, bronze_dir(v), daily(v).schema, columns=["token_id", "price"]))
+query(
+    "scan_query",
+    "SELECT token_id, max(price) AS top FROM prices GROUP BY token_id",
+)(lambda v: scans.scan_query(v.spark, bronze_dir(v), "SELECT token_id, max(price) AS top FROM {data} GROUP BY token_id", daily(v).schema))
+query(
+    "union_by_name",
+    """SELECT market_id, question, NULL::DOUBLE AS volume FROM markets WHERE closed UNION ALL SELECT market_id, NULL, volume FROM markets
+ WHERE NOT closed""",
+)(
     lambda v: scans.union_by_name(v.markets.where("closed").select("market_id", "question"), v.markets.where("not closed").select("volume", "market_id"))
 )
-query("distinct_market_ids", "SELECT DISTINCT market_id FROM trades WHERE market_id IS NOT NULL")(lambda v: scans.distinct_keys(v.trades, "market_id"))
-query("partition_inventory", "SELECT 'prices' AS name, count(*) AS rows, count(DISTINCT CAST(ts AS DATE)) AS files, max(CAST(ts AS DATE)) AS latest FROM prices")(
-    lambda v: scans.partition_inventory({"prices": v.spark.read.parquet(bronze_dir(v))})
-)
-query("rows_per_partition", f"SELECT dt, count(*) AS count FROM ({DAY}) x GROUP BY dt")(lambda v: v.spark.read.parquet(bronze_dir(v)).groupBy("dt").count())
-query("describe_tables", " UNION ALL ".join(
+query(
+    "distinct_market_ids",
+    "SELECT DISTINCT market_id FROM trades WHERE market_id IS NOT NULL",
+)(lambda v: scans.distinct_keys(v.trades, "market_id"))
+query(
+    "partition_inventory",
+    "SELECT 'prices' AS name, count(*) AS rows, count(DISTINCT CAST(ts AS DATE)) AS files, max(CAST(ts AS DATE)) AS latest FROM prices",
+)(lambda v: scans.partition_inventory({"prices": v.spark.read.parquet(bronze_dir(v))}))
+query(
+    "rows_per_partition",
+    f"SELECT dt, count(*) AS count FROM ({DAY}) x GROUP BY dt",
+)(lambda v: v.spark.read.parquet(bronze_dir(v)).groupBy("dt").count())
+query(
+    "describe_tables",
+    " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls FROM {t}"
     for t, c in (("lineitem", "l_orderkey"), ("lineitem", "l_shipdate"), ("part", "p_partkey"), ("part", "p_name"), ("events", "event_id"), ("events", "value"))
-))(lambda v: scans.describe_tables({
+),
+)(
+    lambda v: scans.describe_tables({
     "lineitem": v.lineitem.select("l_orderkey", "l_shipdate"), "part": v.part.select("p_partkey", "p_name"), "events": v.events.select("event_id", "value"),
-}).select("table_name", "column_name", "rows", "nulls"))
-query("table_counts", "SELECT 'trades' AS name, count(*) AS rows FROM trades UNION ALL SELECT 'markets', count(*) FROM markets UNION ALL SELECT 'prices', count(*) FROM prices")(
-    lambda v: scans.table_counts({"trades": v.trades, "markets": v.markets, "prices": v.prices})
-)
-query("layer_summary", "SELECT 'trades' AS name, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM trades UNION ALL SELECT 'prices', count(*), min(ts), max(ts) FROM prices")(
-    lambda v: scans.layer_summary({"trades": (v.trades, "ts"), "prices": (v.prices, "ts")})
+}).select("table_name", "column_name", "rows", "nulls")
 )
+query(
+    "table_counts",
+    """SELECT 'trades' AS name, count(*) AS rows FROM trades UNION ALL SELECT 'markets', count(*) FROM markets UNION ALL SELECT 'prices', count(*)
+ FROM prices""",
+)(lambda v: scans.table_counts({"trades": v.trades, "markets": v.markets, "prices": v.prices}))
+query(
+    "layer_summary",
+    """SELECT 'trades' AS name, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM trades UNION ALL
+ SELECT 'prices', count(*), min(ts), max(ts) FROM prices""",
+)(lambda v: scans.layer_summary({"trades": (v.trades, "ts"), "prices": (v.prices, "ts")}))
 query("bronze_roundtrip", DAY)(lambda v: scans.scan(v.spark, bronze_dir(v), daily(v).schema))
 
 
@@ -473,7 +606,11 @@ def overwritten(v):
     return scans.scan(v.spark, p, daily(v).schema)
 
 
-query("overwrite_day", "SELECT token_id, ts, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN price + 1 ELSE price END AS price, event_id, CAST(ts AS DATE) AS dt FROM prices")(overwritten)
+query(
+    "overwrite_day",
+    """SELECT token_id, ts, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN price + 1 ELSE price END AS price, event_id, CAST(ts AS DATE) AS dt
+ FROM prices""",
+)(overwritten)
 
 
 def exported(v):
@@ -492,15 +629,26 @@ def restored(v):
     return scans.table_counts(back)
 
 
-query("snapshot_restore", "SELECT 'markets' AS name, count(*) AS rows FROM markets UNION ALL SELECT 'traders', count(*) FROM traders UNION ALL SELECT 'events', 0")(restored)
+query(
+    "snapshot_restore",
+    "SELECT 'markets' AS name, count(*) AS rows FROM markets UNION ALL SELECT 'traders', count(*) FROM traders UNION ALL SELECT 'events', 0",
+)(restored)
 def snapshot_sizes(v):
     """Rows of each table of a snapshot; files and bytes are there or not, as they depend on the writer."""
     _, sizes = sinks.snapshot({"markets": v.markets, "traders": v.traders}, path(v, "gold"), "2024-01")
     return sizes.select("name", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
-query("snapshot_sizes", "SELECT 'markets' AS name, count(*) AS rows, TRUE AS has_files, TRUE AS has_bytes FROM markets UNION ALL SELECT 'traders', count(*), TRUE, TRUE FROM traders")(snapshot_sizes)
-query("metadata_stamp", f"SELECT 'user' || token_id AS key, CAST(max(event_id) AS VARCHAR) AS value, max(ts) AS updated_at FROM prices WHERE token_id <> 7 GROUP BY token_id UNION ALL SELECT 'user7', '2024-01', {NOW}")(
+query(
+    "snapshot_sizes",
+    """SELECT 'markets' AS name, count(*) AS rows, TRUE AS has_files, TRUE AS has_bytes FROM markets UNION ALL
+ SELECT 'traders', count(*), TRUE, TRUE FROM traders""",
+)(snapshot_sizes)
+query(
+    "metadata_stamp",
+    f"""SELECT 'user' || token_id AS key, CAST(max(event_id) AS VARCHAR) AS value, max(ts) AS updated_at FROM prices WHERE token_id <> 7
+ GROUP BY token_id UNION ALL SELECT 'user7', '2024-01', {NOW}""",
+)(
     lambda v: sinks.stamp(
         v.prices.groupBy(F.concat(F.lit("user"), F.col("token_id").cast("string")).alias("key")).agg(F.max("event_id").cast("string").alias("value"), F.max("ts").alias("updated_at")), "user7", "2024-01", now()
     )
@@ -551,12 +699,22 @@ BRONZE_SQL = {
 }
 for dataset, columns in BRONZE_SQL.items():
     query(f"bronze_{dataset}", f"SELECT *, count(*) AS n FROM (SELECT *, unnest([DATE '2024-01-01', DATE '2024-01-02']) AS dt FROM (SELECT {columns}) x) y GROUP BY ALL")(bronze_dataset(dataset))
-query("staging_upsert", "SELECT token_id, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY event_id DESC) AS r FROM prices) x WHERE r = 1")(
+query(
+    "staging_upsert",
+    """SELECT token_id, price, event_id FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY event_id DESC) AS r FROM prices) x
+ WHERE r = 1""",
+)(
     lambda v: sinks.upsert(v.prices.where("event_id % 2 = 0").select("token_id", "price", "event_id"), v.prices.where("event_id % 2 = 1").select("token_id", "price", "event_id"), ["token_id"], "event_id")
 )
-query("retention_keep", "SELECT event_id FROM prices WHERE NOT (ts < TIMESTAMP '2024-01-15' AND token_id % 3 = 0)")(
+query(
+    "retention_keep",
+    "SELECT event_id FROM prices WHERE NOT (ts < TIMESTAMP '2024-01-15' AND token_id % 3 = 0)",
+)(
     lambda v: sinks.retained(v.prices, v.prices.where("token_id % 3 = 0"), ["token_id"], "ts", F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")).select("event_id")
 )
-query("kv_latest", "SELECT 'user' || token_id AS key, arg_max(price, event_id) AS value FROM prices GROUP BY token_id")(
+query(
+    "kv_latest",
+    "SELECT 'user' || token_id AS key, arg_max(price, event_id) AS value FROM prices GROUP BY token_id",
+)(
     lambda v: sinks.latest_by_key(v.prices.select(F.concat(F.lit("user"), F.col("token_id").cast("string")).alias("key"), F.col("price").alias("value"), "event_id"), ["key"], ["event_id"]).drop("event_id")
 )

@@ -34,39 +34,62 @@ def decisions(v):
     return v.history.where("market_id % 5 = 0").selectExpr("tag_id", "market_id", "market_id % 3 = 0 AS decision")
 
 
-query("search_markets", "SELECT market_id, question, category, volume FROM markets WHERE question ILIKE '%al%' OR description ILIKE '%al%' ORDER BY volume DESC NULLS LAST, market_id LIMIT 50 OFFSET 10")(
-    lambda v: t.search_markets(v.markets, "al", limit=50, offset=10)
-)
-query("parse_votes", f"WITH {VOTES} SELECT * FROM votes")(lambda v: v.judge_responses.select("tag_id", "market_id", "model", parse_vote("response").alias("vote")))
+query(
+    "search_markets",
+    """SELECT market_id, question, category, volume FROM markets WHERE question ILIKE '%al%' OR description ILIKE '%al%'
+ ORDER BY volume DESC NULLS LAST, market_id LIMIT 50 OFFSET 10""",
+)(lambda v: t.search_markets(v.markets, "al", limit=50, offset=10))
+query(
+    "parse_votes",
+    f"WITH {VOTES} SELECT * FROM votes",
+)(lambda v: v.judge_responses.select("tag_id", "market_id", "model", parse_vote("response").alias("vote")))
 query("consensus", "WITH " + CON.format(maj="yes >= 2 OR no >= 2"))(lambda v: spelled(t.consensus(v.judge_responses)))
 query("consensus_unanimous", "WITH " + CON.format(maj="FALSE"))(lambda v: spelled(t.consensus(v.judge_responses, unanimous=True)))
 query("markets_for_tagging", f"WITH {NEXT} SELECT * FROM nxt")(nxt)
-query("needing_review", "SELECT tag_id, market_id FROM history WHERE consensus IS NULL AND human_decision IS NULL")(lambda v: t.needing_review(v.history))
+query(
+    "needing_review",
+    "SELECT tag_id, market_id FROM history WHERE consensus IS NULL AND human_decision IS NULL",
+)(lambda v: t.needing_review(v.history))
 query(
     "classification_counts",
-    "SELECT t.tag_id, coalesce(a.n, 0) AS positives, coalesce(b.n, 0) AS negatives FROM tags t LEFT JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM market_tags GROUP BY 1) a ON t.tag_id = a.tag_id LEFT JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM history WHERE consensus = FALSE OR human_decision = FALSE GROUP BY 1) b ON t.tag_id = b.tag_id",
+    """SELECT t.tag_id, coalesce(a.n, 0) AS positives, coalesce(b.n, 0) AS negatives FROM tags t LEFT
+ JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM market_tags GROUP BY 1) a ON t.tag_id = a.tag_id LEFT
+ JOIN (SELECT tag_id, count(DISTINCT market_id) AS n FROM history WHERE consensus = FALSE OR human_decision = FALSE
+ GROUP BY 1) b ON t.tag_id = b.tag_id""",
 )(lambda v: t.classification_counts(v.tags, v.market_tags, v.history))
-query("distinct_categories", "SELECT category, count(*) AS markets FROM markets WHERE category IS NOT NULL GROUP BY category")(lambda v: v.markets.where("category is not null").groupBy("category").agg(F.count("*").alias("markets")))
+query(
+    "distinct_categories",
+    "SELECT category, count(*) AS markets FROM markets WHERE category IS NOT NULL GROUP BY category",
+)(lambda v: v.markets.where("category is not null").groupBy("category").agg(F.count("*").alias("markets")))
 query(
     "tag_list",
-    "SELECT t.*, coalesce(e.examples, 0) AS examples, coalesce(e.positive, 0) AS positive, coalesce(e.negative, 0) AS negative FROM tags t LEFT JOIN (SELECT tag_id, count(*) AS examples, count(CASE WHEN is_positive THEN 1 END) AS positive, count(CASE WHEN NOT is_positive THEN 1 END) AS negative FROM tag_examples GROUP BY 1) e ON t.tag_id = e.tag_id",
+    """SELECT t.*, coalesce(e.examples, 0) AS examples, coalesce(e.positive, 0) AS positive, coalesce(e.negative, 0) AS negative FROM tags t LEFT
+ JOIN (SELECT tag_id, count(*) AS examples, count(CASE WHEN is_positive THEN 1 END) AS positive, count(CASE WHEN NOT is_positive THEN 1 END) AS negative
+ FROM tag_examples GROUP BY 1) e ON t.tag_id = e.tag_id""",
 )(lambda v: t.tag_list(v.tags, v.tag_examples))
 EXAMPLES = "SELECT e.*, m.question, m.description FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY created_at DESC, example_id DESC) AS position FROM tag_examples{where}) e JOIN markets m ON e.market_id = m.market_id"
 query("tag_examples", EXAMPLES.format(where=""))(lambda v: t.tag_examples(v.tag_examples, v.markets))
 query("tag_examples_positive", EXAMPLES.format(where=" WHERE is_positive"))(lambda v: t.tag_examples(v.tag_examples, v.markets, positive_only=True))
-query("tag_categories", "SELECT tag_id, CASE WHEN tag_id % 5 IN (3, 4) THEN ['PROMO', name] ELSE [] END AS categories FROM tags")(lambda v: t.tag_categories(v.tags).select("tag_id", "categories"))
-query("markets_for_tagging_in_categories", "WITH " + NEXT.replace("JOIN markets m", "JOIN (SELECT * FROM markets WHERE category IN ('PROMO', 'ECONOMY')) m") + " SELECT * FROM nxt")(
-    lambda v: t.markets_for_tagging(v.tags, v.markets, v.market_tags, v.history, v.tag_examples, categories=["PROMO", "ECONOMY"])
-)
+query(
+    "tag_categories",
+    "SELECT tag_id, CASE WHEN tag_id % 5 IN (3, 4) THEN ['PROMO', name] ELSE [] END AS categories FROM tags",
+)(lambda v: t.tag_categories(v.tags).select("tag_id", "categories"))
+query(
+    "markets_for_tagging_in_categories",
+    "WITH " + NEXT.replace("JOIN markets m", "JOIN (SELECT * FROM markets WHERE category IN ('PROMO', 'ECONOMY')) m") + " SELECT * FROM nxt",
+)(lambda v: t.markets_for_tagging(v.tags, v.markets, v.market_tags, v.history, v.tag_examples, categories=["PROMO", "ECONOMY"]))
 HIST = """h AS (SELECT *, CASE WHEN coalesce(human_decision, consensus) THEN 'Positive' WHEN NOT coalesce(human_decision, consensus) THEN 'Negative' ELSE 'Pending' END AS decision,
  CASE WHEN human_decision IS NOT NULL THEN 'Human' WHEN consensus IS NOT NULL THEN 'LLM' END AS source FROM history)"""
 query(
     "judge_history",
-    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM h) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
+    f"""WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id
+ ORDER BY updated_at DESC, market_id DESC) AS position FROM h) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20""",
 )(lambda v: t.judge_history(v.history, v.markets))
 query(
     "judge_history_human_negative",
-    f"WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM h WHERE decision = 'Negative' AND source = 'Human') x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20",
+    f"""WITH {HIST} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id
+ ORDER BY updated_at DESC, market_id DESC) AS position FROM h WHERE decision = 'Negative' AND source = 'Human') x LEFT
+ JOIN markets m ON x.market_id = m.market_id WHERE position <= 20""",
 )(lambda v: t.judge_history(v.history, v.markets, decision="Negative", source="Human"))
 query(
     "judge_history_search",
@@ -75,7 +98,8 @@ query(
 )(lambda v: t.judge_history(v.history, v.markets, search="A", category="PROMO"))
 query(
     "pending_reviews",
-    "SELECT tag_id, market_id, yes, no, position FROM (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY updated_at DESC, market_id DESC) AS position FROM history WHERE human_decision IS NULL AND yes > no) x WHERE position <= 10",
+    """SELECT tag_id, market_id, yes, no, position FROM (SELECT *, row_number() OVER (PARTITION BY tag_id
+ ORDER BY updated_at DESC, market_id DESC) AS position FROM history WHERE human_decision IS NULL AND yes > no) x WHERE position <= 10""",
 )(lambda v: t.pending_reviews(v.history))
 PART = "string_agg(CASE WHEN is_positive = {flag} THEN '- ' || question || ': ' || left(coalesce(description, ''), 500) END, chr(10) ORDER BY r)"
 query(
@@ -87,7 +111,9 @@ query(
 )(lambda v: t.judge_prompts(v.tags, v.tag_examples, v.markets))
 query(
     "apply_decisions",
-    "SELECT tag_id, market_id FROM market_tags g WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.tag_id = g.tag_id AND h.market_id = g.market_id AND NOT coalesce(human_decision, consensus)) UNION SELECT tag_id, market_id FROM history WHERE coalesce(human_decision, consensus)",
+    """SELECT tag_id, market_id FROM market_tags g WHERE NOT EXISTS (SELECT 1 FROM history h
+ WHERE h.tag_id = g.tag_id AND h.market_id = g.market_id AND NOT coalesce(human_decision, consensus)) UNION SELECT tag_id, market_id
+ FROM history WHERE coalesce(human_decision, consensus)""",
 )(lambda v: t.apply_decisions(v.market_tags, v.history))
 query(
     "human_overrides",
@@ -96,7 +122,8 @@ query(
 )(lambda v: t.human_overrides(v.history, decisions(v)))
 query(
     "tag_updates",
-    "SELECT tag_id, CASE WHEN tag_id % 2 = 0 THEN upper(name) ELSE name END AS name, CASE WHEN tag_id % 2 = 0 THEN tag_id > 10 ELSE is_active END AS is_active, description FROM tags",
+    """SELECT tag_id, CASE WHEN tag_id % 2 = 0 THEN upper(name) ELSE name END AS name, CASE WHEN tag_id % 2 = 0 THEN tag_id > 10 ELSE is_active END AS is_active, description
+ FROM tags""",
 )(
     lambda v: t.partial_update(
         v.tags.select("tag_id", "name", "is_active", "description"), v.tags.where("tag_id % 2 = 0").selectExpr("tag_id", "upper(name) AS name", "tag_id > 10 AS is_active", "cast(null as string) AS description"), "tag_id"
@@ -109,21 +136,25 @@ query(
 )(lambda v: t.classification_batch(v.tags, nxt(v), v.tag_examples))
 query(
     "history_metrics",
-    "SELECT count(*) AS total, count(consensus) AS llm, count(human_decision) AS human, count(CASE WHEN consensus IS NULL AND human_decision IS NULL THEN 1 END) AS pending FROM history",
+    """SELECT count(*) AS total, count(consensus) AS llm, count(human_decision) AS human, count(CASE WHEN consensus IS NULL AND human_decision IS NULL THEN 1 END) AS pending
+ FROM history""",
 )(lambda v: t.history_metrics(v.history))
 query(
     "judge_agreement",
-    f"WITH {VOTES} SELECT model, count(*) AS votes, count(CASE WHEN vote = human_decision THEN 1 END)::DOUBLE / count(*)::DOUBLE AS agreement FROM votes v JOIN history h ON v.tag_id = h.tag_id AND v.market_id = h.market_id WHERE vote IS NOT NULL AND human_decision IS NOT NULL GROUP BY model",
+    f"""WITH {VOTES} SELECT model, count(*) AS votes, count(CASE WHEN vote = human_decision THEN 1 END)::DOUBLE / count(*)::DOUBLE AS agreement
+ FROM votes v JOIN history h ON v.tag_id = h.tag_id AND v.market_id = h.market_id WHERE vote IS NOT NULL AND human_decision IS NOT NULL
+ GROUP BY model""",
 )(lambda v: t.judge_agreement(v.judge_responses, v.history))
 query(
     "tag_cascade_delete",
-    "SELECT 'tags' AS name, count(*) AS rows FROM tags WHERE tag_id <> 3 UNION ALL SELECT 'market_tags', count(*) FROM market_tags WHERE tag_id <> 3 UNION ALL SELECT 'history', count(*) FROM history WHERE tag_id <> 3 UNION ALL SELECT 'tag_examples', count(*) FROM tag_examples WHERE tag_id <> 3",
-)(
-    lambda v: _counts(t.cascade_delete(3, tags=v.tags, market_tags=v.market_tags, history=v.history, tag_examples=v.tag_examples))
-)
+    """SELECT 'tags' AS name, count(*) AS rows FROM tags WHERE tag_id <> 3 UNION ALL SELECT 'market_tags', count(*) FROM market_tags
+ WHERE tag_id <> 3 UNION ALL SELECT 'history', count(*) FROM history WHERE tag_id <> 3 UNION ALL SELECT 'tag_examples', count(*)
+ FROM tag_examples WHERE tag_id <> 3""",
+)(lambda v: _counts(t.cascade_delete(3, tags=v.tags, market_tags=v.market_tags, history=v.history, tag_examples=v.tag_examples)))
 query(
     "example_upsert",
-    "SELECT tag_id, market_id, CASE WHEN market_id % 4 = 0 THEN FALSE ELSE is_positive END AS is_positive FROM tag_examples UNION ALL SELECT 99 AS tag_id, market_id, TRUE FROM tag_examples WHERE market_id % 4 = 1",
+    """SELECT tag_id, market_id, CASE WHEN market_id % 4 = 0 THEN FALSE ELSE is_positive END AS is_positive FROM tag_examples UNION ALL
+ SELECT 99 AS tag_id, market_id, TRUE FROM tag_examples WHERE market_id % 4 = 1""",
 )(lambda v: _example_upsert(v))
 
 
