@@ -166,6 +166,31 @@ def price_features(prices: DataFrame, tokens: DataFrame, min_samples: int = 1) -
     )
 
 
+PRICE_COLUMNS = ["token_id", "min_price", "max_price", "price_range", "stddev", "first_price", "final_price", "price_return", "samples"]
+
+
+def price_ends(prices: DataFrame) -> DataFrame:
+    """Each price beside the first and last of its token: the first by the default frame, the last over the whole partition."""
+    w = Window.partitionBy("token_id").orderBy("ts", "event_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return prices.select("token_id", "event_id", "price", F.first("price").over(w).alias("first_price"), F.last("price").over(whole).alias("last_price"))
+
+
+def interval_stats(prices: DataFrame) -> DataFrame:
+    """Per token, the seconds between successive prices: count, average, median, fastest and slowest."""
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    gaps = prices.select("token_id", (at - F.lag(at).over(Window.partitionBy("token_id").orderBy("ts", "event_id"))).alias("gap")).where("gap is not null")
+    return gaps.groupBy("token_id").agg(
+        F.count("*").alias("count"), F.try_divide(F.sum("gap").cast("double"), F.count("*").cast("double")).alias("average"), F.median("gap").alias("median"),
+        F.min("gap").alias("fastest"), F.max("gap").alias("slowest"),
+    )
+
+
+def available_tags(tags: DataFrame) -> DataFrame:
+    """Names of the active tags, in order."""
+    return tags.where("is_active").select("name").orderBy("name")
+
+
 def resample(prices: DataFrame, unit: str) -> DataFrame:
     """The last price of each bin; empty bins are dropped."""
     return prices.groupBy("token_id", F.date_trunc(unit, "ts").alias("bin")).agg(F.max_by("price", F.struct("ts", "event_id")).alias("price"))

@@ -180,6 +180,19 @@ query(
  GROUP BY tag_id) k ON t.tag_id = k.tag_id WHERE t.is_active""",
 )(lambda v: f.tag_statistics(v.markets, v.market_tags, v.tags))
 TAG_IDS = [0, 3, 7, 11, 19]
+query("available_tags", "SELECT name FROM tags WHERE is_active")(lambda v: f.available_tags(v.tags))
+query(
+    "price_ends",
+    """SELECT token_id, event_id, price, first_value(price) OVER w AS first_price,
+ last_value(price) OVER (PARTITION BY token_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_price
+ FROM prices WINDOW w AS (PARTITION BY token_id ORDER BY ts, event_id)""",
+)(lambda v: f.price_ends(v.prices))
+query(
+    "interval_stats",
+    """WITH s AS (SELECT token_id, CAST(floor(epoch(ts)) AS BIGINT) AS secs, ts, event_id FROM prices),
+ g AS (SELECT token_id, secs - lag(secs) OVER (PARTITION BY token_id ORDER BY ts, event_id) AS gap FROM s)
+ SELECT token_id, count(*) AS count, sum(gap)::DOUBLE / count(*)::DOUBLE AS average, median(gap)::DOUBLE AS median, min(gap) AS fastest, max(gap) AS slowest FROM g WHERE gap IS NOT NULL GROUP BY token_id""",
+)(lambda v: f.interval_stats(v.prices))
 query(
     "tag_one_hot",
     "SELECT m.market_id, " + ", ".join(f"CAST(coalesce(max(CASE WHEN t.tag_id = {i} THEN 1 END), 0) AS BIGINT) AS tag_t{i}" for i in TAG_IDS) + ", count(DISTINCT t.tag_id) AS tag_count FROM markets m LEFT JOIN market_tags g ON m.market_id = g.market_id LEFT JOIN tags t ON g.tag_id = t.tag_id AND t.is_active GROUP BY m.market_id",

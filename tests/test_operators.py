@@ -255,6 +255,19 @@ def test_a_load_stops_at_a_failed_blocking_step(spark):
     assert tables["c"].count() == 2 and "no" in results[1].error and set(tables) == {"a", "c"}
 
 
+def test_feature_names_are_the_columns(spark):
+    from conftest import SF
+    from tallyforge.adapters import Lake
+
+    v = Lake(spark, SF)
+    assert features.market_features(v.markets, v.market_tokens, v.trades).columns == features.MARKET_COLUMNS
+    assert features.trader_features(v.traders, v.trades).columns == features.TRADER_COLUMNS
+    assert features.price_features(v.prices, v.market_tokens).columns == features.PRICE_COLUMNS
+    names = [r.name for r in features.available_tags(v.tags).collect()]
+    one_hot = features.tag_one_hot(v.markets, v.market_tags, v.tags, names)
+    assert names == sorted(names) and set(one_hot.columns) == {"market_id", "tag_count", *(f"tag_{n}" for n in names)}
+
+
 def test_cursors_and_categories(spark):
     from tallyforge.functions.columns import decode_cursor, encode_cursor
 
