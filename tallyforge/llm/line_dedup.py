@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.shared import BITMAP_BITS, bit_is_set, bitmap_bits, bitmap_table, let, marked_rows, materialize
+from tallyforge.llm.shared import MOST_BITS, Scratch, let, marked_rows, maybe_among
 
 
 def chunks(text: Column, window: int, divisor: int) -> Column:
@@ -69,7 +69,7 @@ def passages(text: Column, long_words: int) -> Column:
     return let(F.transform(F.split(text, "\n", -1), line), of)
 
 
-def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50, most_bits: int = 1 << 27) -> DataFrame:
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50, most_bits: int = MOST_BITS) -> DataFrame:
     """`docs` with repeated passages cut from the text, plus n_lines and n_removed_lines.
 
     Lines end at "\\n".  A passage is two successive lines or more, not all of them blank, or
@@ -88,7 +88,7 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, divisor: int = 3, min_lines: int = 2,
-    most_bits: int = 1 << 27,
+    most_bits: int = MOST_BITS,
 ) -> DataFrame:
     """`docs` with repeated multi-line chunks cut from the text, plus n_lines and n_removed_lines.
 
@@ -111,10 +111,11 @@ def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, mo
     doc_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     keyed = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), doc_key.alias("__key"), spans.alias("__chunks"))
     # A first pass keeps hashes only: no text is written or shuffled for spans that occur once.
-    spots = materialize(
-        keyed.select("__id", "__key", F.explode("__chunks").alias("c")).select("__id", "__key", "c.start", "c.length", "c.hash"), "chunks"
+    scratch = Scratch(docs.sparkSession, "line-dedup")
+    spots = scratch.save(
+        keyed.select("__id", "__key", F.explode("__chunks").alias("c")).select("__id", "__key", "c.start", "c.length", "c.hash"), "spans"
     )
-    first = materialize(
+    first, (n_first, _) = scratch.save_signed(
         spots
         .groupBy("hash")
         .agg(F.count("*").alias("n"), F.min(F.struct("__id", "__key", "start")).alias("first"))
@@ -122,21 +123,13 @@ def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, mo
         .select("hash", "first"),
         "first",
     )
-    repeated = materialize(
-        marked_rows(spots, "hash", first, most_bits).join(first, "hash").select("__id", "__key", "start", "length", "hash", "first"), "repeated"
-    )
-    # Second pass: only texts that hold a repeated chunk shuffle; a fixed-size bitmap over
-    # text hashes, at most most_bits / 8 bytes, lets the others pass straight through.
-    bits = bitmap_bits(repeated.count(), most=most_bits)
-    spot = F.pmod(F.col("__key"), F.lit(bits))
-    table = F.broadcast(bitmap_table(repeated.select(spot.alias("p")).distinct(), "p").withColumnsRenamed({"bucket": "__bucket", "bits": "__bits"}))
-    marked = (
-        docs.withColumn("__key", doc_key)
-        .withColumn("__p", spot)
-        .join(table, (F.col("__p") / F.lit(BITMAP_BITS)).cast("int") == F.col("__bucket"), "left")
-        .withColumn("__maybe", F.col(text_col).isNotNull() & bit_is_set(F.col("__bits"), F.col("__p")))
-        .select(*[F.col(c) for c in docs.columns], "__key", "__maybe")
+    repeated, (n_repeated, _) = scratch.save_signed(
+        marked_rows(spots, "hash", first, n_first, most_bits).join(first, "hash").select("__id", "__key", "start", "length", "hash", "first"), "repeated"
     )
+    scratch.drop("spans", "first")
+    # Second pass: only texts that hold a repeated span shuffle.
+    marked = maybe_among(docs.withColumn("__key", doc_key), "__key", repeated, n_repeated, most_bits)
+    marked = marked.withColumn("__maybe", F.col("__maybe") & F.col(text_col).isNotNull())
     touched = marked.where("__maybe")
     wanted = repeated.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "length", "hash", "first")).alias("__spots"))
     source = touched.select(F.col(id_col).alias("__id"), "__key", F.col(text_col).alias("__text"))
@@ -152,13 +145,14 @@ def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, mo
         source.join(wanted, source["__id"].eqNullSafe(wanted["__id"]) & (source["__key"] == wanted["__key"]))
         .select(source["__id"], source["__key"], F.explode(let(F.split("__text", "\n", -1), with_body)).alias("s"))
         .select("__id", "__key", "s.start", "s.length", "s.hash", "s.first", "s.body", "s.whole")
-        .where(F.length(F.trim("body")) > 0)
+        .where(F.col("body").rlike(r"\S"))
     )
-    bodies = materialize(bodies, "bodies")
+    bodies = scratch.save(bodies, "bodies")
     same_text = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__key") == F.col("__key"))
     is_first = same_text & (F.col("first.start") == F.col("start"))
     apart = ~same_text | (F.col("start") >= F.col("first.start") + F.col("length"))
-    originals = bodies.where(is_first).groupBy("hash").agg(F.min(F.struct("body", "whole")).alias("original"))
+    # Written first, so that the join below has two plain exchanges and a hot span's rows can be split.
+    originals = scratch.save(bodies.where(is_first).groupBy("hash").agg(F.min(F.struct("body", "whole")).alias("original")), "originals")
     cut = (
         bodies.where(apart)
         .join(originals, "hash")
