@@ -1,8 +1,11 @@
 """Top-k search, chat formatting, archives, language ID, HTML text and the pipeline."""
 
 import hashlib
+import math
+import operator
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from compare import duck, duck_rows, spark_rows
@@ -11,29 +14,51 @@ from tallyforge.llm import chat_format, html_text, language_id, queries, topk_se
 
 
 def brute_top(rows, k, every):
-    out = set()
-    for i, a in rows:
+    """All rows compared with all others, in integers of any size."""
+    out = []
+    for at, (i, a) in enumerate(rows):
         if i % every == 0:
-            best = sorted((-int(np.dot(a, b)), j) for j, b in rows if j != i and len(b) == len(a))[:k]
-            out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(best)}
-    return out
+            best = sorted((-sum(map(operator.mul, a, b)), j) for other, (j, b) in enumerate(rows) if other != at and len(b) == len(a))[:k]
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
+def scaled(v):
+    return [math.floor(256 * x) for x in v]
 
 
 def test_topk_with_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(400)] + [(1000 + i, [1.0] * 4) for i in range(150)]
     rows += [(2000, [1.0]), (2050, [2.0]), (2100, []), (2150, [1e6, 0.0, 0.0, 0.0])]
+    rows += rows[:3] + [(50, [2.0, 1.0, 0.0, 1.0]), (50, [-1.0, 1.0, 0.0, 1.0]), (51, [2.0] * 4), (51, [2.0] * 4)]  # repeated ids, alike and not
     bad = [(None, [1.0] * 4), (3000, None), (3050, [1.0, None, 1.0, 2.0]), (3100, [float("nan")] * 4), (3150, [float("-inf")] * 4)]
-    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows + bad + rows[:3]], "vec_id long, embedding array<double>, block string, rank int")
-    got = topk_search.top_k(df, F.pmod("vec_id", F.lit(50)) == 0, k=5, block_rows=64, group_rows=6, pivots=8).collect()
-    want = brute_top([(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows], 5, 50)
-    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows + bad], "vec_id long, embedding array<double>, block string, rank int")
+    for most_centres in (1 << 22, 40):
+        got = topk_search.top_k(df, F.pmod("vec_id", F.lit(50)) == 0, k=5, block_rows=64, group_rows=6, pivots=8, most_centres=most_centres).collect()
+        assert sorted(tuple(r) for r in got) == brute_top([(i, scaled(v)) for i, v in rows], 5, 50)
     assert topk_search.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_topk_of_large_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=3) * 10.0 ** rng.integers(0, 6)]) for i in range(200)]
+    rows += [(200, [2.0**20, 1.0, 0.0]), (201, [2.0**20, 1.0, 0.0]), (250, [2.0**20, -1.0, 0.5]), (300, [2.0**23 + 0.5, 2.0**-8, 0.0]), (350, [2.0**23, 3.0, 0.0])]
+    shape = "vec_id long, embedding array<double>"
+    run = lambda rows: topk_search.top_k(spark.createDataFrame(rows, shape), F.pmod("vec_id", F.lit(50)) == 0, block_rows=50, group_rows=3, pivots=4)
+    assert sorted(tuple(r) for r in run(rows).collect()) == brute_top([(i, scaled(v)) for i, v in rows], 5, 50)
+    # Products beyond 2^63 that cancel to a score that fits; and scores and components that do not.
+    huge = [(0, [2.0**30, 2.0**30]), (1, [2.0**30, -(2.0**30)]), (2, [2.0**30, 1.0 - 2.0**30]), (3, [-(2.0**30), 2.0**30 - 3.0])]
+    got = run(huge).where("score < 0").orderBy("rank").collect()
+    assert [tuple(r)[2:] for r in run(huge).orderBy("rank").collect()][:3] == [t[2:] for t in brute_top([(i, scaled(v)) for i, v in huge], 5, 50)] and got
+    for bad in ([(0, [2.0**30, 2.0**30]), (1, [2.0**30, 2.0**30])], [(0, [1e300, 1.0]), (1, [1.0, 1.0])]):
+        with pytest.raises(Exception, match="OverflowError|does not fit 64 bits"):
+            run(bad).collect()
+
+
 def test_topk_query(spark):
-    rows = [(r.vec_id, np.floor(256 * np.array(r.embedding)).astype(np.int64)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
-    assert {tuple(r) for r in queries.op1_topk_search(spark, SF).collect()} == brute_top(rows, 5, 50)
+    rows = [(r.vec_id, scaled(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    assert sorted(tuple(r) for r in queries.op1_topk_search(spark, SF).collect()) == brute_top(rows, 5, 50)
 
 
 def test_cover_tree_covers():
@@ -123,6 +148,70 @@ def test_language_edges(spark):
     assert language_id.predict(df.limit(0), model).count() == 0
 
 
+def plain_ridge(train, texts, landmarks_per_language, ridge):
+    """Kernel ridge regression on Nyström features, from sets of strings."""
+
+    def spectrum(text):
+        t = " " + "".join(c.lower()[0] if c.isalpha() else " " for c in text) + " "
+        t = " " + " ".join(t.split()) + " " if t.strip() else " "
+        return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+    languages = sorted({lang for _, lang in train})
+    sets = [(spectrum(t), lang) for t, lang in train]
+    marks = [s for name in languages for s in [s for s, lang in sets if lang == name][:landmarks_per_language]]
+    known = set().union(*marks)
+    kernel = lambda a, b: len(a & b & known) / math.sqrt(max(len(a & known), 1) * len(b))
+    w = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(w)
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    phi = np.array([[kernel(s, b) for b in marks] for s, _ in sets]) @ root
+    y = np.array([[float(lang == name) for name in languages] for _, lang in sets])
+    weights = np.linalg.solve(phi.T @ phi + ridge * len(phi) / phi.shape[1] * np.eye(phi.shape[1]), phi.T @ y)
+    scores = np.array([[kernel(spectrum(t), b) for b in marks] for t in texts]) @ root @ weights
+    return [languages[i] for i in scores.argmax(1)], np.clip(scores.max(1), 0, 1)
+
+
+SCRIPTS = {
+    "en": "the cat and dog were out in rain all day", "ru": "кошка и собака были под дождём весь день", "el": "η γάτα και ο σκύλος ήταν έξω στη βροχή",
+    "zh": "猫和狗整天都在雨中外面玩耍", "ko": "고양이와 개는 하루 종일 빗속에 있었다", "th": "แมวและสุนัขอยู่กลางสายฝนตลอดทั้งวัน", "got": "𐌰𐌱𐌲𐌳 𐌴𐌵𐌶𐌷 𐌸𐌹𐌺𐌻 𐌼𐌽𐌾𐌿",
+}
+
+
+def test_language_against_plain_kernel_ridge(spark):
+    rng = np.random.default_rng(4)
+    draw = lambda lang: "".join(rng.choice(list(SCRIPTS[lang]), 40))
+    rows = [(i, draw(lang), lang) for i, lang in enumerate(list(SCRIPTS) * 8)]
+    rows += [(100 + i, draw("en").replace("a", "é"), "fr") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    params = language_id.Params(landmarks_per_language=100)
+    texts = [draw(lang) for lang in SCRIPTS] + ["the 猫 and 狗", "é è"]
+    model = language_id.fit(df, params)
+    got = language_id.predict(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), model).orderBy("i").collect()
+    langs, scores = plain_ridge([(t, lang) for _, t, lang in rows], texts, 100, params.ridge)
+    assert [r.lang_pred for r in got] == langs and langs[: len(SCRIPTS)] == list(SCRIPTS)
+    assert np.allclose([r.score for r in got], scores, atol=1e-3)
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(1, "the cat and the dog", "en")] * 20_000 + [(i, f"le chat {i}", "fr") for i in range(2, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    save = language_id.Scratch.save
+
+    def watched(self, frame, name, *rest):
+        out = save(self, frame, name, *rest)
+        if name == "sample":
+            seen.append({r["lang"]: r["count"] for r in out.groupBy("lang").count().collect()})
+        return out
+
+    language_id.Scratch.save = watched
+    try:
+        model = language_id.fit(df)
+    finally:
+        language_id.Scratch.save = save
+    assert seen == [{"en": 1, "fr": 250}] and model.languages == ["en", "fr"] and len(model.landmarks.held) == 25
+
+
 PAGE = """<html class="has-sidebar"><body class="with-ads"><header><h1>Site</h1><p>The best site, ever.</p></header><div id="nav"><ul><li><a href=x>Home</a></li></ul></div>
 <div class="cookie-notice">We use cookies, to make this better.</div><div class="wrap"><div class="post"><h1>A title</h1><p>First para, with text &amp; more; it is long enough.<p>Second
  <b>bold</b>&nbsp; para, <a href="u">link</a>. And more, much more of it.<ul><li>one item</li></ul><form><p>Subscribe now</p></form><div class="ad-box">Buy!</div><p>3 < 4 and a&lt;b.</p></div>
@@ -166,17 +255,57 @@ def test_html_without_article_and_h1():
     assert got(f"<div><div><h2>Title</h2><p>Standfirst.</p>{formula}{body}{item}</div></div>") == want
 
 
-def test_html_query_finds_whole_articles(spark):
+def plain_article(page):
+    """The blocks between <article> and </article>, by cutting at p and h1."""
     import html
     import re
 
+    body = re.sub("<br>", " ", page.partition("<article>")[2].partition("</article>")[0])
+    blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body))
+    return "\n\n".join(x for x in blocks if x)
+
+
+def renamed(page, opening):
+    return page.replace("<article>", opening).replace("</article>", f"</{opening[1:].split()[0].rstrip('>')}>")
+
+
+COMMENTS = "<div id=comments><h3>Comments</h3>" + "<div><p>A reader's comment, long and with marks. Yes! I agree with all of it, really.</p></div>" * 12 + "</div>"
+
+
+def test_html_names_do_not_decide(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    want = [plain_article(p) for p in pages]
+    for opening in ("<div>", '<article class="post no-sidebar">', '<article class="entry share-count comments-open">', '<div class="widget-content">', '<div class="with-ads">'):
+        assert [html_text.main_text(renamed(p, opening)) for p in pages] == want, opening
+    assert [html_text.main_text(p.replace("<body>", "<body><form>")) for p in pages] == want
+    assert [html_text.main_text(p.replace("<article>", "").replace("</article>", "")) for p in pages] == want
+    for at in (COMMENTS + "</article>", "</article>" + COMMENTS):
+        assert [html_text.main_text(p.replace("</article>", at)) for p in pages] == want
+    # Without classes, ratios alone find the article wherever it outweighs the advert; constant ratios do nowhere.
+    bare = [p.replace(' class="ad"', "") for p in pages]
+    found = sum(html_text.main_text(p) == w for p, w in zip(bare, want, strict=True))
+    monkeypatch.setattr(html_text, "path_ratios", lambda blocks, radius=1: np.ones(len(blocks)))
+    assert found >= 0.8 * len(pages)
+    assert not any(html_text.main_text(p) == w for p, w in zip(bare, want, strict=True))
+    assert not any(html_text.main_text(p) == w for p, w in zip(pages, want, strict=True))
+
+
+def test_html_is_linear_in_depth():
+    import time
+
+    began = time.process_time()
+    assert html_text.main_text("<div>w, and w." * 100_000).count("\n\n") == 99_999
+    html_text.main_text("<li><ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000)
+    html_text.main_text("<b>" * 50_000 + "x<hr>" * 50_000)
+    assert time.process_time() - began < 15
+
+
+def test_html_query_finds_whole_articles(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = queries.op8_html_text(spark, SF).collect()
     assert len(got) == len(pages)
     for r in got:
-        body = re.sub("<br>", " ", pages[r.page_id].html.partition("<article>")[2].partition("</article>")[0])
-        blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body))
-        assert r.text == "\n\n".join(x for x in blocks if x) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+        assert r.text == plain_article(pages[r.page_id].html) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
 
 
 def test_pipeline_stage_by_stage(spark, tmp_path):
