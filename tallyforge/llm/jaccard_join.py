@@ -41,8 +41,8 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 #: Sizes from bound k to bound k+1 share their cuts; a size within reach of the next bound takes part there too.
 RATIO = 1.4
-#: Fine fragments to a coarse one: about as many as n-grams.  Each is told by four bits, so of sixteen unequal ones fifteen show.
-FINE = 8
+#: Fine fragments to a coarse one, so that there are about as many as n-grams.  Each is told by four bits, so of sixteen unequal ones fifteen show.
+FINE = 4
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
