@@ -8,6 +8,7 @@ by two batched matrix products.  Fitting uses a bounded sample, scoring every wh
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,173 +18,200 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm.bpe import slices, text_sizes
-from tallyforge.llm.shared import materialize
+from tallyforge.llm.shared import Scratch
 
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of the fit.  `per_language` rows are sampled per language, those of the smallest hash of their row key."""
+    """Bounds of the fit: `per_language` distinct rows are sampled per language, of which `landmarks_per_language` are landmarks."""
 
     per_language: int = 250
     landmarks_per_language: int = 24
-    symbols: int = 95
-    most_grams: int = 12_000
     ridge: float = 1e-2
 
 
-class Grams:
-    """Presence of the n-grams of a fixed vocabulary in whole texts.
+#: Bits of a symbol: letters are lower-cased code points plus 1, and 1 is a space.
+SYMBOL_BITS = 21
+SPACE = 1
 
-    Characters are lower-cased and mapped to `symbols` known ones; every other letter is one
-    symbol, and every run of non-letters a single space.
-    """
 
-    def __init__(self, alphabet: str):
-        self.alphabet = alphabet
-        self.base = len(alphabet) + 2
-        known = {c: i + 2 for i, c in enumerate(alphabet)}
-        table = np.zeros(1 << 16, np.uint8)
-        for code in range(1 << 16):
-            c = chr(code)
-            if c.isalpha():
-                low = c.lower()
-                table[code] = known.get(low[0] if len(low) else c, 1)
-        self.table = table
-        self.slot: np.ndarray | None = None
-        self.size = 0
-
-    def symbols(self, text: str) -> np.ndarray:
-        """Symbol numbers of a text, framed by spaces: 0 space, 1 other letter, then the alphabet."""
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        wide = codes >= 1 << 16
-        s = self.table[np.where(wide, 0, codes)]
-        if wide.any():
-            s[wide] = [chr(c).isalpha() for c in codes[wide].tolist()]
-        s = np.concatenate(([0], s, [0])).astype(np.int32)
-        return s[~((s == 0) & np.concatenate(([False], s[:-1] == 0)))]
-
-    def codes(self, text: str, most: int = 1 << 20) -> Iterator[np.ndarray]:
-        """Numbers of all n-grams of the text, in parts that overlap by two characters."""
-        b = self.base
-        for at in range(0, max(len(text), 1), most):
-            s = self.symbols(text[max(at - 2, 0) : at + most])
-            yield s
-            yield b + s[:-1] * b + s[1:]
-            yield b + b * b + (s[:-2] * b + s[1:-1]) * b + s[2:]
+def _symbol(c: str) -> int:
+    return ord(c.lower()[0]) + 1 if c.isalpha() else SPACE
 
-    @property
-    def space(self) -> int:
-        return self.base + self.base**2 + self.base**3
 
-    def restrict(self, grams: np.ndarray) -> None:
-        self.slot = np.full(self.space, len(grams), np.int32)
-        self.slot[grams] = np.arange(len(grams), dtype=np.int32)
-        self.size = len(grams)
+@functools.cache
+def _table() -> np.ndarray:
+    """Symbols of the first 65536 code points."""
+    return np.array([_symbol(chr(code)) for code in range(1 << 16)], np.int64)
+
+
+def symbols(text: str) -> np.ndarray:
+    """Symbols of a text, framed by spaces; every run of other characters than letters is one space."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    wide = codes >= 1 << 16
+    s = _table()[np.where(wide, 0, codes)]
+    if wide.any():
+        found, back = np.unique(codes[wide], return_inverse=True)
+        s[wide] = np.array([_symbol(chr(c)) for c in found.tolist()], np.int64)[back]
+    s = np.concatenate(([SPACE], s, [SPACE]))
+    return s[~((s == SPACE) & np.concatenate(([False], s[:-1] == SPACE)))]
+
+
+def grams(text: str, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """All n-grams of a text as 63-bit numbers, in parts that overlap by two characters."""
+    for at in range(0, max(len(text), 1), most):
+        s = symbols(text[max(at - 2, 0) : at + most])
+        pairs = s[:-1] << SYMBOL_BITS | s[1:]
+        yield from (s, pairs, pairs[:-1] << SYMBOL_BITS | s[2:])
+
+
+def gram_set(text: str) -> np.ndarray:
+    """The sorted distinct n-grams of a text."""
+    out = np.zeros(0, np.int64)
+    for part in grams(text):
+        out = np.union1d(out, part)
+    return out
+
+
+class Vocabulary:
+    """Places of known n-grams: a hash table with one probe, and a search for the few that share a slot."""
+
+    BITS = 22
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        slot = self._slot(known)
+        self.table = np.full(1 << self.BITS, -1, np.int32)
+        self.table[slot] = np.arange(len(known), dtype=np.int32)
+        shared = np.bincount(slot, minlength=1 << self.BITS)[slot] > 1 if len(known) else np.zeros(0, bool)
+        self.table[slot[shared]] = -2
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.view(np.uint64) * self.FACTOR >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """Places of those `codes` that are known."""
+        at = self.table[self._slot(codes)]
+        crowded = codes[at == -2]
+        codes, at = codes[at >= 0], at[at >= 0]
+        out = at[self.known[at] == codes]
+        if len(crowded):
+            found = np.searchsorted(self.known, crowded).clip(max=len(self.known) - 1)
+            out = np.concatenate((out, found[self.known[found] == crowded].astype(np.int32)))
+        return out
 
     def presence(self, texts: list[str]) -> np.ndarray:
-        """Rows of 0/1 over the vocabulary, each scaled to length one."""
-        out = np.zeros((len(texts), self.size + 1), np.float32)
+        """Rows of 0/1 over the known n-grams, each scaled to length one."""
+        out = np.zeros((len(texts), len(self.known)), np.float32)
         for row, text in zip(out, texts, strict=True):
-            for codes in self.codes(text):
-                row[self.slot[codes]] = 1
-        out = out[:, :-1]
+            for part in grams(text):
+                row[self.places(part)] = 1
         return out / np.sqrt(np.maximum(out.sum(1, keepdims=True), 1))
 
 
+@dataclass
+class Landmarks:
+    """The known n-grams, and which of them each landmark text holds."""
+
+    known: np.ndarray
+    held: np.ndarray
+
+    @classmethod
+    def of(cls, sets: list[np.ndarray]) -> Landmarks:
+        known = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
+        held = np.zeros((len(sets), len(known)), bool)
+        for row, own in zip(held, sets, strict=True):
+            row[np.searchsorted(known, own)] = True
+        return cls(known, held)
+
+    def kernel(self):
+        """A function from texts to their kernels with the landmarks."""
+        vocabulary = Vocabulary(self.known)
+        marks = self.held.T.astype(np.float32)
+        marks /= np.sqrt(np.maximum(marks.sum(0, keepdims=True), 1))
+        return lambda texts: vocabulary.presence(texts) @ marks
+
+    @property
+    def batch_rows(self) -> int:
+        """Texts whose rows over the known n-grams take about 32 MB."""
+        return int(np.clip((1 << 23) // max(len(self.known), 1), 1, 128))
+
+
 @dataclass
 class Model:
     languages: list[str]
-    alphabet: str
-    grams: np.ndarray
-    landmarks: np.ndarray
+    landmarks: Landmarks
     weights: np.ndarray
 
     def scorer(self):
-        grams = Grams(self.alphabet)
-        grams.restrict(self.grams)
-        landmarks, weights = self.landmarks.astype(np.float32).T.copy(), self.weights.astype(np.float32)
-        return lambda texts: (grams.presence(texts) @ landmarks) @ weights
+        kernel, weights = self.landmarks.kernel(), self.weights.astype(np.float32)
+        return lambda texts: kernel(texts) @ weights
 
 
 def fit(labelled: DataFrame, params: Params = Params(), key_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model from a bounded sample of rows with a language and a text; None if there are none.
 
-    At most `per_language` rows of each language reach the driver, as n-gram numbers.
+    The sample holds, of each language, the `per_language` rows of the smallest hash of key
+    and length among those below a limit that leaves about eight times as many; rows that
+    repeat key and text count once.  Of each, one kernel row reaches the driver, and of the
+    landmarks their n-grams.  Letters and n-grams are neither folded nor cut in number.
     """
     rows = labelled.select(
         F.col(lang_col).alias("lang"),
         F.xxhash64(F.lit(17), F.col(key_col).cast("string"), F.length(text_col)).alias("h"),
         F.col(text_col).alias("text"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Hashes alone decide the sample, so no text is sorted.
-    ranked = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    limits = ranked.where(F.col("r") <= params.per_language).groupBy("lang").agg(F.max("h").alias("limit")).collect()
-    if not limits:
-        return None
-    chosen = None
-    for lang, limit in limits:
-        hit = (F.col("lang") == lang) & (F.col("h") <= limit)
-        chosen = hit if chosen is None else chosen | hit
-    sample = materialize(rows.where(chosen), "language-sample")
-
-    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = sorted({c for c in text.lower() if c.isalpha() and ord(c) < 1 << 16})
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string())], names=["lang", "letter"])
-
-    counts = sample.select("lang", "text").mapInArrow(letters, "lang string, letter string").groupBy("letter").count()
-    top = counts.orderBy(F.desc("count"), "letter").limit(params.symbols).collect()
-    alphabet = "".join(sorted(r["letter"] for r in top))
-
-    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(alphabet)
+    scratch = Scratch(labelled.sparkSession, "language-id")
+    share = F.least(F.lit(1.0), F.lit(8.0 * params.per_language) / F.col("n"))
+    limits = scratch.save(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).select("lang", share.alias("share")), "limits")
+    # One row a language is broadcast.  Texts of the sample alone are moved, each once.
+    low = rows.join(F.broadcast(limits), "lang").where(F.col("h") / F.lit(2.0**64) + F.lit(0.5) <= F.col("share"))
+    once = low.groupBy("lang", "h", F.xxhash64(F.lit(1), "text").alias("t")).agg(F.first("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
+    sample = scratch.save(once.withColumn("r", rank).where(F.col("r") <= params.per_language), "sample")
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, text in enumerate(batch.column("text").to_pylist()):
-                own = np.zeros(0, np.int64)
-                for codes in grams.codes(text):
-                    own = np.union1d(own, codes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang").slice(i, 1), batch.column("h").slice(i, 1), pa.array([own.astype("<u4").tobytes()], pa.binary())],
-                    names=["lang", "h", "grams"],
+                    [batch.column("lang").slice(i, 1), batch.column("r").slice(i, 1), pa.array([gram_set(text).astype("<i8").tobytes()], pa.binary())],
+                    names=["lang", "r", "grams"],
                 )
 
-    got = sorted((r["lang"], r["h"], bytes(r["grams"])) for r in sample.select("lang", "h", "text").mapInArrow(numbers, "lang string, h long, grams binary").collect())
-    languages = sorted({x[0] for x in got})
-    sets = [np.frombuffer(x[2], "<u4") for x in got]
-    taken, landmark = dict.fromkeys(languages, 0), []
-    for i, (lang, _, _) in enumerate(got):
-        if taken[lang] < params.landmarks_per_language and len(sets[i]):
-            taken[lang] += 1
-            landmark.append(i)
-    space = Grams(alphabet).space
-    seen = np.zeros(space, np.int64)
-    for i in landmark:
-        seen[sets[i]] += 1
-    vocabulary = np.flatnonzero(seen)
-    if len(vocabulary) > params.most_grams:
-        vocabulary = np.sort(vocabulary[np.lexsort((vocabulary, -seen[vocabulary]))[: params.most_grams]])
-    slot = np.full(space, -1, np.int64)
-    slot[vocabulary] = np.arange(len(vocabulary))
-    x = np.zeros((len(sets), len(vocabulary)), np.float32)
-    for row, own in zip(x, sets, strict=True):
-        at = slot[own]
-        row[at[at >= 0]] = 1
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
-    marks = x[landmark]
-    # Nyström features K(x, L) W^-1/2, then ridge regression on centred +-1 targets.
-    w = (marks @ marks.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(w)
-    keep = values > 1e-6 * values.max()
+    marks = sample.where((F.col("r") <= params.landmarks_per_language) & F.col("text").rlike(r"\p{L}")).select("lang", "r", "text")
+    got = sorted((r["lang"], r["r"], bytes(r["grams"])) for r in marks.mapInArrow(sets_of, "lang string, r int, grams binary").collect())
+    landmarks = Landmarks.of([np.frombuffer(x[2], "<i8").astype(np.int64) for x in got])
+    shipped = labelled.sparkSession.sparkContext.broadcast(landmarks)
+
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel = shipped.value.kernel()
+        for whole in batches:
+            for at in range(0, whole.num_rows, shipped.value.batch_rows):
+                batch = whole.slice(at, shipped.value.batch_rows)
+                k = kernel(batch.column("text").to_pylist()).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("r"), pa.array(list(k), pa.list_(pa.float64()))], names=["lang", "r", "k"])
+
+    table = sample.select("lang", "r", "text").mapInArrow(kernels, "lang string, r int, k array<double>").collect()
+    scratch.drop("limits", "sample")
+    if not table:
+        return None
+    table = sorted((r["lang"], r["r"], r["k"]) for r in table)
+    languages = sorted({x[0] for x in table})
+    k = np.array([x[2] for x in table]).reshape(len(table), len(got))
+    y = np.array([[1.0 if lang == name else 0.0 for name in languages] for lang, _, _ in table])
+    # Nyström features K(x, L) W^-1/2, then ridge regression on 0/1 targets.
+    held = landmarks.held.astype(np.float64)
+    held /= np.sqrt(np.maximum(held.sum(1, keepdims=True), 1))
+    values, vectors = np.linalg.eigh(held @ held.T)
+    keep = values > 1e-6 * values.max(initial=0)
     root = vectors[:, keep] / np.sqrt(values[keep])
-    phi = (x @ marks.T).astype(np.float64) @ root
-    y = np.array([[1.0 if lang == k else 0.0 for k in languages] for lang, _, _ in got])
+    phi = k @ root
     inner = phi.T @ phi + params.ridge * len(phi) / max(phi.shape[1], 1) * np.eye(phi.shape[1])
-    weights = root @ np.linalg.solve(inner, phi.T @ y)
-    return Model(languages, alphabet, vocabulary.astype(np.int64), marks, weights)
+    return Model(languages, landmarks, root @ np.linalg.solve(inner, phi.T @ y))
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score", batch_rows: int = 128) -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """`docs` plus the predicted language and its score from 0 to 1 (the ridge output, clipped).
 
     "und" with score 0 if the text is null or has no letters, or if nothing was learned.
@@ -196,7 +224,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
-        score = model.scorer()
+        score, batch_rows = model.scorer(), model.landmarks.batch_rows
         names = np.array([*model.languages, "und"], object)
         for whole in batches:
             for part in slices(whole, text_sizes(whole.column(text_col))):
