@@ -25,6 +25,11 @@ def binary_cuts(n: int, longest: int) -> list[int]:
     return [longest] * whole + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """Write `pieces` under `path`/bucket=..., so that each folder holds sequences of one length, to be drawn in full batches."""
+    pieces.write.partitionBy("bucket").parquet(path)
+
+
 def pack(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", longest: int = 2048, end_id: int = 1
 ) -> DataFrame:

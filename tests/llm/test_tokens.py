@@ -50,6 +50,13 @@ def test_encode_decode(spark, docs, library):
     assert bpe.encode(docs.limit(0), PATH).count() == 0
 
 
+def test_buckets_hold_one_length(spark, docs, tmp_path):
+    packing.write_buckets(packing.pack(docs, PATH, longest=256), f"{tmp_path}/b")
+    back = spark.read.parquet(f"{tmp_path}/b")
+    assert {(r.bucket, r.length) for r in back.select("bucket", "length").distinct().collect()} <= {(k, 1 << k) for k in range(9)}
+    assert back.count() == packing.pack(docs, PATH, longest=256).count()
+
+
 def test_packing_covers_every_id_once(spark, docs, library):
     got = packing.pack(docs, PATH, longest=256).collect()
     assert len({r.sequence_id for r in got}) == len(got)
