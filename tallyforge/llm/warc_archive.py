@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.bpe import slices, text_sizes
-from tallyforge.llm.shared import materialize, shared_dir
+from tallyforge.llm.shared import Scratch, maybe_among, shared_dir
 
 CRLF = "\r\n"
+MEMBER = "digest string, size long, member binary"
 #: Payloads below this size are always stored as responses of their own.
 LEAST_REVISIT = 100
 
@@ -51,12 +52,19 @@ def write_archive(
         F.coalesce(F.col(payload_col), F.lit("")).alias("text"),
     )
     bytes_ = F.encode("text", "UTF-8")
-    heads = materialize(
-        rows.select("page_id", "url", F.sha2(bytes_, 256).alias("digest"), F.octet_length("text").cast("long").alias("size")), "warc-heads"
+    scratch = Scratch(pages.sparkSession, "warc")
+    heads = scratch.save(
+        rows.select("page_id", "url", F.sha2(bytes_, 256).alias("digest"), F.octet_length("text").cast("long").alias("size"), F.crc32(bytes_).alias("crc32")), "heads"
     )
     # Only ids and digests shuffle here, combined on the map side.
-    first = materialize(heads.where(F.col("size") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first")), "warc-first")
-    typed = heads.join(first, "digest", "left").withColumn("revisit", F.coalesce(F.col("page_id") > F.col("first"), F.lit(False)))
+    check = F.struct("size", "crc32")
+    groups = heads.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"), F.min(check).alias("lo"), F.max(check).alias("hi"))
+    same = F.when(F.col("lo") == F.col("hi"), F.col("digest")).otherwise(
+        F.raise_error(F.concat(F.lit("different payloads share the digest "), "digest")).cast("string")
+    )
+    first = scratch.save(groups.select(same.alias("digest"), "first", "n"), "first")
+    later = (F.col("page_id") > F.col("first")) & (F.col("size") >= LEAST_REVISIT)
+    typed = heads.join(first, "digest", "left").withColumn("revisit", F.coalesce(later, F.lit(False)))
     length = F.when(F.col("revisit"), F.lit(0)).otherwise(F.col("size")).cast("string")
     header = F.concat(
         F.lit("WARC/1.1" + CRLF),
@@ -81,21 +89,22 @@ def write_archive(
                     [
                         pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
                         pa.array([len(x) for x in raw], pa.int64()),
-                        pa.array([zlib.crc32(x) for x in raw], pa.int64()),
                         pa.array([zlib.compress(x, 6, wbits=31) for x in raw], pa.binary()),
                     ],
-                    names=["digest", "size", "crc32", "member"],
+                    names=["digest", "size", "member"],
                 )
 
-    stored = rows.select("text").mapInArrow(compress, "digest string, size long, crc32 long, member binary")
-    once = stored.groupBy("digest").agg(
-        F.first("size").alias("size"), F.first("member").alias("member"),
-        F.min(F.struct("size", "crc32")).alias("lo"), F.max(F.struct("size", "crc32")).alias("hi"),
-    )
-    same = F.when(F.col("lo") == F.col("hi"), F.col("digest")).otherwise(
-        F.raise_error(F.concat(F.lit("different payloads share the digest "), "digest")).cast("string")
-    )
-    once.select(same.alias("digest"), "size", "member").write.mode("overwrite").option("compression", "uncompressed").parquet(f"{path}/payloads")
+    # Payloads that occur once pass straight through; of the others, only the first page is compressed.
+    copied, (n_copied, _) = scratch.save_signed(first.where("n > 1").select("digest", "first", F.xxhash64("digest").alias("key")), "copied")
+    keyed = rows.select("page_id", "text", F.sha2(bytes_, 256).alias("digest"), F.xxhash64(F.sha2(bytes_, 256)).alias("key"))
+    marked = maybe_among(keyed, "key", copied, n_copied)
+    chosen = marked.where("__maybe").join(copied.drop("key"), "digest").where(F.col("page_id").eqNullSafe(F.col("first"))).select("text")
+    known_once = marked.where("__maybe").join(copied, "digest", "left_anti").select("text")
+    stored = marked.where("not __maybe").select("text").unionByName(known_once).mapInArrow(compress, MEMBER)
+    # Rows that repeat the first id too are stored once.
+    folded = chosen.mapInArrow(compress, MEMBER).groupBy("digest").agg(F.first("size").alias("size"), F.first("member").alias("member"))
+    stored.unionByName(folded).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{path}/payloads")
+    scratch.drop("heads", "first", "copied")
 
 
 def header_value(name: str, header: Column) -> Column:
@@ -119,7 +128,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         header_value("WARC-Target-URI", header).alias("target_uri"),
         F.regexp_extract(header, r"WARC-Payload-Digest: sha256:([0-9a-f]{64})", 1).alias("digest"),
     )
-    payloads = spark.read.schema("digest string, size long, member binary").parquet(f"{path}/payloads")
+    payloads = spark.read.schema(MEMBER).parquet(f"{path}/payloads")
     joined = heads.join(payloads, "digest")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
