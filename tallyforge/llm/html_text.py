@@ -3,15 +3,18 @@
 Text length and punctuation are aggregated per root-to-leaf tag path, smoothed over the
 page's sequence of text nodes, fused by multiplication and held against their standard
 deviation.  The nodes of the paths above it are content; the smallest element that holds them
-all, with the title and the text that stand beside it, less its menus, notices, adverts, forms
-and comments, is the article.
+all, with the title and the text that stand beside it, is the article.
+
+Element names, roles and words of class and id mark suspects: menus, notices, adverts, forms,
+comments.  Names only raise the bar: a suspect stays if a path inside stands out from the page
+by several standard deviations, or if there is too little content outside of it, so a page, an
+article or a form that wraps the text stays whatever it is called.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,16 +37,21 @@ INLINE = frozenset(
     "annotation annotation-xml".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-DROPPED = frozenset("head nav footer aside form button select option dialog template svg canvas audio video menu applet annotation annotation-xml".split()) | RAW
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words of class and id attributes that mark what is not article text.
+#: Elements whose text is never part of the page's text.
+UNSEEN = frozenset("head button select option template svg canvas audio video applet annotation annotation-xml".split()) | RAW
+BY_ELEMENT, BY_NAME = 1, 2
+SUSPECTS = frozenset("nav footer aside form dialog menu".split())
+SUSPECT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+#: Words of class and id attributes that mark what is often not article text.
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer comment comments disqus cookie cookies consent gdpr notice notices notification popup "
     "modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination "
     "pager masthead topbar".split()
 )
-CONTAINERS = frozenset("html body div section article main center table tbody tr td".split())
+#: Words that turn a name with a hint into a statement about the page, as in "no-sidebar" or "comments-open".
+STATES = frozenset("no not without with has have is count open opened closed on off enabled disabled content container wrapper layout".split())
+CONTAINERS = frozenset("html body div section article main center form table tbody tr td".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section table ul".split()
@@ -60,51 +68,68 @@ class Path(dict):
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "heading_only", "main", "has_title", "held")
+    __slots__ = ("tag", "parent", "index", "path", "block", "unseen", "heading_only", "main", "has_title", "suspect")
 
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Node | None, index: int):
+        self.tag, self.parent, self.index = tag, parent, index
         # Elements of one tag path share one `path` object, which also maps a tag to the path below.
         self.path = parent.path.setdefault(tag, Path()) if parent else Path()
-        self.dropped = parent.dropped if parent else False
+        self.block = parent.block if parent and tag in INLINE else self
+        self.unseen = parent.unseen if parent else False
         self.heading_only = parent.heading_only if parent else False
         self.main = parent.main if parent else False
         self.has_title = False
-        self.held = 0
+        self.suspect = 0
+
 
+def _hinted(value: str) -> bool:
+    """Whether a name of a class or id holds a hint, and no word that makes it a statement about the page."""
+    for name in value.split():
+        words = {w.lower() for w in WORD.findall(name)}
+        if not HINTS.isdisjoint(words) and STATES.isdisjoint(words):
+            return True
+    return False
 
-def _opened(tag: str, attributes: str, parent: Node, hints: bool) -> Node:
-    node = Node(tag, parent)
-    if tag in DROPPED:
-        node.dropped = True
+
+def _opened(tag: str, attributes: str, parent: Node, index: int) -> Node:
+    node = Node(tag, parent, index)
+    if tag in UNSEEN:
+        node.unseen = True
+    elif tag in SUSPECTS:
+        node.suspect = BY_ELEMENT
     elif tag in ("article", "main"):
         node.main = True
     elif tag == "header":
-        node.heading_only, node.dropped = True, node.dropped or not node.main
+        # Inside the article, a header holds its title and first paragraph.
+        node.heading_only, node.suspect = node.main, 0 if node.main else BY_ELEMENT
     elif tag == "h1":
         parent.has_title = True
     if node.heading_only and (tag in HEADINGS or tag == "p"):
         node.heading_only = False
-    if hints and attributes.strip() and tag not in ("html", "body", "main"):
+    if attributes.strip() and tag not in ("html", "body"):
         for name, a, b, c in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), a or b or c
-            if name in ("class", "id") and not HINTS.isdisjoint(w.lower() for w in WORD.findall(value)) or name == "role" and value.lower() in DROPPED_ROLES or name == "hidden":
-                node.dropped = True
+            if name == "role" and value.lower() in SUSPECT_ROLES or name == "hidden":
+                node.suspect = BY_ELEMENT
+            elif name in ("class", "id") and not node.suspect and _hinted(value):
+                node.suspect = BY_NAME
     return node
 
 
-def blocks_of(page: str, hints: bool = True) -> list[tuple[Node, str, int]]:
-    """The page's text blocks in order: element, text, characters inside links."""
-    root = Node("", None)
-    stack, out, at, n = [root], [], 0, len(page)
+def blocks_of(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
+    """The page's elements and its text blocks in order: element, text, characters inside links."""
+    root = Node("", None, 0)
+    nodes, stack, out, at, n = [root], [root], [], 0, len(page)
     parts: list[str] = []
     linked, owner = 0, root
-    count: Counter[str] = Counter()  # open elements by tag
+    depths: dict[str, list[int]] = {}  # places of the open elements on the stack, by tag
+
+    def pop_to(depth: int) -> None:
+        while len(stack) > depth:
+            depths[stack.pop().tag].pop()
 
-    def pop() -> str:
-        tag = stack.pop().tag
-        count[tag] -= 1
-        return tag
+    def deepest(tags: str) -> int:
+        return max((depths[x][-1] for x in tags.split() if depths.get(x)), default=0)
 
     def flush() -> None:
         nonlocal parts, linked
@@ -114,21 +139,15 @@ def blocks_of(page: str, hints: bool = True) -> list[tuple[Node, str, int]]:
                 out.append((owner, text, linked))
         parts, linked = [], 0
 
-    def block_owner() -> Node:
-        node = stack[-1]
-        while node.tag in INLINE and node.parent:
-            node = node.parent
-        return node
-
     def say(raw: str) -> None:
         nonlocal linked, owner
         top = stack[-1]
-        if raw and not top.dropped and not top.heading_only:
+        if raw and not top.unseen and not top.heading_only:
             text = html.unescape(raw)
             if not parts:
-                owner = block_owner()
+                owner = top.block
             parts.append(text)
-            linked += len(text) if count["a"] else 0
+            linked += len(text) if depths.get("a") else 0
 
     while at < n:
         lt = page.find("<", at)
@@ -164,33 +183,26 @@ def blocks_of(page: str, hints: bool = True) -> list[tuple[Node, str, int]]:
         if tag not in INLINE:
             flush()
         if closing:
-            if count[tag]:
-                while pop() != tag:
-                    pass
+            if depths.get(tag):
+                pop_to(depths[tag][-1])
             continue
-        if tag in CLOSES_P and count["p"]:
-            while pop() != "p":
-                pass
+        if tag in CLOSES_P and depths.get("p"):
+            pop_to(depths["p"][-1])
         if tag in SIBLING:
-            same, scope = (x.split() for x in SIBLING[tag])
-            if any(count[x] for x in same):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in scope:
-                        break
-                    if stack[k].tag in same:
-                        while len(stack) > k:
-                            pop()
-                        break
+            same, scope = (deepest(x) for x in SIBLING[tag])
+            if same > scope:
+                pop_to(same)
         if tag in VOID or attributes.endswith("/") and tag not in RAW and tag not in CONTAINERS and tag != "p":
             continue
-        stack.append(_opened(tag, attributes, stack[-1], hints))
-        count[tag] += 1
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
-            pop()
+            continue
+        nodes.append(_opened(tag, attributes, stack[-1], len(nodes)))
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append(nodes[-1])
     flush()
-    return out
+    return nodes, out
 
 
 def path_ratios(blocks: list[tuple[Node, str, int]], radius: int = 1) -> np.ndarray:
@@ -212,82 +224,105 @@ def path_ratios(blocks: list[tuple[Node, str, int]], radius: int = 1) -> np.ndar
     return smooth(length) * (smooth(marks) + 1)
 
 
+def _sums(nodes: list[Node], blocks: list[tuple[Node, str, int]], values) -> list[float]:
+    """By element, the sum of the values of the blocks inside; parents come before their children in `nodes`."""
+    out = [0.0] * len(nodes)
+    for (node, _, _), value in zip(blocks, values, strict=True):
+        out[node.index] += value
+    for node in reversed(nodes):
+        if node.parent:
+            out[node.parent.index] += out[node.index]
+    return out
+
+
+def _down(nodes: list[Node], rule) -> list[bool]:
+    """By element, rule(element, what the rule said of its parent)."""
+    out = [False] * len(nodes)
+    for node in nodes:
+        out[node.index] = rule(node, node.parent is not None and out[node.parent.index])
+    return out
+
+
+#: Suspects go where at least this share of the text that is no link, or an article element's text, stands outside of them.
+OUTSIDE = 0.05
+#: Standard deviations above the mean ratio that a path inside a suspect by class or id needs to be content.
+STANDS_OUT = 3.0
+
+
+def without_suspects(nodes: list[Node], blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks outside suspects; those that stand out, or hold most of the content, are none."""
+    if not any(node.suspect for node in nodes):
+        return blocks
+    ratio = path_ratios(blocks)
+    high = float(ratio.mean() + STANDS_OUT * ratio.std())
+    weight = [max(len(text) - linked, 0) for _, text, linked in blocks]
+    inside = _sums(nodes, blocks, weight)
+    standing = _sums(nodes, blocks, [r >= high for r in ratio])
+    for least in (1.0, 0.5, 0.0):
+        # First every suspect counts that holds less than all, then those that hold less than half, then none.
+        def rule(node: Node, above: bool, least: float = least) -> bool:
+            stays = inside[node.index] >= least * inside[0] or node.suspect == BY_NAME and standing[node.index]
+            return above or bool(node.suspect) and not stays
+
+        in_suspect = _down(nodes, rule)
+        left = [i for i, (node, _, _) in enumerate(blocks) if not in_suspect[node.index]]
+        if left and (any(blocks[i][0].main for i in left) or sum(weight[i] for i in left) >= OUTSIDE * inside[0]):
+            return [blocks[i] for i in left]
+    return blocks
+
+
+def _bar(ratio: np.ndarray) -> float:
+    return min(float(ratio.std()), float(ratio.max()))
+
+
 def main_text(page: str | None) -> str:
     """The article of one page; "" if there is none."""
     if not page:
         return ""
-    blocks = blocks_of(page)
-    if not blocks:
-        blocks = blocks_of(page, hints=False)
+    nodes, blocks = blocks_of(page)
     if not blocks:
         return ""
+    blocks = without_suspects(nodes, blocks)
     ratio = path_ratios(blocks)
-    bar = min(float(ratio.std()), float(ratio.max()))
+    bar = _bar(ratio)
     best: dict[Path, float] = {}
     for (node, _, _), r in zip(blocks, ratio, strict=True):
         best[node.path] = max(best.get(node.path, 0.0), r)
     content = [i for i, (node, _, _) in enumerate(blocks) if best[node.path] >= bar]
-    for i in content:
-        up: Node | None = blocks[i][0]
-        while up:
-            up.held += 1
-            up = up.parent
+    held = _sums(nodes, [blocks[i] for i in content], [1] * len(content))
     # The smallest element that holds all of the content, but not one paragraph of it.
-    inside: dict[int, Node] = {}
-    for node, _, _ in blocks:
-        up = node
-        while up and id(up) not in inside:
-            inside[id(up)] = up
-            up = up.parent
-    children: dict[int, list[Node]] = {}
-    for node in inside.values():
-        if node.parent:
-            children.setdefault(id(node.parent), []).append(node)
-    root = next(node for node in inside.values() if node.parent is None)
+    root = nodes[0]
     passed: set[int] = set()
-    while root.tag not in ("article", "main") and not root.has_title:
-        down = [c for c in children.get(id(root), []) if c.tag in CONTAINERS and c.held == len(content)]
-        if not down:
+    for node in nodes[1:]:
+        if root.tag in ("article", "main") or root.has_title:
             break
-        passed.add(id(root))
-        root = down[0]
+        if node.parent is root and node.tag in CONTAINERS and held[node.index] == len(content):
+            passed.add(root.index)
+            root = node
     if root.tag in ("tbody", "tr"):  # cells of one table: its head and caption belong to them
         while root.parent and root.tag != "table":
             root = root.parent
-            passed.discard(id(root))
-    within: dict[int, bool] = {id(root): True}
-
-    def belongs(node: Node | None) -> bool:
-        trail = []
-        while node and id(node) not in within:
-            trail.append(id(node))
-            node = node.parent
-        answer = bool(node) and within[id(node)]
-        within.update(dict.fromkeys(trail, answer))
-        return answer
-
-    def beside(node: Node | None) -> bool:
-        """Whether a block stands in an element around the article without a container of its own."""
-        while node and id(node) not in passed:
-            if node.tag in CONTAINERS:
-                return False
-            node = node.parent
-        return bool(node)
-
-    # Lists of links are menus only around a text without an element of its own.
+            passed.discard(root.index)
+    belongs = _down(nodes, lambda node, above: above or node is root)
+    # Whether a block stands in an element around the article without a container of its own.
+    beside = _down(nodes, lambda node, above: node.index in passed or above and node.tag not in CONTAINERS)
+
+    # Around a text without an element of its own, lists of links are menus, and blocks of other paths are none of it.
     own = root.tag not in ("", "html", "body")
     last = next((i for i in range(content[-1] + 1, len(blocks)) if blocks[i][0].tag in HEADINGS), None)
 
     def is_menu(i: int) -> bool:
         node, text, linked = blocks[i]
-        if node.tag not in ("li", "td", "dd") or linked < len(text) or best[node.path] >= bar or own:
+        if own or best[node.path] >= bar or content[0] < i < content[-1]:
             return False
-        return i < content[0] or i > content[-1] and (last is None or i < last)
+        if node.tag in ("li", "td", "dd"):
+            return linked >= len(text) and (i < content[0] or last is None or i < last)
+        return node.tag in CONTAINERS and node is not root
 
     kept = {
         i
         for i, (node, text, linked) in enumerate(blocks)
-        if belongs(node) and not is_menu(i) or not belongs(node) and beside(node) and (linked < len(text) or node.tag in HEADINGS)
+        if (not is_menu(i) if belongs[node.index] else beside[node.index] and (linked < len(text) or node.tag in HEADINGS))
     }
     start = min(i for i in kept if blocks[i][0].tag not in HEADINGS or i in content)
     if not any(blocks[i][0].tag in HEADINGS for i in kept if i <= start):
