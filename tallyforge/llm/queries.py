@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, language_id, line_dedup, packing, topk_search, warc_archive
+from tallyforge.llm import (
+    bpe, chat_format, conversation_repair, exact_dedup, html_text, jaccard_join, language_id, line_dedup, packing, simhash, spelling, topk_search, warc_archive,
+)
+from tallyforge.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +106,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.passage_dedup(docs)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, bits=4)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.damaged_words(_table(spark, sf_dir, "documents")), min_count=3, times=2)
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
@@ -114,21 +129,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
-}
-
-ORACLE_SQL = {
-    "op4_warc_archive": """
-WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
-g AS (SELECT body, min(page_id) AS first FROM t WHERE octet_length(encode(body)) >= 100 GROUP BY body)
-SELECT t.page_id, octet_length(encode(t.body))::BIGINT AS payload_bytes, sha256(t.body) AS payload_digest,
-       CASE WHEN t.page_id > g.first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN t.page_id > g.first THEN g.first END AS refers_to
-FROM t LEFT JOIN g ON t.body = g.body
-""",
-    "op9_exact_dedup": """
-WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
-g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
-SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.body) AS text_sha256
-FROM t JOIN g ON t.body = g.body
-""",
+    "op11_simhash": op11_simhash,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
