@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+#: Holds a price of six decimals times a size of six exactly, and sums of up to 10^26.
+MONEY = "decimal(38,12)"
 
 
 def col(x: str | Column) -> Column:
@@ -22,12 +23,9 @@ def money_avg(x: str | Column) -> Column:
     return F.try_divide(money_sum(x), F.count(col(x)).cast("double"))
 
 
-def exact_stddev(x: str | Column, kind: str = "decimal(18,5)") -> Column:
-    """Sample standard deviation from exact decimal sums; null below two values."""
-    v = col(x).cast(kind)
-    n = F.count(v).cast("double")
-    s, squares = F.sum(v).cast("double"), F.sum((v * v).cast("decimal(38,10)")).cast("double")
-    return F.when(n > 1, F.sqrt(F.greatest((squares - s * s / n) / F.when(n > 1, n - 1), F.lit(0.0))))
+def stddev(x: str | Column) -> Column:
+    """Sample standard deviation, from differences to running means, so large values don't cancel; null below two values."""
+    return F.try_divide(F.stddev_samp(col(x)), F.when(F.count(col(x)) > 1, F.lit(1.0)))
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -97,9 +97,9 @@ def category_pivot(periods: DataFrame) -> DataFrame:
 
 
 def specialists(trades: DataFrame, markets: DataFrame, least_share: float = 0.5, least_volume: float = 1000.0, n: int = 30) -> DataFrame:
-    """Traders with more than half of a volume above 1000 in one category."""
+    """The `n` traders of most volume in a category that holds over `least_share` of all their volume, which is above `least_volume`."""
     per = by_category(trades, markets)
-    whole = F.sum(F.col("volume").cast("decimal(18,4)")).over(Window.partitionBy("wallet")).cast("double")
+    whole = F.sum(F.col("volume").cast(MONEY)).over(Window.partitionBy("wallet")).cast("double")
     per = per.withColumn("total_volume", whole).withColumn("share", share(F.col("volume"), F.col("total_volume")))
     return per.where((F.col("share") > least_share) & (F.col("total_volume") > least_volume)).orderBy(F.desc("volume"), "wallet", "category").limit(n)
 

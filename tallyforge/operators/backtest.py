@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import copy_pnl_per_share, exact_stddev, json_strings, money_avg, money_sum, share
+from tallyforge.functions.columns import MONEY, copy_pnl_per_share, json_strings, money_avg, money_sum, share, stddev
 
 
 def top_users(leaderboard: DataFrame, max_rank: int = 500, n: int = 500) -> DataFrame:
@@ -67,7 +67,7 @@ def summary(bt: DataFrame, *keys: str) -> DataFrame:
 
 def overall(bt: DataFrame) -> DataFrame:
     """One row: the summary plus users, deviation of profit, and mean over deviation."""
-    sd = exact_stddev("pnl", "decimal(18,4)")
+    sd = stddev("pnl")
     return bt.agg(
         F.count_distinct("wallet").alias("users"),
         F.count("*").alias("total_trades"),
@@ -94,7 +94,7 @@ def monthly(bt: DataFrame) -> DataFrame:
     run = Window.orderBy("period")
     return returns(bt, "month").select(
         "period", "trades", "wins", "pnl", "volume",
-        F.sum(F.col("pnl").cast("decimal(18,4)")).over(run).cast("double").alias("cumulative_pnl"),
+        F.sum(F.col("pnl").cast(MONEY)).over(run).cast("double").alias("cumulative_pnl"),
         share(F.col("wins"), F.col("trades")).alias("win_rate"), share(F.col("pnl"), F.col("volume")).alias("roi"),
         F.date_format("period", "MMM yyyy").alias("label"),
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import MONEY, exact_stddev, money_avg, money_sum, pnl, share
+from tallyforge.functions.columns import MONEY, money_avg, money_sum, pnl, share, stddev
 from tallyforge.operators.analysis import value
+from tallyforge.sources.shared import drop_written, written
 
 MARKET_COLUMNS = [
     "market_id", "condition_id", "question", "category", "volume", "liquidity", "active", "closed", "token_count", "winning_outcome",
@@ -154,7 +155,7 @@ def trader_roi(resolved: DataFrame, all_trades: DataFrame) -> DataFrame:
 def price_features(prices: DataFrame, tokens: DataFrame, min_samples: int = 1) -> DataFrame:
     """Range, deviation, first and final price, return; tokens without prices show their current one (0 if unknown)."""
     p = prices.groupBy("token_id").agg(
-        F.min("price").alias("lo"), F.max("price").alias("hi"), exact_stddev("price").alias("stddev"),
+        F.min("price").alias("lo"), F.max("price").alias("hi"), stddev("price").alias("stddev"),
         F.min_by("price", F.struct("ts", "event_id")).alias("first_price"), F.max_by("price", F.struct("ts", "event_id")).alias("final_price"), F.count("*").alias("samples"),
     ).where(F.col("samples") >= min_samples)
     now = F.coalesce("price", F.lit(0.0))
@@ -206,21 +207,39 @@ def inflections(prices: DataFrame, threshold: float = 0.05) -> DataFrame:
 
 
 def spaced(points: DataFrame, hours: int = 6) -> DataFrame:
-    """Greedy spacing: a point stays if it lies at least `hours` after the last one that stayed."""
-    gap = hours * 3600
-    ordered = points.groupBy("token_id").agg(F.array_sort(F.collect_list(F.struct("bin", "price", "magnitude", "kind"))).alias("points"))
-    seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
-    kept = F.aggregate(
-        "points", F.slice("points", 1, 0),
-        lambda acc, p: F.when((F.size(acc) == 0) | (seconds(p["bin"]) - seconds(F.try_element_at(acc, F.lit(-1))["bin"]) >= gap), F.array_append(acc, p)).otherwise(acc),
-    )
-    return ordered.select("token_id", F.explode(kept).alias("p")).select("token_id", "p.*")
+    """Greedy spacing: a point stays if it lies at least `hours` after the last one that stayed.
+
+    A running window over points and the moments from which each lets others follow gives
+    every point its next one; bins of a token are distinct.  From the first point of a
+    token on, marks spread along these jumps, whose length doubles each round: a mark at a
+    point marks the point one jump on, and jumps are joined to themselves.  So there are as
+    many rounds as the binary logarithm of the points that stay, and no token is gathered.
+    """
+    at = F.unix_timestamp(F.col("bin").cast("timestamp"))
+    rows = written(points.withColumn("at", at), "points")
+    moments = rows.select("token_id", "at", (F.col("at") + hours * 3600).alias("key"), F.lit(None).cast("long").alias("point"))
+    both = moments.unionByName(rows.select("token_id", F.lit(None).cast("long").alias("at"), F.col("at").alias("key"), F.col("at").alias("point")))
+    back = Window.partitionBy("token_id").orderBy(F.desc("key"), F.col("point").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    jumps = both.withColumn("onto", F.last("point", ignorenulls=True).over(back)).where("at is not null").select("token_id", "at", "onto")
+    first = rows.groupBy("token_id").agg(F.min("at").alias("first"))
+    nodes = written(jumps.join(first, "token_id").select("token_id", "at", "onto", (F.col("at") == F.col("first")).alias("kept")), "jumps")
+    while True:
+        onward = nodes.select("token_id", F.col("at").alias("onto"), F.col("onto").alias("beyond"))
+        reached = nodes.where("kept and onto is not null").select("token_id", F.col("onto").alias("at"), F.lit(True).alias("hit"))
+        step = nodes.join(onward, ["token_id", "onto"], "left").join(reached, ["token_id", "at"], "left")
+        step = written(step.select("token_id", "at", F.col("beyond").alias("onto"), (F.col("kept") | F.coalesce("hit", F.lit(False))).alias("kept")), "jumps")
+        done = step.where("kept and onto is not null").isEmpty()
+        drop_written(nodes)
+        nodes = step
+        if done:
+            break
+    return rows.join(nodes.where("kept").select("token_id", "at"), ["token_id", "at"]).drop("at")
 
 
 def inflection_features(points: DataFrame, tokens: DataFrame) -> DataFrame:
     agg = points.groupBy("token_id").agg(
         F.count("*").alias("points"), F.count_if(F.col("kind") == "peak").alias("peaks"), F.count_if(F.col("kind") == "trough").alias("troughs"),
-        F.try_divide(F.sum(F.col("magnitude").cast("decimal(18,6)")).cast("double"), F.count("*").cast("double")).alias("avg_magnitude"), F.max("magnitude").alias("max_magnitude"),
+        money_avg("magnitude").alias("avg_magnitude"), F.max("magnitude").alias("max_magnitude"),
     )
     return tokens.select("token_id").join(agg, "token_id", "left").fillna(0)
 
@@ -238,20 +257,20 @@ def twap(prices: DataFrame) -> DataFrame:
     w = Window.partitionBy("token_id").orderBy("ts", "event_id")
     seconds = F.unix_timestamp(F.lead("ts").over(w).cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))
     p = prices.withColumn("seconds", seconds)
-    num = F.sum((F.col("price").cast("decimal(18,6)") * F.col("seconds")).cast("decimal(28,6)")).cast("double")
+    num = money_sum(F.col("price") * F.col("seconds"))
     return p.groupBy("token_id").agg(F.try_divide(num, F.sum("seconds").cast("double")).alias("twap"), F.sum("seconds").alias("seconds"))
 
 
 def moving_average(prices: DataFrame, bins: int = 24) -> DataFrame:
     w = Window.partitionBy("token_id").orderBy("bin").rowsBetween(1 - bins, 0)
-    x = F.col("price").cast("decimal(18,6)")
+    x = F.col("price").cast(MONEY)
     return resample(prices, "hour").select("token_id", "bin", (F.sum(x).over(w).cast("double") / F.count(x).over(w).cast("double")).alias("moving_avg"))
 
 
 def average_true_range(prices: DataFrame, bins: int = 14) -> DataFrame:
     hourly = prices.groupBy("token_id", F.date_trunc("hour", "ts").alias("bin")).agg(F.max("price").alias("hi"), F.min("price").alias("lo"))
     w = Window.partitionBy("token_id").orderBy("bin").rowsBetween(1 - bins, 0)
-    x = (F.col("hi") - F.col("lo")).cast("decimal(18,6)")
+    x = (F.col("hi") - F.col("lo")).cast(MONEY)
     return hourly.select("token_id", "bin", (F.sum(x).over(w).cast("double") / F.count(x).over(w).cast("double")).alias("atr"))
 
 

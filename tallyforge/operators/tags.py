@@ -171,11 +171,20 @@ def apply_decisions(market_tags: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def human_overrides(history: DataFrame, decisions: DataFrame) -> DataFrame:
-    """`history` with the people's `decisions` (tag_id, market_id, decision): a second decision is a correction."""
-    d = decisions.select("tag_id", "market_id", F.col("decision").alias("new"))
+    """`history` with the people's `decisions` (tag_id, market_id, decision, decided_at) put in: the last one counts.
+
+    A decision on an entry that has one, or a second decision, is a correction.  The entry's
+    `updated_at` becomes the time of the decision, so that it moves up in lists by time.
+    """
+    d = decisions.where("decision is not null").groupBy("tag_id", "market_id").agg(
+        F.max(F.struct("decided_at", "decision")).alias("last"), F.count("*").alias("times")
+    )
     out = history.join(d, ["tag_id", "market_id"], "left")
-    by = F.when(F.col("new").isNull(), F.col("decided_by")).when(F.col("human_decision").isNull(), "human").otherwise("human_correction")
-    return out.withColumn("decided_by", by).withColumn("human_decision", F.coalesce("new", "human_decision")).drop("new")
+    first = F.col("human_decision").isNull() & (F.col("times") == 1)
+    by = F.when(F.col("last").isNull(), F.col("decided_by")).when(first, "human").otherwise("human_correction")
+    return out.withColumns({
+        "decided_by": by, "human_decision": F.coalesce("last.decision", "human_decision"), "updated_at": F.coalesce("last.decided_at", "updated_at"),
+    }).drop("last", "times")
 
 
 def partial_update(rows: DataFrame, updates: DataFrame, key: str) -> DataFrame:

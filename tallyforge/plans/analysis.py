@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import money_sum, short_wallet
 from tallyforge.operators import analysis as a
-from tallyforge.registry import query
+from tallyforge.registry import exact_sum, query
+from tallyforge.sources.catalogs import attach
+from tallyforge.sources.shared import new_dir
 
 SPLIT = datetime.datetime(1996, 1, 1)
 AT = "TIMESTAMP '1996-01-01 00:00:00'"
-V = "CAST(sum(CAST(price * size AS DECIMAL(18,4))) AS DOUBLE)"
+V = exact_sum("price * size")
 AVG = f"{V} / count(*)::DOUBLE"
 
 
@@ -21,7 +23,7 @@ def split():
 
 
 def part(cond):
-    return f"coalesce(CAST(sum(CAST(CASE WHEN {cond} THEN price * size END AS DECIMAL(18,4))) AS DOUBLE), 0)"
+    return f"coalesce({exact_sum(f'CASE WHEN {cond} THEN price * size END')}, 0)"
 
 
 TC = "tc AS (SELECT t.*, m.category FROM trades t JOIN markets m ON t.market_id = m.market_id)"
@@ -71,9 +73,9 @@ query(
 query(
     "specialists",
     f"""WITH {PER} SELECT category, wallet, trades, volume, total_volume, volume / total_volume AS share FROM (
- SELECT *, CAST(sum(CAST(volume AS DECIMAL(18,4))) OVER (PARTITION BY wallet) AS DOUBLE) AS total_volume FROM per) x
- WHERE volume / total_volume > 0.5 AND total_volume > 1000 ORDER BY volume DESC, wallet, category LIMIT 30""",
-)(lambda v: a.specialists(v.trades, v.markets))
+ SELECT *, {exact_sum("volume", " OVER (PARTITION BY wallet)")} AS total_volume FROM per) x
+ WHERE volume / total_volume > 0.2 AND total_volume > 100 ORDER BY volume DESC, wallet, category LIMIT 30""",
+)(lambda v: a.specialists(v.trades, v.markets, least_share=0.2, least_volume=100))
 query(
     "period_totals",
     f"SELECT count(CASE WHEN ts < {AT} THEN 1 END) AS before, count(CASE WHEN ts >= {AT} THEN 1 END) AS after FROM trades",
@@ -84,7 +86,7 @@ query(
 )(lambda v: v.traders.select("wallet", short_wallet(F.concat(F.lit("0x"), F.sha2("wallet", 256))).alias("short")))
 query(
     "explore_totals",
-    """SELECT count(DISTINCT wallet) AS wallets, count(DISTINCT (wallet, ts)) AS transactions, CAST(sum(CAST(size AS DECIMAL(18,4))) AS DOUBLE) / 1e6 AS size_millions
+    f"""SELECT count(DISTINCT wallet) AS wallets, count(DISTINCT (wallet, ts)) AS transactions, {exact_sum("size")} / 1e6 AS size_millions
  FROM trades""",
 )(
     lambda v: v.trades.agg(F.count_distinct("wallet").alias("wallets"), F.count_distinct("wallet", "ts").alias("transactions"), (money_sum("size") / 1e6).alias("size_millions"))
@@ -118,3 +120,21 @@ query(
     f"""WITH {TC}, x AS (SELECT category, CAST(date_trunc('month', ts) AS DATE) AS month, price, size FROM tc)
  SELECT category, month, grouping(category, month) AS level, count(*) AS trades, {V} AS volume FROM x GROUP BY ROLLUP (category, month)""",
 )(lambda v: a.category_rollup(v.trades, v.markets))
+
+
+@query(
+    "two_catalogs",
+    """SELECT m.category, count(*) AS trades, count(DISTINCT u.trader_id) AS users FROM trades t JOIN markets m ON t.market_id = m.market_id
+ JOIN (SELECT DISTINCT trader_id FROM leaderboard WHERE rank <= 100) u ON t.trader_id = u.trader_id GROUP BY m.category""",
+)
+def two_catalogs(v):
+    """Trades of one catalog by markets and leaders of another."""
+    fact, dims = new_dir(v.spark, "fact"), new_dir(v.spark, "dims")
+    v.trades.select("trader_id", "market_id").write.parquet(f"{fact}/trades")
+    v.markets.select("market_id", "category").write.parquet(f"{dims}/markets")
+    v.leaderboard.select("trader_id", "rank").write.parquet(f"{dims}/leaderboard")
+    trading, archive = (f"{n}_{d.rsplit('-', 1)[1]}" for n, d in (("trading", fact), ("archive", dims)))
+    attach(v.spark, trading, {"trades": f"{fact}/trades"})
+    attach(v.spark, archive, {"markets": f"{dims}/markets", "leaderboard": f"{dims}/leaderboard"})
+    return v.spark.sql(f"""SELECT m.category, count(*) AS trades, count(DISTINCT u.trader_id) AS users FROM {trading}.trades t JOIN {archive}.markets m ON t.market_id = m.market_id
+ JOIN (SELECT DISTINCT trader_id FROM {archive}.leaderboard WHERE rank <= 100) u ON t.trader_id = u.trader_id GROUP BY m.category""")

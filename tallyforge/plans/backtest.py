@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyforge.functions.columns import money_sum
 from tallyforge.operators import backtest as b
-from tallyforge.registry import query
+from tallyforge.registry import exact_sum, query
 
 USERS = """
 users AS (SELECT wallet, trader_id, rank, pnl, month FROM (
@@ -25,8 +26,8 @@ bt AS (SELECT *, price * size AS trade_value, CASE WHEN side = 'BUY' THEN final_
                CASE WHEN r.is_resolved THEN CASE WHEN c.outcome = r.outcome_0 THEN r.final_price_0 WHEN c.outcome = r.outcome_1 THEN r.final_price_1 END END AS final_price
         FROM copied c LEFT JOIN resolved r ON c.market_id = r.market_id) x)
 """
-SUM_PNL = "CAST(sum(CAST(pnl AS DECIMAL(18,4))) AS DOUBLE)"
-SUM_VALUE = "CAST(sum(CAST(trade_value AS DECIMAL(18,4))) AS DOUBLE)"
+SUM_PNL = exact_sum("pnl")
+SUM_VALUE = exact_sum("trade_value")
 SUMMARY = f"""count(*) AS total_trades, count(pnl) AS resolved_trades, count(CASE WHEN pnl > 0 THEN 1 END) AS winning_trades,
  count(CASE WHEN pnl < 0 THEN 1 END) AS losing_trades, {SUM_PNL} AS total_pnl, {SUM_PNL} / nullif(count(pnl), 0)::DOUBLE AS avg_pnl,
  {SUM_VALUE} AS total_volume, count(CASE WHEN pnl > 0 THEN 1 END)::DOUBLE / nullif(count(pnl), 0)::DOUBLE * 100 AS win_rate_pct"""
@@ -47,10 +48,8 @@ def bt(v):
     return b.backtest_trades(b.user_trades(v.trades, b.top_users(v.leaderboard)), b.resolution(v.markets))
 
 
-@query("bt_sources", "SELECT market_id, side, count(*) AS trades, CAST(sum(CAST(price * size AS DECIMAL(18,4))) AS DOUBLE) AS trade_value_usd FROM trades GROUP BY market_id, side")
+@query("bt_sources", f"SELECT market_id, side, count(*) AS trades, {exact_sum('price * size')} AS trade_value_usd FROM trades GROUP BY market_id, side")
 def bt_sources(v):
-    from tallyforge.functions.columns import money_sum
-
     return v.trades.groupBy("market_id", "side").agg(F.count("*").alias("trades"), money_sum(F.col("price") * F.col("size")).alias("trade_value_usd"))
 
 
@@ -68,22 +67,21 @@ query(
     "bt_category",
     BT + f"SELECT category, {SUMMARY} FROM bt WHERE category IS NOT NULL GROUP BY category",
 )(lambda v: b.summary(bt(v).where("category is not null"), "category"))
-SD = "sqrt(greatest((CAST(sum(CAST(CAST(pnl AS DECIMAL(18,4)) * CAST(pnl AS DECIMAL(18,4)) AS DECIMAL(38,10))) AS DOUBLE) - {s} * {s} / count(pnl)::DOUBLE) / nullif(count(pnl)::DOUBLE - 1, 0), 0))".format(s=SUM_PNL)
 query(
     "bt_overall",
     BT + f"""SELECT count(DISTINCT wallet) AS users, count(*) AS total_trades, count(pnl) AS resolved_trades, count(CASE WHEN pnl > 0 THEN 1 END) AS winning_trades,
- {SUM_PNL} AS total_pnl, {SUM_PNL} / count(pnl)::DOUBLE AS avg_pnl, {SD} AS pnl_stddev, {SUM_PNL} / count(pnl)::DOUBLE / {SD} AS sharpe FROM bt""",
-)(lambda v: b.overall(bt(v)))
+ {SUM_PNL} AS total_pnl, {SUM_PNL} / count(pnl)::DOUBLE AS avg_pnl, round(stddev_samp(pnl), 9) AS pnl_stddev, round({SUM_PNL} / count(pnl)::DOUBLE / stddev_samp(pnl), 9) AS sharpe FROM bt""",
+)(lambda v: b.overall(bt(v)).withColumns({c: F.round(c, 9) for c in ("pnl_stddev", "sharpe")}))
 query(
     "bt_daily",
     BT + f"SELECT CAST(date_trunc('day', ts) AS DATE) AS period, count(*) AS trades, count(CASE WHEN pnl > 0 THEN 1 END) AS wins, {SUM_PNL} AS pnl, {SUM_VALUE} AS volume FROM bt WHERE pnl IS NOT NULL GROUP BY 1",
 )(lambda v: b.returns(bt(v), "day"))
 query(
     "bt_monthly",
-    BT + f", {MONTHS} SELECT period, trades, wins, pnl, volume, CAST(sum(CAST(pnl AS DECIMAL(18,4))) OVER (ORDER BY period) AS DOUBLE) AS cumulative_pnl, wins::DOUBLE / trades AS win_rate, pnl / volume AS roi, strftime(period, '%b %Y') AS label FROM months",
+    BT + f", {MONTHS} SELECT period, trades, wins, pnl, volume, {exact_sum("pnl", " OVER (ORDER BY period)")} AS cumulative_pnl, wins::DOUBLE / trades AS win_rate, pnl / volume AS roi, strftime(period, '%b %Y') AS label FROM months",
 )(lambda v: b.monthly(bt(v)))
 query("bt_fixed_trades", BT + f", {FIXED} SELECT * FROM fixed")(lambda v: b.fixed_size(bt(v)))
-SUM_FIXED = "CAST(sum(CAST(fixed_pnl AS DECIMAL(18,4))) AS DOUBLE)"
+SUM_FIXED = exact_sum("fixed_pnl")
 query(
     "bt_fixed_summary",
     BT + f", {FIXED} SELECT count(*) AS total_trades, count(fixed_pnl) AS resolved_trades, count(CASE WHEN fixed_pnl > 0 THEN 1 END) AS winning_trades, {SUM_FIXED} AS total_pnl, count(fixed_pnl)::DOUBLE * 100 AS invested, {SUM_FIXED} / (count(fixed_pnl)::DOUBLE * 100) * 100 AS roi_pct FROM fixed",
@@ -99,12 +97,12 @@ query(
 )(
     lambda v: bt(v).agg(
         F.count("*").alias("trades"), F.count_distinct("wallet").alias("wallets"), F.count_distinct("market_id").alias("markets"),
-        F.sum(F.col("trade_value").cast("decimal(18,4)")).cast("double").alias("volume"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        money_sum("trade_value").alias("volume"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
     )
 )
 query(
     "bt_headline",
-    BT + f""", {MONTHS}, m AS (SELECT count(*) AS months, count(CASE WHEN pnl > 0 THEN 1 END) AS profitable_months, {SUM_PNL} AS pnl, CAST(sum(CAST(volume AS DECIMAL(18,4))) AS DOUBLE) AS volume FROM months)
+    BT + f""", {MONTHS}, m AS (SELECT count(*) AS months, count(CASE WHEN pnl > 0 THEN 1 END) AS profitable_months, {SUM_PNL} AS pnl, {exact_sum("volume")} AS volume FROM months)
  SELECT s.total_trades, s.resolved_trades, s.winning_trades, s.losing_trades, m.*, m.pnl / m.volume AS roi, m.profitable_months::DOUBLE / m.months AS profitable_share FROM (SELECT {SUMMARY} FROM bt) s, m""",
 )(lambda v: b.headline(bt(v)))
 query(

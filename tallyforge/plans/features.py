@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import money_sum
 from tallyforge.operators import features as f
 from tallyforge.operators.analysis import value
-from tallyforge.registry import query
+from tallyforge.registry import exact_sum, query
 
-V = "CAST(sum(CAST(price * size AS DECIMAL(18,4))) AS DOUBLE)"
-P = "CAST(sum(CAST(pnl AS DECIMAL(18,4))) AS DOUBLE)"
+V = exact_sum("price * size")
+P = exact_sum("pnl")
+STAKE = exact_sum("CASE WHEN side = 'BUY' THEN price * size ELSE size * (1 - price) END")
 DONE = """
 won AS (SELECT token_id, winner FROM market_tokens WHERE market_id IN (SELECT market_id FROM market_tokens WHERE winner)),
 done AS (SELECT t.*, CASE WHEN side = 'BUY' AND winner THEN size * (1 - price) WHEN side = 'BUY' THEN -size * price WHEN winner THEN -size * (1 - price) ELSE size * price END AS pnl
@@ -114,18 +115,15 @@ query(
 query(
     "trader_roi",
     f"""WITH {DONE} SELECT a.*, d.pnl, d.stake, d.pnl / nullif(d.stake, 0) AS roi FROM (SELECT wallet, count(*)::DOUBLE / count(DISTINCT CAST(ts AS DATE))::DOUBLE AS trades_per_day FROM trades GROUP BY wallet) a
- LEFT JOIN (SELECT wallet, {P} AS pnl, CAST(sum(CAST(CASE WHEN side = 'BUY' THEN price * size ELSE size * (1 - price) END AS DECIMAL(18,4))) AS DOUBLE) AS stake FROM done GROUP BY wallet) d ON a.wallet = d.wallet""",
+ LEFT JOIN (SELECT wallet, {P} AS pnl, {STAKE} AS stake FROM done GROUP BY wallet) d ON a.wallet = d.wallet""",
 )(lambda v: f.trader_roi(done(v), v.trades))
 
-SDEV = "sqrt(greatest((CAST(sum(CAST(CAST(price AS DECIMAL(18,5)) * CAST(price AS DECIMAL(18,5)) AS DECIMAL(38,10))) AS DOUBLE) - {s} * {s} / count(*)::DOUBLE) / nullif(count(*)::DOUBLE - 1, 0), 0))".format(
-    s="CAST(sum(CAST(price AS DECIMAL(18,5))) AS DOUBLE)"
-)
 query(
     "price_features",
-    f"""SELECT t.token_id, coalesce(lo, t.price, 0) AS min_price, coalesce(hi, t.price, 0) AS max_price, coalesce(hi - lo, 0) AS price_range, coalesce(stddev, 0) AS stddev,
+    f"""SELECT t.token_id, coalesce(lo, t.price, 0) AS min_price, coalesce(hi, t.price, 0) AS max_price, coalesce(hi - lo, 0) AS price_range, round(coalesce(stddev, 0), 9) AS stddev,
  coalesce(fp, t.price, 0) AS first_price, coalesce(lp, t.price, 0) AS final_price, coalesce((lp - fp) / nullif(fp, 0), 0) AS price_return, coalesce(samples, 0) AS samples
- FROM market_tokens t LEFT JOIN (SELECT token_id, min(price) AS lo, max(price) AS hi, CASE WHEN count(*) > 1 THEN {SDEV} END AS stddev, arg_min(price, (ts, event_id)) AS fp, arg_max(price, (ts, event_id)) AS lp, count(*) AS samples FROM prices GROUP BY token_id) p ON t.token_id = p.token_id""",
-)(lambda v: f.price_features(v.prices, v.market_tokens))
+ FROM market_tokens t LEFT JOIN (SELECT token_id, min(price) AS lo, max(price) AS hi, stddev_samp(price) AS stddev, arg_min(price, (ts, event_id)) AS fp, arg_max(price, (ts, event_id)) AS lp, count(*) AS samples FROM prices GROUP BY token_id) p ON t.token_id = p.token_id""",
+)(lambda v: f.price_features(v.prices, v.market_tokens).withColumn("stddev", F.round("stddev", 9)))
 query("price_timeseries", "SELECT token_id, ts, price, row_number() OVER (PARTITION BY token_id ORDER BY ts, event_id) AS n FROM prices")(
     lambda v: v.prices.selectExpr("token_id", "ts", "price", "row_number() OVER (PARTITION BY token_id ORDER BY ts, event_id) AS n")
 )
@@ -147,7 +145,7 @@ query(
     "inflection_features",
     f"""WITH {INFL} SELECT t.token_id, coalesce(points, 0) AS points, coalesce(peaks, 0) AS peaks, coalesce(troughs, 0) AS troughs, coalesce(avg_magnitude, 0) AS avg_magnitude, coalesce(max_magnitude, 0) AS max_magnitude
  FROM market_tokens t LEFT JOIN (SELECT token_id, count(*) AS points, count(CASE WHEN kind = 'peak' THEN 1 END) AS peaks, count(CASE WHEN kind = 'trough' THEN 1 END) AS troughs,
- CAST(sum(CAST(magnitude AS DECIMAL(18,6))) AS DOUBLE) / count(*)::DOUBLE AS avg_magnitude, max(magnitude) AS max_magnitude FROM infl GROUP BY token_id) i ON t.token_id = i.token_id""",
+ {exact_sum("magnitude")} / count(*)::DOUBLE AS avg_magnitude, max(magnitude) AS max_magnitude FROM infl GROUP BY token_id) i ON t.token_id = i.token_id""",
 )(lambda v: f.inflection_features(f.inflections(v.prices), v.market_tokens))
 query(
     "major_moves",
@@ -157,10 +155,10 @@ query(
 )(lambda v: f.major_moves(v.prices))
 query(
     "price_twap",
-    """SELECT token_id, CAST(sum(CAST(CAST(price AS DECIMAL(18,6)) * seconds AS DECIMAL(28,6))) AS DOUBLE) / nullif(CAST(sum(seconds) AS DOUBLE), 0) AS twap, CAST(sum(seconds) AS BIGINT) AS seconds FROM (
+    f"""SELECT token_id, {exact_sum("price * seconds")} / nullif(CAST(sum(seconds) AS DOUBLE), 0) AS twap, CAST(sum(seconds) AS BIGINT) AS seconds FROM (
  SELECT token_id, price, CAST(floor(epoch(lead(ts) OVER w)) - floor(epoch(ts)) AS BIGINT) AS seconds FROM prices WINDOW w AS (PARTITION BY token_id ORDER BY ts, event_id)) x GROUP BY token_id""",
 )(lambda v: f.twap(v.prices))
-MA = "SELECT token_id, bin, CAST(sum(CAST({x} AS DECIMAL(18,6))) OVER w AS DOUBLE) / count(*) OVER w AS {n} FROM {src} x WINDOW w AS (PARTITION BY token_id ORDER BY bin ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
+MA = "SELECT token_id, bin, " + exact_sum("{x}", " OVER w") + " / count(*) OVER w AS {n} FROM {src} x WINDOW w AS (PARTITION BY token_id ORDER BY bin ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
 query("price_moving_avg", MA.format(x="price", n="moving_avg", src=BIN.format(u="hour"), k=23))(lambda v: f.moving_average(v.prices))
 query(
     "price_atr",

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyforge.functions.columns import parse_datetime, safe_float, volume_tier
 from tallyforge.operators import bronze as b
 from tallyforge.operators import gold as g
+from tallyforge.operators import intervals
 from tallyforge.operators import silver as s
 from tallyforge.operators.load import Step, load_summary, run_steps
 from tallyforge.registry import query
@@ -212,12 +213,47 @@ query(
     """SELECT DISTINCT market_id, ts FROM trades t WHERE NOT EXISTS (SELECT 1 FROM trades o
  WHERE o.market_id = t.market_id AND o.ts = t.ts AND o.side = 'SELL')""",
 )(lambda v: b.not_in(v.trades.select("market_id", "ts"), ["market_id", "ts"], v.trades.where("side = 'SELL'")))
+# Staged price documents of even events span a run of two days' prices and six hours on; gold has the hours of odd events.
+SPANS = """spans AS (SELECT token_id, min(ts) AS start_ts, max(ts) + INTERVAL '6' HOUR AS end_ts FROM prices WHERE event_id % 2 = 0
+ GROUP BY token_id, CAST(floor(epoch(ts) / 172800) AS BIGINT)), hours AS (SELECT token_id, date_trunc('hour', ts)::TIMESTAMP AS ts FROM prices WHERE event_id % 2 = 1)"""
+FREE = """NOT EXISTS (SELECT 1 FROM spans s WHERE s.token_id = w.token_id AND s.start_ts <= w.end_ts AND s.end_ts >= w.start_ts)
+ AND NOT EXISTS (SELECT 1 FROM hours h WHERE h.token_id = w.token_id AND h.ts BETWEEN w.start_ts AND w.end_ts)"""
+
+
+def spans(v):
+    runs = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 172800)
+    return v.prices.where("event_id % 2 = 0").groupBy("token_id", runs.alias("run")).agg(
+        F.min("ts").alias("start_ts"), (F.max("ts") + F.expr("INTERVAL '6' HOUR")).alias("end_ts")
+    ).drop("run")
+
+
+def gold_hours(v):
+    return v.prices.where("event_id % 2 = 1").select("token_id", F.date_trunc("hour", "ts").alias("ts"))
+
+
+def wanted(v, days):
+    """Every token with prices for each of `days` days from the 8th of January 2024, to the last second of the day."""
+    day = F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("d")
+    start = F.expr("TIMESTAMP_NTZ '2024-01-08 00:00:00' + make_dt_interval(d)")
+    days_of = v.prices.select("token_id").distinct().select("token_id", day)
+    return days_of.select("token_id", start.alias("start_ts"), (start + F.expr("INTERVAL '1' DAY - INTERVAL '1' SECOND")).alias("end_ts"))
+
+
+WANTED = """wanted AS (SELECT token_id, TIMESTAMP '2024-01-08 00:00:00' + d * INTERVAL '1' DAY AS start_ts, TIMESTAMP '2024-01-08 23:59:59' + d * INTERVAL '1' DAY AS end_ts
+ FROM (SELECT DISTINCT token_id FROM prices) t, (SELECT unnest(range({n})) AS d) r)"""
+query("tokens_missing_day", f"WITH {SPANS}, {WANTED.format(n=1)} SELECT token_id FROM wanted w WHERE {FREE}")(
+    lambda v: intervals.uncovered(wanted(v, 1), spans(v), gold_hours(v)).select("token_id")
+)
+query("token_days_missing", f"WITH {SPANS}, {WANTED.format(n=21)} SELECT * FROM wanted w WHERE {FREE}")(
+    lambda v: intervals.uncovered(wanted(v, 21), spans(v), gold_hours(v))
+)
 query(
-    "tokens_missing_day",
-    """SELECT DISTINCT token_id FROM prices WHERE token_id NOT IN (SELECT token_id FROM prices
- WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 03:00:00')""",
+    "span_overlaps",
+    f"WITH {SPANS} SELECT a.token_id, a.start_ts, a.end_ts, b.start_ts AS other_start, b.end_ts AS other_end FROM spans a JOIN spans b ON a.token_id = b.token_id AND a.start_ts <= b.end_ts AND a.end_ts >= b.start_ts",
 )(
-    lambda v: b.not_in(v.prices.select("token_id"), ["token_id"], v.prices.where("ts between TIMESTAMP_NTZ '2024-01-10 00:00:00' and TIMESTAMP_NTZ '2024-01-10 03:00:00'"))
+    lambda v: intervals.overlapping(
+        spans(v), spans(v).withColumnsRenamed({"start_ts": "other_start", "end_ts": "other_end"}), ["token_id"], ("start_ts", "end_ts"), ("other_start", "other_end"), cell_seconds=43_200
+    )
 )
 
 # Silver.

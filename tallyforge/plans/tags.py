@@ -31,7 +31,9 @@ def spelled(rows):
 
 
 def decisions(v):
-    return v.history.where("market_id % 5 = 0").selectExpr("tag_id", "market_id", "market_id % 3 = 0 AS decision")
+    """One decision on every fifth market, a later one that reverses it on every fifteenth."""
+    once = v.history.where("market_id % 5 = 0").selectExpr("tag_id", "market_id", "market_id % 3 = 0 AS decision", "updated_at + INTERVAL '36' HOUR AS decided_at")
+    return once.unionByName(once.where("market_id % 15 = 0").selectExpr("tag_id", "market_id", "not decision AS decision", "decided_at + INTERVAL '5' HOUR AS decided_at"))
 
 
 query(
@@ -115,11 +117,15 @@ query(
  WHERE h.tag_id = g.tag_id AND h.market_id = g.market_id AND NOT coalesce(human_decision, consensus)) UNION SELECT tag_id, market_id
  FROM history WHERE coalesce(human_decision, consensus)""",
 )(lambda v: t.apply_decisions(v.market_tags, v.history))
+OVERRIDDEN = """SELECT tag_id, market_id, yes, no, consensus, CASE WHEN market_id % 5 = 0 THEN FALSE ELSE human_decision END AS human_decision,
+ CASE WHEN market_id % 5 <> 0 THEN decided_by WHEN human_decision IS NULL AND market_id % 3 <> 0 THEN 'human' ELSE 'human_correction' END AS decided_by,
+ CASE WHEN market_id % 15 = 0 THEN updated_at + INTERVAL '41' HOUR WHEN market_id % 5 = 0 THEN updated_at + INTERVAL '36' HOUR ELSE updated_at END AS updated_at FROM history"""
+query("human_overrides", OVERRIDDEN)(lambda v: t.human_overrides(v.history, decisions(v)))
 query(
-    "human_overrides",
-    """SELECT tag_id, market_id, yes, no, consensus, CASE WHEN market_id % 5 = 0 THEN market_id % 3 = 0 ELSE human_decision END AS human_decision,
- CASE WHEN market_id % 5 <> 0 THEN decided_by WHEN human_decision IS NULL THEN 'human' ELSE 'human_correction' END AS decided_by FROM history""",
-)(lambda v: t.human_overrides(v.history, decisions(v)))
+    "judge_history_after_overrides",
+    f"""WITH {HIST.replace("FROM history", f"FROM ({OVERRIDDEN}) o")} SELECT x.tag_id, x.market_id, decision, source, position, m.question FROM (SELECT *, row_number() OVER (PARTITION BY tag_id
+ ORDER BY updated_at DESC, market_id DESC) AS position FROM h) x LEFT JOIN markets m ON x.market_id = m.market_id WHERE position <= 20""",
+)(lambda v: t.judge_history(t.human_overrides(v.history, decisions(v)), v.markets))
 query(
     "tag_updates",
     """SELECT tag_id, CASE WHEN tag_id % 2 = 0 THEN upper(name) ELSE name END AS name, CASE WHEN tag_id % 2 = 0 THEN tag_id > 10 ELSE is_active END AS is_active, description

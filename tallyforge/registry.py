@@ -12,6 +12,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def exact_sum(x: str, over: str = "") -> str:
+    """DuckDB SQL for the sum of doubles by their shortest decimal digits, rounded once, at the end."""
+    return f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12))){over} AS VARCHAR) AS DOUBLE)"
+
+
 def query(key: str, sql: str | None = None):
     """Register a function of a Lake under `key`; `sql` is its DuckDB oracle over the same views."""
 

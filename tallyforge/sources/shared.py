@@ -22,6 +22,14 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_written(frame: DataFrame) -> None:
+    """Delete a table made by `written` that nothing reads any more."""
+    spark = frame.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(file)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """`frame`, written once to the shared folder and read back: later uses see the same rows, also after a lost executor."""
     path = new_dir(frame.sparkSession, name)

@@ -6,6 +6,7 @@ Each job reads a directory as a stream, runs until it has taken in all that is t
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.functions.columns import volume_tier
+from tallyforge.functions.columns import money_sum, volume_tier
 from tallyforge.sources.sinks import latest_by_key
+from tallyforge.streaming.tables import KeyedTable
 
 
 def source(spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.parquet", files: int = 1000) -> DataFrame:
@@ -34,36 +36,22 @@ def append(stream: DataFrame, path: str, checkpoint: str, partition: str | None
     _finish(w.partitionBy(partition) if partition else w)
 
 
-class Versions:
-    """A table rewritten batch by batch: each version is a directory, the newest complete one counts.
+def upsert_stream(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, combine: Callable[[DataFrame, DataFrame], DataFrame], mode: str = "append", keep: int = 2,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> None:
+    """Every micro-batch, after `prepare`, is combined with the table as it stood before that batch; its number is the table's version.
 
-    A batch that is run again after a failure writes the same version again.
+    The query's log takes note of a batch after its version is committed.  A run that is cut off
+    in between, or earlier, does the same version again, from the same version before it; so
+    no row counts twice or is lost.  All but `keep` versions are given up.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root, schema
+    def step(batch: DataFrame, n: int) -> None:
+        table.merge(prepare(batch), n, combine)
+        table.vacuum(max(keep, 2))
 
-    def _at(self, n: int) -> str:
-        return f"{self.root}/v{n}"
-
-    def read(self, below: int = 1 << 30) -> DataFrame:
-        n = self.newest(below)
-        return self.spark.createDataFrame([], self.schema) if n is None else self.spark.read.schema(self.schema).parquet(self._at(n))
-
-    def newest(self, below: int = 1 << 30) -> int | None:
-        """The largest version under `below` that was written to its end."""
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/v*/_SUCCESS")
-        found = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(p)
-        have = [int(f.getPath().getParent().getName()[1:]) for f in (found or [])]
-        return max((n for n in have if n < below), default=None)
-
-    def merge(self, batch: DataFrame, n: int, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        combine(self.read(n), batch).select(*self.schema.names).write.mode("overwrite").parquet(self._at(n))
-
-
-def upsert_stream(stream: DataFrame, table: Versions, checkpoint: str, combine: Callable[[DataFrame, DataFrame], DataFrame], mode: str = "append") -> None:
-    """Every micro-batch is combined with the table as it stood before that batch."""
-    _finish(stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: table.merge(df, n, combine)))
+    _finish(stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(step))
 
 
 def newest_by(keys: list[str], order: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
@@ -81,10 +69,6 @@ def hourly(rows: DataFrame) -> DataFrame:
     return rows.groupBy("token_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.min(F.struct("ts", "event_id", "price")).alias("first"))
 
 
-def merge_hours(old: DataFrame, new: DataFrame) -> DataFrame:
-    return first_of_hour(old, hourly(new))
-
-
 def dedupe(keys: list[str], order: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Of each key the first row by `order`, whatever batch it comes in; the other columns break ties."""
 
@@ -103,7 +87,7 @@ def vote_counts(stream: DataFrame) -> DataFrame:
 
 
 def sliding_volume(rows: DataFrame, amount: Column, length: str = "1 day", step: str = "6 hours") -> DataFrame:
-    return rows.groupBy(F.window("ts", length, step)).agg(F.sum(amount.cast("decimal(18,4)")).cast("double").alias("volume"), F.count("*").alias("n")).select(
+    return rows.groupBy(F.window("ts", length, step)).agg(money_sum(amount).alias("volume"), F.count("*").alias("n")).select(
         F.col("window.start").alias("start"), "volume", "n"
     )
 
@@ -112,6 +96,43 @@ def sessions(rows: DataFrame, key: str, gap: str = "2 hours") -> DataFrame:
     return rows.groupBy(key, F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
+def session_stream(stream: DataFrame, key: str, out: str, checkpoint: str, gap: str = "2 hours", delay: str = "1 hour") -> list[dict]:
+    """Append the sessions of each `key` that are over to `out`; returns the progress of the batches.
+
+    Rows of one key no more than `gap` apart are one session.  A session is over, and leaves the
+    state, once the watermark - the latest `ts` of all earlier batches less `delay` - reaches
+    its end (the last row's `ts` and `gap`).  Rows whose own session would end by then are too
+    late and left out; `late_rows` collects them.
+    """
+    windows = sessions(stream.withWatermark("ts", delay), key, gap)
+    q = windows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return [json.loads(p.json) if hasattr(p, "json") else p for p in q.recentProgress]
+
+
+MARK = T.StructType([T.StructField("batch", T.LongType()), T.StructField("latest", T.TimestampType())])
+
+
+def late_rows(stream: DataFrame, out: str, marks: KeyedTable, checkpoint: str, gap: str = "2 hours", delay: str = "1 hour") -> None:
+    """Write the rows that `session_stream` leaves out of the same batches to `out`, one folder a batch.
+
+    The latest `ts` of each batch is kept in `marks` (MARK, by batch).  A batch that is done
+    again writes the same folder from the same marks.
+    """
+
+    def step(batch: DataFrame, n: int) -> None:
+        seen = marks.read(below=n).agg(F.max("latest").alias("latest"))
+        # Watermarks count in whole milliseconds.
+        mark = F.date_trunc("MILLISECOND", F.col("latest")) - F.expr(f"INTERVAL {delay}")
+        late = batch.join(F.broadcast(seen), F.col("ts") + F.expr(f"INTERVAL {gap}") <= mark).drop("latest")
+        late.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        marks.merge(batch.agg(F.lit(n).cast("long").alias("batch"), F.max("ts").alias("latest")), n, lambda old, new: old.unionByName(new))
+
+    _finish(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step))
+
+
 SWITCH = T.StructType([T.StructField("market_id", T.LongType()), T.StructField("rows", T.LongType()), T.StructField("minute", T.BooleanType())])
 
 

@@ -1,14 +1,19 @@
 """Operators on small literal frames: the model's quirks and edge cases."""
 
 import datetime
+import math
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.functions import columns
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
-from tallyforge.operators import backtest, bronze, features, silver, tags
-from tallyforge.sources import scans, sinks
+from tallyforge.operators import backtest, bronze, features, intervals, silver, tags
+from tallyforge.sources import catalogs, scans, sinks
 from tallyforge.streaming import jobs
+from tallyforge.streaming.tables import KeyedTable
 
 
 def rows(df, *order):
@@ -144,7 +149,7 @@ def test_stream_resumes_without_duplicates(spark, tmp_path):
 
 def test_streamed_upsert_equals_batch(spark, tmp_path):
     df = spark.createDataFrame([(i % 3, i) for i in range(12)], "k int, v int")
-    table = jobs.Versions(spark, f"{tmp_path}/t", df.schema)
+    table = KeyedTable(spark, f"{tmp_path}/t", df.schema, ["k"], buckets=4)
     for half in (0, 1):
         df.where(f"v % 2 = {half}").write.mode("append").parquet(f"{tmp_path}/in")
         jobs.upsert_stream(jobs.source(spark, f"{tmp_path}/in", df.schema), table, f"{tmp_path}/c", jobs.newest_by(["k"], ["v"]))
@@ -181,7 +186,7 @@ def test_streams_do_not_depend_on_the_order_of_files(spark, tmp_path, monkeypatc
     assert sorted(r.token_id for r in streams.stream_dedupe(v).collect()) == [7, 8, 9]
     # The row that is kept: the first by time, then by event.
     s = streams.events(v)
-    table = jobs.Versions(spark, f"{tmp_path}/kept", s.schema)
+    table = KeyedTable(spark, f"{tmp_path}/kept", s.schema, ["token_id"], buckets=4)
     jobs.upsert_stream(s, table, f"{tmp_path}/progress", jobs.dedupe(["token_id"], ["ts", "event_id"]))
     assert sorted((r.token_id, r.event_id) for r in table.read().collect()) == [(7, 3), (8, 0), (9, 5)]
 
@@ -240,7 +245,7 @@ def test_only_the_middle_tier_switches(spark, tmp_path):
     schema = "market_id long, volume double, price double"
     spark.createDataFrame(prices, schema).write.parquet(f"{tmp_path}/in")
     s = jobs.adaptive_switch(jobs.source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema))
-    table = jobs.Versions(spark, f"{tmp_path}/out", s.schema)
+    table = KeyedTable(spark, f"{tmp_path}/out", s.schema, ["market_id"], buckets=4)
     jobs.upsert_stream(s, table, f"{tmp_path}/check", lambda old, new: new.unionByName(old.join(new, "market_id", "left_anti")), mode="update")
     assert {r.market_id: r.minute for r in table.read().collect()} == {1: False, 2: True, 3: False, 4: True, 5: True, 6: False, 7: False}
 
@@ -275,3 +280,158 @@ def test_cursors_and_categories(spark):
     assert [tuple(r) for r in df.select(encode_cursor("n").alias("c")).select("c", decode_cursor("c")).collect()] == [("MA==", 0), ("MTAwMA==", 1000), ("NjI=", 62), (None, None)]
     df = spark.createDataFrame([('["a","b"]',), (None,), ("",), ("[bad",), ("7",), ('{"a":1}',)], "categories string")
     assert [r.categories for r in tags.tag_categories(df).collect()] == [["a", "b"], [], [], [], [], []]
+
+
+def test_money_sums_round_nothing_away(spark):
+    small = spark.range(100_000).select(F.lit(0.00004).alias("x"))
+    assert small.agg(columns.money_sum("x")).first()[0] == 4.0
+    values = [0.1, 1e9, -1e9, 0.07 * 13, 123456.654321, 0.2] * 50
+    df = spark.createDataFrame([(x,) for x in values], "x double").repartition(7)
+    assert df.agg(columns.money_sum("x")).first()[0] == math.fsum(values)
+    flat = spark.range(1000).select((F.lit(1e9) + F.col("id") % 2).alias("x"))
+    assert abs(flat.agg(columns.stddev("x")).first()[0] - statistics.stdev(i % 2 for i in range(1000))) < 1e-7
+    assert flat.limit(1).agg(columns.stddev("x")).first()[0] is None
+
+
+def test_overlapping_spans_against_all_pairs(spark):
+    rng = random.Random(1)
+    day = datetime.datetime(2024, 1, 1)
+
+    def some(n):
+        out = []
+        for i in range(n):
+            a = day + datetime.timedelta(seconds=rng.randrange(40 * 86_400))
+            out.append((rng.randrange(3), i, a, a + datetime.timedelta(seconds=rng.choice([0, 1, 3600, 86_400, 20 * 86_400, -5, 900 * 86_400]))))
+        return out + [(1, n, None, day), (2, n + 1, day, None), (None, n + 2, day, day)]
+
+    left, right = some(120), some(120)
+    a = spark.createDataFrame(left, "k int, i int, s timestamp_ntz, e timestamp_ntz")
+    b = spark.createDataFrame(right, "k int, j int, s2 timestamp_ntz, e2 timestamp_ntz")
+    out = intervals.overlapping(a, b, ["k"], ("s", "e"), ("s2", "e2"), cell_seconds=600)
+    want = sorted((x[1], y[1]) for x in left for y in right if x[0] is not None and x[0] == y[0] and None not in (*x, *y) and x[2] <= x[3] and y[2] <= y[3] and x[2] <= y[3] and x[3] >= y[2])
+    assert sorted((r.i, r.j) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert intervals.overlapping(a.limit(0), b, ["k"], ("s", "e"), ("s2", "e2")).count() == 0
+
+
+def test_spacing_by_jumps_equals_the_greedy_scan(spark):
+    rng = random.Random(2)
+    day = datetime.datetime(2024, 1, 1)
+    rows = [(t, day + datetime.timedelta(hours=h), 0.5, 0.1, "peak") for t in range(5) for h in sorted(rng.sample(range(400), rng.randrange(1, 200)))]
+    df = spark.createDataFrame(rows, "token_id long, bin timestamp_ntz, price double, magnitude double, kind string")
+    want, last = [], {}
+    for t, at, *_ in rows:
+        if t not in last or at - last[t] >= datetime.timedelta(hours=6):
+            want.append((t, at))
+            last[t] = at
+    got = features.spaced(df)
+    assert sorted((r.token_id, r.bin) for r in got.collect()) == sorted(want)
+    assert features.spaced(df.limit(0)).count() == 0
+
+
+def test_attached_tables_are_read_by_name_and_never_written(spark, tmp_path):
+    spark.range(5).write.parquet(f"{tmp_path}/numbers")
+    catalogs.attach(spark, "other_lake", {"numbers": f"{tmp_path}/numbers"})
+    assert spark.sql("SELECT count(*) FROM other_lake.numbers WHERE id > 1").first()[0] == 3
+    with pytest.raises(Exception, match="VIEW|view"):
+        spark.sql("INSERT INTO other_lake.numbers VALUES (9)")
+    with pytest.raises(ValueError):
+        catalogs.attach(spark, "a; DROP", {})
+    catalogs.detach(spark, "other_lake")
+    assert spark.range(1).count() and not spark.catalog.databaseExists("other_lake")
+
+
+def test_second_decisions_are_corrections_and_set_the_time(spark):
+    at = lambda h: datetime.datetime(2024, 1, 1, h)
+    history = spark.createDataFrame(
+        [(1, 1, None, "judges", at(0)), (1, 2, True, "human", at(0)), (1, 3, None, "judges", at(0)), (1, 4, None, "judges", None)],
+        "tag_id int, market_id int, human_decision boolean, decided_by string, updated_at timestamp_ntz",
+    )
+    decisions = spark.createDataFrame(
+        [(1, 1, True, at(5)), (1, 2, False, at(4)), (1, 4, False, at(6)), (1, 4, True, at(7)), (1, 3, None, at(9))],
+        "tag_id int, market_id int, decision boolean, decided_at timestamp_ntz",
+    )
+    got = {r.market_id: (r.human_decision, r.decided_by, r.updated_at) for r in tags.human_overrides(history, decisions).collect()}
+    assert got == {1: (True, "human", at(5)), 2: (False, "human_correction", at(4)), 3: (None, "judges", at(0)), 4: (True, "human_correction", at(7))}
+
+
+def size_of(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    """Of a hundred buckets a batch of one key writes one: about a hundredth of the bytes."""
+    df = spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(0).alias("n"))
+    table = KeyedTable(spark, f"{tmp_path}/t", df.schema, ["k"], buckets=100)
+    newest = jobs.newest_by(["k"], ["n"])
+    table.merge(df, 0, newest)
+    table.merge(df.where("k = 77").withColumn("n", F.lit(5)), 1, newest)
+    assert 0 < size_of(tmp_path / "t/data/v1") < 0.02 * size_of(tmp_path / "t/data/v0")
+    assert table.read().count() == 40_000 and table.read().where("n = 5").count() == 1 and table.read(below=1).where("n = 5").count() == 0
+    looked_up = table.lookup(spark.createDataFrame([(77,), (78,), (10**9,)], "k long"))
+    assert sorted((r.k, r.n) for r in looked_up.collect()) == [(77, 5), (78, 0)] and len(looked_up.inputFiles()) <= 3
+    # The old copy of the bucket goes once no kept version reads it; all else stays.
+    assert table.vacuum(keep=2) == []
+    assert [g.split("/")[0] for g in table.vacuum(keep=1)] == ["v0"] and table.versions() == [1] and table.read().count() == 40_000
+    empty = KeyedTable(spark, f"{tmp_path}/none", df.schema, ["k"])
+    assert empty.read().count() == 0 and empty.vacuum() == []
+    empty.merge(df.limit(0), 0, newest)
+    assert empty.read().count() == 0 and empty.versions() == [0]
+
+
+@pytest.mark.parametrize("where", ["data", "manifest", "after"])
+def test_a_run_cut_off_inside_a_batch_is_resumed(spark, tmp_path, monkeypatch, where):
+    """Stopped when the second batch's data are written, before its manifest, or when it is committed but not noted: nothing is lost or counted twice."""
+    df = spark.createDataFrame([(i % 5, 1, i) for i in range(60)], "k int, n int, i int")
+    table = KeyedTable(spark, f"{tmp_path}/t", spark.createDataFrame([], "k int, n long").schema, ["k"], buckets=3)
+    add = lambda old, new: old.unionByName(new.groupBy("k").agg(F.count("*").alias("n"))).groupBy("k").agg(F.sum("n").alias("n"))
+
+    def run():
+        jobs.upsert_stream(jobs.source(spark, f"{tmp_path}/in", df.schema), table, f"{tmp_path}/c", add)
+
+    df.where("i < 20").write.parquet(f"{tmp_path}/in")
+    run()
+    df.where("i >= 20").write.mode("append").parquet(f"{tmp_path}/in")
+    commit = KeyedTable._commit
+
+    def broken(self, n, manifest):
+        if where == "manifest":
+            _, fs = self._fs(self.root)
+            fs.create(self._fs(f"{self.root}/manifest/{n}.draft")[0], True).close()
+        if where == "after":
+            commit(self, n, manifest)
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(KeyedTable, "_commit", broken)
+    with pytest.raises(Exception, match="cut off"):
+        run()
+    assert sorted(map(tuple, table.read(below=1).collect())) == [(k, 4) for k in range(5)]
+    assert table.read().agg(F.sum("n")).first()[0] == (60 if where == "after" else 20)  # whole versions only
+    monkeypatch.setattr(KeyedTable, "_commit", commit)
+    run()
+    run()
+    assert sorted(map(tuple, table.read().collect())) == [(k, 12) for k in range(5)]
+
+
+def test_sessions_leave_the_state_and_late_rows_are_told(spark, tmp_path):
+    """Ten batches of a day each, with rows that come days late: the state never holds more than the open sessions."""
+    day = datetime.datetime(2024, 1, 1)
+    marks = KeyedTable(spark, f"{tmp_path}/marks", jobs.MARK, ["batch"], buckets=4)
+    dropped, state, n = 0, [], 0
+    for d in range(10):
+        data = [(k, day + datetime.timedelta(days=d, hours=h)) for k in range(20) for h in (1, 2, 9, 20)]
+        data += [(k, day + datetime.timedelta(days=d - 3)) for k in range(d)]  # too late from the second batch on
+        n += len(data)
+        df = spark.createDataFrame(data, "k int, ts timestamp")
+        df.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = lambda: jobs.source(spark, f"{tmp_path}/in", df.schema)  # noqa: B023, E731
+        for p in jobs.session_stream(stream(), "k", f"{tmp_path}/out", f"{tmp_path}/c1"):
+            dropped += sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"])
+            state.append(max((o["numRowsTotal"] for o in p["stateOperators"]), default=0))
+        jobs.late_rows(stream(), f"{tmp_path}/late", marks, f"{tmp_path}/c2")
+    late = spark.read.schema(df.schema).parquet(f"{tmp_path}/late/batch=*")
+    ended = spark.read.schema("k int, start timestamp, end timestamp, n long").parquet(f"{tmp_path}/out")
+    assert late.count() == dropped == sum(range(10)) > 0
+    assert max(state) <= 80  # three sessions a key and day, of which all but the last of a day end within it
+    assert ended.agg(F.sum("n")).first()[0] + late.count() == n - 20  # the last hour's sessions are open
