@@ -1,14 +1,15 @@
-"""Line de-duplication, in DataFrame functions only.
-
-`passage_dedup` removes whole repeated passages: every pair of successive lines, and every
-long line, that occurred before.  A run of lines that repeats consists of pairs that repeat,
-so it goes from its first line to its last, whatever stands around it in its text.
-
-`line_dedup` removes repeated content-defined chunks only.  A rolling hash over the hashes of
-`window` successive lines sets a chunk boundary wherever it falls on a multiple of `divisor`,
-so a passage's first and last chunks mix with the lines of its host.
-
-Both compare the bytes with those of the first occurrence, which stays.
+"""Line de-duplication by content-defined chunks, in DataFrame functions only.
+
+A rolling hash over the hashes of `window` successive lines ends a chunk wherever it falls on
+a multiple of `divisor`, so boundaries shift with the lines around them and a passage is cut
+alike wherever it stands.  Chunks of several lines that occurred before go, after their bytes
+were compared with those of the first occurrence, which stays.
+
+That is `line_dedup`.  A passage's outermost chunks hold lines of its host too and so never
+repeat.  `passage_dedup` goes on from the chunks that repeat to the ends of their passage: of
+all pairs of successive lines that do not lie within such a chunk, those that occurred before
+go as well, and so do long lines.  A run of lines that repeats consists of pairs that repeat,
+so it goes from its first line to its last.
 """
 
 from __future__ import annotations
@@ -19,8 +20,19 @@ from pyspark.sql import functions as F
 from tallyforge.llm.shared import MOST_BITS, Scratch, let, marked_rows, maybe_among
 
 
-def chunks(text: Column, window: int, divisor: int) -> Column:
-    """Array of (start, length, hash) of the chunks of a text's lines; starts count from 0."""
+def hashed_lines(text: Column, long_words: int) -> Column:
+    """Array of (h, full, long) of the lines of a text: hash, whether it is not blank, whether it has over `long_words` words."""
+
+    def line(x: Column) -> Column:
+        # The length spares most lines the count of words.
+        long = (F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(r"\S+")) > long_words)
+        return F.struct(F.xxhash64(x).alias("h"), x.rlike(r"\S").alias("full"), long.alias("long"))
+
+    return F.transform(F.split(text, "\n", -1), line)
+
+
+def chunks_of(lines: Column, window: int, divisor: int) -> Column:
+    """Array of (start, length, hash) of the chunks of hashed lines; starts count from 0."""
 
     def of(hashes: Column) -> Column:
         n = F.size(hashes)
@@ -37,16 +49,11 @@ def chunks(text: Column, window: int, divisor: int) -> Column:
         ends = F.filter(F.sequence(F.lit(0), n - 1), ends_at)
         return let(ends, lambda e: F.transform(e, lambda end, i: chunk(e, end, i)))
 
-    return let(F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x)), of)
-
+    return let(F.transform(lines, lambda x: x["h"]), of)
 
-def passages(text: Column, long_words: int) -> Column:
-    """Array of (start, length, hash): all pairs of successive lines, not both blank, and all lines of over `long_words` words."""
 
-    def line(x: Column) -> Column:
-        # The length spares most lines the count of words.
-        long = (F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(r"\S+")) > long_words)
-        return F.struct(F.xxhash64(x).alias("h"), x.rlike(r"\S").alias("full"), long.alias("long"))
+def passages_of(lines: Column, taken: Column) -> Column:
+    """Array of (start, length, hash) of hashed lines: all pairs of successive lines, not both blank, and all long lines, but for those within a span of `taken` (start, length)."""
 
     def of(lines: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(lines) - 1)
@@ -66,10 +73,16 @@ def passages(text: Column, long_words: int) -> Column:
         pairs = F.filter(F.transform(at, pair), lambda p: p.isNotNull())
         return F.concat(pairs, F.transform(F.filter(at, lambda i: F.get(lines, i)["long"]), single))
 
-    return let(F.transform(F.split(text, "\n", -1), line), of)
+    def free(spans: Column) -> Column:
+        # Both are in order of starts but for the long lines, and a text has few spans that are taken.
+        return F.filter(spans, lambda s: ~F.exists(taken, lambda t: (t["start"] <= s["start"]) & (s["start"] + s["length"] <= t["start"] + t["length"])))
+
+    return let(lines, lambda x: F.when(F.size(taken) > 0, free(of(x))).otherwise(of(x)))
 
 
-def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50, most_bits: int = MOST_BITS) -> DataFrame:
+def passage_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50, window: int = 2, divisor: int = 3, most_bits: int = MOST_BITS
+) -> DataFrame:
     """`docs` with repeated passages cut from the text, plus n_lines and n_removed_lines.
 
     Lines end at "\\n".  A passage is two successive lines or more, not all of them blank, or
@@ -80,10 +93,10 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies are left to the operators for documents.  Blank lines inside one stretch of blank lines whose both ends are
     removed go too.  Remaining lines keep their order.  Null texts stay null with 0 lines.  Null
     ids come first.  Rows that repeat both id and text count as one document and stay alike.
-    Every other column passes unchanged; names that begin with two underscores are this
-    operator's own.
+    Columns n_lines and n_removed_lines are replaced; every other column passes unchanged; names
+    that begin with two underscores are this operator's own.  An empty table gives no rows.
     """
-    return _cut_repeated(docs, id_col, text_col, passages(F.col(text_col), long_words), most_bits)
+    return _without_repeats(docs, id_col, text_col, window, divisor, 2, long_words, most_bits, to_the_ends=True)
 
 
 def line_dedup(
@@ -96,37 +109,54 @@ def line_dedup(
     bytes occurred before - at a smaller id, or earlier in the same text - is removed; the
     first occurrence stays.  Remaining lines keep their order.  Null texts stay null with 0
     lines.  Null ids come first.  Rows that repeat both id and text count as one document and
-    stay alike.  Every other column passes unchanged; names that begin with two underscores
-    are this operator's own.
+    stay alike.  Columns n_lines and n_removed_lines are replaced; every other column passes
+    unchanged; names that begin with two underscores are this operator's own.
     """
-    spans = F.filter(chunks(F.col(text_col), window, divisor), lambda c: c["length"] >= min_lines)
-    return _cut_repeated(docs, id_col, text_col, spans, most_bits)
+    return _without_repeats(docs, id_col, text_col, window, divisor, min_lines, 50, most_bits, to_the_ends=False)
+
+
+def _repeated(scratch: Scratch, spots: DataFrame, name: str, most_bits: int) -> tuple[DataFrame, int]:
+    """Those of `spots` (__id, __key, start, length, hash) whose hash occurs more than once, with its first spot, and their number."""
+    spots = scratch.save(spots, "spans")
+    first, (n_first, _) = scratch.save_signed(
+        spots.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("__id", "__key", "start")).alias("first")).where("n > 1").select("hash", "first"), "first"
+    )
+    found = marked_rows(spots, "hash", first, n_first, most_bits).join(first, "hash").select("__id", "__key", "start", "length", "hash", "first")
+    out, (n_repeated, _) = scratch.save_signed(found, name)
+    scratch.drop("spans", "first")
+    return out, n_repeated
 
 
-def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, most_bits: int) -> DataFrame:
-    """`docs` without the lines of those `spans` (start, length, hash) whose bytes occurred before.
+def _is_first() -> Column:
+    return F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__key") == F.col("__key")) & (F.col("first.start") == F.col("start"))
 
-    Spans may overlap if none is longer than two lines.
+
+def _without_repeats(
+    docs: DataFrame, id_col: str, text_col: str, window: int, divisor: int, min_lines: int, long_words: int, most_bits: int, to_the_ends: bool
+) -> DataFrame:
+    """`docs` without the lines of spans whose bytes occurred before.
+
+    Spans are chunks of `min_lines` or more and, `to_the_ends`, pairs of lines and long lines
+    that lie in no chunk that occurred before.  (Those in one occurred before too: so the first
+    spot of each is among the others.)  Spans overlap at their last line only.
     """
+    docs = docs.drop("n_lines", "n_removed_lines")
     doc_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), doc_key.alias("__key"), spans.alias("__chunks"))
-    # A first pass keeps hashes only: no text is written or shuffled for spans that occur once.
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    spots = scratch.save(
-        keyed.select("__id", "__key", F.explode("__chunks").alias("c")).select("__id", "__key", "c.start", "c.length", "c.hash"), "spans"
+    # Texts are read once for the hashes of their lines; all that follows, up to the second pass, works on these.
+    hashed = scratch.save(
+        docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), doc_key.alias("__key"), hashed_lines(F.col(text_col), long_words).alias("lines")), "lines"
     )
-    first, (n_first, _) = scratch.save_signed(
-        spots
-        .groupBy("hash")
-        .agg(F.count("*").alias("n"), F.min(F.struct("__id", "__key", "start")).alias("first"))
-        .where("n > 1")
-        .select("hash", "first"),
-        "first",
-    )
-    repeated, (n_repeated, _) = scratch.save_signed(
-        marked_rows(spots, "hash", first, n_first, most_bits).join(first, "hash").select("__id", "__key", "start", "length", "hash", "first"), "repeated"
-    )
-    scratch.drop("spans", "first")
+    exploded = lambda rows, spans: rows.select("__id", "__key", F.explode(spans).alias("c")).select("__id", "__key", "c.start", "c.length", "c.hash")
+    spans = F.filter(chunks_of(F.col("lines"), window, divisor), lambda c: c["length"] >= min_lines)
+    repeated, n_repeated = _repeated(scratch, exploded(hashed, spans), "chunks", most_bits)
+    if to_the_ends:
+        taken = repeated.where(~_is_first()).groupBy(F.col("__id").alias("__of"), F.col("__key").alias("__in")).agg(F.collect_set(F.struct("start", "length")).alias("taken"))
+        joined = hashed.join(taken, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__key") == F.col("__in")), "left")
+        none = F.array().cast("array<struct<start:int,length:int>>")
+        others, n_others = _repeated(scratch, exploded(joined, passages_of(F.col("lines"), F.coalesce("taken", none))), "ends", most_bits)
+        repeated, n_repeated = repeated.unionByName(others), n_repeated + n_others
+    scratch.drop("lines")
     # Second pass: only texts that hold a repeated span shuffle.
     marked = maybe_among(docs.withColumn("__key", doc_key), "__key", repeated, n_repeated, most_bits)
     marked = marked.withColumn("__maybe", F.col("__maybe") & F.col(text_col).isNotNull())
@@ -149,10 +179,9 @@ def _cut_repeated(docs: DataFrame, id_col: str, text_col: str, spans: Column, mo
     )
     bodies = scratch.save(bodies, "bodies")
     same_text = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__key") == F.col("__key"))
-    is_first = same_text & (F.col("first.start") == F.col("start"))
     apart = ~same_text | (F.col("start") >= F.col("first.start") + F.col("length"))
     # Written first, so that the join below has two plain exchanges and a hot span's rows can be split.
-    originals = scratch.save(bodies.where(is_first).groupBy("hash").agg(F.min(F.struct("body", "whole")).alias("original")), "originals")
+    originals = scratch.save(bodies.where(_is_first()).groupBy("hash").agg(F.min(F.struct("body", "whole")).alias("original")), "originals")
     cut = (
         bodies.where(apart)
         .join(originals, "hash")

@@ -55,7 +55,7 @@ def test_exact_oracle(spark):
 
 def chunk_lines(spark, text):
     """Chunks of a text by the operator's own boundaries."""
-    r = spark.createDataFrame([(text,)], "t string").select(line_dedup.chunks(F.col("t"), 2, 3).alias("c")).first()
+    r = spark.createDataFrame([(text,)], "t string").select(line_dedup.chunks_of(line_dedup.hashed_lines(F.col("t"), 50), 2, 3).alias("c")).first()
     lines = text.split("\n")
     return [lines[c.start : c.start + c.length] for c in r.c]
 
@@ -153,6 +153,27 @@ def test_query_cuts_passages(spark):
     assert got == want
 
 
+def test_clashing_names_are_replaced(spark):
+    df = frame(spark, [(1, "a\nb\nc"), (2, "a\nb\nd")]).withColumns({"n_lines": F.lit("x"), "n_removed_lines": F.lit(None).cast("int"), "hash": F.lit(1), "start": F.lit("s"), "lines": F.lit(2)})
+    for op in (line_dedup.passage_dedup, line_dedup.line_dedup):
+        out = op(df)
+        assert len(set(out.columns)) == len(out.columns) == len(df.columns)
+        assert {r.doc_id: (r.n_lines, r.hash, r.start, r.lines) for r in out.collect()} == {1: (3, 1, "s", 2), 2: (3, 1, "s", 2)}
+
+
+def test_most_repeated_lines_go_with_their_chunks(spark):
+    """Of the lines that a passage's copies lose, most lie in content-defined chunks that repeat; the rest are the ends of passages."""
+    rng = random.Random(8)
+    passage = [[f"passage {p} line {i} {rng.random()}" for i in range(30)] for p in range(5)]
+    rows = []
+    for i in range(60):
+        own = lambda: [f"own {i} {rng.random()}" for _ in range(rng.randrange(1, 6))]  # noqa: B023, E731
+        rows.append((i, "\n".join(own() + passage[i % 5] + own())))
+    removed = {op: op(frame(spark, rows)).agg(F.sum("n_removed_lines")).first()[0] for op in (line_dedup.line_dedup, line_dedup.passage_dedup)}
+    assert removed[line_dedup.passage_dedup] == 55 * 30
+    assert 0.7 * 55 * 30 <= removed[line_dedup.line_dedup] < 55 * 30
+
+
 def shingles(text, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     n = min(n, len(w))
