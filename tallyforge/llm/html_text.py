@@ -289,6 +289,7 @@ def main_text(page: str | None) -> str:
     for (node, _, _), r in zip(blocks, ratio, strict=True):
         best[node.path] = max(best.get(node.path, 0.0), r)
     content = [i for i, (node, _, _) in enumerate(blocks) if best[node.path] >= bar]
+    is_content = set(content)
     held = _sums(nodes, [blocks[i] for i in content], [1] * len(content))
     # The smallest element that holds all of the content, but not one paragraph of it.
     root = nodes[0]
@@ -324,7 +325,7 @@ def main_text(page: str | None) -> str:
         for i, (node, text, linked) in enumerate(blocks)
         if (not is_menu(i) if belongs[node.index] else beside[node.index] and (linked < len(text) or node.tag in HEADINGS))
     }
-    start = min(i for i in kept if blocks[i][0].tag not in HEADINGS or i in content)
+    start = min(i for i in kept if blocks[i][0].tag not in HEADINGS or i in is_content)
     if not any(blocks[i][0].tag in HEADINGS for i in kept if i <= start):
         # The title is the last h1, else h2, before the text.
         for tag in ("h1", "h2"):

@@ -1,7 +1,8 @@
 """Language identification with string kernels.
 
 The kernel of two texts is the number of character n-grams (1 to 3, a blended spectrum)
-present in both, normalised by the sets' sizes.  Landmark texts give a Nyström
+present in both, normalised by the sizes of their sets: a landmark's whole set, and of any other
+text those n-grams that some landmark has (all others are in no landmark).  Landmark texts give a Nyström
 approximation, on which one-versus-rest kernel ridge regression is solved; texts are scored
 by two batched matrix products.  Fitting uses a bounded sample, scoring every whole text.
 """
@@ -9,6 +10,7 @@ by two batched matrix products.  Fitting uses a bounded sample, scoring every wh
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,13 +32,14 @@ class Params:
     ridge: float = 1e-2
 
 
-#: Bits of a symbol: letters are lower-cased code points plus 1, and 1 is a space.
+#: Bits of a symbol: letters are lower-cased code points plus 1, marks code points plus 1, and 1 is a space.
 SYMBOL_BITS = 21
 SPACE = 1
 
 
 def _symbol(c: str) -> int:
-    return ord(c.lower()[0]) + 1 if c.isalpha() else SPACE
+    """Letters, lower-cased, and the marks that combine with them; all else is a space."""
+    return ord(c.lower()[0]) + 1 if unicodedata.category(c)[0] in "LM" else SPACE
 
 
 @functools.cache
@@ -155,7 +158,9 @@ def fit(labelled: DataFrame, params: Params = Params(), key_col: str = "doc_id",
     The sample holds, of each language, the `per_language` rows of the smallest hash of key
     and length among those below a limit that leaves about eight times as many; rows that
     repeat key and text count once.  Of each, one kernel row reaches the driver, and of the
-    landmarks their n-grams.  Letters and n-grams are neither folded nor cut in number.
+    landmarks their n-grams.  Letters are lower-cased; n-grams are not cut in number.
+    Null ids are as good as any; rows without language or text are left out, and of an empty
+    table there is no model.
     """
     rows = labelled.select(
         F.col(lang_col).alias("lang"),
@@ -211,21 +216,26 @@ def fit(labelled: DataFrame, params: Params = Params(), key_col: str = "doc_id",
     return Model(languages, landmarks, root @ np.linalg.solve(inner, phi.T @ y))
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score", unknown: str | None = "und"
+) -> DataFrame:
     """`docs` plus the predicted language and its score from 0 to 1 (the ridge output, clipped).
 
-    "und" with score 0 if the text is null or has no letters, or if nothing was learned.
-    Columns of the two output names are replaced; all others pass unchanged.
+    `unknown` with score 0 if the text is null or has no letters, or if nothing was learned.
+    Of languages with equal scores the first by name counts.  Rows that repeat are predicted
+    alike, and no id is looked at; an empty table gives no rows.  Columns of the two output
+    names are replaced; all others pass unchanged.
     """
     docs = docs.drop(lang_col, score_col)
+    nothing = {lang_col: F.lit(unknown).cast("string"), score_col: F.lit(0.0)}
     if model is None:
-        return docs.withColumns({lang_col: F.lit("und"), score_col: F.lit(0.0)})
+        return docs.withColumns(nothing)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
         score, batch_rows = model.scorer(), model.landmarks.batch_rows
-        names = np.array([*model.languages, "und"], object)
+        names = np.array([*model.languages, unknown], object)
         for whole in batches:
             for part in slices(whole, text_sizes(whole.column(text_col))):
                 for at in range(0, part.num_rows, batch_rows):
@@ -240,5 +250,6 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_c
                         [*batch.columns, pa.array(names[best], pa.string()), pa.array(value)], names=[*batch.schema.names, lang_col, score_col]
                     )
 
-    schema = docs.withColumns({lang_col: F.lit("und"), score_col: F.lit(0.0)}).schema
+    schema = docs.withColumns({lang_col: F.lit("").cast("string"), score_col: F.lit(0.0)}).schema
+    schema[lang_col].nullable = True
     return docs.mapInArrow(run, schema)

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.llm.bpe import slices, text_encoder, text_sizes
 
@@ -31,14 +32,15 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", longest: int = 2048, end_id: int = 1
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", longest: int = 2048, end_id: int = 1, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, bucket, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, bucket, sequence_id, offset, and the document's columns `carry`.
 
     A document's ids are those of its whole text (null: none) and then `end_id`; every id lies
     in exactly one piece.  `longest` is a power of two.  `bucket` is log2 of the length.
     sequence_id is unique in the result; offset is 0 as each sequence holds one piece.  Rows
-    that repeat an id are separate documents; further columns are ignored.
+    that repeat an id are separate documents; columns that are not carried are ignored, and
+    those carried must have other names.  An empty table gives no rows.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
@@ -48,12 +50,12 @@ def pack(
         end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for batch in slices(whole, text_sizes(whole.column("text"))):
-                ids, starts, lengths, pieces, totals = [], [], [], [], []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                rows, starts, lengths, pieces, totals = [], [], [], [], []
+                for row, text in enumerate(batch.column("text").to_pylist()):
                     raw = encoder.encode(text) + end
                     n, at = len(raw) // 4, 0
                     for length in binary_cuts(n, longest):
-                        ids.append(doc_id)
+                        rows.append(row)
                         starts.append(at)
                         lengths.append(length)
                         pieces.append(raw[4 * at : 4 * (at + length)])
@@ -61,14 +63,15 @@ def pack(
                         at += length
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                        batch.column("doc_id").take(pa.array(rows, pa.int32())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
                         pa.array(pieces, pa.binary()), pa.array(totals, pa.int64()),
-                        pa.array([n.bit_length() - 1 for n in lengths], pa.int32()),
+                        pa.array([n.bit_length() - 1 for n in lengths], pa.int32()), *(batch.column(c).take(pa.array(rows, pa.int32())) for c in carry),
                     ],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "bucket"],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens", "bucket", *carry],
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, PIECES).withColumns(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    schema = T.StructType([*T.StructType.fromDDL(PIECES).fields, *(rows.schema[c] for c in carry)])
+    return rows.mapInArrow(run, schema).withColumns(
         {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}
     )

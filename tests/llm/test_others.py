@@ -3,6 +3,7 @@
 import hashlib
 import math
 import operator
+import unicodedata
 
 import numpy as np
 import pytest
@@ -152,7 +153,7 @@ def plain_ridge(train, texts, landmarks_per_language, ridge):
     """Kernel ridge regression on Nyström features, from sets of strings."""
 
     def spectrum(text):
-        t = " " + "".join(c.lower()[0] if c.isalpha() else " " for c in text) + " "
+        t = " " + "".join(c.lower()[0] if unicodedata.category(c)[0] in "LM" else " " for c in text) + " "
         t = " " + " ".join(t.split()) + " " if t.strip() else " "
         return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
 
@@ -297,6 +298,8 @@ def test_html_is_linear_in_depth():
     assert html_text.main_text("<div>w, and w." * 100_000).count("\n\n") == 99_999
     html_text.main_text("<li><ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000)
     html_text.main_text("<b>" * 50_000 + "x<hr>" * 50_000)
+    html_text.main_text("<h2>A, b. c</h2>" * 100_000)
+    html_text.main_text("<h2>A</h2><p>b, c. d</p>" * 50_000)
     assert time.process_time() - began < 15
 
 
@@ -348,6 +351,28 @@ def test_pipeline_keeps_documents_without_a_known_language(spark):
     assert stage(spark, docs, "").count() == len(held) > 0
 
 
+def test_marks_belong_to_words():
+    assert (language_id.symbols("किताब") != language_id.SPACE).sum() == 5 and len(language_id.symbols("ที่")) == 5
+
+
+def test_pipeline_takes_the_predicted_language(spark, tmp_path, monkeypatch):
+    """Documents without a stated language get the predicted one, which reaches the packed pieces; another model gives another result."""
+    import corpus_pipeline as c
+
+    rows = [(i, "the cat and the dog sat here", "en") for i in range(30)] + [(100 + i, "le chat et le chien sont ici", "fr") for i in range(30)]
+    rows += [(200, "the dog and the cat", None), (201, "le chien et le chat", None), (202, "12", None)]
+    docs = spark.createDataFrame([(i, f"{t} {i}" if i < 202 else t, lang, "s", 1) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(c.STAGES)["language_id"]
+    got = {r.doc_id: r.lang for r in stage(spark, docs, "").collect()}
+    assert got[200] == "en" and got[201] == "fr" and 202 not in got and len(got) == 62
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.lang for r in c.run(spark, str(tmp_path)).collect()}.items() >= {200: "en", 201: "fr"}.items()
+    fit = language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda docs: fit(docs.replace({"en": "fr", "fr": "en"}, subset=["lang"])))
+    other = {r.doc_id: r.lang for r in c.run(spark, str(tmp_path)).collect()}
+    assert other[200] == "fr" and other[201] == "en"
+
+
 def test_pipeline_keeps_one_row_of_each_near_duplicate(spark):
     import corpus_pipeline as c
 
