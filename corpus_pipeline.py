@@ -20,9 +20,18 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter; all others stay, also if nothing could be learned."""
+    """Rejects documents whose language cannot be told, and names that of those which state none.
+
+    A document without a prediction, as it is null or has no letter, goes.  All others
+    stay; a null `lang` becomes the predicted one.  If nothing could be learned, there is no
+    prediction to go by: documents with a letter stay and their `lang` remains null.
+    """
     model = language_id.fit(docs.where(~held_out()))
-    return language_id.predict(docs.where(F.col("text").rlike(r"\p{L}")), model).select(COLUMNS)
+    docs = docs.select(COLUMNS)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = language_id.predict(docs, model, unknown=None).where("lang_pred is not null")
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +69,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two length; see tallyforge.llm.packing.  Each row is a document of its own, also if its id repeats."""
-    return packing.pack(docs, word_bpe()).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
+    """Pieces of power-of-two length, each with its document's language; see tallyforge.llm.packing.  Each row is a document of its own, also if its id repeats."""
+    return packing.pack(docs, word_bpe(), carry=("lang",)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket", "lang"
     )
 
 
