@@ -5,6 +5,74 @@ CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(rang
     lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
 
 ORACLE_SQL = {
+    "op1_topk_search": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) x WHERE rank <= 5
+""",
+    "op3_chat_format": r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) x(t, r)),
+escaped AS (SELECT *, replace(replace(role, '\', '\\'), '<|', '<\|') AS shown_role, replace(replace(text, '\', '\\'), '<|', '<\|') AS shown FROM given),
+ordered AS (
+    SELECT *, row_number() OVER w AS k, lag(shown_role) OVER w IS DISTINCT FROM shown_role OR row_number() OVER w = 1 AS opens
+    FROM escaped WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, shown_role, shown))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(shown) + CASE WHEN opens THEN length(shown_role) + length('<|turn|><|says|><|end|>') ELSE length('<|more|>') END)::BIGINT AS formatted_chars
+FROM ordered GROUP BY conv_id
+""",
+    "op7_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+bags AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS bag FROM words),
+named AS (SELECT doc_id, bag, len(bag) AS n, md5(array_to_string(bag, chr(10))) AS sid FROM bags),
+sets AS (SELECT sid, any_value(bag) AS bag, any_value(n) AS n, min(doc_id) AS first FROM named WHERE n > 0 GROUP BY sid),
+grams AS (SELECT sid, n, unnest(bag) AS gram FROM sets),
+pairs AS (
+    SELECT a.sid AS a, b.sid AS b, a.n AS n_a, b.n AS n_b, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.sid <> b.sid
+    WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 90 * (n_a + n_b - shared)),
+reach AS (SELECT sid AS a, sid AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT r.a AS sid, min(s.first) AS component_id FROM reach r JOIN sets s ON s.sid = r.b GROUP BY r.a)
+SELECT d.doc_id, d.n AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id FROM named d LEFT JOIN least_of l ON l.sid = d.sid AND d.n > 0
+""",
+    "op10_line_dedup": r"""
+WITH split AS (SELECT doc_id, str_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+lines AS (
+    SELECT doc_id, i, n, line, regexp_matches(line, '[^ \t\n\x0b\f\r]') AS filled, len(regexp_extract_all(line, '[^ \t\n\x0b\f\r]+')) > 50 AS long,
+           lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next
+    FROM (SELECT doc_id, len(lines) AS n, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM split)),
+spans AS (
+    SELECT doc_id, i, 2 AS k, n, line || chr(10) || next AS body FROM lines WHERE next IS NOT NULL AND regexp_matches(line || next, '[^ \t\n\x0b\f\r]')
+    UNION ALL SELECT doc_id, i, 1, n, line FROM lines WHERE long),
+ranked AS (SELECT *, first_value((doc_id, i, n)) OVER (PARTITION BY k, body ORDER BY doc_id, i) AS f FROM spans),
+cut AS (
+    SELECT DISTINCT doc_id, i + o AS i FROM (
+        SELECT doc_id, i, k FROM ranked WHERE (doc_id <> f[1] OR i >= f[2] + k) AND NOT (k = 1 AND n = 1 AND f[3] = 1)) c, (SELECT unnest([0, 1]) AS o) x WHERE o < k),
+marked AS (
+    SELECT l.*, c.i IS NOT NULL AS gone, NOT filled AS empty, count(c.i) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS passed, count(c.i) OVER (PARTITION BY l.doc_id) AS cuts
+    FROM lines l LEFT JOIN cut c ON c.doc_id = l.doc_id AND c.i = l.i),
+gaps AS (
+    SELECT doc_id, passed, cuts, bool_and(empty) AS empty, min(i) AS lo, max(i) AS hi FROM marked WHERE NOT gone GROUP BY doc_id, passed, cuts),
+parting AS (
+    SELECT g.doc_id, g.passed FROM gaps g JOIN marked a ON a.doc_id = g.doc_id AND a.i = g.lo - 1 JOIN marked b ON b.doc_id = g.doc_id AND b.i = g.hi + 1
+    WHERE g.empty AND g.passed > 0 AND g.passed < g.cuts AND a.empty AND b.empty),
+kept AS (
+    SELECT m.doc_id, string_agg(m.line, chr(10) ORDER BY m.i) AS text, count(*) AS n FROM marked m LEFT JOIN parting p ON p.doc_id = m.doc_id AND p.passed = m.passed
+    WHERE NOT m.gone AND p.doc_id IS NULL GROUP BY m.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(len(s.lines), 0)::BIGINT AS n_lines,
+       (coalesce(len(s.lines), 0) - coalesce(k.n, 0))::BIGINT AS n_removed_lines
+FROM documents d LEFT JOIN split s ON s.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+""",
     "op4_warc_archive": """
 WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 g AS (SELECT body, min(page_id) AS first FROM t WHERE octet_length(encode(body)) >= 100 GROUP BY body)
