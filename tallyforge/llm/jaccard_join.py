@@ -512,12 +512,13 @@ def labelled(
         folded.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("most")).where("pivot < most").select("key", "pivot"), "shared"
     )
     members = scratch.save(folded.join(shared, "key"), "members")
-    names = scratch.save(
+    names, (n_names, _) = scratch.save_signed(
         sets.select("sid", "row_key").join(members.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("row_key").alias("row_key")), "names"
     )
+    # Keys are left behind before any row moves, and sets without a partner by their bitmap.
+    narrow = sets.select("sid", "n_shingles", F.transform("cuts", lambda c: F.struct(c["size_class"].alias("size_class"), c["fine"].alias("fine"))).alias("cuts"))
     fines = scratch.save(
-        sets.join(names.select("sid"), "sid", "left_semi")
-        .select("sid", "n_shingles", F.explode(F.transform("cuts", lambda c: F.struct(c["size_class"].alias("size_class"), c["fine"].alias("fine")))).alias("c"))
+        marked_rows(narrow, "sid", names.select("sid"), n_names, most_bits).select("sid", "n_shingles", F.explode("cuts").alias("c"))
         .groupBy("sid", "c.size_class").agg(F.first("n_shingles").alias("n_shingles"), F.first("c.fine").alias("fine")),
         "fines",
     )
