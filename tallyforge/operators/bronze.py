@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import json_strings, parse_datetime, volume_tier
+from tallyforge.operators.selection import upper_median
 
 TOKEN = "array<struct<token_id:string,outcome:string,price:double,winner:boolean>>"
 EVENT = (
@@ -116,7 +117,7 @@ def wrap_raw(rows: DataFrame, key: str, fetched_at: Column) -> DataFrame:
 
 def median_floor(trades: DataFrame) -> DataFrame:
     """Trades above the upper median size of their market."""
-    floor = trades.groupBy("market_id").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY size DESC)").alias("floor"))
+    floor = upper_median(trades, ["market_id"], F.col("size")).select("market_id", F.col("nth").alias("floor"))
     return trades.join(floor, "market_id").where("size > floor")
 
 
@@ -126,9 +127,10 @@ def growing_floor(trades: DataFrame) -> DataFrame:
     The third page of a market and every second one after it raise the floor of all later
     pages by the whole part of their upper median size.
     """
-    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY size DESC)")
     raises = (F.col("page") >= 2) & (F.col("page") % 2 == 0)
-    per_page = trades.groupBy("market_id", "page").agg(F.when(raises, F.floor(median)).otherwise(0).cast("double").alias("up"))
+    medians = upper_median(trades.where(raises), ["market_id", "page"], F.col("size"))
+    all_pages = trades.select("market_id", "page").distinct()
+    per_page = all_pages.join(medians, ["market_id", "page"], "left").select("market_id", "page", F.coalesce(F.floor("nth"), F.lit(0)).cast("double").alias("up"))
     earlier = Window.partitionBy("market_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     floors = per_page.select("market_id", "page", F.coalesce(F.sum("up").over(earlier), F.lit(0.0)).alias("floor"))
     return trades.join(floors, ["market_id", "page"]).where("floor = 0 or size > floor")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import MONEY, money_avg, money_sum, pnl, share, stddev
 from tallyforge.operators.analysis import value
+from tallyforge.operators.selection import median
 from tallyforge.sources.shared import drop_written, written
 
 MARKET_COLUMNS = [
@@ -181,10 +182,12 @@ def interval_stats(prices: DataFrame) -> DataFrame:
     """Per token, the seconds between successive prices: count, average, median, fastest and slowest."""
     at = F.unix_timestamp(F.col("ts").cast("timestamp"))
     gaps = prices.select("token_id", (at - F.lag(at).over(Window.partitionBy("token_id").orderBy("ts", "event_id"))).alias("gap")).where("gap is not null")
-    return gaps.groupBy("token_id").agg(
-        F.count("*").alias("count"), F.try_divide(F.sum("gap").cast("double"), F.count("*").cast("double")).alias("average"), F.median("gap").alias("median"),
+    sums = gaps.groupBy("token_id").agg(
+        F.count("*").alias("count"), F.try_divide(F.sum("gap").cast("double"), F.count("*").cast("double")).alias("average"),
         F.min("gap").alias("fastest"), F.max("gap").alias("slowest"),
     )
+    middle = median(gaps, ["token_id"], F.col("gap")).select("token_id", "median")
+    return sums.join(middle, "token_id").select("token_id", "count", "average", "median", "fastest", "slowest")
 
 
 def available_tags(tags: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def events(staged: DataFrame, cats: DataFrame) -> DataFrame:
         F.coalesce(_path("$.event.category", "$.category"), F.lit("Unknown")).alias("category_name"),
     )
     once = rows.groupBy("slug").agg(F.min(F.struct("title", "category_name")).alias("x")).select("slug", "x.*")
-    return once.join(F.broadcast(cats), "category_name", "left").join(number_new(once, "slug", 0, "event_id"), "slug").select("event_id", "slug", "title", "category_id")
+    return once.join(cats, "category_name", "left").join(number_new(once, "slug", 0, "event_id"), "slug").select("event_id", "slug", "title", "category_id")
 
 
 def _slug() -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import columns
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
-from tallyforge.operators import backtest, bronze, features, intervals, silver, tags
+from tallyforge.operators import backtest, bronze, features, intervals, selection, silver, tags
 from tallyforge.sources import catalogs, scans, sinks
 from tallyforge.streaming import jobs
 from tallyforge.streaming.tables import KeyedTable
@@ -435,3 +435,20 @@ def test_sessions_leave_the_state_and_late_rows_are_told(spark, tmp_path):
     assert late.count() == dropped == sum(range(10)) > 0
     assert max(state) <= 80  # three sessions a key and day, of which all but the last of a day end within it
     assert ended.agg(F.sum("n")).first()[0] + late.count() == n - 20  # the last hour's sessions are open
+
+
+@pytest.mark.parametrize("most", [4096, 50])
+def test_order_statistics_by_narrowing(spark, most):
+    """Groups of equal, skewed, few and very spread values; with a bound of fifty most go through the sketch."""
+    rng = random.Random(3)
+    groups = {
+        1: [5.0] * 400, 2: [rng.random() for _ in range(501)], 3: [1.0] * 300 + [2.0] * 301 + [9.0], 4: [math.exp(rng.uniform(-700, 700)) for _ in range(600)], 5: [3.0],
+        6: [1.0, 2.0], 7: [-1.0] * 5 + [float(i) for i in range(300)], 8: [0.0] * 299 + [1.0] * 299, None: [4.0, 4.0, 6.0, 8.0],
+    }
+    data = [(k, v, "x") for k, vs in groups.items() for v in vs] + [(5, None, "x"), (9, None, "x"), (6, float("nan"), "x")]
+    df = spark.createDataFrame(data, "k int, v double, n string").repartition(5)
+    got = {r.k: (r.n, r.nth) for r in selection.nth_values(df, ["k"], F.col("v"), lambda n: F.floor(n / 2), most).collect()}
+    assert got == {k: (len(vs), sorted(vs)[len(vs) // 2]) for k, vs in groups.items()}
+    if most > 1000:
+        assert {r.k: r.median for r in selection.median(df, ["k"], F.col("v")).collect()} == {k: statistics.median(vs) for k, vs in groups.items()}
+    assert selection.median(df.limit(0), ["k"], F.col("v")).count() == 0
