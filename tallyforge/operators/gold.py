@@ -124,7 +124,32 @@ def trade_fact(staged: DataFrame, market_dim: DataFrame, token_dim: DataFrame, t
     return t.select("token_id", "trade_ts", "price", "size", "is_buy", "maker_id", "taker_id")
 
 
-def full_run(staged: dict[str, DataFrame], existing: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[LoadResult]]:
+#: Each gold table and those whose keys it holds.
+BUILT_ON = {
+    "categories": (), "events": ("categories",), "markets": ("events",), "tokens": ("markets",), "prices": ("tokens",), "traders": (),
+    "trades": ("markets", "tokens", "traders"),
+}
+
+
+def dependents(name: str) -> set[str]:
+    """The tables that hold keys of `name`, or of a table that does."""
+    out = {t for t, on in BUILT_ON.items() if name in on}
+    return out.union(*(dependents(t) for t in out))
+
+
+def rebuild(staged: dict[str, DataFrame], existing: dict[str, DataFrame], name: str) -> tuple[dict[str, DataFrame], list[LoadResult]]:
+    """Gold with the table `name`, and all that depend on it, wiped and derived from staging again.
+
+    Their keys are dealt anew, so nothing that held the old ones may stay; all other tables are
+    kept as they are.
+    """
+    wiped = {name, *dependents(name)}
+    return full_run(staged, {}, {t: df for t, df in existing.items() if t not in wiped})
+
+
+def full_run(
+    staged: dict[str, DataFrame], existing: dict[str, DataFrame], kept: dict[str, DataFrame] | None = None
+) -> tuple[dict[str, DataFrame], list[LoadResult]]:
     """All gold tables from staged markets, prices and trades, in the order of their keys; see `run_steps`."""
     have = lambda name, shape: existing[name] if name in existing else staged["markets"].sparkSession.createDataFrame([], shape)
     return run_steps([
@@ -135,7 +160,7 @@ def full_run(staged: dict[str, DataFrame], existing: dict[str, DataFrame]) -> tu
         Step("prices", lambda t: hourly_price_fact(staged["prices"], t["tokens"], have("prices", HOURLY_PRICE_FACT)), False),
         Step("traders", lambda t: trader_dim(staged["trades"], have("traders", TRADER_DIM)), True),
         Step("trades", lambda t: trade_fact(staged["trades"], t["markets"], t["tokens"], t["traders"]), False),
-    ])
+    ], kept)
 
 
 def tokens(staged: DataFrame) -> DataFrame:

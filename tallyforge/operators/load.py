@@ -22,17 +22,22 @@ class Step(NamedTuple):
 
 class LoadResult(NamedTuple):
     name: str
-    status: str  # loaded, failed or skipped
+    status: str  # loaded, kept, failed or skipped
     error: str | None
 
 
-def run_steps(steps: list[Step]) -> tuple[dict[str, DataFrame], list[LoadResult]]:
+def run_steps(steps: list[Step], kept: dict[str, DataFrame] | None = None) -> tuple[dict[str, DataFrame], list[LoadResult]]:
     """The tables that could be loaded, each written to the shared folder, and a result per step.
 
     A step that fails leaves its table out.  If it is blocking, all later steps are skipped.
+    Tables in `kept` are taken as they are.
     """
     tables, results, stopped = {}, [], False
     for step in steps:
+        if kept and step.name in kept:
+            tables[step.name] = kept[step.name]
+            results.append(LoadResult(step.name, "kept", None))
+            continue
         if stopped:
             results.append(LoadResult(step.name, "skipped", None))
             continue

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import columns
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
-from tallyforge.operators import backtest, bronze, features, intervals, selection, silver, tags
+from tallyforge.operators import backtest, bronze, features, gold, intervals, selection, silver, tags
 from tallyforge.sources import catalogs, scans, sinks
 from tallyforge.streaming import jobs
 from tallyforge.streaming.tables import KeyedTable
@@ -452,3 +452,8 @@ def test_order_statistics_by_narrowing(spark, most):
     if most > 1000:
         assert {r.k: r.median for r in selection.median(df, ["k"], F.col("v")).collect()} == {k: statistics.median(vs) for k, vs in groups.items()}
     assert selection.median(df.limit(0), ["k"], F.col("v")).count() == 0
+
+
+def test_a_rebuilt_table_takes_its_dependents_along():
+    assert gold.dependents("markets") == {"tokens", "prices", "trades"} and gold.dependents("categories") == {"events", "markets", "tokens", "prices", "trades"}
+    assert gold.dependents("trades") == set() and gold.dependents("traders") == {"trades"}
