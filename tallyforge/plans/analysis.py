@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import money_sum, short_wallet
 from tallyforge.operators import analysis as a
+from tallyforge.operators import distinct
 from tallyforge.registry import exact_sum, query
 from tallyforge.sources.catalogs import attach
+from tallyforge.sources.scans import union_by_name
 from tallyforge.sources.shared import new_dir
 
 SPLIT = datetime.datetime(1996, 1, 1)
@@ -138,3 +140,24 @@ def two_catalogs(v):
     attach(v.spark, archive, {"markets": f"{dims}/markets", "leaderboard": f"{dims}/leaderboard"})
     return v.spark.sql(f"""SELECT m.category, count(*) AS trades, count(DISTINCT u.trader_id) AS users FROM {trading}.trades t JOIN {archive}.markets m ON t.market_id = m.market_id
  JOIN (SELECT DISTINCT trader_id FROM {archive}.leaderboard WHERE rank <= 100) u ON t.trader_id = u.trader_id GROUP BY m.category""")
+
+
+@query(
+    "distinct_rollup",
+    """WITH d AS (SELECT DISTINCT market_id, CAST(ts AS DATE) AS day, wallet FROM trades)
+ SELECT 'day' AS level, market_id, day AS period, count(DISTINCT wallet) AS traders FROM d GROUP BY market_id, day
+ UNION ALL SELECT 'month', market_id, CAST(date_trunc('month', day) AS DATE), count(DISTINCT wallet) FROM d GROUP BY 2, 3
+ UNION ALL SELECT 'market', market_id, NULL, count(DISTINCT wallet) FROM d GROUP BY 2
+ UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT wallet) FROM d""",
+)
+def distinct_rollup(v):
+    """Traders of every market by day, by month, altogether, and of all markets, from one table of bits."""
+    bits = distinct.member_bits(v.trades.select("market_id", F.col("ts").cast("date").alias("day"), "wallet"), ["market_id", "day"], "wallet")
+    levels = {
+        "day": {"market_id": F.col("market_id"), "period": F.col("day")},
+        "month": {"market_id": F.col("market_id"), "period": F.trunc("day", "month")},
+        "market": {"market_id": F.col("market_id"), "period": F.lit(None).cast("date")},
+        "all": {"market_id": F.lit(None).cast("long"), "period": F.lit(None).cast("date")},
+    }
+    parts = [distinct.members(bits, by).select(F.lit(level).alias("level"), "market_id", "period", F.col("n").alias("traders")) for level, by in levels.items()]
+    return union_by_name(*parts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import columns
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
-from tallyforge.operators import backtest, bronze, features, gold, intervals, selection, silver, tags
+from tallyforge.operators import backtest, bronze, distinct, features, gold, intervals, selection, silver, tags
 from tallyforge.sources import catalogs, scans, sinks
 from tallyforge.streaming import jobs
 from tallyforge.streaming.tables import KeyedTable
@@ -457,3 +457,13 @@ def test_order_statistics_by_narrowing(spark, most):
 def test_a_rebuilt_table_takes_its_dependents_along():
     assert gold.dependents("markets") == {"tokens", "prices", "trades"} and gold.dependents("categories") == {"events", "markets", "tokens", "prices", "trades"}
     assert gold.dependents("trades") == set() and gold.dependents("traders") == {"trades"}
+
+
+def test_distinct_counts_roll_up(spark):
+    """More members than one bitmap holds, in two groups that overlap."""
+    df = spark.range(50_000).select(F.explode(F.array(F.col("id"), F.col("id"))).alias("who"), (F.col("id") % 2).alias("g"))
+    df = df.unionByName(spark.range(10).select(F.col("id").alias("who"), F.lit(7).cast("long").alias("g"))).unionByName(df.limit(1).select(F.lit(None).cast("long").alias("who"), "g"))
+    bits = distinct.member_bits(df, ["g"], "who")
+    assert bits.count() <= 6
+    assert {r.g: r.n for r in distinct.members(bits, {"g": F.col("g")}).collect()} == {0: 25_000, 1: 25_000, 7: 10}
+    assert [r.n for r in distinct.members(bits, {}).collect()] == [50_000]
