@@ -8,7 +8,8 @@ all, with the title and the text that stand beside it, is the article.
 Element names, roles and words of class and id mark suspects: menus, notices, adverts, forms,
 comments.  Names only raise the bar: a suspect stays if a path inside stands out from the page
 by several standard deviations, or if there is too little content outside of it, so a page, an
-article or a form that wraps the text stays whatever it is called.
+article or a form that wraps the text stays whatever it is called.  Comments and cards without
+a telling name are known by the tag paths that they repeat.
 """
 
 from __future__ import annotations
@@ -271,6 +272,52 @@ def without_suspects(nodes: list[Node], blocks: list[tuple[Node, str, int]]) ->
     return blocks
 
 
+#: Elements that repeat alike after the text are records - comments, cards - from this number on.
+RECORDS = 3
+TABULAR = frozenset("table thead tbody tfoot tr dl".split())
+
+
+def without_records(nodes: list[Node], blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks without records that follow the text: what readers or other pages say, whatever it is called.
+
+    Records are siblings of one tag that share two tag paths or more, such as a name and a
+    text, seen from three levels above; a paragraph or an item of a list has one.  Rows of
+    tables are none, nor are elements with a heading, as sections have.  They go only if no
+    other text stands after them and if they hold less text than all the rest.
+    """
+    kids: dict[int, dict[int, set[tuple[str, ...]]]] = {}
+    headed: set[int] = set()
+    for node, _, _ in blocks:
+        child, seen = node, (node.tag,)
+        for _ in range(3):
+            above = child.parent
+            if above is None:
+                break
+            if above.tag not in TABULAR:
+                kids.setdefault(above.index, {}).setdefault(child.index, set()).add(seen)
+            if node.tag in HEADINGS:
+                headed.add(child.index)
+            child, seen = above, (above.tag, *seen)
+    records: set[int] = set()
+    for children in kids.values():
+        by_tag: dict[str, list[int]] = {}
+        for c, paths in children.items():
+            if len(paths) > 1:
+                by_tag.setdefault(nodes[c].tag, []).append(c)
+        for alike in by_tag.values():
+            if len(alike) >= RECORDS and not headed.intersection(alike) and len(set.intersection(*(children[c] for c in alike))) > 1:
+                records.update(alike)
+    if not records:
+        return blocks
+    inside = _down(nodes, lambda node, above: above or node.index in records)
+    rest = [i for i, (node, _, _) in enumerate(blocks) if not inside[node.index]]
+    first = next(i for i, (node, _, _) in enumerate(blocks) if inside[node.index])
+    weight = [max(len(text) - linked, 0) for _, text, linked in blocks]
+    held = sum(weight[i] for i in rest)
+    after = [i for i in rest if i > first and PUNCTUATION.search(blocks[i][1]) and weight[i]]
+    return [blocks[i] for i in rest] if not after and 2 * held > sum(weight) else blocks
+
+
 def _bar(ratio: np.ndarray) -> float:
     return min(float(ratio.std()), float(ratio.max()))
 
@@ -282,7 +329,7 @@ def main_text(page: str | None) -> str:
     nodes, blocks = blocks_of(page)
     if not blocks:
         return ""
-    blocks = without_suspects(nodes, blocks)
+    blocks = without_records(nodes, without_suspects(nodes, blocks))
     ratio = path_ratios(blocks)
     bar = _bar(ratio)
     best: dict[Path, float] = {}
@@ -340,8 +387,9 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
     """`pages` without `html_col`, plus `text_col`: the main text of each whole page ("" for null or none).
 
     White space inside a block is one space; blocks stand in page order, two line ends
-    between them.  Broken and cut-off markup is read as far as it goes.  A column of the name
-    `text_col` is replaced; all others pass unchanged.
+    between them.  Broken and cut-off markup is read as far as it goes.  Each row is read by
+    itself, so rows that repeat give the same text; an empty table gives no rows.  A column of
+    the name `text_col` is replaced; all others pass unchanged.
     """
     kept = [c for c in pages.columns if c not in (html_col, text_col)]
 

@@ -291,6 +291,22 @@ def test_html_names_do_not_decide(spark, monkeypatch):
     assert not any(html_text.main_text(p) == w for p, w in zip(pages, want, strict=True))
 
 
+def test_html_comments_without_a_name():
+    text = "".join(f"<p>Paragraph {i} of the article, which says something, and then more.</p>" for i in range(6))
+    said = [f"<b>Reader {i}</b><p>I think, as said before, that this is right.</p>" for i in range(4)]
+    want = ["Title", *(f"Paragraph {i} of the article, which says something, and then more." for i in range(6))]
+    for opening, closing in (("<div>", "</div>"), ("<article>", "</article>"), ("<li>", "</li>")):
+        block = "<div>" + "".join(opening + x + closing for x in said) + "</div>"
+        assert html_text.main_text(f"<body><div><h1>Title</h1>{text}{block}</div></body>").split("\n\n") == want, opening
+        assert html_text.main_text(f"<body><div><h1>Title</h1>{text}</div>{block}</body>").split("\n\n") == want, opening
+    # Sections, tables and lists of an article stay, and so do records that make up the page.
+    section = "<section><h2>Part</h2><p>Some text, as such.</p></section>" * 3
+    table = "<table>" + "<tr><td>one, two.</td><td>three, four.</td></tr>" * 4 + "</table>"
+    for more, n in ((section, 6), (table, 8), ("<ul>" + "<li>an item, or so.</li>" * 5 + "</ul>", 5)):
+        assert len(html_text.main_text(f"<body><div><h1>Title</h1>{text}{more}</div></body>").split("\n\n")) == 7 + n, more
+    assert html_text.main_text("<body>" + "".join(f"<div>{x}</div>" for x in said) + "</body>").count("I think") == 4
+
+
 def test_html_is_linear_in_depth():
     import time
 
