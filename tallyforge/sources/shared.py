@@ -19,7 +19,14 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under this application's own folder, which goes when the application ends."""
+    own = f"{work_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def drop_written(frame: DataFrame) -> None:
