@@ -82,6 +82,26 @@ def stream_dedupe(v):
     return ntz(table.read())
 
 
+@query(
+    "stream_dedupe_trades",
+    """SELECT wallet, token_id, ts, side, price, size, CAST(ts AS DATE) AS day FROM (
+ SELECT *, row_number() OVER (PARTITION BY wallet, token_id, ts, side ORDER BY price, size) AS r FROM trades) x WHERE r = 1""",
+)
+def stream_dedupe_trades(v):
+    """Trades of two periods, then a third of both again: one row of each wallet, token, second and side stays, however late the repeat.
+
+    The table is cut by day, so a batch rewrites the days that it has rows of and no others.
+    """
+    landing, check = new_dir(v.spark, "landing"), new_dir(v.spark, "progress")
+    rows = v.trades.select("wallet", "token_id", "ts", "side", "price", "size", F.col("ts").cast("date").alias("day"), "taker_id")
+    schema = rows.drop("taker_id").schema
+    table = KeyedTable(v.spark, new_dir(v.spark, "fills"), schema, ["day"], buckets=16)
+    for part in ("ts < TIMESTAMP '1995-06-01'", "ts >= TIMESTAMP '1995-06-01'", "taker_id % 3 = 0"):
+        rows.where(part).drop("taker_id").write.mode("append").parquet(landing)
+        j.upsert_stream(j.source(v.spark, landing, schema), table, check, j.dedupe(["day", "wallet", "token_id", "ts", "side"], ["price", "size"]))
+    return table.read()
+
+
 @query("stream_consensus", "SELECT tag_id, market_id, count(CASE WHEN v THEN 1 END) AS yes, count(CASE WHEN NOT v THEN 1 END) AS no FROM (SELECT tag_id, market_id, CASE WHEN upper(trim(response)) LIKE '%YES%' THEN TRUE WHEN upper(trim(response)) LIKE '%NO%' THEN FALSE END AS v FROM judge_responses) x GROUP BY 1, 2")
 def stream_consensus(v):
     landing = new_dir(v.spark, "votes")

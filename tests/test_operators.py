@@ -467,3 +467,18 @@ def test_distinct_counts_roll_up(spark):
     assert bits.count() <= 6
     assert {r.g: r.n for r in distinct.members(bits, {"g": F.col("g")}).collect()} == {0: 25_000, 1: 25_000, 7: 10}
     assert [r.n for r in distinct.members(bits, {}).collect()] == [50_000]
+
+
+def test_repeats_touch_the_days_they_belong_to(spark, tmp_path):
+    """Thirty days of fills; a batch of one new day and one late repeat rewrites those two days' buckets and leaves the rest."""
+    day = datetime.datetime(2024, 1, 1)
+    shape = "day date, wallet string, ts timestamp_ntz, size double"
+    fills = [((day + datetime.timedelta(days=d)).date(), f"w{k}", day + datetime.timedelta(days=d, seconds=k), 1.0) for d in range(30) for k in range(20)]
+    df = spark.createDataFrame(fills, shape)
+    table = KeyedTable(spark, f"{tmp_path}/t", df.schema, ["day"], buckets=512)
+    first = jobs.dedupe(["day", "wallet", "ts"], ["size"])
+    table.merge(df, 0, first)
+    late = [(*fills[3][:3], 9.0), (*fills[3][:3], 0.5), ((day + datetime.timedelta(days=40)).date(), "w", day + datetime.timedelta(days=40), 1.0)]
+    table.merge(spark.createDataFrame(late, shape), 1, first)
+    assert table.read().count() == 601 and table.read().where("size = 0.5").count() == 1
+    assert len(list((tmp_path / "t/data/v1").glob("bucket=*"))) == 2
