@@ -25,15 +25,16 @@ def _in_cells(rows: DataFrame, start: str, end: str, cell_micros: int, side: str
     own = F.lit(LEVELS - 1)
     for k in reversed(range(LEVELS - 1)):
         own = F.when(hi - lo <= sizes[k], k).otherwise(own)
-    at = lambda x, k: F.floor(x / F.lit(sizes[k])).cast("long")
-    cells = [
-        F.when(own <= k, F.transform(F.sequence(at(lo, k), at(hi, k)), lambda c, k=k: F.struct(
-            F.lit(k).alias("level"), c.alias("cell"), (own == k).alias("own"), at(lo, k).alias("first"),
-        ))).otherwise(F.array())
-        for k in range(LEVELS)
-    ]
+
+    def cells(level: int) -> Column:
+        first, last = (F.floor(x / F.lit(sizes[level])).cast("long") for x in (lo, hi))
+        met = F.transform(
+            F.sequence(first, last), lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell"), (own == level).alias("own"), first.alias("first"))
+        )
+        return F.when(own <= level, met).otherwise(F.array())
+
     spans = rows.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (lo <= hi))
-    return spans.withColumn(f"__{side}", F.explode(F.concat(*cells)))
+    return spans.withColumn(f"__{side}", F.explode(F.concat(*map(cells, range(LEVELS)))))
 
 
 def overlapping(left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], cell_seconds: int = 86_400) -> DataFrame:
