@@ -11,19 +11,29 @@ from tallyforge.operators.silver import number_new
 from tallyforge.sources.sinks import latest_by_key
 
 
+def _parsed(staged: DataFrame) -> DataFrame:
+    """`staged` with its documents parsed; text that is no JSON is null.
+
+    The parsed document comes out of an array of one, past which no filter or projection is
+    moved: each document is parsed once, however many paths are read.
+    """
+    return staged.withColumn("doc", F.explode(F.array(F.try_parse_json("raw_json"))))
+
+
 def _path(*paths: str) -> Column:
-    return F.coalesce(*[F.get_json_object("raw_json", p) for p in paths])
+    """The first of the scalars at `paths` of a parsed document that is there, as text."""
+    return F.coalesce(*[F.try_variant_get("doc", p, "string") for p in paths])
 
 
 def categories(staged: DataFrame) -> DataFrame:
     """Distinct category names ('Unknown' where there is none) with ids in name order."""
-    names = staged.select(F.coalesce(_path("$.event.category", "$.category"), F.lit("Unknown")).alias("category_name"))
+    names = _parsed(staged).select(F.coalesce(_path("$.event.category", "$.category"), F.lit("Unknown")).alias("category_name"))
     return number_new(names, "category_name", 0, "category_id")
 
 
 def events(staged: DataFrame, cats: DataFrame) -> DataFrame:
     """One event per slug, titled by the first title that is there, with its category."""
-    rows = staged.select(
+    rows = _parsed(staged).select(
         _slug().alias("slug"),
         F.coalesce(_path("$.event.title", "$.question"), F.lit("Untitled")).alias("title"),
         F.coalesce(_path("$.event.category", "$.category"), F.lit("Unknown")).alias("category_name"),
@@ -52,14 +62,14 @@ MARKET_DIM = (
 
 def market_dim(staged: DataFrame, event_dim: DataFrame, existing: DataFrame) -> DataFrame:
     """The market dimension (MARKET_DIM) after adding staged markets that it lacks, with their event; present rows stay as they are."""
-    rows = markets(staged, "Unknown").join(staged.select(F.col("condition_id").alias("external_id"), _slug().alias("slug")), "external_id")
+    rows = markets(staged, "Unknown").join(_parsed(staged).select(F.col("condition_id").alias("external_id"), _slug().alias("slug")), "external_id")
     return numbered_on(existing, rows.join(event_dim.select("slug", "event_id"), "slug", "left").drop("slug"), "external_id", "market_id")
 
 
 def markets(staged: DataFrame, untitled: str = "") -> DataFrame:
     """One row per staged market: the newest document of each id."""
     active = F.coalesce(_path("$.active").try_cast("boolean"), ~_path("$.closed").try_cast("boolean"), F.lit(True))
-    newest = latest_by_key(staged, ["condition_id"], ["fetched_at"])
+    newest = _parsed(latest_by_key(staged, ["condition_id"], ["fetched_at"]))
     return newest.select(
         F.col("condition_id").alias("external_id"), F.coalesce(_path("$.question", "$.title"), F.lit(untitled)).alias("question"), active.alias("active"),
         parse_datetime(_path("$.startDate")).alias("start_date_iso"), parse_datetime(_path("$.endDate")).alias("end_date_iso"),
@@ -99,7 +109,7 @@ TRADER_DIM = "trader_id long, wallet_address binary"
 
 def trader_dim(staged: DataFrame, existing: DataFrame) -> DataFrame:
     """The trader dimension (TRADER_DIM) after adding the makers and takers of staged trades that it lacks."""
-    both = staged.select(_path("$.maker").alias("maker"), _path("$.taker").alias("taker"))
+    both = _parsed(staged).select(_path("$.maker").alias("maker"), _path("$.taker").alias("taker"))
     return numbered_on(existing, traders(both, existing), "wallet_address", "trader_id")
 
 
@@ -110,7 +120,7 @@ def trade_fact(staged: DataFrame, market_dim: DataFrame, token_dim: DataFrame, t
     has one; unknown wallets leave their id null; a side other than BUY is a sale.
     """
     wallet = lambda p: F.unhex(F.substring(_path(p), 3, 40))
-    t = staged.where(_path("$.price").isNotNull()).select(
+    t = _parsed(staged).where(_path("$.price").isNotNull()).select(
         F.col("condition_id").alias("external_id"), F.upper(_path("$.outcome")).alias("o"),
         F.timestamp_seconds(_path("$.timestamp").try_cast("long")).cast("timestamp_ntz").alias("trade_ts"),
         _path("$.price").try_cast("float").alias("price"), _path("$.size").try_cast("float").alias("size"),
@@ -166,7 +176,7 @@ def full_run(
 def tokens(staged: DataFrame) -> DataFrame:
     """Token ids paired with outcomes by position; the flag is true for YES, false for NO, else null."""
     ids, names = json_strings(_path("$.clobTokenIds")), json_strings(_path("$.outcomes"))
-    rows = staged.select(F.col("condition_id").alias("external_id"), F.inline(F.arrays_zip(ids.alias("token_address"), names.alias("outcome"))))
+    rows = _parsed(staged).select(F.col("condition_id").alias("external_id"), F.inline(F.arrays_zip(ids.alias("token_address"), names.alias("outcome"))))
     up = F.upper("outcome")
     return rows.where("token_address is not null").withColumn("is_yes", F.when(up == "YES", True).when(up == "NO", False)).distinct()
 

@@ -482,3 +482,14 @@ def test_repeats_touch_the_days_they_belong_to(spark, tmp_path):
     table.merge(spark.createDataFrame(late, shape), 1, first)
     assert table.read().count() == 601 and table.read().where("size = 0.5").count() == 1
     assert len(list((tmp_path / "t/data/v1").glob("bucket=*"))) == 2
+
+
+def test_staged_documents_are_parsed_once(spark):
+    docs = ['{"maker": "0x01", "taker": null, "price": "0.5", "size": 2, "side": "buy", "outcome": "Yes", "timestamp": "1700000000"}', "no json", None, '{"price": 0.25, "side": 1, "outcome": "No"}']
+    staged = spark.createDataFrame([(f"c{i}", d) for i, d in enumerate(docs)], "condition_id string, raw_json string")
+    markets = spark.createDataFrame([(7 + i, f"c{i}") for i in range(4)], "market_id long, external_id string")
+    tokens = spark.createDataFrame([(m, yes, m * 10 + yes) for m in range(7, 11) for yes in (True, False)], "market_id long, is_yes boolean, token_id long")
+    out = gold.trade_fact(staged, markets, tokens, spark.createDataFrame([], gold.TRADER_DIM))
+    assert sorted((r.token_id, r.price, r.size, r.is_buy) for r in out.collect()) == [(71, 0.5, 2.0, True), (100, 0.25, None, False)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1, plan
