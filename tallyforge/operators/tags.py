@@ -68,11 +68,14 @@ def markets_for_tagging(
     """
     if categories:
         markets = markets.where(F.col("category").isin(categories))
-    known = market_tags.select("tag_id", "market_id").unionByName(history.select("tag_id", "market_id")).unionByName(examples.select("tag_id", "market_id")).distinct()
+    known = market_tags.select("tag_id", "market_id").unionByName(history.select("tag_id", "market_id")).unionByName(examples.select("tag_id", "market_id"))
     open_tags = tags.where("is_active and not all_checked").select("tag_id", F.col("last_checked").cast("long").alias("after"))
+    # Only what lies ahead of an open tag's cursor matters; it is written, as it is counted first and left out later.
+    known = known.join(open_tags, "tag_id").where("market_id > after").select("tag_id", "market_id").distinct()
+    known = written(known, "known")
     ids = markets.select(F.col("market_id").cast("long").alias("market_id"))
     numbers = written(number_new(ids.unionByName(open_tags.select(F.col("after").alias("market_id"))), "market_id", 0, "number"), "numbers")
-    ahead = known.join(F.broadcast(open_tags), "tag_id").where("market_id > after").groupBy("tag_id").agg(F.count("*").alias("known"))
+    ahead = known.groupBy("tag_id").agg(F.count("*").alias("known"))
     room = open_tags.agg(F.count_distinct("after").alias("cursors"))
     wanted = (
         open_tags.join(numbers.select(F.col("market_id").alias("after"), "number"), "after").join(ahead, "tag_id", "left").join(F.broadcast(room))
