@@ -29,12 +29,21 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(spare)) for b in range(256)]
 
 
+#: What `TextEncoder` does to a text before its words are found, as vocabulary files spell it.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+
+
 class SegmentTreeBpe:
     """Merges of one vocabulary, with an end-of-word suffix on the last symbol of a word."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
+        if data.get("normalizer") != NORMALIZER or [x["type"] for x in data["pre_tokenizer"].get("pretokenizers", [])] != ["Split", "ByteLevel"]:
+            raise ValueError(f"{path} normalises or splits texts in another way than this encoder does")
         vocab, suffix = data["model"]["vocab"], data["model"]["end_of_word_suffix"]
         self.tokens = [""] * (1 + max([*vocab.values(), *(t["id"] for t in data["added_tokens"])]))
         for token, i in vocab.items():

@@ -89,3 +89,14 @@ def test_queries_on_whole_tables(spark, library):
     for r in queries.op2_packing(spark, SF).collect():
         own = np.array([*ids[r.doc_id], 1], "<u4")
         assert r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes())
+
+
+def test_other_normalizers_are_refused(tmp_path):
+    import json
+
+    data = json.load(open(PATH, encoding="utf-8"))
+    for change in ({"normalizer": None}, {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(data | change), encoding="utf-8")
+        with pytest.raises(ValueError, match="another way"):
+            bpe.SegmentTreeBpe(str(path))
