@@ -493,3 +493,33 @@ def test_staged_documents_are_parsed_once(spark):
     assert sorted((r.token_id, r.price, r.size, r.is_buy) for r in out.collect()) == [(71, 0.5, 2.0, True), (100, 0.25, None, False)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1, plan
+
+
+def test_sketched_counts_of_small_groups_are_exact(spark):
+    """6,000 groups of 12 to 19 members; a sketch of 2^12 registers is two off in some of them."""
+    df = spark.range(6_000 * 20).select(F.floor(F.col("id") / 20).alias("g"), F.col("id").alias("who")).where("who % 20 < 12 + g % 8")
+    out = distinct.sketched(df.unionByName(df).unionByName(spark.range(3).select(F.col("id").alias("g"), F.lit(None).cast("long").alias("who"))), ["g"], "who")
+    assert out.count() == 6_000 and out.where("exact <> 12 + g % 8 or about <> exact").count() == 0
+    assert abs(distinct.sketched(spark.range(100_000).selectExpr("1 AS g", "id AS who"), ["g"], "who").first().about - 100_000) < 5_000
+
+
+def test_first_appearances_add_up(spark):
+    """Repeats on a day, over days, over months and over years; null days, keys and members."""
+    rnd = random.Random(5)
+    day = lambda: rnd.choice([None, *[datetime.date(2023 + n // 6, 1 + n % 6, 1 + n % 3) for n in range(12)]])
+    data = [(rnd.choice([None, 1, 2]), day(), rnd.choice([None, *"abcdefgh"])) for _ in range(300)]
+    df = spark.createDataFrame(data, "k long, day date, who string")
+    days = distinct.first_seen(df, "k", "day", "who", {"month": F.trunc("day", "month"), "all": F.lit(True)})
+    assert days.count() <= len({(k, d) for k, d, w in data if w})
+
+    def want(level):
+        out = {}
+        for k, d, w in data:
+            if w:
+                out.setdefault((k, level(d)), set()).add(w)
+        return {key: len(x) for key, x in out.items()}
+
+    month = lambda d: d and d.replace(day=1)
+    assert {(r.k, r.day): r.n for r in days.collect()} == want(lambda d: d)
+    assert {(r.k, r.m): r.n for r in days.groupBy("k", F.trunc("day", "month").alias("m")).agg(F.sum("month").alias("n")).collect()} == want(month)
+    assert {(r.k, None): r.n for r in days.groupBy("k").agg(F.sum("all").alias("n")).collect()} == want(lambda d: None)
