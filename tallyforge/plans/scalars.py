@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import decode_cursor, encode_cursor, parse_vote, short_wallet
+from tallyforge.operators import distinct
 from tallyforge.registry import query
 
 
@@ -127,5 +128,5 @@ def binary_suite(v):
 @query("approx_traders", "SELECT market_id, count(DISTINCT trader_id) AS exact, TRUE AS near FROM trades GROUP BY market_id")
 def approx_traders(v):
     """Approximate distinct counts, held against the exact ones: within a tenth, or one."""
-    per = v.trades.groupBy("market_id").agg(F.approx_count_distinct("trader_id", 0.02).alias("about"), F.count_distinct("trader_id").alias("exact"))
+    per = distinct.sketched(v.trades, ["market_id"], "trader_id")
     return per.select("market_id", "exact", (F.abs(F.col("about") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.1)).alias("near"))
