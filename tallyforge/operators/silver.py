@@ -28,14 +28,19 @@ def merge_markets(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def number_new(keys: DataFrame, key: str, start: Column | int, id_col: str, partitions: int | None = None) -> DataFrame:
-    """Dense ids start+1, start+2, ... in the order of `key`, without sorting everything in one task.
+    """The different keys with dense ids start+1, start+2, ... in their order; see `number_rows`."""
+    return number_rows(keys.select(key).distinct(), key, start, id_col, partitions)
 
-    Keys are dealt by range; only the number of rows per partition (one row a partition) goes
+
+def number_rows(rows: DataFrame, key: str, start: Column | int, id_col: str, partitions: int | None = None) -> DataFrame:
+    """`rows` (one a key) with dense ids start+1, start+2, ... in the order of `key`, without sorting everything in one task.
+
+    Rows are dealt by range; only the number of rows per partition (one row a partition) goes
     through a single window, and comes back as an offset.
     """
-    n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The range bounds are sampled anew for each use, so the numbering has to stand on one written deal.
-    dealt = written(keys.select(key).distinct().repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()), "deal")
+    dealt = written(rows.repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()), "deal")
     counts = dealt.groupBy("__p").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__p", before.alias("__before"))

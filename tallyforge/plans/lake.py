@@ -15,7 +15,7 @@ from tallyforge.operators.load import Step, load_summary, run_steps
 from tallyforge.registry import query
 from tallyforge.sources import scans, sinks
 from tallyforge.sources.schemas import BRONZE
-from tallyforge.sources.shared import new_dir, written
+from tallyforge.sources.shared import new_dir, spread, written
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -26,7 +26,7 @@ def now():
 
 def payloads(v):
     """Market payloads as JSON documents: every fourth market without tokens, some with events."""
-    m, i = v.markets, F.col("market_id")
+    m, i = spread(v.markets), F.col("market_id")
     token = lambda k, o: F.struct(
         F.when(i % 10 == 9, F.lit("")).otherwise(F.concat(F.lit("0x"), (i * 2 + k).cast("string"))).alias("token_id"), F.lit(o).alias("outcome"),
         F.when(i % 3 != 0, F.lit(0.25)).alias("price"), F.when(F.col("closed"), F.lit(k == 0)).alias("winner"),
@@ -397,7 +397,7 @@ query(
     "gold_events",
     f"""WITH {CATS}, e AS (SELECT 'event-' || market_id % 40 AS slug, min((question, category)) AS x FROM markets GROUP BY 1)
  SELECT row_number() OVER (ORDER BY slug) AS event_id, slug, x[1] AS title, c.category_id FROM e JOIN cats c ON c.category_name = x[2]""",
-)(lambda v: g.events(payloads(v), g.categories(payloads(v))))
+)(lambda v: gold_events(v))
 DATES = "CASE WHEN market_id % 4 <> 1 THEN start_ts END AS start_date_iso, date_trunc('day', end_ts)::TIMESTAMP AS end_date_iso, volume AS volume_num"
 query("gold_markets", f"SELECT condition_id AS external_id, question, active, {DATES} FROM markets")(lambda v: g.markets(payloads(v)))
 query(
@@ -456,8 +456,15 @@ def staged_trades(v):
     return v.trades.select(F.concat(F.lit("c"), F.col("market_id").cast("string")).alias("condition_id"), F.to_json(doc).alias("raw_json"), now().alias("fetched_at"))
 
 
+def market_rows(v):
+    """The staged markets, parsed and written once a query."""
+    if "market_rows" not in vars(v):
+        v.market_rows = written(g.market_rows(payloads(v)), "market_rows")
+    return v.market_rows
+
+
 def gold_events(v):
-    return g.events(payloads(v), g.categories(payloads(v)))
+    return g.events(market_rows(v), g.categories(market_rows(v)))
 
 
 def gold_market_dim(v):
@@ -465,16 +472,16 @@ def gold_market_dim(v):
         "market_id + 1 AS market_id", "condition_id AS external_id", "cast(null as bigint) AS event_id", "question", "active",
         "cast(null as timestamp_ntz) AS start_date_iso", "cast(null as timestamp_ntz) AS end_date_iso", "volume AS volume_num",
     )
-    return g.market_dim(payloads(v), gold_events(v), old)
+    return g.market_dim(market_rows(v), gold_events(v), old)
 
 
 def gold_token_dim(v, market_dim=None):
-    return g.token_dim(payloads(v), gold_market_dim(v) if market_dim is None else market_dim, v.spark.createDataFrame([], g.TOKEN_DIM))
+    return g.token_dim(market_rows(v), gold_market_dim(v) if market_dim is None else market_dim, v.spark.createDataFrame([], g.TOKEN_DIM))
 
 
-def gold_trader_dim(v):
+def gold_trader_dim(v, trades=None):
     old = v.traders.where("trader_id % 2 = 0").select((F.col("trader_id") + 1).alias("trader_id"), F.unhex(F.substring(address_of(F.col("wallet")), 3, 40)).alias("wallet_address"))
-    return g.trader_dim(staged_trades(v), old)
+    return g.trader_dim(staged_trades(v) if trades is None else trades, old)
 
 
 def gold_price_fact(v):
@@ -487,7 +494,8 @@ def gold_price_fact(v):
 
 def gold_trade_fact(v):
     markets = written(gold_market_dim(v), "markets")
-    return g.trade_fact(staged_trades(v), markets, gold_token_dim(v, markets), gold_trader_dim(v))
+    trades = written(g.trade_rows(staged_trades(v)), "trade_rows")
+    return g.trade_fact(trades, markets, gold_token_dim(v, markets), gold_trader_dim(v, trades))
 
 
 GEV = "ev AS (SELECT slug, row_number() OVER (ORDER BY slug) AS event_id FROM (SELECT DISTINCT 'event-' || market_id % 40 AS slug FROM markets) x)"
@@ -535,7 +543,7 @@ query(
 
 def rebuilt(v):
     """Gold of all markets, then its market dimension built again after every fifth market left staging."""
-    staged = {"markets": payloads(v), "prices": staged_prices(v), "trades": staged_trades(v)}
+    staged = {"markets": market_rows(v), "prices": staged_prices(v), "trades": g.StagedTrades(staged_trades(v))}
     before, _ = g.full_run(staged, {})
     left = staged | {"markets": staged["markets"].where("market_id % 5 <> 0")}
     return load_summary(v.spark, *g.rebuild(left, before, "markets"))

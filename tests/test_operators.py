@@ -523,3 +523,50 @@ def test_first_appearances_add_up(spark):
     assert {(r.k, r.day): r.n for r in days.collect()} == want(lambda d: d)
     assert {(r.k, r.m): r.n for r in days.groupBy("k", F.trunc("day", "month").alias("m")).agg(F.sum("month").alias("n")).collect()} == want(month)
     assert {(r.k, None): r.n for r in days.groupBy("k").agg(F.sum("all").alias("n")).collect()} == want(lambda d: None)
+
+
+def parses(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    return plan.count("parse_json") + plan.count("parsejson")
+
+
+def staged_trades(spark):
+    a, b = "0x" + "ab" * 20, "0x" + "cd" * 20
+    docs = [
+        f'{{"maker": "{a}", "taker": "{b}", "price": 0.5, "size": 1, "side": "BUY", "outcome": "yes", "timestamp": 1}}', f'{{"maker": "{b}", "taker": "0x12", "price": 0.5, "size": 2, "outcome": "maybe", "timestamp": 2}}',
+        f'{{"maker": "{a}", "taker": "xx{"ef" * 20}", "size": 3, "outcome": "no"}}', f'{{"maker": "{a}", "price": 0.25, "outcome": "no", "timestamp": 3}}',
+    ]
+    return spark.createDataFrame([("c1", d) for d in docs], "condition_id string, raw_json string")
+
+
+def test_both_wallets_of_a_trade_come_from_one_parse(spark):
+    staged = staged_trades(spark)
+    have = spark.createDataFrame([(7, bytes.fromhex("cd" * 20))], gold.TRADER_DIM)
+    both = gold.trade_rows(staged)
+    assert parses(gold.traders(staged.select(F.try_parse_json("raw_json").cast("string").alias("maker"), F.lit(None).cast("string").alias("taker")), have)) == 1
+    assert parses(both) == 1
+    dim = gold.trader_dim(staged, have)
+    assert rows(dim) == rows(gold.trader_dim(both, have)) == [(7, bytearray.fromhex("cd" * 20)), (8, bytearray.fromhex("ab" * 20))]
+    markets = spark.createDataFrame([(1, "c1")], "market_id long, external_id string")
+    tokens = spark.createDataFrame([(1, True, 10), (1, False, 11), (1, None, 12)], "market_id long, is_yes boolean, token_id long")
+    want = [(10, 1.0, True, 8, 7), (10, 2.0, False, 7, None), (11, None, False, 8, None), (11, 2.0, False, 7, None)]
+    for trades in (staged, both, gold.with_traders(both, dim)):
+        out = gold.trade_fact(trades, markets, tokens, dim).select("token_id", "size", "is_buy", "maker_id", "taker_id")
+        assert sorted(rows(out), key=str) == sorted(want, key=str)
+
+
+def test_two_runs_look_wallets_up_once(spark):
+    trades = gold.StagedTrades(staged_trades(spark))
+    dim = gold.trader_dim(trades.rows, spark.createDataFrame([], gold.TRADER_DIM))
+    assert parses(trades.rows) == 0 and trades.known(dim) is trades.known(dim) and trades.known(dim).count() == 3
+    assert trades.known(dim.limit(0)).where("maker_id is not null").count() == 0
+
+
+def test_a_market_staged_twice_is_one_row_of_the_dimension(spark):
+    doc = '{"question": "%s", "event": {"slug": "e%d"}, "startDate": "2024-01-01"}'
+    staged = spark.createDataFrame([("c1", doc % ("old", 1), 1), ("c1", doc % ("new", 2), 2), ("c2", None, 1)], "condition_id string, raw_json string, fetched_at long")
+    for docs in (staged, gold.market_rows(staged)):
+        events = gold.events(docs, gold.categories(docs))
+        assert rows(events.select("event_id", "slug", "title")) == [(1, "e1", "old"), (2, "e2", "new"), (3, "unknown-c2", "Untitled")]
+        dim = gold.market_dim(docs, events, spark.createDataFrame([], gold.MARKET_DIM))
+        assert rows(dim.select("market_id", "external_id", "event_id", "question")) == [(1, "c1", 2, "new"), (2, "c2", 3, "Unknown")]
