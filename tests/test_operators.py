@@ -570,3 +570,16 @@ def test_a_market_staged_twice_is_one_row_of_the_dimension(spark):
         assert rows(events.select("event_id", "slug", "title")) == [(1, "e1", "old"), (2, "e2", "new"), (3, "unknown-c2", "Untitled")]
         dim = gold.market_dim(docs, events, spark.createDataFrame([], gold.MARKET_DIM))
         assert rows(dim.select("market_id", "external_id", "event_id", "question")) == [(1, "c1", 2, "new"), (2, "c2", 3, "Unknown")]
+
+
+def test_groups_of_a_market_travel_as_one_list(spark):
+    """Several groups a market, one of them null, markets without any; trades are not multiplied before they are summed."""
+    trades = spark.createDataFrame([(1, 5, m, 0.5, 2.0, float(p)) for m, p in [(1, 3), (1, 1), (2, -1), (3, 9)]], "trader_id long, taker_id long, market_id long, price double, size double, pnl double")
+    groups = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (2, None)], "market_id long, tag string")
+    out = features.top_groups(trades, groups, "tag", 2)
+    want = [("a", 2, 2.0, 4.0, 1.0, 1), ("b", 3, 3.0, 3.0, 2 / 3, 2)]
+    assert rows(out, "person", "rank") == [(who, *w) for who in ("m1", "t5") for w in want]
+    assert rows(features.top_groups(trades, groups, "tag", 3).where("tag is null").select("person", "total_pnl", "rank")) == [("m1", -1.0, 3), ("t5", -1.0, 3)]
+    # Groups are multiplied out above the first sum, not below it.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(__groups") < plan.index("Aggregate [person", plan.index("Generate explode(__groups"))
