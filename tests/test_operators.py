@@ -583,3 +583,22 @@ def test_groups_of_a_market_travel_as_one_list(spark):
     # Groups are multiplied out above the first sum, not below it.
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode(__groups") < plan.index("Aggregate [person", plan.index("Generate explode(__groups"))
+
+
+def test_spacing_broadcasts_nothing(spark):
+    at = lambda h: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=h)
+    out = features.spaced(spark.createDataFrame([(1, at(h)) for h in (0, 2, 7, 9, 13, 20)], "token_id long, bin timestamp_ntz"))
+    assert [r.bin for r in out.orderBy("bin").collect()] == [at(h) for h in (0, 7, 13, 20)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_landed_rows_of_two_days_are_made_once(spark, monkeypatch):
+    from conftest import SF
+    from tallyforge.plans import lake
+    from tallyforge.registry import QUERIES
+
+    names, made = [], lake.written
+    monkeypatch.setattr(lake, "written", lambda frame, name: names.append(name) or made(frame, name))
+    assert QUERIES["bronze_market_tokens"](spark, SF).where("n <> 1").count() == 0
+    assert names == ["landed"]
