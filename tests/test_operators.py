@@ -602,3 +602,32 @@ def test_landed_rows_of_two_days_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(lake, "written", lambda frame, name: names.append(name) or made(frame, name))
     assert QUERIES["bronze_market_tokens"](spark, SF).where("n <> 1").count() == 0
     assert names == ["landed"]
+
+
+@pytest.fixture
+def small_slices(monkeypatch):
+    """Inputs of the smallest scale are cut as large ones are."""
+    from tallyforge.sources import shared
+
+    monkeypatch.setattr(shared, "SLICE", 8_000)
+    monkeypatch.setattr(shared, "FEW", 2)
+
+
+def same_as_oracle(spark, key):
+    from compare import duck, duck_rows, spark_rows
+    from conftest import SF
+    from tallyforge.registry import ORACLE_SQL, QUERIES
+
+    assert spark_rows(QUERIES[key](spark, SF)) == duck_rows(duck(SF), ORACLE_SQL[key])
+
+
+def test_large_joins_are_cut_by_the_size_of_their_input(spark, small_slices):
+    from conftest import SF
+    from tallyforge.adapters import Lake
+    from tallyforge.sources.shared import slices
+
+    v = Lake(spark, SF)
+    n = slices(v.lineitem, v.orders)
+    plan = v.trades._jdf.queryExecution().optimizedPlan().toString()
+    assert n > 4 and plan.count("RepartitionByExpression") == 2 and plan.count(f"], {n}") == 2
+    same_as_oracle(spark, "bt_sources")
