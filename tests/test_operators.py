@@ -631,3 +631,13 @@ def test_large_joins_are_cut_by_the_size_of_their_input(spark, small_slices):
     plan = v.trades._jdf.queryExecution().optimizedPlan().toString()
     assert n > 4 and plan.count("RepartitionByExpression") == 2 and plan.count(f"], {n}") == 2
     same_as_oracle(spark, "bt_sources")
+
+
+def test_people_of_markets_are_told_apart_in_slices(spark, small_slices):
+    from conftest import SF
+    from tallyforge.adapters import Lake
+
+    v = Lake(spark, SF)
+    plan = features.market_features(v.markets, v.market_tokens, v.trades)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [market_id" in plan and "concat(m" not in plan
+    same_as_oracle(spark, "market_features")
