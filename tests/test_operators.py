@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import columns
 from tallyforge.functions.columns import parse_datetime, parse_vote, pnl, safe_float, volume_tier
-from tallyforge.operators import backtest, bronze, distinct, features, gold, intervals, selection, silver, tags
+from tallyforge.operators import analysis, backtest, bronze, distinct, features, gold, intervals, selection, silver, tags
 from tallyforge.sources import catalogs, scans, sinks
 from tallyforge.streaming import jobs
 from tallyforge.streaming.tables import KeyedTable
@@ -641,3 +641,14 @@ def test_people_of_markets_are_told_apart_in_slices(spark, small_slices):
     plan = features.market_features(v.markets, v.market_tokens, v.trades)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [market_id" in plan and "concat(m" not in plan
     same_as_oracle(spark, "market_features")
+
+
+def test_category_counts_multiply_no_row(spark, small_slices):
+    trades = spark.createDataFrame(
+        [(1, "a", 0.5, 2.0), (1, "a", 0.5, None), (1, "b", 0.25, 4.0), (2, None, 0.5, 2.0), (3, "a", 0.5, 6.0), (9, "z", 1.0, 1.0)], "market_id long, wallet string, price double, size double"
+    )
+    markets = spark.createDataFrame([(1, "x"), (2, "x"), (3, None), (1, "y")], "market_id long, category string")
+    out = analysis.category_stats(trades, markets, 1)
+    assert rows(out, "category") == [(None, 1, 1, 1, 3.0, 3.0), ("x", 4, 2, 2, 3.0, 1.0), ("y", 3, 2, 1, 2.0, 1.0)]
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    same_as_oracle(spark, "category_stats")
