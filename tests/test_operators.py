@@ -652,3 +652,13 @@ def test_category_counts_multiply_no_row(spark, small_slices):
     assert rows(out, "category") == [(None, 1, 1, 1, 3.0, 3.0), ("x", 4, 2, 2, 3.0, 1.0), ("y", 3, 2, 1, 2.0, 1.0)]
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     same_as_oracle(spark, "category_stats")
+
+
+def test_joins_of_the_trade_fact_are_cut_and_narrow(spark, small_slices):
+    from conftest import SF
+    from tallyforge.adapters import Lake
+
+    v = Lake(spark, SF)
+    plan = silver.trade_fact(v.trades, v.market_tokens, v.traders)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [wallet") == 2 and plan.count("RepartitionByExpression [market_id") == 2
+    same_as_oracle(spark, "load_trade_fact")
