@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import json_strings, parse_datetime, volume_tier
 from tallyforge.operators.selection import upper_median
+from tallyforge.sources.shared import dealt, join_dealt
 
 TOKEN = "array<struct<token_id:string,outcome:string,price:double,winner:boolean>>"
 EVENT = (
@@ -121,19 +122,20 @@ def median_floor(trades: DataFrame) -> DataFrame:
     return trades.join(floor, "market_id").where("size > floor")
 
 
-def growing_floor(trades: DataFrame) -> DataFrame:
+def growing_floor(trades: DataFrame, n: int = 0) -> DataFrame:
     """Trades (market_id, page from 0, size) above the floor of their page, with that `floor`.
 
     The third page of a market and every second one after it raise the floor of all later
-    pages by the whole part of their upper median size.
+    pages by the whole part of their upper median size.  `n` tasks number and join pages, if
+    it is not 0: they are so narrow that their bytes tell little of their number.
     """
     raises = (F.col("page") >= 2) & (F.col("page") % 2 == 0)
     medians = upper_median(trades.where(raises), ["market_id", "page"], F.col("size"))
-    all_pages = trades.select("market_id", "page").distinct()
-    per_page = all_pages.join(medians, ["market_id", "page"], "left").select("market_id", "page", F.coalesce(F.floor("nth"), F.lit(0)).cast("double").alias("up"))
+    all_pages = dealt(n, trades.select("market_id", "page"), "market_id", "page").distinct()
+    per_page = all_pages.join(dealt(n, medians, "market_id", "page"), ["market_id", "page"], "left").select("market_id", "page", F.coalesce(F.floor("nth"), F.lit(0)).cast("double").alias("up"))
     earlier = Window.partitionBy("market_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    floors = per_page.select("market_id", "page", F.coalesce(F.sum("up").over(earlier), F.lit(0.0)).alias("floor"))
-    return trades.join(floors, ["market_id", "page"]).where("floor = 0 or size > floor")
+    floors = dealt(n, per_page, "market_id").select("market_id", "page", F.coalesce(F.sum("up").over(earlier), F.lit(0.0)).alias("floor"))
+    return join_dealt(n, trades, floors, ["market_id", "page"]).where("floor = 0 or size > floor")
 
 
 def adaptive_resolution(chunks: DataFrame, volume: Column, limit: float = 5.0) -> DataFrame:

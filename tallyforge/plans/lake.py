@@ -15,7 +15,7 @@ from tallyforge.operators.load import Step, load_summary, run_steps
 from tallyforge.registry import query
 from tallyforge.sources import scans, sinks
 from tallyforge.sources.schemas import BRONZE
-from tallyforge.sources.shared import new_dir, spread, written
+from tallyforge.sources.shared import dealt, new_dir, slices, spread, written
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -144,13 +144,14 @@ query(
     f"""WITH p AS ({PAGED}), m AS (SELECT market_id, page, CASE WHEN page >= 2 AND page % 2 = 0 THEN floor(list_sort(list(size))[(count(*) // 2 + 1)::BIGINT]) ELSE 0 END AS up FROM p GROUP BY market_id, page),
  f AS (SELECT market_id, page, coalesce(sum(up) OVER (PARTITION BY market_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS floor FROM m)
  SELECT p.market_id, p.page::INTEGER AS page, f.floor, count(*) AS trades FROM p JOIN f ON p.market_id = f.market_id AND p.page = f.page WHERE f.floor = 0 OR size > f.floor GROUP BY ALL""",
-)(lambda v: b.growing_floor(pages(v)).groupBy("market_id", "page", "floor").agg(F.count("*").alias("trades")))
+)(lambda v: b.growing_floor(pages(v), slices(v.trades)).groupBy("market_id", "page", "floor").agg(F.count("*").alias("trades")))
 
 
 def pages(v):
-    """Trades in pages of five a market."""
+    """The trades' (market_id, size, page) in pages of five a market; numbered and written once, as the floors read them several times."""
     order = Window.partitionBy("market_id").orderBy("ts", "wallet", "price", "size", "taker_id", "side", "token_id")
-    return v.trades.withColumn("page", F.floor((F.row_number().over(order) - 1) / 5).cast("int"))
+    placed = dealt(slices(v.trades), v.trades, "market_id")
+    return written(placed.select("market_id", "size", F.floor((F.row_number().over(order) - 1) / 5).cast("int").alias("page")), "pages")
 
 
 query(

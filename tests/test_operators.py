@@ -662,3 +662,12 @@ def test_joins_of_the_trade_fact_are_cut_and_narrow(spark, small_slices):
     plan = silver.trade_fact(v.trades, v.market_tokens, v.traders)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression [wallet") == 2 and plan.count("RepartitionByExpression [market_id") == 2
     same_as_oracle(spark, "load_trade_fact")
+
+
+def test_pages_are_numbered_once(spark, small_slices, monkeypatch):
+    from tallyforge.plans import lake
+
+    names, made = [], lake.written
+    monkeypatch.setattr(lake, "written", lambda frame, name: names.append(name) or made(frame, name))
+    same_as_oracle(spark, "growing_size_floor")
+    assert names == ["pages"]
