@@ -77,7 +77,8 @@ def dedupe(keys: list[str], order: list[str]) -> Callable[[DataFrame, DataFrame]
         rest = [c for c in both.columns if c not in keys and c not in order]
         # Nulls of `order` come last.
         ranked = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))], *rest)
-        return both.groupBy(*keys).agg(F.min(ranked).alias("first")).select(*keys, *[f"first.{c}" for c in (*order, *rest)])
+        # Texts make this a sort aggregate: dealt first, rows are sorted once and not before and after the shuffle.
+        return both.repartition(*keys).groupBy(*keys).agg(F.min(ranked).alias("first")).select(*keys, *[f"first.{c}" for c in (*order, *rest)])
 
     return first
 

@@ -91,8 +91,9 @@ class KeyedTable:
         try:
             touched = {r[0] for r in batch.select(self.bucket()).distinct().collect()}  # at most `buckets` numbers
             new = combine(self._rows(base, touched), batch).select(*self.schema.names)
-            # One task a bucket, by range, as the hash of a number would put several into one task.
-            placed = new.withColumn("bucket", self.bucket()).repartitionByRange(max(len(touched), 1), "bucket")
+            # One task a bucket, by its place; a range would have to sample, and so make all rows twice.
+            place = F.array_position(F.array(*map(F.lit, sorted(touched))), F.col("bucket")).cast("int") - 1 if touched else F.lit(0)
+            placed = new.withColumn("bucket", self.bucket()).repartitionById(max(len(touched), 1), place)
             placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v{n}")
         finally:
             batch.unpersist()

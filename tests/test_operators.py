@@ -671,3 +671,18 @@ def test_pages_are_numbered_once(spark, small_slices, monkeypatch):
     monkeypatch.setattr(lake, "written", lambda frame, name: names.append(name) or made(frame, name))
     same_as_oracle(spark, "growing_size_floor")
     assert names == ["pages"]
+
+
+def test_a_batch_is_made_once_and_a_bucket_is_one_file(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    df = spark.range(5_000).select(F.col("id").alias("k"), F.lit(1).alias("n"))
+    table = KeyedTable(spark, f"{tmp_path}/t", df.schema, ["k"], buckets=8)
+    table.merge(df, 0, lambda old, new: old.unionByName(new.mapInPandas(count, new.schema)))
+    assert made.value == 5_000 and table.read().count() == 5_000
+    assert sorted(len(list(b.glob("*.parquet"))) for b in (tmp_path / "t/data/v0").glob("bucket=*")) == [1] * 8
