@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.sources.shared import join_dealt, slices, written
+from tallyforge.sources.shared import dealt, slices, written
 from tallyforge.sources.sinks import latest_by_key
 
 
@@ -107,10 +107,10 @@ def trade_fact(trades: DataFrame, tokens: DataFrame, traders: DataFrame) -> Data
     trade_id hashes the key parts and the number of the trade among those of the same parts,
     by price, size and taker; trades that are equal in these too get the numbers in any order.
     """
-    n = slices(trades)
     t = trades.select("wallet", "market_id", "outcome", "side", "price", "size", "ts", "taker_id")
-    t = join_dealt(n, t, tokens.select("market_id", "outcome", F.col("token_id").alias("token_key")), ["market_id", "outcome"])
-    t = join_dealt(n, t.drop("market_id", "outcome"), traders.select("wallet", F.col("trader_id").alias("maker_id")), ["wallet"])
+    t = t.join(tokens.select("market_id", "outcome", F.col("token_id").alias("token_key")), ["market_id", "outcome"]).drop("market_id", "outcome")
+    # One deal serves the join and the window.
+    t = dealt(slices(trades), t, "wallet").join(traders.select("wallet", F.col("trader_id").alias("maker_id")), "wallet")
     second = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     among = Window.partitionBy("wallet", "token_key", second, "side").orderBy("price", "size", "taker_id")
     t = t.withColumn("n", F.row_number().over(among))
